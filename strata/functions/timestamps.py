@@ -20,9 +20,17 @@ def parse_timestamp(c: Column | str) -> Column:
     return F.try_to_timestamp(c)
 
 
-def normalize_timestamps(df: DataFrame, columns=TIMESTAMP_TEXT_COLUMNS) -> DataFrame:
-    """Parse the listed timestamp columns that exist and are still text."""
-    todo = {c: parse_timestamp(c) for c in columns
+def normalize_timestamps(df: DataFrame, columns=TIMESTAMP_TEXT_COLUMNS,
+                         wall_clock: bool = False) -> DataFrame:
+    """Parse the listed timestamp columns that exist and are still text.
+
+    ``wall_clock=True`` returns ``TIMESTAMP_NTZ`` holding the UTC wall-clock time
+    (the instant read in the pinned UTC session zone) instead of ``TIMESTAMP``.
+    """
+    def conv(c: str) -> Column:
+        ts = parse_timestamp(c)
+        return ts.cast("timestamp_ntz") if wall_clock else ts
+    todo = {c: conv(c) for c in columns
             if c in df.columns and df.schema[c].dataType.typeName() == "string"}
     return df.withColumns(todo) if todo else df
 

@@ -20,6 +20,25 @@ def calendar_days(start: str, end: str) -> int:
     return (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days + 1
 
 
+def date_attributes(days: DataFrame) -> DataFrame:
+    """``full_date`` -> every dim_date column, in the dimension's column order."""
+    d = F.col("full_date")
+    return days.select(
+        date_id(d).alias("date_id"),
+        d,
+        F.year(d).alias("year"),
+        F.quarter(d).alias("quarter"),
+        F.month(d).alias("month"),
+        F.date_format(d, "MMMM").alias("month_name"),
+        F.weekofyear(d).alias("week_of_year"),
+        F.dayofmonth(d).alias("day_of_month"),
+        F.dayofweek(d).alias("day_of_week"),
+        F.date_format(d, "EEEE").alias("day_name"),
+        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+        (d == F.last_day(d)).alias("is_month_end"),
+    )
+
+
 def build_dim_date(spark: SparkSession, start: str = CALENDAR_START,
                    end: str = CALENDAR_END) -> DataFrame:
     """One row per day of [start, end]; 4,018 rows for the default 2020..2030.
@@ -28,24 +47,22 @@ def build_dim_date(spark: SparkSession, start: str = CALENDAR_START,
     safe to broadcast. ``day_of_week`` is 1 = Sunday .. 7 = Saturday.
     """
     n = calendar_days(start, end)
-    d = F.col("full_date")
-    return (spark.range(n)
-            .select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
-                    .alias("full_date"))
-            .select(
-                date_id(d).alias("date_id"),
-                d,
-                F.year(d).alias("year"),
-                F.quarter(d).alias("quarter"),
-                F.month(d).alias("month"),
-                F.date_format(d, "MMMM").alias("month_name"),
-                F.weekofyear(d).alias("week_of_year"),
-                F.dayofmonth(d).alias("day_of_month"),
-                F.dayofweek(d).alias("day_of_week"),
-                F.date_format(d, "EEEE").alias("day_name"),
-                F.dayofweek(d).isin(1, 7).alias("is_weekend"),
-                (d == F.last_day(d)).alias("is_month_end"),
-            ))
+    return date_attributes(spark.range(n).select(
+        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("full_date")))
+
+
+def dim_date_spanning(df: DataFrame, column: str) -> DataFrame:
+    """Calendar covering every day from the earliest to the latest ``column`` value.
+
+    The bounds come from one global min/max aggregate (a single row), expanded
+    with ``sequence`` + ``explode``; the output grows with the date span (days),
+    never with the row count of ``df``.
+    """
+    bounds = df.agg(F.min(F.col(column)).cast("date").alias("lo"),
+                    F.max(F.col(column)).cast("date").alias("hi"))
+    days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
+                         .alias("full_date"))
+    return date_attributes(days)
 
 
 def build_dim_customer(customers: DataFrame) -> DataFrame:

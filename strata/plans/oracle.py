@@ -82,7 +82,7 @@ s_products AS (SELECT * FROM d_products WHERE is_deleted = false),
 s_customers AS (SELECT * FROM d_customers WHERE is_deleted = false)"""
 
 
-def dim_date_sql(start: str, end: str) -> str:
+def date_columns_sql(days_from: str) -> str:
     d = "d"
     return f"""SELECT {date_id(d)} AS date_id, {d} AS full_date,
        CAST(year({d}) AS INTEGER) AS year, CAST(quarter({d}) AS INTEGER) AS quarter,
@@ -91,8 +91,12 @@ def dim_date_sql(start: str, end: str) -> str:
        CAST(day({d}) AS INTEGER) AS day_of_month,
        CAST(dayofweek({d}) + 1 AS INTEGER) AS day_of_week, dayname({d}) AS day_name,
        dayofweek({d}) IN (0, 6) AS is_weekend, {d} = last_day({d}) AS is_month_end
-FROM (SELECT CAST(range AS DATE) AS d
-      FROM range(DATE '{start}', DATE '{end}' + INTERVAL 1 DAY, INTERVAL 1 DAY))"""
+FROM {days_from}"""
+
+
+def dim_date_sql(start: str, end: str) -> str:
+    return date_columns_sql(f"""(SELECT CAST(range AS DATE) AS d
+      FROM range(DATE '{start}', DATE '{end}' + INTERVAL 1 DAY, INTERVAL 1 DAY))""")
 
 
 GOLD = f"""dim_date AS ({dim_date_sql(*FIXTURE_CALENDAR)}),
@@ -161,3 +165,222 @@ QUERIES: dict[str, str] = {
     "dim_product": with_star("SELECT * FROM dim_product"),
     "fact_order_line": with_star("SELECT * FROM fact"),
 }
+
+
+# --- calendar, dedup, merges, projections ----------------------------------------------
+
+from strata.schemas import FIXTURE_ENTITIES  # noqa: E402
+
+ITEM_COLS = FIXTURE_ENTITIES["order_items"].columns
+ORDER_COLS = FIXTURE_ENTITIES["orders"].columns
+ENTITY_ORDER = ("customers", "products", "orders", "order_items")
+BRONZE_CTE = {"customers": "b_customers", "products": "b_products", "orders": "b_orders",
+              "order_items": "b_items"}
+SILVER_CTE = {"customers": "s_customers", "products": "s_products", "orders": "s_orders",
+              "order_items": "s_items"}
+
+DIM_DATE_SPAN = date_columns_sql("""(
+  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
+  FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi
+        FROM orders))""")
+
+ODD = latest("(SELECT * FROM b_items WHERE supplier_id % 2 = 1)", "order_id, line_number",
+             ITEM_ORDER)
+EVEN = latest("(SELECT * FROM b_items WHERE supplier_id % 2 = 0)", "order_id, line_number",
+              ITEM_ORDER)
+
+
+def merge_sql(target: str, source: str, update: str, insert: str) -> str:
+    """Full-outer-join MERGE: a row per key picked from source or target."""
+    take = (f"((t._p IS NOT NULL AND s._p IS NOT NULL AND coalesce({update}, false)) OR "
+            f"(t._p IS NULL AND s._p IS NOT NULL AND coalesce({insert}, false)))")
+    cols = ", ".join(f"CASE WHEN {take} THEN s.{c} ELSE t.{c} END AS {c}" for c in ITEM_COLS)
+    return f"""WITH {B_ITEMS},
+t AS (SELECT *, 1 AS _p FROM ({target})),
+s AS (SELECT *, 1 AS _p FROM ({source}))
+SELECT {cols}
+FROM t FULL OUTER JOIN s ON t.order_id = s.order_id AND t.line_number = s.line_number
+WHERE {take} OR t._p IS NOT NULL"""
+
+
+NEWER = "s.updated_at > t.updated_at"
+ACTIVE = "s.is_deleted = false"
+EPOCH_TS = "TIMESTAMP '1970-01-01 00:00:00'"
+REG = ("(SELECT * FROM (VALUES ('customers'), ('products'), ('orders'), ('order_items')) "
+       "v(table_name))")
+
+
+def _u(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _q(name: str) -> str:
+    return f"'{name}'"
+
+
+def pk_nulls_sql() -> str:
+    parts = [f"SELECT {_q(n)} AS table_name, 'nulls' AS \"check\", {_q(k)} AS \"column\", "
+             f"COUNT(*) FILTER (WHERE {k} IS NULL) AS n FROM {BRONZE_CTE[n]}"
+             for n in ENTITY_ORDER for k in FIXTURE_ENTITIES[n].keys]
+    return f"WITH {BRONZE}\n{_u(parts)}"
+
+
+def _dups(table: str, cte: str, keys) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT {_q(table)} AS table_name, 'duplicate_keys' AS \"check\", "
+            f"{_q(','.join(keys))} AS \"column\", "
+            f"(SELECT COUNT(*) FROM (SELECT {k} FROM {cte} GROUP BY {k} HAVING COUNT(*) > 1))"
+            f" AS n")
+
+
+def duplicate_keys_sql() -> str:
+    return f"WITH {BRONZE}\n" + _u(_dups(n, BRONZE_CTE[n], FIXTURE_ENTITIES[n].keys)
+                                   for n in ENTITY_ORDER)
+
+
+def silver_quality_sql() -> str:
+    parts = []
+    for n in ENTITY_ORDER:
+        e, cte = FIXTURE_ENTITIES[n], SILVER_CTE[n]
+        for c in e.required:
+            parts.append(f"SELECT {_q(n)}, 'nulls', {_q(c)}, COUNT(*) FILTER (WHERE {c} IS NULL)"
+                         f" FROM {cte}")
+        parts.append(f"SELECT {_q(n)}, 'rows', NULL, COUNT(*) FROM {cte}")
+        parts.append(f"SELECT {_q(n)}, 'active', NULL, COUNT(*) FILTER (WHERE NOT is_deleted "
+                     f"OR is_deleted IS NULL) FROM {cte}")
+        parts.append(f"SELECT {_q(n)}, 'deleted', NULL, COUNT(*) FILTER (WHERE is_deleted) "
+                     f"FROM {cte}")
+        parts.append(_dups(n, cte, e.keys))
+    body = _u(parts)
+    return with_star(f"SELECT * FROM ({body}) x(table_name, \"check\", \"column\", n)")
+
+
+GOLD_KEYS = {"dim_date": ("date_id",), "dim_customer": ("customer_id",),
+             "dim_product": ("product_id",), "fact_order_line": ("order_id", "line_number")}
+GOLD_CTE = {"dim_date": "dim_date", "dim_customer": "dim_customer",
+            "dim_product": "dim_product", "fact_order_line": "fact"}
+
+
+def gold_quality_sql() -> str:
+    parts = []
+    for t, keys in GOLD_KEYS.items():
+        cte = GOLD_CTE[t]
+        for k in keys:
+            parts.append(f"SELECT {_q(t)}, 'nulls', {_q(k)}, COUNT(*) FILTER (WHERE {k} IS NULL)"
+                         f" FROM {cte}")
+        parts.append(f"SELECT {_q(t)}, 'rows', NULL, COUNT(*) FROM {cte}")
+        parts.append(_dups(t, cte, keys))
+    return with_star(f"SELECT * FROM ({_u(parts)}) x(table_name, \"check\", \"column\", n)")
+
+
+def constraints_sql() -> str:
+    parts = []
+    for n in ENTITY_ORDER:
+        e, cte = FIXTURE_ENTITIES[n], SILVER_CTE[n]
+        for c in e.required:
+            parts.append(f"SELECT {_q(n)}, 'not_null', {_q(c)}, "
+                         f"COUNT(*) FILTER (WHERE {c} IS NULL) FROM {cte}")
+        for r in e.constraints:
+            parts.append(f"SELECT {_q(n)}, {_q(r.name)}, {_q(r.column)}, "
+                         f"COUNT(*) FILTER (WHERE NOT ({r.expr})) FROM {cte}")
+        if n == "customers":
+            parts.append(f"SELECT 'customers', 'unique', 'email', coalesce((SELECT SUM(c) FROM "
+                         f"(SELECT COUNT(*) AS c FROM {cte} WHERE email IS NOT NULL GROUP BY "
+                         f"email HAVING COUNT(*) > 1)), 0)")
+    return with_star(f"SELECT table_name, \"check\", \"column\", CAST(n AS BIGINT) AS n FROM "
+                     f"({_u(parts)}) x(table_name, \"check\", \"column\", n)")
+
+
+def freshness_sql(as_of: str, max_hours: float) -> str:
+    a = f"TIMESTAMP '{as_of}'"
+    parts = [f"""SELECT {_q(n)} AS table_name, latest, {a} AS as_of,
+  (epoch_us({a}) - epoch_us(latest)) / 3.6e9 AS lag_hours,
+  coalesce((epoch_us({a}) - epoch_us(latest)) / 3.6e9 <= {max_hours}, false) AS is_fresh
+FROM (SELECT max(updated_at) AS latest FROM {SILVER_CTE[n]})""" for n in ENTITY_ORDER]
+    return with_star(_u(parts))
+
+
+FACT_TYPES = {"order_id": "bigint", "line_number": "int", "date_id": "int",
+              "customer_id": "bigint", "product_id": "bigint", "order_status": "string",
+              "shipping_city": "string", "quantity": "bigint", "unit_price": "double",
+              "line_total": "double", "cost_price": "double", "gross_margin": "double",
+              "order_ts": "timestamp_ntz", "_extracted_at": "timestamp_ntz"}
+
+
+def profile_sql() -> str:
+    parts = [f"""SELECT {_q(c)} AS column_name, {_q(t)} AS data_type, COUNT(*) AS rows,
+  COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls, COUNT(DISTINCT {c}) AS distinct_values,
+  CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM fact"""
+             for c, t in FACT_TYPES.items()]
+    return with_star(_u(parts))
+
+
+FK_SQL = with_star(_u([
+    "SELECT 'customer_fk' AS rule_name, COUNT(*) AS orphans FROM fact f WHERE NOT EXISTS "
+    "(SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id)",
+    "SELECT 'product_fk', COUNT(*) FROM fact f WHERE NOT EXISTS "
+    "(SELECT 1 FROM dim_product d WHERE d.product_id = f.product_id)",
+    "SELECT 'date_fk', COUNT(*) FROM fact f WHERE NOT EXISTS "
+    "(SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)"]))
+
+EVENTS_SPLIT_SQL = "SELECT * FROM events"
+
+QUERIES.update({
+    "dim_date": DIM_DATE_SPAN,
+    "dedup_latest": f"WITH {B_ITEMS}\n{latest('b_items', 'order_id, line_number', ITEM_ORDER)}",
+    "merge_newer_wins": merge_sql(ODD, EVEN, NEWER, ACTIVE),
+    "merge_newer_wins_small_batch": merge_sql(ODD, EVEN, NEWER, ACTIVE),
+    "merge_scd1": merge_sql(ODD, EVEN, "true", "true"),
+    "stream_upsert": merge_sql(f"SELECT * FROM ({ODD}) WHERE is_deleted = false", EVEN,
+                               NEWER, ACTIVE),
+    "cast_boolean": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",
+    "normalize_timestamps": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",
+    "incremental_extract": f"WITH {B_ORDERS}\nSELECT * FROM b_orders "
+                           f"WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'",
+    "full_reload": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",
+    "lineage_stamp": f"SELECT *, {TS} AS _extracted_at, 'events' AS _source_table FROM events",
+    "watermark_state": f"""WITH {BRONZE},
+saved AS (SELECT 'orders' AS table_name, max(updated_at) AS high_water_mark FROM b_orders
+          UNION ALL SELECT 'order_items', max(updated_at) FROM b_items)
+SELECT r.table_name, coalesce(saved.high_water_mark, {EPOCH_TS}) AS high_water_mark
+FROM {REG} r LEFT JOIN saved ON r.table_name = saved.table_name""",
+    "watermark_advance": f"""WITH {BRONZE},
+prior AS (SELECT r.table_name, coalesce(p.m, {EPOCH_TS}) AS m FROM {REG} r LEFT JOIN
+  (SELECT * FROM (VALUES ('orders', TIMESTAMP '2000-01-01 00:00:00'),
+                         ('order_items', TIMESTAMP '2001-01-01 00:00:00'),
+                         ('products', {TS})) v(table_name, m)) p
+  ON r.table_name = p.table_name),
+marks AS (
+  SELECT 'customers' AS table_name, max(updated_at) AS bm FROM b_customers
+    WHERE updated_at > (SELECT m FROM prior WHERE table_name = 'customers')
+  UNION ALL SELECT 'products', max(updated_at) FROM b_products
+    WHERE updated_at > (SELECT m FROM prior WHERE table_name = 'products')
+  UNION ALL SELECT 'orders', max(updated_at) FROM b_orders
+    WHERE updated_at > (SELECT m FROM prior WHERE table_name = 'orders')
+  UNION ALL SELECT 'order_items', max(updated_at) FROM b_items
+    WHERE updated_at > (SELECT m FROM prior WHERE table_name = 'order_items'))
+SELECT prior.table_name, coalesce(marks.bm, prior.m) AS high_water_mark
+FROM prior LEFT JOIN marks ON prior.table_name = marks.table_name""",
+    "ingest_json_events": "SELECT * FROM events",
+    "direct_file_scan": f"SELECT event_type, COUNT(*) AS n, {msum('value')} AS total_value "
+                        f"FROM events GROUP BY event_type",
+    "append_history": "SELECT * FROM events",
+    "reconcile_counts": "SELECT 'events' AS table_name, COUNT(*) AS source_rows, "
+                        "COUNT(*) AS table_rows, 'OK' AS status, true AS exact FROM events",
+    "stream_file_once": "SELECT * FROM events",
+    "pk_nulls": pk_nulls_sql(),
+    "duplicate_keys": duplicate_keys_sql(),
+    "silver_quality": silver_quality_sql(),
+    "gold_quality": gold_quality_sql(),
+    "fk_orphans": FK_SQL,
+    "metric_sanity": with_star("SELECT COUNT(*) FILTER (WHERE quantity < 0 OR unit_price < 0 "
+                               "OR line_total < 0) AS negative_rows FROM fact"),
+    "check_constraints": constraints_sql(),
+    "freshness": freshness_sql("2024-06-02 00:00:00", 24.0),
+    "profile_columns": profile_sql(),
+    "table_row_counts": with_star(_u(
+        f"SELECT {_q(t)} AS table_name, COUNT(*) AS rows FROM {GOLD_CTE[t]}"
+        for t in GOLD_KEYS)),
+    "zorder_layout": with_star("SELECT * FROM fact"),
+    "compact": with_star("SELECT * FROM fact"),
+})

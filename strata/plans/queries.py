@@ -95,3 +95,347 @@ def q_t4(spark, sf_dir):
 @query("last_30_days")
 def q_t5(spark, sf_dir):
     return kpi.last_days(q_k5(spark, sf_dir), 30)
+
+
+# --- calendar, dedup, merges, projections ----------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.functions.casts import cast_boolean_columns  # noqa: E402
+from strata.functions.timestamps import normalize_timestamps  # noqa: E402
+from strata.operators import quality as Q  # noqa: E402
+from strata.operators.dedup import deduplicate  # noqa: E402
+from strata.operators.layout import compact, zorder  # noqa: E402
+from strata.operators.merge import (merge_newer_wins, merge_scd1,  # noqa: E402
+                                    merge_small_batch, newer_than)
+from strata.operators.star import dim_date_spanning  # noqa: E402
+from strata.plans.layers import silver_frames  # noqa: E402
+from strata.schemas import FIXTURE_ENTITIES  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sources import fixtures, incremental, jsonl, tables  # noqa: E402
+from strata.streaming import file_once  # noqa: E402
+
+ITEMS = FIXTURE_ENTITIES["order_items"]
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    """Date dimension spanning every order date of the orders table."""
+    return dim_date_spanning(fixtures.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+@query("dedup_latest")
+def q_dedup(spark, sf_dir):
+    """Latest row per (order, line) over all order-item change rows."""
+    return deduplicate(fixtures.order_items(spark, sf_dir), ITEMS)
+
+
+def _item_batches(spark, sf_dir):
+    """All order-item rows as two batches: odd suppliers first, then even ones.
+
+    The two batches together are the whole table; the split only decides which
+    version arrives first, so every MERGE branch fires (newer, older, equal,
+    deleted, unseen, target-only).
+    """
+    items = fixtures.order_items(spark, sf_dir)
+    first = deduplicate(items.filter(F.col("supplier_id") % 2 == 1), ITEMS)
+    second = deduplicate(items.filter(F.col("supplier_id") % 2 == 0), ITEMS)
+    return first, second
+
+
+@query("merge_newer_wins")
+def q_merge_newer(spark, sf_dir):
+    target, source = _item_batches(spark, sf_dir)
+    return merge_newer_wins(target, source, ITEMS.keys)
+
+
+@query("merge_newer_wins_small_batch")
+def q_merge_newer_small(spark, sf_dir):
+    """The same MERGE planned without moving the table (batch size checked first)."""
+    target, source = _item_batches(spark, sf_dir)
+    return merge_small_batch(target, source, ITEMS.keys, update_when=newer_than("updated_at"),
+                             insert_when=lambda s: s["is_deleted"] == F.lit(False))
+
+
+@query("merge_scd1")
+def q_merge_scd1(spark, sf_dir):
+    target, source = _item_batches(spark, sf_dir)
+    return merge_scd1(target, source, ITEMS.keys)
+
+
+@query("cast_boolean")
+def q_cast_boolean(spark, sf_dir):
+    """Orders as the JSON source sends them (flag as 0/1), cast back to BOOLEAN."""
+    raw = fixtures.orders(spark, sf_dir).withColumn("is_deleted",
+                                                    F.col("is_deleted").cast("int"))
+    return cast_boolean_columns(raw)
+
+
+def _orders_as_text(spark, sf_dir):
+    o = fixtures.orders(spark, sf_dir)
+    fmt = "yyyy-MM-dd'T'HH:mm:ss"
+    return o.withColumns({
+        "order_ts": F.date_format("order_ts", fmt),
+        "created_at": F.date_format("created_at", fmt),
+        "updated_at": F.date_format("updated_at", fmt),
+        # extraction time carries an offset, like the extractor's ISO-8601 output
+        "_extracted_at": F.concat(F.date_format("_extracted_at", fmt), F.lit("+00:00")),
+    })
+
+
+@query("normalize_timestamps")
+def q_normalize(spark, sf_dir):
+    return normalize_timestamps(_orders_as_text(spark, sf_dir), wall_clock=True)
+
+
+# --- incremental extract and high-water marks ------------------------------------------
+
+EXTRACT_SINCE = "2000-01-01 00:00:00"
+
+
+@query("incremental_extract")
+def q_incremental(spark, sf_dir):
+    """Orders changed strictly after the mark, in version order."""
+    return incremental.extract_since(fixtures.orders(spark, sf_dir), EXTRACT_SINCE)
+
+
+@query("full_reload")
+def q_full_reload(spark, sf_dir):
+    return incremental.extract_since(fixtures.orders(spark, sf_dir), None)
+
+
+@query("lineage_stamp")
+def q_lineage(spark, sf_dir):
+    return incremental.stamp_lineage(fixtures.table(spark, sf_dir, "events"), "events",
+                                     F.lit(fixtures.FIXTURE_BATCH_TS).cast("timestamp_ntz"))
+
+
+ENTITY_ORDER = ("customers", "products", "orders", "order_items")
+
+
+@query("watermark_state")
+def q_watermark_state(spark, sf_dir):
+    """State saved after extracting only orders and order_items; the other tables
+    have no mark yet and start at the epoch."""
+    e = fixtures.entity_frames(spark, sf_dir)
+    saved = incremental.batch_marks({k: e[k] for k in ("orders", "order_items")}).select(
+        "table_name", F.col("batch_max").alias("high_water_mark"))
+    return incremental.load_watermarks(spark, ENTITY_ORDER, saved)
+
+
+PRIOR_MARKS = {"orders": "2000-01-01 00:00:00", "order_items": "2001-01-01 00:00:00",
+               "products": fixtures.FIXTURE_BATCH_TS}
+
+
+@query("watermark_advance")
+def q_watermark_advance(spark, sf_dir):
+    """Extract each table since its mark; marks move to the batch maximum, the
+    products batch is empty (nothing newer than its mark) and keeps its mark."""
+    saved = spark.createDataFrame(list(PRIOR_MARKS.items()), "table_name string, hwm string") \
+        .select("table_name", F.col("hwm").cast("timestamp_ntz").alias("high_water_mark"))
+    state = incremental.load_watermarks(spark, ENTITY_ORDER, saved)
+    batches = incremental.extract_all(fixtures.entity_frames(spark, sf_dir), state)
+    return incremental.advance_watermarks(state, batches)
+
+
+# --- JSON landing, append-only history, file-once streaming ----------------------------
+
+EVENTS_SPLIT = "2024-01-15 00:00:00"
+
+
+def _land_events(spark, sf_dir, landing):
+    ev = fixtures.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    jsonl.write_batch(ev.filter(early), landing, "events", "b0001")
+    jsonl.write_batch(ev.filter(~early), landing, "events", "b0002")
+    return ev
+
+
+@query("ingest_json_events")
+def q_ingest_json(spark, sf_dir):
+    """Events written as JSON-lines batches and read back with an explicit schema."""
+    landing = scratch_path(spark, "landing")
+    ev = _land_events(spark, sf_dir, landing)
+    return jsonl.read_source(spark, f"{landing}/events", ev.schema)
+
+
+@query("direct_file_scan")
+def q_direct_file(spark, sf_dir):
+    landing = scratch_path(spark, "landing")
+    _land_events(spark, sf_dir, landing)
+    return jsonl.direct_file_query(
+        spark, f"{landing}/events",
+        "SELECT event_type, COUNT(*) AS n, "
+        "CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_value "
+        "FROM {src} GROUP BY event_type")
+
+
+@query("append_history")
+def q_append(spark, sf_dir):
+    """Two batches appended to a table; the table keeps both (history)."""
+    root = scratch_path(spark, "tables")
+    ev = fixtures.table(spark, sf_dir, "events")
+    name = f"strata_hist_{root.rsplit('-', 1)[-1]}"
+    tables.create_table(spark, name, ev.schema, root)
+    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    tables.append(ev.filter(early), name)
+    tables.append(ev.filter(~early), name)
+    return spark.table(name)
+
+
+@query("reconcile_counts")
+def q_reconcile(spark, sf_dir):
+    """Rows in the landed files vs rows in the history table, per table."""
+    landing = scratch_path(spark, "landing")
+    ev = _land_events(spark, sf_dir, landing)
+    sink = scratch_path(spark, "bronze")
+    file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink,
+                               scratch_path(spark, "ckpt"))
+    src = jsonl.direct_file_query(spark, f"{landing}/events",
+                                  "SELECT COUNT(*) AS source_rows FROM {src}")
+    tbl = spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("table_rows"))
+    return (src.crossJoin(tbl)
+            .select(F.lit("events").alias("table_name"), "source_rows", "table_rows",
+                    F.when(F.col("table_rows") >= F.col("source_rows"), "OK")
+                    .otherwise("MISMATCH").alias("status"),
+                    (F.col("table_rows") == F.col("source_rows")).alias("exact")))
+
+
+@query("stream_file_once")
+def q_stream_once(spark, sf_dir):
+    """File-once ingest: batch 1 lands and is ingested, batch 2 lands, two more runs;
+    the sink holds every event exactly once."""
+    landing = scratch_path(spark, "landing")
+    ev = fixtures.table(spark, sf_dir, "events")
+    sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
+    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    jsonl.write_batch(ev.filter(early), landing, "events", "b0001")
+    file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink, ckpt)
+    jsonl.write_batch(ev.filter(~early), landing, "events", "b0002")
+    file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink, ckpt)
+    file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink, ckpt)
+    return spark.read.parquet(sink).drop("_batch_id")
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    """Newer-wins upsert per micro-batch: odd-supplier batch lands and is merged into
+    an empty table, then the even-supplier batch."""
+    from strata.plans.pipeline import SnapshotUpsert
+    landing = scratch_path(spark, "landing")
+    items = fixtures.order_items(spark, sf_dir)
+    ckpt, root = scratch_path(spark, "ckpt"), scratch_path(spark, "silver")
+    upsert = SnapshotUpsert(spark, root, ITEMS)
+    path = f"{landing}/order_items"
+    jsonl.write_batch(items.filter(F.col("supplier_id") % 2 == 1), landing, "order_items", "b1")
+    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
+    jsonl.write_batch(items.filter(F.col("supplier_id") % 2 == 0), landing, "order_items", "b2")
+    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
+    return upsert.current()
+
+
+# --- quality --------------------------------------------------------------------------
+
+def _bronze(spark, sf_dir):
+    return fixtures.entity_frames(spark, sf_dir)
+
+
+@query("pk_nulls")
+def q_pk_nulls(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return Q.pk_nulls({n: (b[n], FIXTURE_ENTITIES[n].keys) for n in ENTITY_ORDER})
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return Q._union(Q.key_checks(n, b[n], FIXTURE_ENTITIES[n].keys) for n in ENTITY_ORDER)
+
+
+@query("silver_quality")
+def q_silver_quality(spark, sf_dir):
+    s = silver_frames(spark, sf_dir)
+    return Q._union(Q.silver_quality(n, s[n], FIXTURE_ENTITIES[n]) for n in ENTITY_ORDER)
+
+
+GOLD_KEYS = {"dim_date": ("date_id",), "dim_customer": ("customer_id",),
+             "dim_product": ("product_id",), "fact_order_line": ITEMS.keys}
+
+
+@query("gold_quality")
+def q_gold_quality(spark, sf_dir):
+    g = gold_frames(spark, sf_dir)
+    return Q._union(Q.gold_quality(n, g[n], k) for n, k in GOLD_KEYS.items())
+
+
+FK_RULES = (Q.ForeignKey("customer_id", "dim_customer", "customer_id", "customer_fk"),
+            Q.ForeignKey("product_id", "dim_product", "product_id", "product_fk"),
+            Q.ForeignKey("date_id", "dim_date", "date_id", "date_fk"))
+
+
+@query("fk_orphans")
+def q_fk(spark, sf_dir):
+    g = gold_frames(spark, sf_dir)
+    return Q.fk_orphans(g["fact_order_line"], g, FK_RULES)
+
+
+@query("metric_sanity")
+def q_metric(spark, sf_dir):
+    return Q.metric_sanity(gold_frames(spark, sf_dir)["fact_order_line"])
+
+
+@query("check_constraints")
+def q_constraints(spark, sf_dir):
+    s = silver_frames(spark, sf_dir)
+    return Q._union(Q.constraint_violations(n, s[n], FIXTURE_ENTITIES[n],
+                                            unique=("email",) if n == "customers" else ())
+                    for n in ENTITY_ORDER)
+
+
+FRESH_AS_OF, FRESH_MAX_HOURS = "2024-06-02 00:00:00", 24.0
+
+
+@query("freshness")
+def q_freshness(spark, sf_dir):
+    s = silver_frames(spark, sf_dir)
+    return Q.freshness({n: s[n] for n in ENTITY_ORDER}, FRESH_AS_OF, FRESH_MAX_HOURS)
+
+
+@query("profile_columns")
+def q_profile(spark, sf_dir):
+    return Q.profile_columns(gold_frames(spark, sf_dir)["fact_order_line"])
+
+
+@query("table_row_counts")
+def q_counts(spark, sf_dir):
+    g = gold_frames(spark, sf_dir)
+    return Q._union(g[n].agg(F.count(F.lit(1)).alias("rows"))
+                    .select(F.lit(n).alias("table_name"), "rows") for n in GOLD_KEYS)
+
+
+# --- layout ---------------------------------------------------------------------------
+
+@query("zorder_layout")
+def q_zorder(spark, sf_dir):
+    """The fact written Z-ordered by (date_id, customer_id) and read back."""
+    fact = gold_frames(spark, sf_dir)["fact_order_line"]
+    path = scratch_path(spark, "fact_z")
+    zorder(fact, ["date_id", "customer_id"]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("compact")
+def q_compact(spark, sf_dir):
+    """The fact written as many small files, compacted, rewritten and read back."""
+    fact = gold_frames(spark, sf_dir)["fact_order_line"]
+    small = scratch_path(spark, "fact_small")
+    fact.repartition(32).write.parquet(small)
+    out = scratch_path(spark, "fact_compact")
+    compact(spark.read.parquet(small), rows_per_file=10_000).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@query("table_sample")
+def q_sample(spark, sf_dir):
+    """Five rows of the fact, unordered (a peek; rows-only check)."""
+    return gold_frames(spark, sf_dir)["fact_order_line"].limit(5)
