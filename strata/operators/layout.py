@@ -15,23 +15,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def zorder_key(columns: Sequence[str], bounds: dict[str, tuple[float, float]],
+def orderable(c: str, dtype: T.DataType) -> Column:
+    """An order-preserving DOUBLE for a clustering column.
+
+    Numbers as they are, dates/timestamps as epoch days/seconds, booleans as 0/1,
+    strings by their first 6 UTF-8 bytes read as a big-endian number (the same
+    order as Spark's binary string comparison, so file min/max stay tight).
+    """
+    col = F.col(c)
+    if isinstance(dtype, T.StringType):
+        prefix = F.rpad(F.substring(F.hex(col), 1, 12), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    return col.cast("double")
+
+
+def zorder_key(ords: Sequence[Column], bounds: Sequence[tuple[float | None, float | None]],
                bits: int = 16) -> Column:
+    """Interleave ``bits`` bits of each range-scaled value into one LONG (bit i of
+    column j lands at position i * k + (k - 1 - j))."""
     top = (1 << bits) - 1
     scaled = []
-    for c in columns:
-        lo, hi = bounds[c]
-        span = float(hi - lo) if hi is not None and lo is not None and hi > lo else 1.0
-        v = F.floor((F.col(c).cast("double") - F.lit(float(lo or 0))) * F.lit(top / span))
-        scaled.append(F.coalesce(F.least(F.greatest(v, F.lit(0)), F.lit(top)), F.lit(0))
+    for v, (lo, hi) in zip(ords, bounds):
+        lo = float(lo) if lo is not None else 0.0
+        span = float(hi) - lo if hi is not None and float(hi) > lo else 1.0
+        x = F.floor((v - F.lit(lo)) * F.lit(top / span))
+        scaled.append(F.coalesce(F.least(F.greatest(x, F.lit(0)), F.lit(top)), F.lit(0))
                       .cast("long"))
-    k = len(columns)
+    k = len(scaled)
     key = F.lit(0).cast("long")
     for i in range(bits):
-        for j, s in enumerate(scaled):
-            bit = F.shiftright(s, i).bitwiseAND(F.lit(1))
+        for j, x in enumerate(scaled):
+            bit = F.shiftright(x, i).bitwiseAND(F.lit(1))
             key = key.bitwiseOR(F.shiftleft(bit, i * k + (k - 1 - j)))
     return key
 
@@ -39,11 +60,13 @@ def zorder_key(columns: Sequence[str], bounds: dict[str, tuple[float, float]],
 def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None,
            bits: int = 16) -> DataFrame:
     """Rows of ``df`` clustered by the Z-order of ``columns`` (same rows, new layout)."""
-    stats = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-                   *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)]).first()
-    bounds = {c: (stats[f"lo{i}"], stats[f"hi{i}"]) for i, c in enumerate(columns)}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ords = [orderable(c, types[c]) for c in columns]
+    stats = df.agg(*[F.min(o).alias(f"lo{i}") for i, o in enumerate(ords)],
+                   *[F.max(o).alias(f"hi{i}") for i, o in enumerate(ords)]).first()
+    bounds = [(stats[f"lo{i}"], stats[f"hi{i}"]) for i in range(len(columns))]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.withColumn("_z", zorder_key(columns, bounds, bits))
+    return (df.withColumn("_z", zorder_key(ords, bounds, bits))
               .repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z"))
 
 

@@ -127,7 +127,7 @@ JOIN dim_date d ON f.date_id = d.date_id
 GROUP BY d.year, d.month, c.segment"""
 
 K2 = f"""SELECT p.product_id, p.name, p.category, p.subcategory,
-       SUM(f.quantity) AS units_sold, {msum('f.line_total')} AS revenue,
+       CAST(SUM(f.quantity) AS BIGINT) AS units_sold, {msum('f.line_total')} AS revenue,
        {msum('f.gross_margin')} AS gross_margin
 FROM fact f JOIN dim_product p ON f.product_id = p.product_id
 GROUP BY p.product_id, p.name, p.category, p.subcategory"""
@@ -144,7 +144,7 @@ GROUP BY c.customer_id, c.first_name, c.last_name, c.segment"""
 
 K5 = f"""SELECT d.full_date, COUNT(DISTINCT f.order_id) AS orders,
        COUNT(DISTINCT f.customer_id) AS active_customers, {msum('f.line_total')} AS revenue,
-       {msum('f.gross_margin')} AS gross_margin, SUM(f.quantity) AS units
+       {msum('f.gross_margin')} AS gross_margin, CAST(SUM(f.quantity) AS BIGINT) AS units
 FROM fact f JOIN dim_date d ON f.date_id = d.date_id
 GROUP BY d.full_date"""
 
