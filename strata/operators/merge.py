@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import checkpoint_root
+
 Cond = Callable[[Column, Column], Column]
 
 
@@ -149,12 +151,16 @@ def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str],
     is checked to be at most ``max_batch_rows``; the table itself is never shuffled.
 
     Above the bound it falls back to the full-outer plan. The batch must have
-    unique keys (dedup first).
+    unique keys (dedup first). Under the bound the batch is checkpointed to the
+    shared checkpoint folder: it is then computed once for the three joins that
+    use it, and a lost executor re-reads it instead of replaying its lineage.
     """
     n = source.limit(max_batch_rows + 1).count()
     if n > max_batch_rows:
         return merge_frames(target, source, keys, update_when=update_when,
                             insert_when=insert_when)
+    checkpoint_root(source.sparkSession)
+    source = source.checkpoint(eager=True)
     keys = list(keys)
     scols = set(source.columns)
     t = _side(target, "_t_", F.lit(True))

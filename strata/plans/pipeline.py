@@ -27,7 +27,7 @@ from strata.functions.timestamps import normalize_timestamps
 from strata.operators import quality as Q
 from strata.operators.dedup import deduplicate
 from strata.operators.layout import zorder
-from strata.operators.merge import merge_newer_wins, merge_scd1
+from strata.operators.merge import merge_scd1, merge_small_batch, newer_than
 from strata.operators.star import (build_dim_customer, build_dim_date, build_dim_product,
                                    build_fact_order_line)
 from strata.schemas import CALENDAR_END, CALENDAR_START, Entity, Namespaces
@@ -58,9 +58,10 @@ class SnapshotUpsert:
         if tables.current_version(self.spark, self.name) >= version:
             return
         latest = deduplicate(cast_boolean_columns(batch), self.entity)
-        merged = merge_newer_wins(self.spark.table(self.name), latest, self.entity.keys,
-                                  version=self.entity.version,
-                                  delete_flag=self.entity.delete_flag, check_unique=False)
+        flag = self.entity.delete_flag
+        merged = merge_small_batch(self.spark.table(self.name), latest, self.entity.keys,
+                                   update_when=newer_than(self.entity.version),
+                                   insert_when=lambda s: s[flag] == F.lit(False))
         path = f"{self.root}/{self.name}/v={version}"
         merged.write.mode("overwrite").parquet(path)
         self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{path}'")
@@ -79,6 +80,8 @@ class Lakehouse:
     ns: Namespaces = field(default_factory=Namespaces)
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
     item_keys: tuple[str, ...] = ("order_item_id",)
+    # largest change batch merged by broadcasting it (checked by a row count)
+    broadcast_batch_rows: int = 1_000_000
 
     def name(self, layer: str, table: str) -> str:
         return f"{getattr(self.ns, layer)}.{table}"
@@ -138,8 +141,12 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
         if top is None:
             continue
         latest = deduplicate(cast_boolean_columns(new.drop("_batch_id")), ent)
-        merged = merge_newer_wins(lh.spark.table(target_name), latest, ent.keys,
-                                  version=ent.version, delete_flag=ent.delete_flag)
+        # a daily batch is small against the table: stream the table past a broadcast
+        # of the batch (row count checked first; full-outer join above the bound)
+        merged = merge_small_batch(lh.spark.table(target_name), latest, ent.keys,
+                                   update_when=newer_than(ent.version),
+                                   insert_when=lambda s, f=ent.delete_flag: s[f] == F.lit(False),
+                                   max_batch_rows=lh.broadcast_batch_rows)
         tables.publish(lh.spark, merged, target_name, lh.path("tables"))
         lh.spark.sql(f"ALTER TABLE {target_name} SET TBLPROPERTIES ('{BATCH_PROP}'='{top}')")
         report.add_results(Q.silver_quality(n, lh.spark.table(target_name), ent))
