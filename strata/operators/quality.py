@@ -15,8 +15,9 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.schemas import Constraint, Entity
 
@@ -163,29 +164,49 @@ def freshness(tables: dict[str, DataFrame], as_of: str, max_age_hours: float,
     return _union(out)
 
 
+def _as_text(c: str, dtype: T.DataType) -> Column:
+    """Value as text, one text per distinct value (-0.0 folded into 0.0, as GROUP BY does)."""
+    col = F.col(c)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        col = col + F.lit(0.0)
+    return col.cast("string")
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, NULLs, exact distinct values, min and max (as text).
 
-    One scan and one aggregate for all columns. The exact distinct counts are
-    planned by Spark as one Expand + a partial aggregation per (column, value)
-    before the shuffle, so low-cardinality columns collapse map-side; min/max use
-    each column's own ordering and are reported as text.
+    Two passes, both narrow:
+
+    * one aggregate for rows, NULLs, min and max of every column (min/max in each
+      column's own ordering, reported as text);
+    * exact distinct counts from an unpivot to (column index, value as text),
+      aggregated per pair with a partial aggregation before the shuffle, then
+      counted per column. The shuffled rows are two narrow columns, where a
+      multi-``COUNT(DISTINCT)`` aggregate would shuffle every column once per
+      distinct aggregate (an Expand as wide as the table).
     """
     columns = list(columns or df.columns)
-    dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_nul{i}"),
-                 F.count_distinct(F.col(c)).alias(f"_dis{i}"),
                  F.min(c).cast("string").alias(f"_min{i}"),
                  F.max(c).cast("string").alias(f"_max{i}")]
-    rows = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(dtypes[c]).alias("data_type"),
+    stats = df.agg(*aggs).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(c).alias("column_name"),
+                 F.lit(dtypes[c].simpleString()).alias("data_type"),
                  F.col("_rows").alias("rows"), F.col(f"_nul{i}").alias("nulls"),
-                 F.col(f"_dis{i}").alias("distinct_values"),
                  F.col(f"_min{i}").alias("min_value"), F.col(f"_max{i}").alias("max_value"))
-        for i, c in enumerate(columns)]))
-    return df.agg(*aggs).select(rows)
+        for i, c in enumerate(columns)])))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), _as_text(c, dtypes[c]).alias("_v"))
+        for i, c in enumerate(columns)])).alias("_p")).select("_p._i", "_p._v")
+    distinct = (pairs.filter(F.col("_v").isNotNull()).groupBy("_i", "_v").count()
+                .groupBy("_i").agg(F.count(F.lit(1)).alias("distinct_values")))
+    return (stats.join(distinct, "_i", "left")
+            .select("column_name", "data_type", "rows", "nulls",
+                    F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+                    "min_value", "max_value"))
 
 
 @dataclass

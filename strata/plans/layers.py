@@ -28,10 +28,17 @@ def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
 def first_load(spark: SparkSession, batch: DataFrame, entity: Entity) -> DataFrame:
     """Silver state after merging one batch into an empty table.
 
-    The merge against an empty target is removed by Catalyst (empty-relation
-    propagation), leaving dedup + the insert rule: a key first seen deleted
-    never enters silver.
+    A newer-wins merge into an empty target reduces to the insert rule on the
+    latest rows: a key first seen deleted (or with an unknown flag) never enters
+    silver. Catalyst folds the general merge against ``empty_like`` to exactly
+    this plan; writing the rule directly saves building the merge expressions
+    (``tests/test_layers.py`` checks both give the same rows).
     """
+    latest = deduplicate(batch, entity)
+    return latest.filter(F.col(entity.delete_flag) == F.lit(False))
+
+
+def first_load_by_merge(spark: SparkSession, batch: DataFrame, entity: Entity) -> DataFrame:
     latest = deduplicate(batch, entity)
     return merge_newer_wins(empty_like(spark, latest), latest, entity.keys,
                             version=entity.version, delete_flag=entity.delete_flag,

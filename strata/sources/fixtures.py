@@ -18,6 +18,8 @@ lineitem repeats (order, line) keys, so it exercises latest-row dedup.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = \
+    weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The fixture table as a DataFrame; the (read-only) file listing and footer
+    schema are resolved once per session and path, not on every query build."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _READS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _batch_ts() -> Column:
@@ -47,7 +59,10 @@ def _lineage(source: str) -> list[Column]:
 def _conform(df: DataFrame, entity: str) -> DataFrame:
     """Order and type the columns exactly as the registry declares them."""
     schema = FIXTURE_ENTITIES[entity].schema
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[f.name if have[f.name] == f.dataType
+                       else F.col(f.name).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
