@@ -66,18 +66,21 @@ def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = N
                    *[F.max(o).alias(f"hi{i}") for i, o in enumerate(ords)]).first()
     bounds = [(stats[f"lo{i}"], stats[f"hi{i}"]) for i in range(len(columns))]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.withColumn("_z", zorder_key(ords, bounds, bits))
-              .repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z"))
+    # A hot value (a third of all rows on one date and customer) gives one Z value;
+    # the row-content hash behind it lets range partitioning split such a run over
+    # several partitions. It is deterministic, so a retried task sees the same ranges.
+    return (df.withColumns({"_z": zorder_key(ords, bounds, bits),
+                            "_t": F.xxhash64(*[F.col(c) for c in df.columns])})
+              .repartitionByRange(n, "_z", "_t").sortWithinPartitions("_z", "_t")
+              .drop("_z", "_t"))
 
 
 def compact(df: DataFrame, rows_per_file: int = 2_000_000) -> DataFrame:
-    """Same rows in about ``rows / rows_per_file`` partitions (files on write).
+    """Same rows in at most ``ceil(rows / rows_per_file)`` partitions (files on write).
 
-    Shrinking uses ``coalesce`` (merges partitions, no shuffle); growing uses a
-    round-robin ``repartition``. The row count comes from a count action, which
-    on Parquet is answered from footers.
+    ``coalesce`` merges neighbouring partitions without a shuffle; a frame that
+    already has fewer partitions is left as it is. The row count is one count
+    action, answered from Parquet footers for a plain table scan.
     """
     rows = df.count()
-    target = max(1, math.ceil(rows / rows_per_file))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(target) if target <= have else df.repartition(target)
+    return df.coalesce(max(1, math.ceil(rows / rows_per_file)))

@@ -24,6 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import checkpoint_root
 
@@ -144,19 +145,30 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                         prune_missing=prune_missing, check_unique=check_unique)
 
 
+# Estimated in-memory width per value, by type (strings: Spark's default estimate).
+_WIDTH = {"string": 20, "boolean": 1, "byte": 1, "short": 2, "int": 4, "date": 4, "float": 4}
+
+
+def estimated_row_bytes(schema: T.StructType) -> int:
+    return 8 + sum(_WIDTH.get(f.dataType.typeName(), 8) for f in schema.fields)
+
+
 def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                       update_when: Cond, insert_when: Callable[[Column], Column],
-                      max_batch_rows: int = 1_000_000) -> DataFrame:
-    """Same result as ``merge_frames`` (without pruning) for a batch whose row count
-    is checked to be at most ``max_batch_rows``; the table itself is never shuffled.
+                      max_batch_rows: int = 1_000_000,
+                      max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """Same result as ``merge_frames`` (without pruning) for a batch whose size is
+    checked to be at most ``max_batch_rows`` rows and about ``max_broadcast_bytes``
+    (rows x estimated row width); the table itself is never shuffled.
 
     Above the bound it falls back to the full-outer plan. The batch must have
     unique keys (dedup first). Under the bound the batch is checkpointed to the
     shared checkpoint folder: it is then computed once for the three joins that
     use it, and a lost executor re-reads it instead of replaying its lineage.
     """
-    n = source.limit(max_batch_rows + 1).count()
-    if n > max_batch_rows:
+    bound = min(max_batch_rows, max_broadcast_bytes // estimated_row_bytes(source.schema))
+    n = source.limit(bound + 1).count()
+    if n > bound:
         return merge_frames(target, source, keys, update_when=update_when,
                             insert_when=insert_when)
     checkpoint_root(source.sparkSession)
