@@ -231,3 +231,20 @@ class QualityReport:
     def gate(self) -> None:
         if self.failures:
             raise RuntimeError("quality checks failed:\n" + "\n".join(self.failures))
+
+
+def schema_drift(spark, actual: T.StructType, expected: T.StructType,
+                 table: str = "") -> DataFrame:
+    """Columns missing, unexpected or retyped against the registry schema.
+
+    Metadata only (no data is read): one row per difference, empty when the
+    schemas agree. Nullability is not compared (Parquet does not enforce it).
+    """
+    have = {f.name: f.dataType.simpleString() for f in actual.fields}
+    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    rows = [(table, c, want[c], None, "missing") for c in want if c not in have]
+    rows += [(table, c, None, have[c], "unexpected") for c in have if c not in want]
+    rows += [(table, c, want[c], have[c], "type_changed") for c in want
+             if c in have and have[c] != want[c]]
+    return spark.createDataFrame(rows, "table_name string, column string, expected string, "
+                                       "actual string, issue string")

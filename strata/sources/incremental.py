@@ -95,17 +95,20 @@ def advance_watermarks(state: DataFrame, batches: dict[str, DataFrame],
 
 def extract_all(sources: dict[str, DataFrame], state: DataFrame, version: str = "updated_at",
                 extracted_at: str | Column | None = None) -> dict[str, DataFrame]:
-    """Extract every registered table since its own mark (state joined per table).
+    """Extract every registered table since its own mark.
 
-    The mark is applied as a join with the one-row state of that table, so the
-    whole extract stays one lazy plan; Spark broadcasts the one-row side.
+    The state holds one row per registered table (metadata, bounded by the
+    registry), so the marks are read once and applied as literal predicates:
+    that is what lets the scan of each source skip every file and row group
+    whose max version is not newer than its mark.
     """
+    marks = {r["table_name"]: r["high_water_mark"]
+             for r in state.select("table_name", "high_water_mark").collect()}
+    stamp = extracted_at if extracted_at is not None else F.current_timestamp()
     out = {}
     for name, src in sources.items():
-        mark = state.filter(F.col("table_name") == name).select(
-            F.col("high_water_mark").alias("_since"))
-        batch = (src.join(F.broadcast(mark), F.col(version).cast("timestamp_ntz") >
-                          F.col("_since"), "left_semi"))
-        out[name] = stamp_lineage(batch, name, extracted_at if extracted_at is not None
-                                  else F.current_timestamp())
+        since = marks.get(name)
+        mark = F.lit(since).cast("timestamp_ntz") if since is not None else _ts(EPOCH)
+        batch = src.filter(F.col(version).cast("timestamp_ntz") > mark)
+        out[name] = stamp_lineage(batch, name, stamp)
     return out

@@ -57,3 +57,19 @@ def test_profile_single_aggregate(spark):
     neg = spark.createDataFrame([(0.0,), (-0.0,), (None,)], "d double")
     assert Q.profile_columns(neg).first()["distinct_values"] == 1
     _ = F
+
+
+def test_schema_drift(spark):
+    from strata.schemas import FIXTURE_ENTITIES
+    from strata.sources import fixtures
+
+    from .conftest import SF_SMALL
+
+    e = FIXTURE_ENTITIES["orders"]
+    ok = fixtures.orders(spark, SF_SMALL)
+    assert Q.schema_drift(spark, ok.schema, e.schema, "orders").count() == 0
+    bad = ok.drop("shipping_city").withColumn("total_amount", F.col("total_amount").cast("string")) \
+        .withColumn("extra", F.lit(1))
+    out = {(r["column"], r["issue"]) for r in Q.schema_drift(spark, bad.schema, e.schema).collect()}
+    assert out == {("shipping_city", "missing"), ("extra", "unexpected"),
+                   ("total_amount", "type_changed")}
