@@ -47,16 +47,17 @@ def _land(spark, landing, rows, batch_id):
                               batch_id)
 
 
+@pytest.mark.parametrize("incremental", [True, False])
 @pytest.mark.parametrize("prune", [False, True])
-def test_two_batches_cancel_after_load(spark, tmp_root, prune):
+def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     landing = f"{tmp_root}/landing"
-    tag = "p" if prune else "f"
+    tag = ("p" if prune else "f") + ("i" if incremental else "r")
     lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
                      ns=P.Namespaces(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}"))
     _land(spark, landing, _batch1(), "b1")
     P.run_bronze(lh, landing).gate()
     P.run_silver(lh)
-    P.run_gold(lh, prune_missing=prune)
+    P.run_gold(lh, prune_missing=prune, incremental=incremental)
     fact = spark.table(lh.name("gold", "fact_order_line"))
     assert sorted(r["order_item_id"] for r in fact.collect()) == ["i1", "i2"]
     assert fact.filter("order_item_id = 'i1'").first()["gross_margin"] == 1.0
@@ -71,7 +72,7 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune):
     P.run_silver(lh)
     silver_o1 = spark.table(lh.name("silver", "orders")).filter("order_id = 'o1'").first()
     assert silver_o1["is_deleted"] and silver_o1["order_status"] == "cancelled"
-    P.run_gold(lh, prune_missing=prune)
+    P.run_gold(lh, prune_missing=prune, incremental=incremental)
     fact = spark.table(lh.name("gold", "fact_order_line"))
     items = sorted(r["order_item_id"] for r in fact.collect())
     # faithful SCD-1 keeps the stale line of the cancelled order; pruning removes it
@@ -82,4 +83,9 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune):
     counts = {r["table_name"]: r["rows"] for r in P.row_counts(lh).collect()}
     assert counts["dim_date"] == 4018 and counts["dim_customer"] == 1
     assert spark.sql(f"SELECT * FROM {lh.ns.gold}.vw_daily_kpis").count() == 1
+    # a rerun with nothing new in silver changes nothing
+    before = sorted(map(tuple, fact.collect()))
+    P.run_gold(lh, prune_missing=prune, incremental=incremental)
+    after = spark.table(lh.name("gold", "fact_order_line"))
+    assert sorted(map(tuple, after.collect())) == before
     _ = F
