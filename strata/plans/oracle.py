@@ -21,13 +21,17 @@ def date_id(x: str) -> str:
     return f"CAST(year({x}) * 10000 + month({x}) * 100 + day({x}) AS INTEGER)"
 
 
-B_ITEMS = f"""b_items AS (
+def items_cte(name: str, where: str = "") -> str:
+    return f"""{name} AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
          l_suppkey AS supplier_id, CAST(l_quantity AS BIGINT) AS quantity,
          l_extendedprice / l_quantity AS unit_price, l_extendedprice AS line_total,
          l_shipdate AS created_at, l_shipdate AS updated_at, l_returnflag = 'R' AS is_deleted,
          {TS} AS _extracted_at, 'order_items' AS _source_table
-  FROM lineitem)"""
+  FROM lineitem {where})"""
+
+
+B_ITEMS = items_cte("b_items")
 
 B_ORDERS = f"""b_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
@@ -150,6 +154,7 @@ GROUP BY d.full_date"""
 
 QUERIES: dict[str, str] = {
     "kpi_segment_month": with_star(K1),
+    "kpi_segment_month_view": with_star(K1),
     "kpi_top_products": with_star(K2),
     "kpi_status_funnel": with_star(K3),
     "kpi_customer_ltv": with_star(K4),
@@ -184,10 +189,10 @@ DIM_DATE_SPAN = date_columns_sql("""(
   FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi
         FROM orders))""")
 
-ODD = latest("(SELECT * FROM b_items WHERE supplier_id % 2 = 1)", "order_id, line_number",
-             ITEM_ORDER)
-EVEN = latest("(SELECT * FROM b_items WHERE supplier_id % 2 = 0)", "order_id, line_number",
-              ITEM_ORDER)
+FIRST = latest("b_first", "order_id, line_number", ITEM_ORDER)
+SECOND = latest("b_second", "order_id, line_number", ITEM_ORDER)
+BATCHES = ",\n".join([items_cte("b_first", "WHERE l_linestatus = 'F'"),
+                      items_cte("b_second", "WHERE l_linestatus = 'O'")])
 
 
 def merge_sql(target: str, source: str, update: str, insert: str) -> str:
@@ -195,7 +200,7 @@ def merge_sql(target: str, source: str, update: str, insert: str) -> str:
     take = (f"((t._p IS NOT NULL AND s._p IS NOT NULL AND coalesce({update}, false)) OR "
             f"(t._p IS NULL AND s._p IS NOT NULL AND coalesce({insert}, false)))")
     cols = ", ".join(f"CASE WHEN {take} THEN s.{c} ELSE t.{c} END AS {c}" for c in ITEM_COLS)
-    return f"""WITH {B_ITEMS},
+    return f"""WITH {BATCHES},
 t AS (SELECT *, 1 AS _p FROM ({target})),
 s AS (SELECT *, 1 AS _p FROM ({source}))
 SELECT {cols}
@@ -328,10 +333,10 @@ EVENTS_SPLIT_SQL = "SELECT * FROM events"
 QUERIES.update({
     "dim_date": DIM_DATE_SPAN,
     "dedup_latest": f"WITH {B_ITEMS}\n{latest('b_items', 'order_id, line_number', ITEM_ORDER)}",
-    "merge_newer_wins": merge_sql(ODD, EVEN, NEWER, ACTIVE),
-    "merge_newer_wins_small_batch": merge_sql(ODD, EVEN, NEWER, ACTIVE),
-    "merge_scd1": merge_sql(ODD, EVEN, "true", "true"),
-    "stream_upsert": merge_sql(f"SELECT * FROM ({ODD}) WHERE is_deleted = false", EVEN,
+    "merge_newer_wins": merge_sql(FIRST, SECOND, NEWER, ACTIVE),
+    "merge_newer_wins_small_batch": merge_sql(FIRST, SECOND, NEWER, ACTIVE),
+    "merge_scd1": merge_sql(FIRST, SECOND, "true", "true"),
+    "stream_upsert": merge_sql(f"SELECT * FROM ({FIRST}) WHERE is_deleted = false", SECOND,
                                NEWER, ACTIVE),
     "cast_boolean": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",
     "normalize_timestamps": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",

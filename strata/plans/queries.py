@@ -130,16 +130,16 @@ def q_dedup(spark, sf_dir):
     return deduplicate(fixtures.order_items(spark, sf_dir), ITEMS)
 
 
+# Two change batches of order items: lines already fulfilled ('F') arrive first, open
+# lines ('O') second. Together they are the whole table; many (order, line) keys have
+# rows in both, with newer, equal and older versions, so every MERGE branch fires.
+FIRST_BATCH = "l_linestatus = 'F'"
+SECOND_BATCH = "l_linestatus = 'O'"
+
+
 def _item_batches(spark, sf_dir):
-    """All order-item rows as two batches: odd suppliers first, then even ones.
-
-    The two batches together are the whole table; the split only decides which
-    version arrives first, so every MERGE branch fires (newer, older, equal,
-    deleted, unseen, target-only).
-    """
-    items = fixtures.order_items(spark, sf_dir)
-    first = deduplicate(items.filter(F.col("supplier_id") % 2 == 1), ITEMS)
-    second = deduplicate(items.filter(F.col("supplier_id") % 2 == 0), ITEMS)
+    first = deduplicate(fixtures.order_items(spark, sf_dir, FIRST_BATCH), ITEMS)
+    second = deduplicate(fixtures.order_items(spark, sf_dir, SECOND_BATCH), ITEMS)
     return first, second
 
 
@@ -319,17 +319,18 @@ def q_stream_once(spark, sf_dir):
 
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
-    """Newer-wins upsert per micro-batch: odd-supplier batch lands and is merged into
-    an empty table, then the even-supplier batch."""
+    """Newer-wins upsert per micro-batch: the fulfilled-lines batch lands and is merged
+    into an empty table, then the open-lines batch."""
     from strata.plans.pipeline import SnapshotUpsert
     landing = scratch_path(spark, "landing")
-    items = fixtures.order_items(spark, sf_dir)
     ckpt, root = scratch_path(spark, "ckpt"), scratch_path(spark, "silver")
     upsert = SnapshotUpsert(spark, root, ITEMS)
     path = f"{landing}/order_items"
-    jsonl.write_batch(items.filter(F.col("supplier_id") % 2 == 1), landing, "order_items", "b1")
+    jsonl.write_batch(fixtures.order_items(spark, sf_dir, FIRST_BATCH), landing, "order_items",
+                      "b1")
     file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
-    jsonl.write_batch(items.filter(F.col("supplier_id") % 2 == 0), landing, "order_items", "b2")
+    jsonl.write_batch(fixtures.order_items(spark, sf_dir, SECOND_BATCH), landing, "order_items",
+                      "b2")
     file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
     return upsert.current()
 
@@ -439,3 +440,17 @@ def q_compact(spark, sf_dir):
 def q_sample(spark, sf_dir):
     """Five rows of the fact, unordered (a peek; rows-only check)."""
     return gold_frames(spark, sf_dir)["fact_order_line"].limit(5)
+
+
+@query("kpi_segment_month_view")
+def q_k1_view(spark, sf_dir):
+    """K1 through the SQL view definition, over temp views of the star frames."""
+    from strata.plans.pipeline import kpi_view_sql
+    g = gold_frames(spark, sf_dir)
+    tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
+    names = {t: f"strata_{t}_{tag}" for t in g}
+    for t, df in g.items():
+        df.createOrReplaceTempView(names[t])
+    sql = kpi_view_sql(names["fact_order_line"], names["dim_customer"], names["dim_product"],
+                       names["dim_date"])["vw_revenue_margin_by_segment_month"]
+    return spark.sql(sql)

@@ -65,8 +65,13 @@ def _conform(df: DataFrame, entity: str) -> DataFrame:
                        for f in schema.fields])
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(spark: SparkSession, sf_dir: str, where: Column | str | None = None
+                ) -> DataFrame:
+    """Order items; ``where`` (a Column or SQL text) filters the lineitem rows first,
+    e.g. to one extraction batch; it is pushed into the scan."""
     li = table(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.filter(where)
     return _conform(li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),

@@ -70,3 +70,13 @@ def test_calendar_is_broadcast(spark):
     plan = E.queries()["kpi_segment_month"](spark, SF_SMALL)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastExchange" in plan
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as E; "
+                          "print(len(E.queries()), len(E.oracle_sql()))"],
+                         capture_output=True, text=True, cwd=str(__import__("pathlib").Path(
+                             __file__).resolve().parents[1]), timeout=120)
+    assert out.returncode == 0, out.stderr
