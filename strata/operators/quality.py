@@ -67,26 +67,48 @@ def key_checks(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.lit(label).alias("column"), F.col("duplicate_keys").cast("long").alias("n"))
 
 
+def _keyed_checks(table: str, df: DataFrame, keys: Sequence[str], null_columns: Sequence[str],
+                  flag: str | None = None) -> DataFrame:
+    """Row, NULL, deleted and duplicate-key counts in one read of ``df``.
+
+    One aggregation per key computes small counters (partial aggregation before the
+    shuffle folds a hot key map-side); a second, global one sums them and counts the
+    keys seen more than once. All-NULL keys form one group, as in GROUP BY.
+    """
+    per_key = [F.count(F.lit(1)).alias("_c")]
+    per_key += [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(null_columns)]
+    if flag:
+        per_key.append(F.count_if(F.col(flag)).alias("_d"))
+    g = df.groupBy(*keys).agg(*per_key)
+    totals = [F.sum("_c").alias("_rows"), F.count_if(F.col("_c") > 1).alias("_dup")]
+    totals += [F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(null_columns))]
+    specs = [(f"_n{i}", "nulls", c) for i, c in enumerate(null_columns)]
+    specs += [("_rows", "rows", None)]
+    if flag:
+        totals.append(F.sum("_d").alias("_deleted"))
+        specs += [("_active", "active", None), ("_deleted", "deleted", None)]
+    one = g.agg(*totals)
+    # an empty table has no groups: sums are NULL, counts must read 0
+    one = one.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in one.columns])
+    if flag:
+        one = one.withColumn("_active", F.col("_rows") - F.col("_deleted"))
+    specs += [("_dup", "duplicate_keys", ",".join(keys))]
+    return _long(table, one, specs)
+
+
 def silver_quality(table: str, df: DataFrame, entity: Entity) -> DataFrame:
     """Silver checks: duplicate keys, NULLs per required column, rows, active, deleted.
 
     ``deleted`` counts rows whose flag is true; ``active`` is the rest (a NULL
-    flag counts as active).
+    flag counts as active). One read of the table for all of them.
     """
-    flag = F.col(entity.delete_flag)
     required = [c for c in entity.required if c in df.columns]
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(required)]
-    aggs += [F.count(F.lit(1)).alias("_rows"), F.count_if(flag).alias("_deleted")]
-    one = df.agg(*aggs).withColumn("_active", F.col("_rows") - F.col("_deleted"))
-    specs = [(f"_n{i}", "nulls", c) for i, c in enumerate(required)]
-    specs += [("_rows", "rows", None), ("_active", "active", None),
-              ("_deleted", "deleted", None)]
-    return _long(table, one, specs).unionByName(key_checks(table, df, entity.keys))
+    return _keyed_checks(table, df, entity.keys, required, entity.delete_flag)
 
 
 def gold_quality(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Gold checks: duplicate keys, NULL keys, row count."""
-    return null_counts(table, df, keys, with_rows=True).unionByName(key_checks(table, df, keys))
+    """Gold checks: duplicate keys, NULL keys, row count (one read)."""
+    return _keyed_checks(table, df, keys, keys)
 
 
 @dataclass(frozen=True)
