@@ -122,3 +122,39 @@ def test_newer_wins_order_independent_without_deletes(spark, a, b):
     ba = merge_newer_wins(merge_newer_wins(empty, fb, ["pk"]), fa, ["pk"])
     assert rows(ab) == rows(ba)
     assert rows(merge_newer_wins(ab, fb, ["pk"])) == rows(ab)
+
+
+def _frame(spark, items, tag):
+    """One row per key: (key, version day or None, deleted flag or None)."""
+    seen = {}
+    for k, v, d in items:
+        seen[k] = (v, d)
+    return spark.createDataFrame(
+        [(f"k{k}", None if v is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=v), d, tag)
+         for k, (v, d) in seen.items()], SCHEMA)
+
+
+rows_st = st.lists(st.tuples(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 4)),
+                             st.one_of(st.none(), st.booleans())), min_size=0, max_size=10)
+
+
+@settings(max_examples=12, deadline=None)
+@given(t=rows_st, s=rows_st)
+def test_broadcast_merge_equals_full_outer_merge(spark, t, s):
+    target, source = _frame(spark, t, "t"), _frame(spark, s, "s")
+    kw = dict(update_when=newer_than("updated_at"),
+              insert_when=lambda x: x["is_deleted"] == F.lit(False))
+    assert rows(merge_small_batch(target, source, ["pk"], **kw)) == \
+        rows(merge_frames(target, source, ["pk"], **kw))
+
+
+@settings(max_examples=12, deadline=None)
+@given(t=rows_st, s=rows_st)
+def test_scd1_laws(spark, t, s):
+    target, source = _frame(spark, t, "t"), _frame(spark, s, "s")
+    once = merge_scd1(target, source, ["pk"])
+    assert rows(merge_scd1(once, source, ["pk"])) == rows(once)          # idempotent
+    pruned = merge_scd1(target, source, ["pk"], prune_missing=True)
+    assert rows(pruned) == rows(source)                                   # state == batch
+    keys = {r[0] for r in rows(once)}
+    assert keys == {f"k{k}" for k, _, _ in t} | {f"k{k}" for k, _, _ in s}

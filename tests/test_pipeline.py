@@ -1,7 +1,6 @@
 """Bronze -> silver -> gold over two landed batches of source-shaped JSON."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.plans import pipeline as P
 from strata.schemas import RAW_SCHEMAS, SOURCE_ENTITIES
@@ -88,4 +87,3 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     P.run_gold(lh, prune_missing=prune, incremental=incremental)
     after = spark.table(lh.name("gold", "fact_order_line"))
     assert sorted(map(tuple, after.collect())) == before
-    _ = F

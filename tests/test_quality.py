@@ -56,7 +56,6 @@ def test_profile_single_aggregate(spark):
     assert "Expand" not in plan
     neg = spark.createDataFrame([(0.0,), (-0.0,), (None,)], "d double")
     assert Q.profile_columns(neg).first()["distinct_values"] == 1
-    _ = F
 
 
 def test_schema_drift(spark):

@@ -1,5 +1,3 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from strata.operators.layout import compact, zorder
@@ -68,4 +66,3 @@ def test_compact_only_reduces(spark):
     assert compact(df, rows_per_file=300).rdd.getNumPartitions() == 4
     few = spark.range(0, 1000, 1, 2)
     assert compact(few, rows_per_file=10).rdd.getNumPartitions() == 2
-    _ = dt
