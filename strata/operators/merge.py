@@ -46,7 +46,7 @@ def _side(df: DataFrame, prefix: str, presence: Column) -> DataFrame:
                      presence.alias(prefix + "_in"))
 
 
-def _unique_guard(keys: Sequence[str]) -> Column:
+def _unique_guard(keys: Sequence[str], names: Sequence[str] | None = None) -> Column:
     """Presence flag of the source that fails the job on a duplicated (non-NULL) key.
 
     The window partitions by the merge key, which is exactly the distribution the
@@ -54,7 +54,8 @@ def _unique_guard(keys: Sequence[str]) -> Column:
     """
     dup = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
     nonnull = _all([F.col(k).isNotNull() for k in keys])
-    msg = F.lit(f"MERGE source has more than one row for a key in ({', '.join(keys)})")
+    label = ", ".join(names or keys)
+    msg = F.lit(f"MERGE source has more than one row for a key in ({label})")
     return F.when(nonnull & dup, F.raise_error(msg)).otherwise(F.lit(True))
 
 
@@ -87,9 +88,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"merge key {k!r} missing from target or source")
     scols = set(source.columns)
-    s_flag = _unique_guard(keys) if check_unique else F.lit(True)
     t = _side(target, "_t_", F.lit(True))
-    s = _side(source, "_s_", s_flag)
+    s = _side(source, "_s_", F.lit(True))
+    if check_unique:
+        # partitioned by the renamed join key itself, so the join reuses its exchange
+        s = s.withColumn("_s__in", _unique_guard(["_s_" + k for k in keys], keys))
     on = _all([F.col("_t_" + k) == F.col("_s_" + k) for k in keys])
     j = t.join(s, on, "full_outer")
 

@@ -2,15 +2,24 @@
 
 Without a row-level table format a MERGE result cannot be written over the
 table it reads. Each write therefore goes to a new version folder
-``<root>/<schema>/<table>/v=<n>`` and the catalog entry is repointed
-(``ALTER TABLE ... SET LOCATION``) once the write committed. Readers see either
-the old or the new version, and the previous version stays for them.
-Writing the snapshot also cuts the lineage for the next layer.
+``<root>/<schema>/<table>/v=<n>`` and the catalog entry is repointed once the
+write committed. Readers see either the old or the new version, and the
+previous version stays for them. Writing the snapshot also cuts the lineage for
+the next layer.
+
+Two forms:
+
+* plain: one external table, repointed with ``ALTER TABLE ... SET LOCATION``;
+* bucketed by key: each version is its own bucketed, key-sorted table
+  ``<name>__v<n>`` and ``<name>`` is a view repointed to it. A join or merge on
+  the key then reads the table already hash-partitioned (no exchange on the
+  table side; only the other side is shuffled into the bucket count).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,27 +33,56 @@ def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _describe(spark: SparkSession, name: str, field: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(f"col_name = '{field}'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and _describe(spark, name, "Type") == "VIEW"
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+    return _describe(spark, name, "Location")
 
 
 def current_version(spark: SparkSession, name: str) -> int:
-    loc = table_location(spark, name)
-    m = re.search(r"/v=(\d+)/?$", loc or "")
+    if not spark.catalog.tableExists(name):
+        return 0
+    if is_view(spark, name):
+        m = re.search(r"__v(\d+)\b", _describe(spark, name, "View Text") or "")
+    else:
+        m = re.search(r"/v=(\d+)/?$", table_location(spark, name) or "")
     return int(m.group(1)) if m else 0
 
 
+def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+            }.get(key)
+
+
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    kind = "VIEW" if is_view(spark, name) else "TABLE"
+    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ('{key}'='{value}')")
+
+
 def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str,
-                 partition_by: tuple[str, ...] = ()) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` with explicit DDL at version 0 (empty)."""
+                 partition_by: tuple[str, ...] = (), bucket_by: Sequence[str] = (),
+                 buckets: int | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` with explicit DDL, as an empty first version."""
     if spark.catalog.tableExists(name):
         return
-    ns, _, tbl = name.rpartition(".")
+    ns = name.rpartition(".")[0]
     if ns:
         ensure_namespace(spark, ns)
+    if bucket_by and buckets:
+        publish(spark, spark.createDataFrame([], schema), name, root, bucket_by=bucket_by,
+                buckets=buckets)
+        return
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v=0"
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
@@ -52,18 +90,25 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, root: str,
-            partition_by: tuple[str, ...] = ()) -> int:
+            partition_by: tuple[str, ...] = (), bucket_by: Sequence[str] = (),
+            buckets: int | None = None) -> int:
     """Write ``df`` as the table's next version and repoint the table; returns n."""
     n = current_version(spark, name) + 1
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}"
+    ns = name.rpartition(".")[0]
+    if ns:
+        ensure_namespace(spark, ns)
+    if bucket_by and buckets:
+        physical = f"{name}__v{n}"
+        (df.write.mode("errorifexists").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+           .option("path", path).saveAsTable(physical))
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {physical}")
+        return n
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     if not spark.catalog.tableExists(name):
-        ns = name.rpartition(".")[0]
-        if ns:
-            ensure_namespace(spark, ns)
         spark.sql(f"CREATE TABLE {name} ({ddl(df.schema)}) USING parquet LOCATION '{path}'")
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")

@@ -66,3 +66,33 @@ def test_compact_only_reduces(spark):
     assert compact(df, rows_per_file=300).rdd.getNumPartitions() == 4
     few = spark.range(0, 1000, 1, 2)
     assert compact(few, rows_per_file=10).rdd.getNumPartitions() == 2
+
+
+def test_bucketed_table_merge_shuffles_only_the_batch(spark, tmp_root):
+    from strata.operators.merge import merge_newer_wins
+    from strata.sources import tables
+
+    e = FIXTURE_ENTITIES["orders"]
+    orders = fixtures.orders(spark, SF_SMALL)
+    name = "strata_bucket_probe_" + tmp_root.rsplit("-", 1)[-1]
+    tables.publish(spark, orders, name, tmp_root, bucket_by=e.keys, buckets=8)
+    assert tables.current_version(spark, name) == 1
+    batch = orders.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
+    prev = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                  "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in prev:
+            spark.conf.set(k, "-1")
+        merged = merge_newer_wins(spark.table(name), batch, e.keys)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1     # the batch only
+        tables.publish(spark, merged, name, tmp_root, bucket_by=e.keys, buckets=8)
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert tables.current_version(spark, name) == 2
+    assert spark.table(name).count() == orders.count()
