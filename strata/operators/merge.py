@@ -28,9 +28,6 @@ from pyspark.sql import types as T
 
 from strata.session import checkpoint_root
 
-Cond = Callable[[Column, Column], Column]
-
-
 def _all(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
@@ -69,8 +66,12 @@ class _Row:
         return F.col(self.prefix + name)
 
 
+# conditions get the target and source rows: ``lambda t, s: s["v"] > t["v"]``
+Cond = Callable[[_Row, _Row], Column]
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-                 update_when: Cond, insert_when: Callable[[Column], Column],
+                 update_when: Cond, insert_when: Callable[[_Row], Column],
                  prune_missing: bool = False, check_unique: bool = True) -> DataFrame:
     """Next state of ``target`` after merging ``source`` on ``keys``.
 
@@ -114,7 +115,7 @@ def newer_than(version: Sequence[str] | str) -> Cond:
     """``s.version > t.version`` (lexicographic for a tuple); NULL -> not newer."""
     cols = [version] if isinstance(version, str) else list(version)
 
-    def cond(t: Column, s: Column) -> Column:
+    def cond(t: _Row, s: _Row) -> Column:
         out = s[cols[-1]] > t[cols[-1]]
         for c in reversed(cols[:-1]):
             out = (s[c] > t[c]) | ((s[c] == t[c]) & out)
@@ -157,7 +158,7 @@ def estimated_row_bytes(schema: T.StructType) -> int:
 
 
 def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-                      update_when: Cond, insert_when: Callable[[Column], Column],
+                      update_when: Cond, insert_when: Callable[[_Row], Column],
                       max_batch_rows: int = 1_000_000,
                       max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Same result as ``merge_frames`` (without pruning) for a batch whose size is

@@ -80,3 +80,20 @@ def test_entry_module_imports_without_a_session():
                          capture_output=True, text=True, cwd=str(__import__("pathlib").Path(
                              __file__).resolve().parents[1]), timeout=120)
     assert out.returncode == 0, out.stderr
+
+
+def test_fact_partitioning_is_reused(spark):
+    """With every broadcast off (the at-scale plan), K1 needs one exchange per dedup (4),
+    two for the fact joins, one for the customer join and two for the distinct
+    aggregate: the order-grain step rides on the fact's order_id partitioning."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = E.queries()["kpi_segment_month"](spark, SF_SMALL)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 9
