@@ -47,3 +47,17 @@ def test_extract_strict_and_advance(spark):
     nxt = {r[0]: r[1] for r in incremental.advance_watermarks(
         state, {"a": batch, "b": empty}).collect()}
     assert nxt == {"a": t + dt.timedelta(seconds=1), "b": dt.datetime(1970, 1, 1)}
+
+
+def test_watermark_state_round_trip(spark, tmp_root):
+    path = f"{tmp_root}/watermarks"
+    assert incremental.read_state(spark, path) is None            # nothing saved yet
+    fresh = incremental.load_watermarks(spark, ["customers", "orders"])
+    t = dt.datetime(2024, 6, 1, 8, 0, 0)
+    src = spark.createDataFrame([(1, t)], "id int, updated_at timestamp_ntz")
+    nxt = incremental.advance_watermarks(fresh, {"orders": src})
+    nxt.write.parquet(path)
+    back = {r[0]: r[1] for r in incremental.load_watermarks(
+        spark, ["customers", "orders", "products"], incremental.read_state(spark, path)).collect()}
+    assert back == {"customers": dt.datetime(1970, 1, 1), "orders": t,
+                    "products": dt.datetime(1970, 1, 1)}
