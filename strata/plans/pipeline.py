@@ -199,8 +199,8 @@ def _silver_high_mark(silver: dict[str, DataFrame]) -> str | None:
     return Q._union(marks).agg(F.max("m")).first()[0]
 
 
-def run_gold(lh: Lakehouse, prune_missing: bool = False,
-             incremental: bool = True) -> Q.QualityReport:
+def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = True,
+             relayout: bool = True) -> Q.QualityReport:
     """Dimensions, fact, checks, layout, KPI views.
 
     ``incremental``: only silver rows changed since the last gold run (their
@@ -209,7 +209,10 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False,
     into the fact, through the size-checked broadcast merge (the fact is not
     shuffled for it). ``prune_missing`` removes fact lines of touched orders that
     are no longer active in silver (e.g. cancelled); the faithful default keeps
-    them, as an SCD-1 MERGE does.
+    them, as an SCD-1 MERGE does. ``relayout`` re-clusters the whole fact by
+    Z-order on every run (a full range shuffle, as the source system's OPTIMIZE
+    does); with ``False`` the merged fact keeps its current file layout (no
+    shuffle) and re-clustering can run on its own schedule.
     """
     spark, report = lh.spark, Q.QualityReport()
     tables.ensure_namespace(spark, lh.ns.gold)
@@ -256,7 +259,7 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False,
         scope = before if touched is None else before.join(touched, "order_id", "left_semi")
         stale = scope.select(*keys).join(delta.select(*keys), list(keys), "left_anti")
         merged = merged.join(stale, list(keys), "left_anti")
-    publish("fact_order_line", zorder(merged, ["date_id", "customer_id"]))
+    publish("fact_order_line", zorder(merged, ["date_id", "customer_id"]) if relayout else merged)
     if new_mark is not None:
         tables.set_property(spark, fact_name, SILVER_MARK, new_mark)
 

@@ -82,8 +82,8 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     counts = {r["table_name"]: r["rows"] for r in P.row_counts(lh).collect()}
     assert counts["dim_date"] == 4018 and counts["dim_customer"] == 1
     assert spark.sql(f"SELECT * FROM {lh.ns.gold}.vw_daily_kpis").count() == 1
-    # a rerun with nothing new in silver changes nothing
+    # a rerun with nothing new in silver changes nothing (also without re-clustering)
     before = sorted(map(tuple, fact.collect()))
-    P.run_gold(lh, prune_missing=prune, incremental=incremental)
+    P.run_gold(lh, prune_missing=prune, incremental=incremental, relayout=False)
     after = spark.table(lh.name("gold", "fact_order_line"))
     assert sorted(map(tuple, after.collect())) == before
