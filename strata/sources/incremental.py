@@ -40,13 +40,23 @@ def stamp_lineage(df: DataFrame, table: str, extracted_at: str | Column) -> Data
 
 def extract_since(source: DataFrame, since: str | Column | None, version: str = "updated_at",
                   table: str | None = None, extracted_at: str | Column | None = None,
-                  ordered: bool = True) -> DataFrame:
+                  ordered: bool = True, overlap_seconds: int = 0) -> DataFrame:
     """Rows with ``version > since`` (strict); ``since=None`` is a full reload.
 
-    The predicate is a plain comparison, so on a Parquet/JDBC source it is pushed
-    into the scan. Ordering is only needed when the batch is written in order.
+    ``overlap_seconds`` re-reads that much before the mark, so rows committed in
+    the same second as the mark (versions have one-second resolution at the
+    source) are not lost; re-reading is harmless because the newer-wins merge
+    ignores versions it already has. The predicate is a plain comparison, so on a
+    Parquet/JDBC source it is pushed into the scan. Ordering is only needed when
+    the batch is written in order.
     """
-    df = source if since is None else source.filter(F.col(version) > _ts(since))
+    if since is None:
+        df = source
+    else:
+        mark = _ts(since)
+        if overlap_seconds:
+            mark = mark - F.expr(f"INTERVAL {int(overlap_seconds)} SECONDS")
+        df = source.filter(F.col(version) > mark)
     if table is not None:
         df = stamp_lineage(df, table, extracted_at if extracted_at is not None
                            else F.current_timestamp())

@@ -61,3 +61,13 @@ def test_watermark_state_round_trip(spark, tmp_root):
         spark, ["customers", "orders", "products"], incremental.read_state(spark, path)).collect()}
     assert back == {"customers": dt.datetime(1970, 1, 1), "orders": t,
                     "products": dt.datetime(1970, 1, 1)}
+
+
+def test_extract_overlap_rereads_the_mark_second(spark):
+    t = dt.datetime(2024, 6, 1, 10, 0, 0)
+    src = spark.createDataFrame([(1, t), (2, t - dt.timedelta(seconds=5))],
+                                "id int, updated_at timestamp_ntz")
+    strict = incremental.extract_since(src, "2024-06-01 10:00:00")
+    assert strict.count() == 0
+    again = incremental.extract_since(src, "2024-06-01 10:00:00", overlap_seconds=1)
+    assert [r["id"] for r in again.collect()] == [1]
