@@ -20,18 +20,30 @@ def parse_timestamp(c: Column | str) -> Column:
     return F.try_to_timestamp(c)
 
 
+TS_ERRORS = "_ts_errors"
+
+
 def normalize_timestamps(df: DataFrame, columns=TIMESTAMP_TEXT_COLUMNS,
-                         wall_clock: bool = False) -> DataFrame:
+                         wall_clock: bool = False, count_errors: bool = False) -> DataFrame:
     """Parse the listed timestamp columns that exist and are still text.
 
     ``wall_clock=True`` returns ``TIMESTAMP_NTZ`` holding the UTC wall-clock time
     (the instant read in the pinned UTC session zone) instead of ``TIMESTAMP``.
+    ``count_errors=True`` adds ``_ts_errors``: per row, how many of those fields
+    held text that did not parse (and became NULL).
     """
     def conv(c: str) -> Column:
         ts = parse_timestamp(c)
         return ts.cast("timestamp_ntz") if wall_clock else ts
-    todo = {c: conv(c) for c in columns
-            if c in df.columns and df.schema[c].dataType.typeName() == "string"}
+    text = [c for c in columns
+            if c in df.columns and df.schema[c].dataType.typeName() == "string"]
+    todo = {c: conv(c) for c in text}
+    if count_errors:
+        bad = [(F.col(c).isNotNull() & parse_timestamp(c).isNull()).cast("int") for c in text]
+        errors = bad[0] if bad else F.lit(0)
+        for b in bad[1:]:
+            errors = errors + b
+        df = df.withColumn(TS_ERRORS, errors)
     return df.withColumns(todo) if todo else df
 
 

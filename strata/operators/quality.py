@@ -236,6 +236,8 @@ class QualityReport:
     """Collects failed checks; ``gate`` raises once, after everything was checked."""
 
     failures: list[str] = field(default_factory=list)
+    # informational counts (not gating), e.g. malformed timestamp text per table
+    info: dict[str, int] = field(default_factory=dict)
 
     def require_zero(self, label: str, n: int | None) -> bool:
         if n:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.casts import cast_boolean_columns
-from strata.functions.timestamps import normalize_timestamps
+from strata.functions.timestamps import TS_ERRORS, normalize_timestamps
 from strata.operators import quality as Q
 from strata.operators.dedup import deduplicate
 from strata.operators.layout import zorder
@@ -103,9 +103,14 @@ def run_bronze(lh: Lakehouse, landing: str) -> Q.QualityReport:
     for name, ent in lh.entities.items():
         ingest_new_files(lh.spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
                          lh.path("bronze", name), lh.path("_checkpoints", "bronze", name),
-                         transform=normalize_timestamps)
+                         transform=lambda b: normalize_timestamps(b, count_errors=True))
     frames = {n: (lh.bronze(n), e.keys) for n, e in lh.entities.items()}
     report.add_results(Q.pk_nulls(frames))
+    # timestamp text that did not parse became NULL: count it (one row per table)
+    for r in Q._union(df.agg(F.coalesce(F.sum(TS_ERRORS), F.lit(0)).alias("n"))
+                      .select(F.lit(n).alias("t"), "n")
+                      for n, (df, _) in frames.items()).collect():
+        report.info[f"{r['t']}.malformed_timestamps"] = int(r["n"])
     return report
 
 

@@ -16,7 +16,9 @@ def _batch1():
         "products": [("p1", "Bolt", "hardware", None, 2.0, 1.5, "2024-05-01T00:00:00",
                       "2024-05-01T00:00:00", 0, EX1, "products"),
                      ("p2", "Nut", "hardware", "small", 1.0, 0.5, "2024-05-01T00:00:00",
-                      "2024-05-01T00:00:00", 0, EX1, "products")],
+                      "2024-05-01T00:00:00", 0, EX1, "products"),
+                     ("p3", "Washer", "hardware", None, 0.2, 0.1, "2024-05-01T00:00:00",
+                      "yesterday-ish", 0, EX1, "products")],
         "orders": [("o1", "c1", "pending", "2024-05-31T09:00:00", 4.0, None,
                     "2024-05-31T09:00:00", "2024-05-31T09:00:00", 0, EX1, "orders"),
                    ("o2", "c1", "paid", "2024-05-31T10:00:00", 3.0, "Oslo",
@@ -54,7 +56,10 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
                      ns=P.Namespaces(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}"))
     _land(spark, landing, _batch1(), "b1")
-    P.run_bronze(lh, landing).gate()
+    bronze_report = P.run_bronze(lh, landing)
+    bronze_report.gate()
+    assert bronze_report.info["products.malformed_timestamps"] == 1
+    assert bronze_report.info["orders.malformed_timestamps"] == 0
     P.run_silver(lh)
     P.run_gold(lh, prune_missing=prune, incremental=incremental)
     fact = spark.table(lh.name("gold", "fact_order_line"))
