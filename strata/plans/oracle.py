@@ -367,6 +367,8 @@ marks AS (
 SELECT prior.table_name, coalesce(marks.bm, prior.m) AS high_water_mark
 FROM prior LEFT JOIN marks ON prior.table_name = marks.table_name""",
     "ingest_json_events": "SELECT * FROM events",
+    "events_latest": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, "
+                     "event_type ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1",
     "direct_file_scan": f"SELECT event_type, COUNT(*) AS n, {msum('value')} AS total_value "
                         f"FROM events GROUP BY event_type",
     "append_history": "SELECT * FROM events",

@@ -454,3 +454,12 @@ def q_k1_view(spark, sf_dir):
     sql = kpi_view_sql(names["fact_order_line"], names["dim_customer"], names["dim_product"],
                        names["dim_date"])["vw_revenue_margin_by_segment_month"]
     return spark.sql(sql)
+
+
+@query("events_latest")
+def q_events_latest(spark, sf_dir):
+    """The event stream as a change log: latest event per (user, event type) by time,
+    ties broken by event id."""
+    from strata.operators.dedup import latest_per_key
+    return latest_per_key(fixtures.table(spark, sf_dir, "events"), ["user_id", "event_type"],
+                          ["ts", "event_id"])
