@@ -8,10 +8,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions.casts import cast_boolean_columns
+from strata.functions.timestamps import normalize_timestamps
 from strata.operators import kpi
-from strata.plans.layers import gold_frames
-from strata.session import configure
+from strata.operators import quality as Q
+from strata.operators.dedup import deduplicate, latest_per_key
+from strata.operators.layout import compact, zorder
+from strata.operators.merge import merge_newer_wins, merge_scd1, merge_small_batch, newer_than
+from strata.operators.star import dim_date_spanning
+from strata.plans.layers import gold_frames, silver_frames
+from strata.plans.pipeline import SnapshotUpsert, kpi_view_sql
+from strata.schemas import FIXTURE_ENTITIES
+from strata.session import configure, scratch_path
+from strata.sources import fixtures, incremental, jsonl, tables
+from strata.streaming import file_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -99,22 +111,6 @@ def q_t5(spark, sf_dir):
 
 # --- calendar, dedup, merges, projections ----------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from strata.functions.casts import cast_boolean_columns  # noqa: E402
-from strata.functions.timestamps import normalize_timestamps  # noqa: E402
-from strata.operators import quality as Q  # noqa: E402
-from strata.operators.dedup import deduplicate  # noqa: E402
-from strata.operators.layout import compact, zorder  # noqa: E402
-from strata.operators.merge import (merge_newer_wins, merge_scd1,  # noqa: E402
-                                    merge_small_batch, newer_than)
-from strata.operators.star import dim_date_spanning  # noqa: E402
-from strata.plans.layers import silver_frames  # noqa: E402
-from strata.schemas import FIXTURE_ENTITIES  # noqa: E402
-from strata.session import scratch_path  # noqa: E402
-from strata.sources import fixtures, incremental, jsonl, tables  # noqa: E402
-from strata.streaming import file_once  # noqa: E402
-
 ITEMS = FIXTURE_ENTITIES["order_items"]
 
 
@@ -321,7 +317,6 @@ def q_stream_once(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     """Newer-wins upsert per micro-batch: the fulfilled-lines batch lands and is merged
     into an empty table, then the open-lines batch."""
-    from strata.plans.pipeline import SnapshotUpsert
     landing = scratch_path(spark, "landing")
     ckpt, root = scratch_path(spark, "ckpt"), scratch_path(spark, "silver")
     upsert = SnapshotUpsert(spark, root, ITEMS)
@@ -445,7 +440,6 @@ def q_sample(spark, sf_dir):
 @query("kpi_segment_month_view")
 def q_k1_view(spark, sf_dir):
     """K1 through the SQL view definition, over temp views of the star frames."""
-    from strata.plans.pipeline import kpi_view_sql
     g = gold_frames(spark, sf_dir)
     tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
     names = {t: f"strata_{t}_{tag}" for t in g}
@@ -460,6 +454,5 @@ def q_k1_view(spark, sf_dir):
 def q_events_latest(spark, sf_dir):
     """The event stream as a change log: latest event per (user, event type) by time,
     ties broken by event id."""
-    from strata.operators.dedup import latest_per_key
     return latest_per_key(fixtures.table(spark, sf_dir, "events"), ["user_id", "event_type"],
                           ["ts", "event_id"])

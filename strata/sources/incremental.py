@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,10 +81,13 @@ def load_watermarks(spark: SparkSession, tables: Sequence[str],
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The saved state table, or ``None`` when none was written yet."""
     try:
         return spark.read.schema(STATE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no state written yet
-        return None
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return None
+        raise
 
 
 def batch_marks(batches: dict[str, DataFrame], version: str = "updated_at") -> DataFrame:
