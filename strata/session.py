@@ -54,6 +54,29 @@ def get_session(
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20,
+               executor_cores: int | None = None) -> dict[str, str]:
+    """Partition sizing for a job reading about ``input_bytes``.
+
+    Scans split files into ``partition_bytes`` pieces; shuffles start with one
+    partition per ``partition_bytes`` of input (AQE then coalesces small ones and
+    splits skewed ones towards the same advisory size), so a partition's working
+    set stays a fixed size however large the data grows. At 100 TB and 512 MB
+    that is ~200k initial shuffle partitions.
+    """
+    n = max(1, -(-input_bytes // partition_bytes))
+    if executor_cores:
+        n = max(n, 2 * executor_cores)
+    size = str(partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime confs strata needs to an existing session."""
     for k, v in RUNTIME_CONF.items():

@@ -71,3 +71,12 @@ def test_extract_overlap_rereads_the_mark_second(spark):
     assert strict.count() == 0
     again = incremental.extract_since(src, "2024-06-01 10:00:00", overlap_seconds=1)
     assert [r["id"] for r in again.collect()] == [1]
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+
+    c = scale_conf(100 << 40, 512 << 20)
+    assert int(c["spark.sql.shuffle.partitions"]) == 204800
+    assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(512 << 20)
+    assert int(scale_conf(1 << 20, executor_cores=8)["spark.sql.shuffle.partitions"]) == 16
