@@ -158,3 +158,15 @@ def test_scd1_laws(spark, t, s):
     assert rows(pruned) == rows(source)                                   # state == batch
     keys = {r[0] for r in rows(once)}
     assert keys == {f"k{k}" for k, _, _ in t} | {f"k{k}" for k, _, _ in s}
+
+
+def test_delete_first_arrival_is_order_dependent(spark):
+    """S4: a key first seen deleted never enters the table, so with deletes the
+    result depends on arrival order (without deletes it does not; see above)."""
+    live = spark.createDataFrame([("k", T1, False, "live")], SCHEMA)
+    gone = spark.createDataFrame([("k", T2, True, "gone")], SCHEMA)
+    empty = live.where(F.lit(False))
+    live_then_gone = rows(merge_newer_wins(merge_newer_wins(empty, live, ["pk"]), gone, ["pk"]))
+    gone_then_live = rows(merge_newer_wins(merge_newer_wins(empty, gone, ["pk"]), live, ["pk"]))
+    assert live_then_gone == [("k", T2, True, "gone")]     # kept as a soft-deleted row
+    assert gone_then_live == [("k", T1, False, "live")]    # the delete was never stored
