@@ -133,7 +133,8 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame],
     """
     out = []
     for r in rules:
-        keys = dims[r.dim_name].select(F.col(r.dim_key).alias("_dk")).distinct()
+        # no DISTINCT needed: repeated dimension keys cannot change an anti join
+        keys = dims[r.dim_name].select(F.col(r.dim_key).alias("_dk"))
         orphans = (fact.select(F.col(r.fact_key).alias("_fk"))
                    .join(keys, F.col("_fk") == F.col("_dk"), "left_anti"))
         out.append(orphans.agg(F.count(F.lit(1)).alias("orphans"))
