@@ -29,6 +29,16 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
+def use_namespace(spark: SparkSession, name: str, catalog: str | None = None) -> str:
+    """Create if needed and select a namespace (``SET CATALOG`` + ``USE``); returns
+    the current ``catalog.namespace``."""
+    if catalog:
+        spark.sql(f"SET CATALOG {catalog}")
+    ensure_namespace(spark, name)
+    spark.sql(f"USE {name}")
+    return f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}"
+
+
 def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -96,3 +96,17 @@ def test_bucketed_table_merge_shuffles_only_the_batch(spark, tmp_root):
                 spark.conf.set(k, v)
     assert tables.current_version(spark, name) == 2
     assert spark.table(name).count() == orders.count()
+
+
+def test_namespaces_and_ddl(spark, tmp_root):
+    from pyspark.sql import types as T
+
+    from strata.sources import tables
+
+    ns = "strata_ns_" + tmp_root.rsplit("-", 1)[-1]
+    assert tables.use_namespace(spark, ns, catalog="spark_catalog") == f"spark_catalog.{ns}"
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    tables.create_table(spark, f"{ns}.t", schema, tmp_root)
+    tables.create_table(spark, f"{ns}.t", schema, tmp_root)     # IF NOT EXISTS
+    assert spark.table(f"{ns}.t").schema.simpleString() == "struct<k:bigint,v:string>"
+    spark.sql("USE default")
