@@ -93,8 +93,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered, so every later ``checkpoint()`` lands there too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if not root:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context;
+        sc = None      # checkpoint() there reads spark.checkpoint.dir itself
+    if not root and sc is not None:
         current = sc.getCheckpointDir()
         if current:
             # the context appends a random sub-folder; its parent is the shared root
@@ -102,7 +105,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
