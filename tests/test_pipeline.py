@@ -72,6 +72,7 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     assert lh.bronze("orders").count() == 3
     recon = {r["table_name"]: r for r in P.reconcile(lh, landing).collect()}
     assert recon["orders"]["source_rows"] == recon["orders"]["table_rows"] == 3
+    assert recon["orders"]["exact"] and recon["orders"]["status"] == "OK"
 
     P.run_silver(lh)
     silver_o1 = spark.table(lh.name("silver", "orders")).filter("order_id = 'o1'").first()
@@ -92,3 +93,16 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     P.run_gold(lh, prune_missing=prune, incremental=incremental, relayout=False)
     after = spark.table(lh.name("gold", "fact_order_line"))
     assert sorted(map(tuple, after.collect())) == before
+
+
+def test_run_all_gates_in_order(spark, tmp_root):
+    landing = f"{tmp_root}/landing"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+                     ns=P.Namespaces("bronze_a", "silver_a", "gold_a"))
+    batch = _batch1()
+    batch["order_items"].append(("i9", "o2", "missing", 1, 1.0, 1.0, "2024-05-31T10:00:00",
+                                 "2024-05-31T10:00:00", 0, EX1, "order_items"))
+    _land(spark, landing, batch, "b1")
+    with pytest.raises(RuntimeError, match="product_fk"):
+        P.run_all(lh, landing)              # the item's product is unknown: gold gate fails
+    assert spark.table(lh.name("silver", "order_items")).count() == 3   # silver committed
