@@ -1,5 +1,8 @@
 import datetime as dt
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from strata.operators.dedup import latest_per_key
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
@@ -23,3 +26,29 @@ def test_plan_limits_before_the_shuffle(spark):
     # a partial WindowGroupLimit runs map-side, below the exchange
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abc")),
+                           st.one_of(st.none(), st.integers(0, 3)),
+                           st.integers(0, 3)), min_size=1, max_size=15, unique_by=lambda r: r)
+
+
+@settings(max_examples=15, deadline=None)
+@given(data=_rows)
+def test_latest_matches_brute_force(spark, data):
+    """Per key, the row with the greatest (version, extraction) pair, NULL versions
+    last, equals a plain Python reduction; (key, version, extraction) is unique here
+    so the winner is well defined."""
+    def ts(d):
+        return None if d is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    df = spark.createDataFrame([(k, ts(v), ts(x), f"{k}{v}{x}") for k, v, x in data], SCHEMA)
+    got = {r["pk"]: r["payload"] for r in latest_per_key(df, ["pk"]).collect()}
+
+    def rank(row):
+        _, v, x = row
+        return (v is not None, v if v is not None else -1, x)
+    want = {}
+    for row in data:
+        k = row[0]
+        if k not in want or rank(row) > rank(want[k]):
+            want[k] = row
+    assert got == {k: f"{k}{v}{x}" for k, (_, v, x) in want.items()}
