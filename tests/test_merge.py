@@ -170,3 +170,17 @@ def test_delete_first_arrival_is_order_dependent(spark):
     gone_then_live = rows(merge_newer_wins(merge_newer_wins(empty, gone, ["pk"]), live, ["pk"]))
     assert live_then_gone == [("k", T2, True, "gone")]     # kept as a soft-deleted row
     assert gone_then_live == [("k", T1, False, "live")]    # the delete was never stored
+
+
+def test_version_tuple_breaks_equal_versions(spark):
+    """S3: with (updated_at, _extracted_at) as the version, a re-extracted row with the
+    same updated_at but a later extraction wins; with updated_at alone it does not."""
+    schema = "pk string, updated_at timestamp_ntz, _extracted_at timestamp_ntz, " \
+             "is_deleted boolean, payload string"
+    t = spark.createDataFrame([("a", T1, T0, False, "old"), ("b", T1, T1, False, "old")], schema)
+    s = spark.createDataFrame([("a", T1, T2, False, "new"), ("b", T1, T0, False, "new")], schema)
+    plain = {r["pk"]: r["payload"] for r in merge_newer_wins(t, s, ["pk"]).collect()}
+    tup = {r["pk"]: r["payload"] for r in merge_newer_wins(
+        t, s, ["pk"], version=("updated_at", "_extracted_at")).collect()}
+    assert plain == {"a": "old", "b": "old"}
+    assert tup == {"a": "new", "b": "old"}
