@@ -57,20 +57,37 @@ def zorder_key(ords: Sequence[Column], bounds: Sequence[tuple[float | None, floa
     return key
 
 
+def zorder_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Min/max of each column in Z-order space (one aggregate over ``df``)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ords = [orderable(c, types[c]) for c in columns]
+    row = df.agg(*[F.min(o).alias(f"lo{i}") for i, o in enumerate(ords)],
+                 *[F.max(o).alias(f"hi{i}") for i, o in enumerate(ords)]).first()
+    return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+
+
 def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None,
-           bits: int = 16) -> DataFrame:
-    """Rows of ``df`` clustered by the Z-order of ``columns`` (same rows, new layout)."""
+           bits: int = 16, bounds: dict[str, tuple] | None = None) -> DataFrame:
+    """Rows of ``df`` clustered by the Z-order of ``columns`` (same rows, new layout).
+
+    ``bounds`` (per column, in ``orderable`` space) can come from somewhere cheaper
+    than ``df`` itself — a calendar's parameters, a dimension's key range — which
+    saves one pass over ``df``; values outside them are clamped, so wrong bounds
+    cost clustering quality, never rows.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     ords = [orderable(c, types[c]) for c in columns]
-    stats = df.agg(*[F.min(o).alias(f"lo{i}") for i, o in enumerate(ords)],
-                   *[F.max(o).alias(f"hi{i}") for i, o in enumerate(ords)]).first()
-    bounds = [(stats[f"lo{i}"], stats[f"hi{i}"]) for i in range(len(columns))]
+    known = bounds or {}
+    missing = [c for c in columns if c not in known]
+    if missing:
+        known = {**known, **zorder_bounds(df, missing)}
+    spans = [known[c] for c in columns]
     # Without an explicit count AQE sizes the range partitions (and so the written
     # files) to the advisory partition size; an explicit count is kept as given.
     # A hot value (a third of all rows on one date and customer) gives one Z value;
     # the row-content hash behind it lets range partitioning split such a run over
     # several partitions. It is deterministic, so a retried task sees the same ranges.
-    keyed = df.withColumns({"_z": zorder_key(ords, bounds, bits),
+    keyed = df.withColumns({"_z": zorder_key(ords, spans, bits),
                             "_t": F.xxhash64(*[F.col(c) for c in df.columns])})
     ranged = (keyed.repartitionByRange(num_partitions, "_z", "_t") if num_partitions
               else keyed.repartitionByRange("_z", "_t"))

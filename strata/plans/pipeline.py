@@ -26,7 +26,7 @@ from strata.functions.casts import cast_boolean_columns
 from strata.functions.timestamps import TS_ERRORS, normalize_timestamps
 from strata.operators import quality as Q
 from strata.operators.dedup import deduplicate
-from strata.operators.layout import zorder
+from strata.operators.layout import zorder, zorder_bounds
 from strata.operators.merge import merge_scd1, merge_small_batch, newer_than
 from strata.operators.star import (build_dim_customer, build_dim_date, build_dim_product,
                                    build_fact_order_line)
@@ -266,7 +266,14 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
         scope = before if touched is None else before.join(touched, "order_id", "left_semi")
         stale = scope.select(*keys).join(delta.select(*keys), list(keys), "left_anti")
         merged = merged.join(stale, list(keys), "left_anti")
-    publish("fact_order_line", zorder(merged, ["date_id", "customer_id"]) if relayout else merged)
+    if relayout:
+        # bounds without a pass over the fact: the calendar's date range and the
+        # customer dimension's key range (values outside are clamped, not lost)
+        lo, hi = (int(d.replace("-", "")) for d in lh.calendar)
+        bounds = {"date_id": (float(lo), float(hi)),
+                  **zorder_bounds(spark.table(lh.name("gold", "dim_customer")), ["customer_id"])}
+        merged = zorder(merged, ["date_id", "customer_id"], bounds=bounds)
+    publish("fact_order_line", merged)
     if new_mark is not None:
         tables.set_property(spark, fact_name, SILVER_MARK, new_mark)
 
