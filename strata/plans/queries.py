@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_boolean_columns
+from strata.functions.dates import date_id
 from strata.functions.timestamps import normalize_timestamps
 from strata.operators import kpi
 from strata.operators import quality as Q
 from strata.operators.dedup import deduplicate, latest_per_key
-from strata.operators.layout import compact, zorder
+from strata.operators.layout import compact, zorder, zorder_bounds
 from strata.operators.merge import merge_newer_wins, merge_scd1, merge_small_batch, newer_than
 from strata.operators.star import dim_date_spanning
 from strata.plans.layers import gold_frames, silver_frames
@@ -415,8 +416,14 @@ def q_counts(spark, sf_dir):
 def q_zorder(spark, sf_dir):
     """The fact written Z-ordered by (date_id, customer_id) and read back."""
     fact = gold_frames(spark, sf_dir)["fact_order_line"]
+    # bounds from one column of orders and of customers, not from a pass over the fact
+    orders = fixtures.table(spark, sf_dir, "orders")
+    bounds = {**zorder_bounds(orders.select(date_id("o_orderdate").alias("date_id")),
+                              ["date_id"]),
+              **zorder_bounds(fixtures.table(spark, sf_dir, "customer")
+                              .select(F.col("c_custkey").alias("customer_id")), ["customer_id"])}
     path = scratch_path(spark, "fact_z")
-    zorder(fact, ["date_id", "customer_id"]).write.parquet(path)
+    zorder(fact, ["date_id", "customer_id"], bounds=bounds).write.parquet(path)
     return spark.read.parquet(path)
 
 
