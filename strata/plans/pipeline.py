@@ -86,6 +86,9 @@ class Lakehouse:
     # silver tables and gold dimensions are bucketed by their key into this many
     # buckets (size it so a bucket file is a few hundred MB); None = plain tables
     buckets: int | None = 16
+    # landed files per bronze micro-batch: a backlog is ingested in bounded,
+    # separately committed steps
+    max_files_per_trigger: int | None = 10_000
 
     def name(self, layer: str, table: str) -> str:
         return f"{getattr(self.ns, layer)}.{table}"
@@ -103,7 +106,8 @@ def run_bronze(lh: Lakehouse, landing: str) -> Q.QualityReport:
     for name, ent in lh.entities.items():
         ingest_new_files(lh.spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
                          lh.path("bronze", name), lh.path("_checkpoints", "bronze", name),
-                         transform=lambda b: normalize_timestamps(b, count_errors=True))
+                         transform=lambda b: normalize_timestamps(b, count_errors=True),
+                         max_files_per_trigger=lh.max_files_per_trigger)
     frames = {n: (lh.bronze(n), e.keys) for n, e in lh.entities.items()}
     report.add_results(Q.pk_nulls(frames))
     # timestamp text that did not parse became NULL: count it (one row per table)

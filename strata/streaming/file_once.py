@@ -38,18 +38,21 @@ def _run(writer) -> None:
 
 def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType, sink: str,
                      checkpoint: str,
-                     transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
+                     transform: Callable[[DataFrame], DataFrame] | None = None,
+                     max_files_per_trigger: int | None = None) -> None:
     """Append every not-yet-seen file under ``path`` to ``sink`` (one folder per batch).
 
     Each micro-batch lands in ``sink/_batch_id=<id>`` with overwrite, so a replay
     after a failure replaces its own folder. ``transform`` (e.g. timestamp
-    normalisation) runs inside the micro-batch.
+    normalisation) runs inside the micro-batch. ``max_files_per_trigger`` splits a
+    large backlog (an initial load) into bounded micro-batches, each committed on
+    its own.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/_batch_id={batch_id}")
 
-    _run(read_new_files(spark, path, schema).writeStream
+    _run(read_new_files(spark, path, schema, max_files_per_trigger).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(write))
 
 

@@ -118,3 +118,26 @@ def test_zorder_with_given_bounds_keeps_rows(spark):
     out = zorder(df, ["date_id", "customer_id"], num_partitions=4,
                  bounds={"date_id": (20240101.0, 20240110.0)})       # too narrow: clamped
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_backlog_in_bounded_micro_batches(spark, tmp_root):
+    ev = fixtures.table(spark, SF_SMALL, "events")
+    landing, sink, ckpt = f"{tmp_root}/landing", f"{tmp_root}/sink", f"{tmp_root}/ckpt"
+    for i in range(3):
+        jsonl.write_batch(ev.filter(F.col("event_id") % 3 == i).coalesce(1), landing, "events",
+                          f"b{i}")
+    file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink, ckpt,
+                               max_files_per_trigger=1)
+    out = spark.read.parquet(sink)
+    assert out.count() == ev.count()
+    assert out.select("_batch_id").distinct().count() == 3     # one file per micro-batch
+
+
+def test_calendar_spanning_the_data(spark):
+    from strata.operators.star import dim_date_spanning
+
+    o = fixtures.table(spark, SF_SMALL, "orders")
+    d = dim_date_spanning(o, "o_orderdate")
+    lo, hi = o.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    r = d.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
+    assert (r[0], r[1]) == (lo, hi) and r[2] == (hi - lo).days + 1
