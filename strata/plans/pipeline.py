@@ -204,10 +204,14 @@ def fact_delta(silver: dict[str, DataFrame], mark: str | None,
     return delta, touched
 
 
-def _silver_high_mark(silver: dict[str, DataFrame]) -> str | None:
-    marks = [df.agg(F.max(LINEAGE_EXTRACTED_AT).cast("string").alias("m")) for df in
-             silver.values()]
-    return Q._union(marks).agg(F.max("m")).first()[0]
+def _silver_high_mark(silver: dict[str, DataFrame], mark: str | None) -> str | None:
+    """Newest lineage time in silver. Only rows newer than the previous mark are
+    read: the predicate reaches the scan, so row groups whose max ``_extracted_at``
+    is not newer are skipped. Nothing new keeps the previous mark."""
+    marks = [changed_since(df, mark).agg(F.max(LINEAGE_EXTRACTED_AT).cast("string").alias("m"))
+             for df in silver.values()]
+    newest = Q._union(marks).agg(F.max("m")).first()[0]
+    return newest if newest is not None else mark
 
 
 def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = True,
@@ -231,7 +235,7 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
     where = lh.path("tables")
     fact_name = lh.name("gold", "fact_order_line")
     mark = tables.get_property(spark, fact_name, SILVER_MARK) if incremental else None
-    new_mark = _silver_high_mark(silver)
+    new_mark = _silver_high_mark(silver, mark)
 
     def upsert(table: str, source: DataFrame, keys, bucketed: bool = True) -> DataFrame:
         name = lh.name("gold", table)
