@@ -97,3 +97,15 @@ def test_fact_partitioning_is_reused(spark):
         for k, v in prev.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert plan.count("Exchange hashpartitioning") == 9
+
+
+@pytest.mark.parametrize("name,key", [("kpi_top_products", "product_id"),
+                                      ("kpi_customer_ltv", "customer_id")])
+def test_fact_is_aggregated_before_the_dimension_join(spark, name, key):
+    """K2/K4 reduce the fact to one row per product / customer before joining the
+    dimension: the top join's input on the fact side is already an aggregate."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    top_join = next(i for i, ln in enumerate(lines) if "Join Inner" in ln)
+    below = "\n".join(lines[top_join + 1:])
+    assert f"Aggregate [{key}" in below
