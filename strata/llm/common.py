@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from urllib.parse import urlparse
 
 import numpy as np
@@ -23,9 +24,28 @@ from strata.session import configure, scratch_path
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python once per application: they need not have it
+    installed and share no folder with the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._strata_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on (small Arrow batches, AQE)."""
     configure(spark)
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -51,11 +71,11 @@ def unpack(df: DataFrame, names: list[str], *more):
     return df.select(*[F.col("row").getField(c).alias(c) for c in names], *more)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back: a lineage cut that outlives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,3 +1,45 @@
-"""DuckDB SQL for the operators' queries that SQL can express."""
+"""DuckDB SQL for the operators' queries that SQL can express, on the whole tables."""
 
-QUERIES: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = (r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+          + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, list_slice(w, i, i + least(len(w), 10) - 1) AS win, least(len(w), 10) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+cuts AS (
+  SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT c.doc_id, c.i, c.n, x.item FROM cuts c JOIN windows x USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+  (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_KEY = _LOWER.format(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")
+
+LINE_DEDUP = f"""
+WITH lines AS (
+  SELECT doc_id, i, line, {_KEY} AS key FROM (
+    SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+frequent AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key
+  HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN frequent f USING (key) GROUP BY doc_id
+"""
+
+QUERIES: dict[str, str] = {
+    "op2_winnowing_decontamination": DECONTAMINATION,
+    "op6_cuckoo_line_dedup": LINE_DEDUP,
+}

@@ -20,3 +20,25 @@ def op1_minhash_near_dedup(spark, sf_dir):
 
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query
+def op2_winnowing_decontamination(spark, sf_dir):
+    from strata.llm.decontaminate import decontaminate
+
+    d = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                      keep_columns=False)
+    return d.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+                    F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                    (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op6_cuckoo_line_dedup(spark, sf_dir):
+    from strata.llm.line_dedup import line_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, threshold=10, min_chars=1).select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
