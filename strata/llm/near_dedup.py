@@ -5,11 +5,14 @@ shingle sets form a class at once (count and a 128-bit sum over the whole set);
 inverted lists of retained values; a pair goes on if the union sketch (k smallest of both)
 estimates enough overlap; the pair's exact Jaccard over all shingles decides.
 
-No list is expanded into all its pairs. Two sketches whose union sketch must share ``need``
-values share one of their ``len - need + 1`` rarest values, so only those are listed. Each list
-first pairs its members with its smallest one; that already joins a large group of near copies
-into one component, and only members of one list that are then still in *different* components
-are paired, in blocks, until none is left untested.
+No list is expanded into all its pairs. Two sketches that must share ``need`` values share one of
+their ``size - need + 1`` rarest values, so only those are listed. In each list the most popular
+member (its values are the most frequent ones, so it lies in the middle of a group of near copies)
+is paired with the others, which joins a large group into one component. Left are members of one
+list in *different* components. Their whole shingle sets are ordered, first those that no other
+component has, then the rarest; a pair can only reach the similarity if its first common shingle
+stands early in both (prefix and position bounds), which leaves few pairs. So every pair of
+different components that shares a listed value is decided exactly.
 """
 
 from __future__ import annotations
@@ -26,12 +29,14 @@ from strata.llm.components import connected_components
 from strata.llm.kernels import mix, shingle_sets
 
 #: Words of a shingle, similarity in hundredths, retained values of a sketch.
-SHINGLE, PERCENT, K = 5, 75, 48
-#: A pair stays a candidate while a third of its union sketch is shared. At a true similarity
-#: of 0.75 the chance of less (binomial tail, k = 48) is 1e-8; exact for texts up to k shingles.
-NEED = 3
+SHINGLE, PERCENT, K = 5, 75, 64
+#: A pair stays a candidate while this share of its union sketch (hundredths) is in both. At a
+#: true similarity of 0.75 the chance of less is 2e-8 (binomial tail, k = 64).
+SHARE = 40
 #: Members of a list block in the second round.
 BLOCK = 256
+#: Largest table of ids (long) that is broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 250_000
 
 L = T.LongType()
 
@@ -86,7 +91,20 @@ def _exact(shingle: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, shingle: int,
+def _every(shingle: int):
+    """Each distinct shingle of each class text."""
+    def run(batches):
+        for b in batches:
+            sets = list(shingle_sets(b.column("text"), shingle))
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(b.column(c).to_numpy(), sizes)) for c in ("cid", "root")]
+                + [pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))],
+                names=["cid", "root", "value"])
+    return run
+
+
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, shingle: int,
            percent: int) -> DataFrame:
     """Pairs (u, v) of classes that pass the union-sketch estimate and then the exact check."""
     pairs = materialise(pairs, "pairs")
@@ -94,19 +112,71 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, shingl
     both = (pairs.join(sk.toDF("u", "su"), "u").join(sk.toDF("v", "sv"), "v")
             .withColumn("best", F.slice(F.array_sort(F.array_union("su", "sv")), 1, k))
             .withColumn("shared", F.size(F.array_intersect(F.array_intersect("su", "sv"), "best")))
-            .where(F.col("shared") * NEED >= F.size("best")).select("u", "v"))
-    both = materialise(both, "candidates")
-    wanted = both.select(F.col("u").alias("cid")).unionAll(
-        both.select(F.col("v").alias("cid"))).distinct()
-    text = materialise(sets.select(F.col("rid").alias("cid"), F.col("row.text").alias("text"))
-                       .join(wanted, "cid"), "texts")
-    # u's text travels to v: v, the list's smallest member, may be hot, but u's texts are
-    # moved once a pair and AQE splits a hot v
-    rows = (both.join(text.toDF("u", "tu"), "u").join(text.toDF("v", "tv"), "v")
+            .where(F.col("shared") * 100 >= F.size("best") * SHARE).select("u", "v"))
+    # u's text travels to v: v, the list's head, may be hot, but u's texts are moved once a
+    # pair and AQE splits a hot v
+    rows = (both.join(texts.toDF("u", "tu"), "u").join(texts.toDF("v", "tv"), "v")
             .select("u", "v", "tu", "tv"))
     return materialise(rows.mapInArrow(_exact(shingle, percent), "u long, v long"), "links")
 
 
+def _texts(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cid, text) of the wanted classes."""
+    wanted = materialise(wanted.select("cid").distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return materialise(sets.select(F.col("rid").alias("cid"), F.col("row.text").alias("text"))
+                       .join(wanted, "cid"), "texts")
+
+
+def _leftover_pairs(left: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose whole sets may reach the similarity.
+
+    A pair of sizes a <= b needs an overlap of need = t / (1 + t) * (a + b); with its first
+    common shingle at positions p and q of the common order, it has at most
+    1 + min(a - p, b - q). Hence p lies in the first a - 2t / (1 + t) * a + 1 places and q in
+    the first b - t * b + 1.
+    """
+    n, t = F.col("n"), percent
+    freq = (shingles.groupBy("value").agg(F.count("*").alias("freq"), F.min("root").alias("lo"),
+                                          F.max("root").alias("hi"))
+            .where("lo <> hi").select("value", "freq"))
+    room = n - F.ceil(n * t / 100) + 1 - F.col("own")
+    early = (shingles.join(freq, "value").groupBy("cid")
+             .agg(F.array_sort(F.collect_list(F.struct("freq", "value"))).alias("vs"))
+             .join(left, "cid")
+             .withColumn("own", n - F.size("vs")).where(room > 0)
+             .select("cid", "n", "root", "own",
+                     F.posexplode(F.slice("vs", F.lit(1), room.cast("int"))).alias("i", "e"))
+             .select("cid", "n", "root", F.col("e.value").alias("value"),
+                     (F.col("own") + F.col("i") + 1).alias("place")))
+    early = materialise(early, "early")
+    # members of a list's largest component never meet: they are dealt over blocks, and the
+    # other members visit every block
+    main = (early.groupBy("value", "root").agg(F.count("*").alias("c")).groupBy("value")
+            .agg(F.max_by("root", "c").alias("main"), F.sum("c").alias("members"),
+                 F.count("*").alias("roots")).where("roots > 1")
+            .withColumn("blocks", F.ceil(F.col("members") / BLOCK))
+            .select("value", "main", "blocks"))
+    last = F.col("blocks") - 1
+    mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    minor = F.col("root") != F.col("main")
+    dealt = (early.join(main, "value").withColumn("minor", minor)
+             .withColumn("block", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0).cast("long"), last))
+                                            .otherwise(F.array(mine))))
+             .select("value", "block", "minor", "cid", "n", "root", "place"))
+    small = dealt.where(F.col("place") <= n - F.ceil(n * 2 * t / (100 + t)) + 1).select(
+        "value", "block", *[F.col(c).alias(f"{c}2") for c in ("minor", "cid", "n", "root", "place")])
+    need = F.col("n") + F.col("n2")
+    at_most = 1 + F.least(n - F.col("place"), F.col("n2") - F.col("place2"))
+    return (dealt.join(small, ["value", "block"])
+            .where((F.col("root") != F.col("root2")) & (F.col("n2") <= n)
+                   & (F.col("n2") * 100 >= n * t) & (at_most * (100 + t) >= need * t)
+                   & (~(F.col("minor") & F.col("minor2")) | (F.col("block") == 0)))
+            .select(F.greatest("cid", "cid2").alias("u"), F.least("cid", "cid2").alias("v"))
+            .distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
                     k: int = K) -> DataFrame:
     """Each row of ``docs`` (as struct ``row``) with n_shingles, component_id (smallest doc_id
@@ -129,54 +199,48 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         sets.where("n > 0").groupBy(*key).agg(F.min("rid").alias("cid"), first.alias("first"),
                                               F.any_value("sketch").alias("sketch")), "classes")
 
-    # inverted lists of retained values, rarest first
+    # inverted lists of retained values, rarest first. A text so short that any partner's
+    # sketch is whole must share the full percentage of its own shingles
     entries = classes.select("cid", "n", F.explode("sketch").alias("value"))
     often = entries.groupBy("value").agg(F.count("*").alias("freq")).where("freq > 1")
     size = F.least("n", F.lit(k))
+    need = F.ceil(size * F.when(F.col("n") * 100 <= k * percent, percent).otherwise(SHARE) / 100)
     listed = (entries.join(often, "value").groupBy("cid", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("freq", "value"))).alias("vs"))
+              .agg(F.array_sort(F.collect_list(F.struct("freq", "value"))).alias("vs"),
+                   F.sum("freq").alias("weight"))
               # values of one class only are the rarest of all and take their places first
-              .withColumn("room", size - F.ceil(size / NEED) + 1 - (size - F.size("vs")))
+              .withColumn("room", size - need + 1 - (size - F.size("vs")))
               .where("room > 0")
-              .select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("room").cast("int")))
-                      .alias("e")).select("cid", "n", F.col("e.value").alias("value")))
+              .select("cid", "n", "weight",
+                      F.explode(F.slice("vs", F.lit(1), F.col("room").cast("int"))).alias("e"))
+              .select("cid", "n", "weight", F.col("e.value").alias("value")))
     listed = materialise(listed, "lists")
 
     def near(a, b):
         """Sizes that allow the similarity."""
         return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
 
-    heads = listed.groupBy("value").agg(F.min(F.struct("cid", "n")).alias("head"),
+    heads = listed.groupBy("value").agg(F.max(F.struct("weight", "cid", "n")).alias("head"),
                                         F.count("*").alias("members")).where("members > 1")
-    stars = (listed.join(heads, "value").where(F.col("cid") != F.col("head.cid"))
-             .where(near(F.col("n"), F.col("head.n")))
-             .select(F.col("cid").alias("u"), F.col("head.cid").alias("v")).distinct())
-    links = _links(stars, classes, sets, k, shingle, percent)
-    comps = materialise(connected_components(links), "comps")
+    starred = listed.join(heads, "value").where(F.col("cid") != F.col("head.cid"))
+    texts = _texts(sets, listed.join(heads, "value"))
+    links = _links(starred.where(near(F.col("n"), F.col("head.n")))
+                   .select(F.col("cid").alias("u"), F.col("head.cid").alias("v")).distinct(),
+                   classes, texts, k, shingle, percent)
+    comps = connected_components(links)
 
     # what the stars left: members of one list in different components
-    rest = (listed.join(heads.where("members > 2"), "value")
-            .where(F.col("cid") != F.col("head.cid")).select("value", "cid", "n")
+    rest = (starred.where("members > 2").select("value", "cid", "n")
             .join(comps.withColumnRenamed("node", "cid"), "cid", "left")
             .withColumn("root", F.coalesce("root", "cid")))
-    mixed = (rest.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                       F.count("*").alias("members")).where("lo <> hi")
-             .withColumn("blocks", F.ceil(F.col("members") / BLOCK)).select("value", "blocks"))
-    rest = materialise(rest.join(mixed, "value")
-                       .withColumn("mine", F.pmod(F.hash("cid"), F.col("blocks"))), "rest")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    # members of blocks i and j meet under (value, i, j), the larger cid on the left
-    left = rest.select("value", "cid", "n", "root", "mine", other.alias("theirs"))
-    right = left.select("value", F.col("theirs").alias("mine"), F.col("mine").alias("theirs"),
-                        F.col("cid").alias("cid2"), F.col("n").alias("n2"),
-                        F.col("root").alias("root2"))
-    cross = (left.join(right, ["value", "mine", "theirs"])
-             .where((F.col("cid") > F.col("cid2")) & (F.col("root") != F.col("root2"))
-                    & near(F.col("n"), F.col("n2")))
-             .select(F.col("cid").alias("u"), F.col("cid2").alias("v")).distinct())
-    more = _links(cross, classes, sets, k, shingle, percent)
+    several = (rest.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .where("lo <> hi").select("value"))
+    left = materialise(rest.join(several, "value").select("cid", "n", "root").distinct(), "left")
+    shingles = materialise(texts.join(left.drop("n"), "cid").mapInArrow(
+        _every(shingle), "cid long, root long, value long"), "shingles")
+    more = _links(_leftover_pairs(left, shingles, percent), classes, texts, k, shingle, percent)
     if not more.isEmpty():
-        comps = materialise(connected_components(links.unionAll(more)), "comps")
+        comps = connected_components(links.unionAll(more))
 
     grouped = (classes.select(*key, "cid", "first")
                .join(comps.withColumnRenamed("node", "cid"), "cid", "left")
