@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 _SEGMENT = 1 << 18  # bytes hashed at once; keeps the power tables in the CPU cache
-_BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)  # odd
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,7 +33,8 @@ def _byte_values(seed: int) -> np.ndarray:
     return t
 
 
-_VALUES = (_byte_values(1), _byte_values(2))
+#: Two lower-casing tables, and one that tells cases apart.
+_VALUES = (_byte_values(1), _byte_values(2), mix(np.arange(256, dtype=U) + U(3000)))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -95,7 +96,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0):
-    """64-bit hash of each byte range (ascending, disjoint), A-Z taken as a-z."""
+    """64-bit hash of each byte range (ascending, disjoint); 0 and 1 take A-Z as a-z."""
     out = np.empty(len(starts), U)
     values, i, n = _VALUES[which], 0, len(starts)
     while i < n:
@@ -134,10 +135,10 @@ def grams(h: np.ndarray, k: int, which: int = 0) -> np.ndarray:
 class Words:
     """The words of a batch of texts: byte ranges, hashes and the words of each text."""
 
-    def __init__(self, texts: pa.Array, inside: np.ndarray):
+    def __init__(self, texts: pa.Array, inside: np.ndarray, which: int = 0):
         self.data, self.offsets = flat(texts)
         self.starts, self.ends = runs(self.data, self.offsets, inside)
-        self.hash = hash_ranges(self.data, self.starts, self.ends)
+        self.hash = hash_ranges(self.data, self.starts, self.ends, which)
         #: words of text i are bounds[i]:bounds[i + 1]
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.bounds)

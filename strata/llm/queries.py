@@ -42,3 +42,75 @@ def op6_cuckoo_line_dedup(spark, sf_dir):
     return line_dedup(docs, threshold=10, min_chars=1).select(
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped",
         F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op7_vector_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from strata.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                end_id=1, tokens=4096).drop("ids")
+
+
+@query
+def op9_centroid_language_id(spark, sf_dir):
+    from strata.llm.language_id import fit_documents, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs.select("doc_id", "text"), fit_documents(docs)).select(
+        F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "rejected",
+    ).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op5_entropy_secret_scan(spark, sf_dir):
+    from strata.llm.secret_scan import KINDS, joined, scan
+
+    d = scan(table(spark, sf_dir, "documents"), keep_columns=False)
+    kinds = F.transform("spans", lambda s: s["kind"])
+    return d.select(F.col("row.doc_id").alias("doc_id"),
+                    *[F.size(F.filter(kinds, lambda x, k=k: x == k)).cast("long").alias(f"n_{k}")
+                      for k in KINDS],
+                    F.sha2(joined(kinds=KINDS[:3]), 256).alias("base_sha256"),
+                    joined().alias("spans"))
+
+
+@query
+def op10_best_fit_sharding(spark, sf_dir):
+    from strata.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    from strata.llm.token_files import read_tokens, write_tokens
+
+    docs = table(spark, sf_dir, "documents")
+    manifest = write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_tokens(manifest, docs.schema["doc_id"].dataType)
+
+
+@query
+def op4_ngram_quality_ratio(spark, sf_dir):
+    from strata.llm.quality_ratio import fit, judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, fit(docs, table(spark, sf_dir, "labels"))).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "score")
+
+
+@query
+def op8_markov_url_filter(spark, sf_dir):
+    from strata.llm.url_model import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"),
+                       [("block", "net/"), ("allow", "example.net/en/"),
+                        ("block", "example.com/de/"), ("allow", "org/fr/")])
