@@ -69,10 +69,12 @@ def op5_entropy_secret_scan(spark, sf_dir):
     from strata.llm.secret_scan import KINDS, joined, scan
 
     d = scan(table(spark, sf_dir, "documents"), keep_columns=False)
-    kinds = F.transform("spans", lambda s: s["kind"])
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     return d.select(F.col("row.doc_id").alias("doc_id"),
-                    *[F.size(F.filter(kinds, lambda x, k=k: x == k)).cast("long").alias(f"n_{k}")
-                      for k in KINDS],
+                    *[number(k).alias(f"n_{k}") for k in KINDS],
                     F.sha2(joined(kinds=KINDS[:3]), 256).alias("base_sha256"),
                     joined().alias("spans"))
 

@@ -161,7 +161,7 @@ def shard_documents(docs: DataFrame, shards: int | None = None, capacity: int |
     placed = (rows.withColumn("unit", unit)
               .join(F.broadcast(of_group), "key", "left").join(F.broadcast(of_unit), "unit", "left")
               .select("doc_id", "size", "text_crc32", F.coalesce("own", "dealt").alias("shard")))
-    schema = placed.schema.add("part", "int").add("rank", "long")
+    schema = placed.select("*").schema.add("part", "integer").add("rank", "long")
     placed = materialise(placed.mapInArrow(_slots, schema), "placed")
     before = (Window.partitionBy("shard").orderBy("part")
               .rowsBetween(Window.unboundedPreceding, -1))

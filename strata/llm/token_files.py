@@ -69,14 +69,17 @@ def _write(path: str, end_id: int, folder: str):
 def _offsets(batches):
     """Add each shard's base to its running counts and write the offsets file."""
     for b in batches:
+        files = []
         for name, base in zip(b.column("name").to_pylist(), b.column("base").to_pylist()):
             counts = map_file(f"{name}.counts", "<i8")
             out = np.empty(len(counts) + 1, "<i8")
             out[0] = base
             np.cumsum(counts, out=out[1:])
             out[1:] += base
-            write_bytes(f"{name}-{base}.offsets", [out])
-        yield b
+            files.append(f"{name}-{uuid.uuid4().hex}.offsets")
+            write_bytes(files[-1], [out])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(files, pa.string())],
+                                         names=[*b.schema.names, "offsets"])
 
 
 def _read(batches):
@@ -84,7 +87,7 @@ def _read(batches):
     for b in batches:
         for r in b.to_pylist():
             ids = map_file(f"{r['name']}.ids", r["kind"])
-            offsets = map_file(f"{r['name']}-{r['base']}.offsets", "<i8")
+            offsets = map_file(r["offsets"], "<i8")
             docs = pa.ipc.open_file(pa.py_buffer(map_file(f"{r['name']}.docs", np.uint8)))
             doc_id = docs.read_all().column("doc_id")
             at = np.asarray(offsets) - r["base"]
@@ -104,7 +107,7 @@ def _read(batches):
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None):
     """Write every document's ids and ``end_id`` in ascending doc_id order (nulls first, equal
     ids by a hash of their text); returns the manifest, a row per shard: name, kind, docs, ids,
-    base. Null and empty texts are ``end_id`` alone. An empty table makes an empty manifest."""
+    base, offsets. Null and empty texts are ``end_id`` alone. An empty table makes an empty manifest."""
     spark = prepare(docs.sparkSession)
     folder = folder or scratch_path(spark, "llm-tokens")
     order = F.xxhash64("text").alias("order")
@@ -120,7 +123,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
               .rowsBetween(Window.unboundedPreceding, -1))
     based = shards.select("name", "kind", "docs", "ids",
                           F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return materialise(based.repartition("name").mapInArrow(_offsets, based.schema), "manifest")
+    schema = based.select("*", F.lit("").alias("offsets")).schema
+    return materialise(based.repartition("name").mapInArrow(_offsets, schema), "manifest")
 
 
 def read_tokens(manifest: DataFrame, doc_id_type) -> DataFrame:
