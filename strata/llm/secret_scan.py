@@ -71,9 +71,9 @@ def high_entropy(s: str, window: int, bits: dict[str, float]) -> list[tuple[int,
             kinds["hex"] += by
 
     for i, ch in enumerate(s):
-        change(ch, 1)
         if i >= window:
             change(s[i - window], -1)
+        change(ch, 1)
         if i < window - 1:
             continue
         letters = kinds["upper"] + kinds["lower"]
