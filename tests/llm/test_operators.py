@@ -383,7 +383,7 @@ def test_odd_rows(spark, odd):
     assert sorted(out["clean"].n_hit)[-3:] == [10, 10, 10] and out["clean"].n_hit.sum() == 30
     assert out["lines"].n_dropped.sum() == 6
     assert out["tokens"].n_tokens.min() == 1 and out["tokens"].start.nunique() == 11
-    assert set(out["language"][out["language"].score == 0].lang_pred) == {"und"}
+    assert (out["language"].lang_pred == "und").sum() == 5 and out["language"].rejected.sum() >= 5
     assert out["shards"].shard.notna().all()
     first = out["packed"].groupby(out["packed"].piece).size()
     assert first[0] == 11 and len(first) > 1
