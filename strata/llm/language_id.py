@@ -30,30 +30,28 @@ REJECT, GRAMS = 0.5, 100
 _ROUNDS = 12  # of k-means
 
 _LETTER = byte_class(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
-_FOLD = np.where(_LETTER, np.arange(256) | np.where(np.arange(256) < 0x80, 0x20, 0), 0x20)
+_FOLD = np.where(_LETTER, np.arange(256) | np.where(np.arange(256) < 0x80, 0x20, 0),
+                 0x20).astype(np.uint32)
 
 
 def vectors(texts: pa.Array, buckets: int, step: int = 128):
     """Term-frequency rows (float32, 1 + log of the count) of the texts, some at a time."""
     data, offsets = flat(texts)
-    b = _FOLD.astype(np.uint32)[data]
-    two = b[:-1] * np.uint32(257) + b[1:]
-    h2 = ((two * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(buckets)
-    three = two[:-1] * np.uint32(263) + b[2:]
-    h3 = ((three * np.uint32(2246822519)) >> np.uint32(15)) % np.uint32(buckets)
-    blank = b == 0x20
-    keep2 = ~(blank[:-1] & blank[1:])
     for i in range(0, len(offsets) - 1, step):
-        o = offsets[i:i + step + 1]
+        o = offsets[i:i + step + 1] - offsets[i]
+        b = _FOLD[data[offsets[i]:offsets[i] + o[-1]]]
         n = len(o) - 1
+        doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(o))
+        two = b[:-1] * np.uint32(257) + b[1:]
+        three = two[:-1] * np.uint32(263) + b[2:]
         counts = np.zeros(n * buckets, np.int64)
-        for h, size, keep in ((h2, 2, keep2), (h3, 3, None)):
-            doc = np.repeat(np.arange(n), np.diff(o))[:max(0, len(h) - o[0])]
-            pos = np.arange(o[0], o[0] + len(doc))
-            ok = pos + size <= o[1:][doc]  # grams don't run into the next text
-            if keep is not None:
-                ok &= keep[pos]
-            counts += np.bincount(doc[ok] * buckets + h[pos[ok]], minlength=n * buckets)
+        for h, by, shift, size in ((two, 2654435761, 16, 2), (three, 2246822519, 15, 3)):
+            ok = doc[:len(h)] == doc[size - 1:]  # grams don't run into the next text
+            if size == 2:
+                ok &= (b[:-1] != 0x20) | (b[1:] != 0x20)
+            bucket = ((h[ok] * np.uint32(by)) >> np.uint32(shift)) % np.uint32(buckets)
+            counts += np.bincount(doc[:len(h)][ok] * np.int64(buckets) + bucket,
+                                  minlength=n * buckets)
         x = counts.reshape(n, buckets).astype(np.float32)
         yield np.where(x > 0, 1 + np.log(np.maximum(x, 1)), 0).astype(np.float32)
 

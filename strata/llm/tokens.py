@@ -19,7 +19,7 @@ import numpy as np
 
 #: Parts kept in a task's memory (about 200 bytes each). Beyond it, those of the current batch
 #: stay, which holds the frequent ones.
-CACHED = 400_000
+CACHED = 300_000
 _BLOCK = 4000  # words encoded as one line
 _ENDS = string.punctuation.replace("'", "")
 
@@ -33,8 +33,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | bool] = {}
+        self.later: dict[str, bytes | bool] = {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.at_end = bool(suffix)
@@ -65,17 +65,14 @@ class Encoder:
                 out += self.whole([" " + w for w in some])
         return out
 
-    def _learn(self, parts: set) -> None:
+    def _learn(self, new: set) -> None:
         have = self.later
-        new = [p for p in parts if p not in have]
-        if len(have) + len(new) > self.cached:
-            self.later = have = {p: have[p] for p in parts if p in have}
         words, ended, other = [], [], []
         for p in new:
             if p.isalpha():
                 words.append(p)
             elif not p or p[0].isspace() or p[-1].isspace() or "<|" in p:
-                have[p] = None  # not a safe place to cut
+                have[p] = False  # not a safe place to cut
             elif p[-1] in _ENDS and (stem := p.rstrip(_ENDS)).isalpha():
                 ended.append((p, stem, p[len(stem):]))
             else:
@@ -89,30 +86,40 @@ class Encoder:
             have[p] = have[stem] + ids[tail]
         have.update(zip(other, self.whole([" " + p for p in other])))
 
-    def _begin(self, part: str) -> bytes | None:
+    def _begin(self, part: str) -> bytes | bool:
         """Ids of a text's first part, which has no blank in front."""
         if part not in self.first:
             if len(self.first) >= self.cached // 10:
                 self.first.clear()
             safe = part and not part[0].isspace() and not part[-1].isspace() and "<|" not in part
-            self.first[part] = self.whole([part])[0] if safe else None
+            self.first[part] = self.whole([part])[0] if safe else False
         return self.first[part]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
         split = [t.split(" ") if t else [] for t in texts]
-        parts: set = set()
+        known, new = [], set()
         for s in split:
-            parts.update(s[1:])
-        self._learn(parts)
+            ids = list(map(self.later.get, s))
+            ids[:1] = [b""]  # the first part is another's work
+            if None in ids:
+                new.update([p for p, v in zip(s, ids) if v is None])
+            known.append(ids)
+        if len(self.later) + len(new) > self.cached:
+            self.later = {p: v for s, ids in zip(split, known)
+                          for p, v in zip(s[1:], ids[1:]) if v is not None}
+        self._learn(new)
         out: list[bytes] = []
-        for t, s in zip(texts, split):
+        have = self.later
+        for t, s, ids in zip(texts, split, known):
             if not s:
                 out.append(b"")
                 continue
+            if None in ids:
+                ids = [have[p] if v is None else v for p, v in zip(s, ids)]
+            ids[0] = self._begin(s[0])
             try:
-                later = b"".join(map(self.later.__getitem__, s[1:]))
-                out.append(self._begin(s[0]) + later)
+                out.append(b"".join(ids))
             except TypeError:  # a part that is no safe cut
                 out.append(self.whole([t])[0])
         return out
