@@ -6,6 +6,9 @@ lost executor costs a reread and not a recomputation, and nothing depends on a l
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -21,7 +24,7 @@ from pyspark.sql import types as T
 from strata.session import configure, scratch_path
 
 #: Rows and bytes of one Arrow batch that goes to a Python task: bounds its memory.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def _ship(spark: SparkSession) -> None:
@@ -122,6 +125,14 @@ def map_file(uri: str, dtype) -> np.ndarray:
         return np.memmap(tmp, dtype, mode="r")
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: Python workers are used again by later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # --- Arrow helpers ------------------------------------------------------------------------
 
 def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:

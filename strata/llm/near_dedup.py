@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import as_row, fields, list_array, materialise, prepare, text_of
+from strata.llm.common import as_row, fields, list_array, materialise, prepare, text_of, tidy
 from strata.llm.components import connected_components
 from strata.llm.kernels import mix, shingle_sets
 
@@ -62,6 +62,7 @@ def _signature(shingle: int, k: int):
                 [pa.array(ids), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]),
                  list_array(sketch, cut, pa.int64()), b.column("row")],
                 names=["rid", "n", "h1", "h2", "sketch", "row"])
+        tidy()
     return run
 
 

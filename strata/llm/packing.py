@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import as_row, materialise, prepare, text_of
+from strata.llm.common import as_row, materialise, prepare, text_of, tidy
 from strata.llm.tokens import Encoder
 
 #: Capacities of a sequence. A sequence of n tokens has at most n documents and a cost of n * n,
@@ -105,6 +105,7 @@ def _cut(path: str, tokens: int, end_id: int):
     """Documents -> pieces with their ids and their rank among the task's pieces of a length."""
     def run(batches):
         encoder, seen, part = Encoder(path), {}, TaskContext.get().partitionId()
+        row = cols = None
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             row, cols = [], {k: [] for k in ("piece", "start", "length", "rank", "ids", "crc")}
@@ -125,6 +126,8 @@ def _cut(path: str, tokens: int, end_id: int):
                  pa.array(cols["rank"], pa.int64()), pa.array(cols["ids"], pa.binary()),
                  pa.array(cols["crc"], pa.int64())],
                 names=["row", "part", "piece", "start", "length", "rank", "ids", "ids_crc32"])
+        del encoder, row, cols
+        tidy()
     return run
 
 
