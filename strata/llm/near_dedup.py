@@ -106,14 +106,16 @@ def _every(shingle: int):
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, shingle: int,
-           percent: int) -> DataFrame:
+           percent: int, estimate: bool = True) -> DataFrame:
     """Pairs (u, v) of classes that pass the union-sketch estimate and then the exact check."""
-    pairs = materialise(pairs, "pairs")
+    both = pairs = materialise(pairs, "pairs")
     sk = classes.select("cid", "sketch")
-    both = (pairs.join(sk.toDF("u", "su"), "u").join(sk.toDF("v", "sv"), "v")
-            .withColumn("best", F.slice(F.array_sort(F.array_union("su", "sv")), 1, k))
-            .withColumn("shared", F.size(F.array_intersect(F.array_intersect("su", "sv"), "best")))
-            .where(F.col("shared") * 100 >= F.size("best") * SHARE).select("u", "v"))
+    if estimate:
+        both = (pairs.join(sk.toDF("u", "su"), "u").join(sk.toDF("v", "sv"), "v")
+                .withColumn("best", F.slice(F.array_sort(F.array_union("su", "sv")), 1, k))
+                .withColumn("shared", F.size(F.array_intersect(F.array_intersect("su", "sv"),
+                                                               "best")))
+                .where(F.col("shared") * 100 >= F.size("best") * SHARE).select("u", "v"))
     # u's text travels to v: v, the list's head, may be hot, but u's texts are moved once a
     # pair and AQE splits a hot v
     rows = (both.join(texts.toDF("u", "tu"), "u").join(texts.toDF("v", "tv"), "v")
@@ -239,7 +241,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     left = materialise(rest.join(several, "value").select("cid", "n", "root").distinct(), "left")
     shingles = materialise(texts.join(left.drop("n"), "cid").mapInArrow(
         _every(shingle), "cid long, root long, value long"), "shingles")
-    more = _links(_leftover_pairs(left, shingles, percent), classes, texts, k, shingle, percent)
+    # these pairs passed exact bounds over whole sets, which say more than sketches
+    more = _links(_leftover_pairs(left, shingles, percent), classes, texts, k, shingle, percent,
+                  estimate=False)
     if not more.isEmpty():
         comps = connected_components(links.unionAll(more))
 
