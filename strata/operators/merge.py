@@ -162,25 +162,29 @@ def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       max_batch_rows: int = 1_000_000,
                       max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Same result as ``merge_frames`` (without pruning) for a batch whose size is
-    checked to be at most ``max_batch_rows`` rows and about ``max_broadcast_bytes``
-    (rows x estimated row width); the table itself is never shuffled.
+    measured to be at most ``max_batch_rows`` rows and ``max_broadcast_bytes`` (fixed
+    widths, plus the bytes of its texts); the table itself is never shuffled.
 
-    Above the bound it falls back to the full-outer plan. The batch must have
-    unique keys (dedup first). Under the bound the batch is checkpointed to the
-    shared checkpoint folder: it is then computed once for the three joins that
-    use it, and a lost executor re-reads it instead of replaying its lineage.
+    Above the bound it falls back to the full-outer plan; a key that the batch holds
+    twice fails the job on either path. The batch is checkpointed to the shared
+    checkpoint folder: it is then computed once for its size and the joins that use
+    it, and a lost executor re-reads it instead of replaying its lineage.
     """
-    bound = min(max_batch_rows, max_broadcast_bytes // estimated_row_bytes(source.schema))
-    n = source.limit(bound + 1).count()
-    if n > bound:
-        return merge_frames(target, source, keys, update_when=update_when,
-                            insert_when=insert_when)
     checkpoint_root(source.sparkSession)
     source = source.checkpoint(eager=True)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in source.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = source.agg(F.count(F.lit(1)).alias("n"), F.coalesce(
+        F.sum(reduce(lambda a, b: a + b, texts, F.lit(0)).cast("long")), F.lit(0)).alias("b")).first()
+    if (size["n"] > max_batch_rows
+            or size["n"] * estimated_row_bytes(source.schema) + size["b"] > max_broadcast_bytes):
+        return merge_frames(target, source, keys, update_when=update_when,
+                            insert_when=insert_when)
     keys = list(keys)
     scols = set(source.columns)
     t = _side(target, "_t_", F.lit(True))
-    s = F.broadcast(_side(source, "_s_", F.lit(True)))
+    s = _side(source, "_s_", F.lit(True))
+    s = F.broadcast(s.withColumn("_s__in", _unique_guard(["_s_" + k for k in keys], keys)))
     on = _all([F.col("_t_" + k) == F.col("_s_" + k) for k in keys])
     tr, sr = _Row("_t_"), _Row("_s_")
     s_in = sr["_in"].isNotNull()
@@ -190,9 +194,9 @@ def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str],
         F.when(F.col("_take"), sr[f.name].cast(f.dataType) if f.name in scols else tr[f.name])
         .otherwise(tr[f.name]).alias(f.name) for f in target.schema.fields])
     # batch rows whose key the table lacks: anti join against the matched keys only,
-    # which are at most the batch's own (checked) size
+    # distinct, so at most the batch's own (checked) size
     matched = (t.join(s, on, "left_semi")
-                .select(*[F.col("_t_" + k).alias("_m_" + k) for k in keys]))
+                .select(*[F.col("_t_" + k).alias("_m_" + k) for k in keys]).distinct())
     m_on = _all([F.col("_s_" + k) == F.col("_m_" + k) for k in keys])
     fresh = (s.join(F.broadcast(matched), m_on, "left_anti")
               .filter(_true(insert_when(sr)))

@@ -131,7 +131,7 @@ def q_dedup(spark, sf_dir):
 # lines ('O') second. Together they are the whole table; many (order, line) keys have
 # rows in both, with newer, equal and older versions, so every MERGE branch fires.
 FIRST_BATCH = "l_linestatus = 'F'"
-SECOND_BATCH = "l_linestatus = 'O'"
+SECOND_BATCH = "NOT coalesce(l_linestatus = 'F', false)"  # the complement, NULLs included
 
 
 def _item_batches(spark, sf_dir):
@@ -240,9 +240,14 @@ def q_watermark_advance(spark, sf_dir):
 EVENTS_SPLIT = "2024-01-15 00:00:00"
 
 
+def _early():
+    """First part of the events; a NULL time belongs to the second."""
+    return F.coalesce(F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz"), F.lit(False))
+
+
 def _land_events(spark, sf_dir, landing):
     ev = fixtures.table(spark, sf_dir, "events")
-    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    early = _early()
     jsonl.write_batch(ev.filter(early), landing, "events", "b0001")
     jsonl.write_batch(ev.filter(~early), landing, "events", "b0002")
     return ev
@@ -274,7 +279,7 @@ def q_append(spark, sf_dir):
     ev = fixtures.table(spark, sf_dir, "events")
     name = f"strata_hist_{root.rsplit('-', 1)[-1]}"
     tables.create_table(spark, name, ev.schema, root)
-    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    early = _early()
     tables.append(ev.filter(early), name)
     tables.append(ev.filter(~early), name)
     return spark.table(name)
@@ -305,7 +310,7 @@ def q_stream_once(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     ev = fixtures.table(spark, sf_dir, "events")
     sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
-    early = F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    early = _early()
     jsonl.write_batch(ev.filter(early), landing, "events", "b0001")
     file_once.ingest_new_files(spark, f"{landing}/events", ev.schema, sink, ckpt)
     jsonl.write_batch(ev.filter(~early), landing, "events", "b0002")

@@ -89,7 +89,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set — local tests, a notebook — a private folder is created
+    when neither is set and the master is local — tests, a notebook — a private folder is created
     and registered, so every later ``checkpoint()`` lands there too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -103,6 +103,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             # the context appends a random sub-folder; its parent is the shared root
             root = os.path.dirname(current.rstrip("/"))
     if not root:
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():

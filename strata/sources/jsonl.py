@@ -29,10 +29,10 @@ def write_batch(df: DataFrame, landing: str, table: str, batch_id: str) -> str:
 
 
 def read_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All JSON lines under an entity folder (every batch), with an explicit schema."""
+    """All JSON lines under an entity folder (every batch and file name; Spark leaves out names
+    that begin with ``_`` or ``.``), with an explicit schema."""
     return (spark.read.schema(schema).options(**JSON_OPTIONS)
-            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-            .json(path))
+            .option("recursiveFileLookup", "true").json(path))
 
 
 def direct_file_query(spark: SparkSession, path: str, select_sql: str,

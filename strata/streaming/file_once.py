@@ -23,7 +23,7 @@ from strata.sources.jsonl import JSON_OPTIONS
 def read_new_files(spark: SparkSession, path: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(schema).options(**JSON_OPTIONS)
-              .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.json(path)
@@ -57,9 +57,10 @@ def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType, sink:
 
 
 def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str,
-                  apply_batch: Callable[[DataFrame, int], None]) -> None:
+                  apply_batch: Callable[[DataFrame, int], None],
+                  max_files_per_trigger: int | None = None) -> None:
     """Run ``apply_batch(micro_batch, batch_id)`` for the files that landed since the
     last run; ``apply_batch`` must be idempotent per batch id (see
-    ``strata.plans.pipeline.SilverUpsert``)."""
-    _run(read_new_files(spark, path, schema).writeStream
+    ``strata.plans.pipeline.SnapshotUpsert``). ``max_files_per_trigger`` bounds a micro-batch."""
+    _run(read_new_files(spark, path, schema, max_files_per_trigger).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(apply_batch))

@@ -184,3 +184,12 @@ def test_version_tuple_breaks_equal_versions(spark):
         t, s, ["pk"], version=("updated_at", "_extracted_at")).collect()}
     assert plain == {"a": "old", "b": "old"}
     assert tup == {"a": "new", "b": "old"}
+
+
+def test_duplicate_source_key_fails_at_every_size(spark):
+    target = spark.createDataFrame([(1, 1)], "pk int, v int")
+    source = spark.createDataFrame([(1, 2), (1, 3), (2, 5)], "pk int, v int")
+    for bound in (10, 1):
+        with pytest.raises(Exception, match="more than one row for a key"):
+            merge_small_batch(target, source, ["pk"], update_when=lambda t, s: F.lit(True),
+                              insert_when=lambda s: F.lit(True), max_batch_rows=bound).collect()
