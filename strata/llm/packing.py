@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import as_row, materialise, prepare, text_of, tidy
-from strata.llm.tokens import Encoder
+from strata.llm.tokens import encoder_of
 
 #: Capacities of a sequence. A sequence of n tokens has at most n documents and a cost of n * n,
 #: so by default only the tokens bind and sequences are as few as best fit makes them.
@@ -104,7 +104,7 @@ def plan(counts: dict[int, int], tokens: int = TOKENS, docs: int | None = None,
 def _cut(path: str, tokens: int, end_id: int):
     """Documents -> pieces with their ids and their rank among the task's pieces of a length."""
     def run(batches):
-        encoder, seen, part = Encoder(path), {}, TaskContext.get().partitionId()
+        encoder, seen, part = encoder_of(path), {}, TaskContext.get().partitionId()
         row = cols = None
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_file, materialise, prepare, write_bytes
-from strata.llm.tokens import Encoder
+from strata.llm.tokens import encoder_of
 from strata.session import scratch_path
 
 READ_IDS = 1 << 20  # ids converted at once when files are read back
@@ -31,7 +31,7 @@ READ_IDS = 1 << 20  # ids converted at once when files are read back
 def _write(path: str, end_id: int, folder: str):
     """One task's sorted documents -> an ids, a counts and a docs file; one row names them."""
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         size = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         kind = "<u2" if size <= 1 << 16 else "<u4"
         end = np.array([end_id], "<u4").tobytes()

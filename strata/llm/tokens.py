@@ -12,18 +12,26 @@ tokens that begin a word (they hold the blank) or end one (by the model's suffix
 
 from __future__ import annotations
 
+import functools
 import os
 import string
 
 import numpy as np
 
-#: Parts kept in a task's memory (about 200 bytes each). Beyond it, those of the current batch
+#: Parts kept in a Python worker's memory (about 200 bytes each). Beyond it, those of the current batch
 #: stay, which holds the frequent ones.
 CACHED = 500_000
 _BLOCK = 4000  # words encoded as one line
 _ENDS = string.punctuation.replace("'", "")
 
 
+@functools.cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder per Python worker: a worker's later tasks find the frequent parts known. What
+    is remembered never changes an id, so a lost worker costs only the time to learn again."""
+    return Encoder(path)
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit bytes."""
 
