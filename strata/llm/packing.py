@@ -120,12 +120,12 @@ def _cut(path: str, tokens: int, end_id: int):
                     for k, v in zip(cols, (piece, at // 4, n, rank, some, zlib.crc32(some))):
                         cols[k].append(v)
             yield pa.RecordBatch.from_arrays(
-                [b.column("row").take(pa.array(row, pa.int64())),
+                [b.column("row").field("doc_id").take(pa.array(row, pa.int64())),
                  pa.array([part] * len(row), pa.int32()), pa.array(cols["piece"], pa.int32()),
                  pa.array(cols["start"], pa.int64()), pa.array(cols["length"], pa.int64()),
                  pa.array(cols["rank"], pa.int64()), pa.array(cols["ids"], pa.binary()),
                  pa.array(cols["crc"], pa.int64())],
-                names=["row", "part", "piece", "start", "length", "rank", "ids", "ids_crc32"])
+                names=["doc_id", "part", "piece", "start", "length", "rank", "ids", "ids_crc32"])
         del encoder, row, cols
         tidy()
     return run
@@ -143,15 +143,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = TOKENS,
     prepare(docs.sparkSession)
     rows = docs.select(as_row(docs, keep=False))
     kind = docs.schema["doc_id"].dataType
-    out = T.StructType([T.StructField("row", rows.schema["row"].dataType),
+    out = T.StructType([T.StructField("doc_id", kind),
                         T.StructField("part", T.IntegerType()),
                         T.StructField("piece", T.IntegerType()),
                         *[T.StructField(c, T.LongType()) for c in ("start", "length", "rank")],
                         T.StructField("ids", T.BinaryType()),
                         T.StructField("ids_crc32", T.LongType())])
-    pieces = materialise(rows.mapInArrow(_cut(tokenizer, tokens, end_id), out)
-                         .withColumn("doc_id", F.col("row.doc_id").cast(kind)).drop("row"),
-                         "pieces", "zstd")
+    pieces = materialise(rows.mapInArrow(_cut(tokenizer, tokens, end_id), out), "pieces", "zstd")
     per_task = materialise(pieces.groupBy("part", "length").agg(F.count("*").alias("c")), "counts")
     counts = {r["length"]: r["c"] for r in
               per_task.groupBy("length").agg(F.sum("c").alias("c")).collect()}
