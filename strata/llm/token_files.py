@@ -124,7 +124,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
     based = shards.select("name", "kind", "docs", "ids",
                           F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     schema = based.select("*", F.lit("").alias("offsets")).schema
-    return materialise(based.repartition("name").mapInArrow(_offsets, schema), "manifest")
+    return materialise(_spread(based).mapInArrow(_offsets, schema), "manifest")
+
+
+def _spread(shards: DataFrame) -> DataFrame:
+    """About one shard a task: by their small rows alone, shards would be coalesced into one."""
+    return shards.repartition(max(1, shards.count()), "name")
 
 
 def read_tokens(manifest: DataFrame, doc_id_type) -> DataFrame:
@@ -134,4 +139,4 @@ def read_tokens(manifest: DataFrame, doc_id_type) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", doc_id_type)]
                           + [T.StructField(c, T.LongType())
                              for c in ("start", "n_tokens", "ids_crc32")])
-    return manifest.repartition("name").mapInArrow(_read, schema)
+    return _spread(manifest).mapInArrow(_read, schema)
