@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,13 +31,15 @@ from strata.operators.layout import zorder, zorder_bounds
 from strata.operators.merge import merge_scd1, merge_small_batch, newer_than
 from strata.operators.star import (build_dim_customer, build_dim_date, build_dim_product,
                                    build_fact_order_line)
-from strata.schemas import (CALENDAR_END, CALENDAR_START, LINEAGE_EXTRACTED_AT, Entity,
-                            Namespaces)
+from strata.schemas import CALENDAR_END, CALENDAR_START, Entity, Namespaces
 from strata.sources import tables
 from strata.sources.jsonl import read_source
-from strata.streaming.file_once import ingest_new_files
+from strata.streaming.file_once import ingest_new_files, next_batch_id
 
 BATCH_PROP = "strata.bronze_batch"
+#: Silver rows carry the bronze batch that last wrote them: an arrival order, unlike the
+#: source's extraction time, so late batches are newer than whatever gold has seen.
+BATCH_COLUMN = "_batch_id"
 
 
 class SnapshotUpsert:
@@ -54,6 +57,10 @@ class SnapshotUpsert:
         self.name = name or "strata_upsert_" + self.root.rsplit("-", 1)[-1].replace("/", "_")
         tables.create_table(spark, self.name, entity.schema, self.root)
 
+    def next_id(self) -> int:
+        """The first free micro-batch id, where a fresh checkpoint goes on."""
+        return tables.current_version(self.spark, self.name)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
         if tables.current_version(self.spark, self.name) >= version:
@@ -101,14 +108,29 @@ class Lakehouse:
 
 
 def run_bronze(lh: Lakehouse, landing: str) -> Q.QualityReport:
-    """Ingest new landed files of every entity; gate on NULL keys; reconcile counts."""
-    report = Q.QualityReport()
+    """Ingest new landed files of every entity; check the batches of this run for NULL keys.
+
+    A table without a landed folder is skipped (``info``: ``<table>.skipped``). Earlier batches
+    are not read again, so a bad row fails the run that brought it and not every later one.
+    """
+    report, frames = Q.QualityReport(), {}
     for name, ent in lh.entities.items():
-        ingest_new_files(lh.spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
-                         lh.path("bronze", name), lh.path("_checkpoints", "bronze", name),
-                         transform=lambda b: normalize_timestamps(b, count_errors=True),
-                         max_files_per_trigger=lh.max_files_per_trigger)
-    frames = {n: (lh.bronze(n), e.keys) for n, e in lh.entities.items()}
+        sink = lh.path("bronze", name)
+        first = next_batch_id(lh.spark, sink)
+        try:
+            ingest_new_files(lh.spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
+                             sink, lh.path("_checkpoints", "bronze", name),
+                             transform=lambda b: normalize_timestamps(b, count_errors=True),
+                             max_files_per_trigger=lh.max_files_per_trigger)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            report.info[f"{name}.skipped"] = 1
+            continue
+        if next_batch_id(lh.spark, sink):
+            frames[name] = (lh.bronze(name).filter(F.col(BATCH_COLUMN) >= first), ent.keys)
+    if not frames:
+        return report
     report.add_results(Q.pk_nulls(frames))
     # timestamp text that did not parse became NULL: count it (one row per table)
     for r in Q._union(df.agg(F.coalesce(F.sum(TS_ERRORS), F.lit(0)).alias("n"))
@@ -145,15 +167,18 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
     tables.ensure_namespace(lh.spark, lh.ns.silver)
     for n, ent in lh.entities.items():
         target_name = lh.name("silver", n)
-        tables.create_table(lh.spark, target_name, ent.schema, lh.path("tables"),
+        schema = T.StructType([*ent.schema.fields, T.StructField(BATCH_COLUMN, T.LongType())])
+        tables.create_table(lh.spark, target_name, schema, lh.path("tables"),
                             bucket_by=ent.keys, buckets=lh.buckets)
+        if not next_batch_id(lh.spark, lh.path("bronze", n)):
+            continue  # nothing landed yet
         done = _applied_batch(lh, target_name)
         bronze = lh.bronze(n)
-        new = bronze.filter(F.col("_batch_id") > done)
-        top = new.agg(F.max("_batch_id")).first()[0]
+        new = bronze.filter(F.col(BATCH_COLUMN) > done)
+        top = new.agg(F.max(BATCH_COLUMN)).first()[0]
         if top is None:
             continue
-        latest = deduplicate(cast_boolean_columns(new.drop("_batch_id")), ent)
+        latest = deduplicate(cast_boolean_columns(new), ent)
         # a daily batch is small against the table: stream the table past a broadcast
         # of the batch (row count checked first; full-outer join above the bound)
         merged = merge_small_batch(lh.spark.table(target_name), latest, ent.keys,
@@ -163,8 +188,7 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
         # bucketed by key: the next merge (and the dedup-free key checks) read it
         # hash-partitioned, so a batch too big to broadcast shuffles only itself
         tables.publish(lh.spark, merged, target_name, lh.path("tables"), bucket_by=ent.keys,
-                       buckets=lh.buckets)
-        tables.set_property(lh.spark, target_name, BATCH_PROP, str(top))
+                       buckets=lh.buckets, properties={BATCH_PROP: str(top)})
         report.add_results(Q.silver_quality(n, lh.spark.table(target_name), ent))
     report.gate()
     return report
@@ -173,28 +197,28 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
 SILVER_MARK = "strata.silver_mark"
 
 
-def changed_since(df: DataFrame, mark: str | None) -> DataFrame:
-    """Silver rows inserted or replaced after ``mark`` (their lineage time is newer)."""
-    if mark is None:
-        return df
-    ts = df.schema[LINEAGE_EXTRACTED_AT].dataType
-    return df.filter(F.col(LINEAGE_EXTRACTED_AT) > F.lit(mark).cast(ts))
+Marks = dict[str, int | None]
+
+
+def changed_since(df: DataFrame, mark: int | None) -> DataFrame:
+    """Silver rows inserted or replaced by a bronze batch after ``mark``."""
+    return df if mark is None else df.filter(F.col(BATCH_COLUMN) > mark)
 
 
-def fact_delta(silver: dict[str, DataFrame], mark: str | None,
+def fact_delta(silver: dict[str, DataFrame], marks: Marks,
                item_keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
-    """Fact lines to (re)compute: those of every order touched since ``mark``.
+    """Fact lines to (re)compute: those of every order touched since ``marks``.
 
     An order is touched when its header, one of its items, or the product of one
     of its items changed. Returns the rebuilt lines of those orders and the set of
     touched order ids (``None`` on the first run: everything is rebuilt).
     """
     items, orders, products = silver["order_items"], silver["orders"], silver["products"]
-    if mark is None:
+    if all(m is None for m in marks.values()):
         return build_fact_order_line(items, orders, products, item_keys=item_keys), None
-    changed_products = changed_since(products, mark).select("product_id")
-    touched = (changed_since(items, mark).select("order_id")
-               .unionByName(changed_since(orders, mark).select("order_id"))
+    changed_products = changed_since(products, marks["products"]).select("product_id")
+    touched = (changed_since(items, marks["order_items"]).select("order_id")
+               .unionByName(changed_since(orders, marks["orders"]).select("order_id"))
                .unionByName(items.join(changed_products, "product_id", "left_semi")
                             .select("order_id"))
                .distinct())
@@ -204,14 +228,11 @@ def fact_delta(silver: dict[str, DataFrame], mark: str | None,
     return delta, touched
 
 
-def _silver_high_mark(silver: dict[str, DataFrame], mark: str | None) -> str | None:
-    """Newest lineage time in silver. Only rows newer than the previous mark are
-    read: the predicate reaches the scan, so row groups whose max ``_extracted_at``
-    is not newer are skipped. Nothing new keeps the previous mark."""
-    marks = [changed_since(df, mark).agg(F.max(LINEAGE_EXTRACTED_AT).cast("string").alias("m"))
-             for df in silver.values()]
-    newest = Q._union(marks).agg(F.max("m")).first()[0]
-    return newest if newest is not None else mark
+def _gold_marks(lh: Lakehouse, fact: str) -> Marks:
+    """Per silver table, the bronze batch that the last gold run had applied."""
+    have = tables.get_properties(lh.spark, fact)
+    found = {n: have.get(f"{SILVER_MARK}.{n}") for n in lh.entities}
+    return {n: None if v is None else int(v) for n, v in found.items()}
 
 
 def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = True,
@@ -219,7 +240,7 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
     """Dimensions, fact, checks, layout, KPI views.
 
     ``incremental``: only silver rows changed since the last gold run (their
-    ``_extracted_at`` is newer than the mark kept as a table property) flow into
+    bronze batch is newer than the table's mark, kept as a property of the fact) flow into
     the dimension merges, and only the orders they touch are rebuilt and merged
     into the fact, through the size-checked broadcast merge (the fact is not
     shuffled for it). ``prune_missing`` removes fact lines of touched orders that
@@ -234,8 +255,9 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
     silver = {n: spark.table(lh.name("silver", n)) for n in lh.entities}
     where = lh.path("tables")
     fact_name = lh.name("gold", "fact_order_line")
-    mark = tables.get_property(spark, fact_name, SILVER_MARK) if incremental else None
-    new_mark = _silver_high_mark(silver, mark)
+    marks = _gold_marks(lh, fact_name) if incremental else dict.fromkeys(lh.entities)
+    new_marks = {f"{SILVER_MARK}.{n}": str(_applied_batch(lh, lh.name("silver", n)))
+                 for n in lh.entities}
 
     def upsert(table: str, source: DataFrame, keys, bucketed: bool = True) -> DataFrame:
         name = lh.name("gold", table)
@@ -250,20 +272,20 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
             merged = merge_scd1(target, source, keys)
         return merged
 
-    def publish(table: str, df: DataFrame, keys=()) -> None:
+    def publish(table: str, df: DataFrame, keys=(), properties=None) -> None:
         tables.publish(spark, df, lh.name("gold", table), where, bucket_by=keys,
-                       buckets=lh.buckets)
+                       buckets=lh.buckets, properties=properties)
 
     # static calendar: replaced wholesale each run, never merged
     publish("dim_date", build_dim_date(spark, *lh.calendar))
     publish("dim_customer", upsert("dim_customer",
-                                   build_dim_customer(changed_since(silver["customers"], mark)),
+                                   build_dim_customer(changed_since(silver["customers"], marks["customers"])),
                                    ("customer_id",)), ("customer_id",))
     publish("dim_product", upsert("dim_product",
-                                  build_dim_product(changed_since(silver["products"], mark)),
+                                  build_dim_product(changed_since(silver["products"], marks["products"])),
                                   ("product_id",)), ("product_id",))
     keys = lh.item_keys
-    delta, touched = fact_delta(silver, mark, keys)
+    delta, touched = fact_delta(silver, marks, keys)
     tables.create_table(spark, fact_name, delta.schema, where)
     before = spark.table(fact_name)
     # the fact keeps its Z-order layout (file skipping by date and customer) instead
@@ -281,9 +303,7 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
         bounds = {"date_id": (float(lo), float(hi)),
                   **zorder_bounds(spark.table(lh.name("gold", "dim_customer")), ["customer_id"])}
         merged = zorder(merged, ["date_id", "customer_id"], bounds=bounds)
-    publish("fact_order_line", merged)
-    if new_mark is not None:
-        tables.set_property(spark, fact_name, SILVER_MARK, new_mark)
+    publish("fact_order_line", merged, properties=new_marks)
 
     g = {t: spark.table(lh.name("gold", t))
          for t in ("dim_date", "dim_customer", "dim_product", "fact_order_line")}

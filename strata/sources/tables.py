@@ -2,16 +2,18 @@
 
 Without a row-level table format a MERGE result cannot be written over the
 table it reads. Each write therefore goes to a new version folder
-``<root>/<schema>/<table>/v=<n>`` and the catalog entry is repointed once the
+``<root>/<schema>/<table>/v=<n>-<attempt>`` and the catalog entry is repointed once the
 write committed. Readers see either the old or the new version, and the
 previous version stays for them. Writing the snapshot also cuts the lineage for
-the next layer.
+the next layer. The folder's name is unique per attempt, so what a crashed write left behind
+never stands in the way of the next one. Properties (the marks of the layers) survive a repoint,
+and new ones are set together with it.
 
 Two forms:
 
 * plain: one external table, repointed with ``ALTER TABLE ... SET LOCATION``;
 * bucketed by key: each version is its own bucketed, key-sorted table
-  ``<name>__v<n>`` and ``<name>`` is a view repointed to it. A join or merge on
+  ``<name>__v<n>_<attempt>`` and ``<name>`` is a view repointed to it. A join or merge on
   the key then reads the table already hash-partitioned (no exchange on the
   table side; only the other side is shuffled into the bucket count).
 """
@@ -19,6 +21,7 @@ Two forms:
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,17 +65,30 @@ def current_version(spark: SparkSession, name: str) -> int:
     if not spark.catalog.tableExists(name):
         return 0
     if is_view(spark, name):
-        m = re.search(r"__v(\d+)\b", _describe(spark, name, "View Text") or "")
+        m = re.search(r"__v(\d+)_", _describe(spark, name, "View Text") or "")
     else:
-        m = re.search(r"/v=(\d+)/?$", table_location(spark, name) or "")
+        m = re.search(r"/v=(\d+)(?:-\w+)?/?$", table_location(spark, name) or "")
     return int(m.group(1)) if m else 0
 
 
-def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+#: Only properties with this prefix are the layers' own; others belong to the catalog.
+OWN_PROPERTIES = "strata."
+
+
+def get_properties(spark: SparkSession, name: str) -> dict[str, str]:
     if not spark.catalog.tableExists(name):
-        return None
+        return {}
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-            }.get(key)
+            if r["key"].startswith(OWN_PROPERTIES)}
+
+
+def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+    return get_properties(spark, name).get(key)
+
+
+def _properties(values: dict[str, str]) -> str:
+    return ("TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in values.items()) + ")"
+            if values else "")
 
 
 def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
@@ -101,26 +117,43 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
 
 def publish(spark: SparkSession, df: DataFrame, name: str, root: str,
             partition_by: tuple[str, ...] = (), bucket_by: Sequence[str] = (),
-            buckets: int | None = None) -> int:
-    """Write ``df`` as the table's next version and repoint the table; returns n."""
+            buckets: int | None = None, properties: dict[str, str] | None = None) -> int:
+    """Write ``df`` as the table's next version and repoint the table; returns n.
+
+    ``properties`` are added to those the table has. A frame with other columns replaces the
+    table's schema (the catalog entry is made anew; the files of old versions stay).
+    """
     n = current_version(spark, name) + 1
-    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}"
+    attempt = uuid.uuid4().hex[:8]
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}-{attempt}"
+    kept = get_properties(spark, name) | (properties or {})
     ns = name.rpartition(".")[0]
     if ns:
         ensure_namespace(spark, ns)
     if bucket_by and buckets:
-        physical = f"{name}__v{n}"
+        physical = f"{name}__v{n}_{attempt}"
         (df.write.mode("errorifexists").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
            .option("path", path).saveAsTable(physical))
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {physical}")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} {_properties(kept)} "
+                  f"AS SELECT * FROM {physical}")
         return n
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} ({ddl(df.schema)}) USING parquet LOCATION '{path}'")
+    def plain(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    there = spark.catalog.tableExists(name)
+    if there and plain(spark.table(name).schema) != plain(df.schema):
+        spark.sql(f"DROP TABLE {name}")  # external: its files stay
+        there = False
+    if not there:
+        spark.sql(f"CREATE TABLE {name} ({ddl(df.schema)}) USING parquet LOCATION '{path}' "
+                  + _properties(kept))
     else:
+        for k, v in (properties or {}).items():
+            set_property(spark, name, k, v)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
     return n

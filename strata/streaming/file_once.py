@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.jsonl import JSON_OPTIONS
@@ -36,6 +38,38 @@ def _run(writer) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def next_batch_id(spark: SparkSession, sink: str) -> int:
+    """The id after the newest batch folder of an ingest sink; 0 for a new sink."""
+    df = _read_if_there(spark, sink)
+    top = df.agg(F.max("_batch_id")).first()[0] if df is not None else None
+    return 0 if top is None else int(top) + 1
+
+
+def _first_id(spark: SparkSession, checkpoint: str, next_id: Callable[[], int]) -> int:
+    """What is added to this checkpoint's micro-batch ids, which start at 0 in every fresh one.
+
+    Fixed once, before the first run, and kept inside the checkpoint: a full reload (a fresh
+    checkpoint over an old sink) continues the ids instead of repeating them, and a replayed
+    micro-batch gets the id that it had.
+    """
+    path = f"{checkpoint.rstrip('/')}/first_id"
+    kept = _read_if_there(spark, path)
+    if kept is None:
+        spark.range(1).select(F.lit(next_id()).cast("long").alias("first_id")) \
+            .write.mode("overwrite").parquet(path)
+        kept = spark.read.parquet(path)
+    return kept.first()[0]
+
+
 def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType, sink: str,
                      checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -48,11 +82,14 @@ def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType, sink:
     large backlog (an initial load) into bounded micro-batches, each committed on
     its own.
     """
+    stream = read_new_files(spark, path, schema, max_files_per_trigger)
+    first = _first_id(spark, checkpoint, lambda: next_batch_id(spark, sink))
+
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/_batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/_batch_id={first + batch_id}")
 
-    _run(read_new_files(spark, path, schema, max_files_per_trigger).writeStream
+    _run(stream.writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(write))
 
 
@@ -61,6 +98,9 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, checkpoi
                   max_files_per_trigger: int | None = None) -> None:
     """Run ``apply_batch(micro_batch, batch_id)`` for the files that landed since the
     last run; ``apply_batch`` must be idempotent per batch id (see
-    ``strata.plans.pipeline.SnapshotUpsert``). ``max_files_per_trigger`` bounds a micro-batch."""
-    _run(read_new_files(spark, path, schema, max_files_per_trigger).writeStream
-         .option("checkpointLocation", checkpoint).foreachBatch(apply_batch))
+    ``strata.plans.pipeline.SnapshotUpsert``). ``max_files_per_trigger`` bounds a micro-batch.
+    With a fresh checkpoint the ids go on from ``apply_batch.next_id()``, if it has that."""
+    stream = read_new_files(spark, path, schema, max_files_per_trigger)
+    first = _first_id(spark, checkpoint, getattr(apply_batch, "next_id", lambda: 0))
+    _run(stream.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, batch_id: apply_batch(batch, first + batch_id)))

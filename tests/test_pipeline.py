@@ -95,6 +95,65 @@ def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     assert sorted(map(tuple, after.collect())) == before
 
 
+def test_late_batch_skipped_table_and_full_reload(spark, tmp_root):
+    """A batch stamped before the last gold run still reaches gold; a table without a folder is
+    skipped; a fresh checkpoint neither loses nor repeats a batch id; a half-written version
+    folder does not stop the next run."""
+    import os
+    import shutil
+
+    landing = f"{tmp_root}/landing"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+                     ns=P.Namespaces("bronze_l", "silver_l", "gold_l"))
+    first = _batch1()
+    late = first["order_items"].pop()
+    people = first.pop("customers")
+    _land(spark, landing, first, "b1")
+    report = P.run_bronze(lh, landing)
+    report.gate()
+    assert report.info["customers.skipped"] == 1
+    _land(spark, landing, {"customers": people}, "b1")
+    P.run_bronze(lh, landing).gate()
+    P.run_silver(lh)
+    P.run_gold(lh)
+    _land(spark, landing, {"order_items": [(*late[:9], "2024-05-31T12:00:00+00:00", late[10])]},
+          "b2")
+    P.run_bronze(lh, landing).gate()
+    for table, layer in (("order_items", "silver_l"), ("fact_order_line", "gold_l")):
+        n = P.tables.current_version(spark, f"{layer}.{table}") + 1
+        half = f"{tmp_root}/lake/tables/{layer}/{table}/v={n}"
+        os.makedirs(half)
+        open(f"{half}/part-0.parquet", "w").close()
+    P.run_silver(lh)
+    P.run_gold(lh)
+    fact = spark.table(lh.name("gold", "fact_order_line"))
+    assert sorted(r["order_item_id"] for r in fact.collect()) == ["i1", "i2"]
+
+    shutil.rmtree(f"{tmp_root}/lake/_checkpoints/bronze/customers")   # full reload
+    _land(spark, landing, {"customers": [("c2", "Bo", "Ek", "bo@x", "Oslo", "NO", "retail",
+                                          "2024-05-01T00:00:00", "2024-05-01T00:00:00", 0, EX1,
+                                          "customers")]}, "b3")
+    P.run_bronze(lh, landing).gate()
+    ids = [r[0] for r in lh.bronze("customers").select("_batch_id").distinct().collect()]
+    assert sorted(ids) == [0, 1]
+    P.run_silver(lh)
+    P.run_gold(lh)
+    dim = spark.table(lh.name("gold", "dim_customer"))
+    assert sorted(r["customer_id"] for r in dim.collect()) == ["c1", "c2"]
+
+
+def test_publish_replaces_the_schema_and_keeps_properties(spark, tmp_root):
+    t = P.tables
+    for name, by in (("evolve_plain", ()), ("evolve_bucketed", ("id",))):
+        t.publish(spark, spark.range(2), name, tmp_root, bucket_by=by, buckets=2,
+                  properties={"strata.mark": "7"})
+        t.publish(spark, spark.range(3).selectExpr("id", "id * 2 AS twice"), name, tmp_root,
+                  bucket_by=by, buckets=2)
+        assert spark.table(name).columns == ["id", "twice"] and spark.table(name).count() == 3
+        assert t.get_property(spark, name, "strata.mark") == "7"
+        assert t.current_version(spark, name) == 2
+
+
 def test_run_all_gates_in_order(spark, tmp_root):
     landing = f"{tmp_root}/landing"
     lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
