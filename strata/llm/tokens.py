@@ -20,7 +20,7 @@ import numpy as np
 
 #: Parts kept in a Python worker's memory (about 200 bytes each). Beyond it, those of the current batch
 #: stay, which holds the frequent ones.
-CACHED = 1_000_000
+CACHED = 500_000
 _BLOCK = 4000  # words encoded as one line
 _ENDS = string.punctuation.replace("'", "")
 
