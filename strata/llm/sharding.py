@@ -4,11 +4,12 @@ Groups by falling size enter the shard with the tightest remaining capacity that
 them, found in a balanced tree. With a fixed number of shards, the capacity is the smallest one
 (by bisection) for which best fit needs no more shards than that, which makes sizes near equal.
 
-What the driver packs is bounded, however many groups there are: a group of at least
-1 / UNITS of a shard is an item of its own (there are at most UNITS per shard), all smaller ones
-are dealt by the hash of their text to UNITS composite items per shard, which are then packed
-whole. Placing a document is a look-up of its item. Slots are a rank in the task plus a prefix
-sum over tasks, so a shard's documents never meet in one task.
+Groups of one size are interchangeable, so the decision is made on the number of groups of each
+size, counted by Spark: runs of equal groups go to runs of equal shards. D different sizes take
+D * D / 2 bytes at least, so the driver's list grows with the root of the input at most. Each
+group then finds its shard from its rank among the groups of its size, and each document its slot
+from its rank in the shard. Ranks are a rank in the task plus a prefix sum over tasks, so neither
+groups of a size nor documents of a shard ever meet in one task.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import materialise, prepare
 
-#: Items a shard is packed from: bounds the driver's list and the unevenness (about 1 / UNITS).
-UNITS = 400
+#: Groups of at least one row in so many find their shard by a broadcast, the others by a shuffle.
+HOT = 1000
 
 
 class Tree:
@@ -70,33 +71,65 @@ class Tree:
         return b
 
 
+def plan(sizes: list[int], counts: list[int], capacity: int,
+         most: int | None = None) -> np.ndarray | None:
+    """Rows (size, rank, each, shard, groups): the ``groups`` groups of this size from ``rank`` on
+    go, ``each`` at a time, to the shards from ``shard`` on. Sizes are given falling; a group over
+    the capacity gets a shard of its own. None as soon as more than ``most`` shards are needed."""
+    tree, used, out = Tree(), 0, []
+    number: dict[int, int] = {}  # shards of the open run that starts with this one
+    for size, left in zip(sizes, counts):
+        rank = 0
+        while left:
+            found = tree.take((size, -1))
+            if found is None:
+                room, first = max(capacity, size), used
+                have = -(-left // (room // size))
+                used += have
+                if most is not None and used > most:
+                    return None
+            else:
+                room, first = found
+                have = number.pop(first)
+            each = room // size  # the same shard stays the tightest until it is full
+            full = min(have, left // each)
+            rest = left - full * each if full < have else 0
+            for start, shards, some in ((first, full, each), (first + full, int(rest > 0), rest)):
+                if shards:
+                    out.append((size, rank, some, start, shards * some))
+                    rank += shards * some
+                    left -= shards * some
+                    tree.insert((room - some * size, start))
+                    number[start] = shards
+            start = first + full + (rest > 0)
+            if start < first + have:
+                tree.insert((room, start))
+                number[start] = first + have - start
+    return np.array(out, np.int64).reshape(-1, 5)
+
+
 def best_fit(sizes: np.ndarray, capacity: int, most: int | None = None) -> np.ndarray | None:
-    """Shard of each item, items given by falling size; an item over the capacity gets a shard
-    of its own. None as soon as more than ``most`` shards are needed."""
-    tree, used, out = Tree(), 0, np.empty(len(sizes), np.int64)
-    for i, size in enumerate(sizes.tolist()):
-        found = tree.take((size, -1))
-        if found is None:
-            if most is not None and used == most:
-                return None
-            found, used = (max(capacity, size), used), used + 1
-        out[i] = found[1]
-        tree.insert((found[0] - size, found[1]))
-    return out
-
-
-def level(sizes: np.ndarray, shards: int) -> np.ndarray:
-    """Best fit into ``shards`` shards at the smallest capacity that bisection finds."""
-    if not len(sizes):
-        return np.zeros(0, np.int64)
-    low = max(int(sizes[0]), -(-int(sizes.sum()) // shards))
-    high, best = low, best_fit(sizes, low, shards)
+    """Shard of each item, items given by falling size."""
+    kinds, counts = np.unique(sizes, return_counts=True)
+    rows = plan(kinds[::-1].tolist(), counts[::-1].tolist(), capacity, most)
+    if rows is None:
+        return None
+    return np.concatenate([np.zeros(0, np.int64), *(
+        first + np.arange(groups) // each for _, _, each, first, groups in rows.tolist())])
+
+
+def level(sizes: list[int], counts: list[int], shards: int) -> np.ndarray:
+    """The plan for ``shards`` shards at the smallest capacity that bisection finds."""
+    if not sizes:
+        return np.zeros((0, 5), np.int64)
+    low = max(sizes[0], -(-sum(s * c for s, c in zip(sizes, counts)) // shards))
+    high, best = low, plan(sizes, counts, low, shards)
     while best is None:
         high += max(1, high // 64)
-        best = best_fit(sizes, high, shards)
+        best = plan(sizes, counts, high, shards)
     while high - low > max(1, low // 20_000):
         middle = (low + high) // 2
-        found = best_fit(sizes, middle, shards)
+        found = plan(sizes, counts, middle, shards)
         if found is None:
             low = middle
         else:
@@ -104,25 +137,61 @@ def level(sizes: np.ndarray, shards: int) -> np.ndarray:
     return best
 
 
-def _slots(batches):
-    """Rank of each row among its task's rows of the same shard."""
-    part, seen = TaskContext.get().partitionId(), {}
-    for b in batches:
-        shard = b.column("shard").to_numpy()
-        order = np.argsort(shard, kind="stable")
-        kinds, first, n = np.unique(shard[order], return_index=True, return_counts=True)
-        rank = np.empty(len(shard), np.int64)
-        rank[order] = np.arange(len(shard)) - np.repeat(first, n) + np.repeat(
-            [seen.get(k, 0) for k in kinds.tolist()], n)
-        for k, c in zip(kinds.tolist(), n.tolist()):
-            seen[k] = seen.get(k, 0) + c
-        yield pa.RecordBatch.from_arrays(
-            b.columns + [pa.array(np.full(len(b), part, np.int32)), pa.array(rank)],
-            names=[*b.schema.names, "part", "rank"])
-
-
-def shard_documents(docs: DataFrame, shards: int | None = None, capacity: int | None = None,
-                    units: int = UNITS) -> DataFrame:
+def _ranks(name: str):
+    """Rank of each row among its task's rows of the same value of ``name``."""
+    def run(batches):
+        part, seen = TaskContext.get().partitionId(), {}
+        for b in batches:
+            value = b.column(name).to_numpy()
+            order = np.argsort(value, kind="stable")
+            kinds, first, n = np.unique(value[order], return_index=True, return_counts=True)
+            rank = np.empty(len(value), np.int64)
+            rank[order] = np.arange(len(value)) - np.repeat(first, n) + np.repeat(
+                [seen.get(k, 0) for k in kinds.tolist()], n)
+            for k, c in zip(kinds.tolist(), n.tolist()):
+                seen[k] = seen.get(k, 0) + c
+            yield pa.RecordBatch.from_arrays(
+                b.columns + [pa.array(np.full(len(b), part, np.int32)), pa.array(rank)],
+                names=[*b.schema.names, "part", "rank"])
+    return run
+
+
+def _ranked(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the rank of each row among those of the same ``name`` (no order is meant), and
+    how many rows each task had of each."""
+    schema = df.select("*").schema.add("part", "integer").add("rank", "long")
+    some = materialise(df.mapInArrow(_ranks(name), schema), f"by-{name}")
+    counts = materialise(some.groupBy("part", name).agg(F.count("*").alias("n")), f"{name}-counts")
+    before = Window.partitionBy(name).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("part", name, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return some.join(bases, ["part", name]).withColumn(
+        "rank", F.col("rank") + F.col("base")).drop("part", "base"), counts
+
+
+def _shard_of(rows: np.ndarray):
+    """Look the shard of (bytes, rank) up in the plan."""
+    import pandas as pd
+
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    sizes, starts = np.unique(rows[:, 0], return_index=True)
+    ends = np.append(starts[1:], len(rows))
+
+    def look(size, rank):
+        size, rank = size.to_numpy(), rank.to_numpy()
+        kind = np.searchsorted(sizes, size)
+        low, high = starts[kind], ends[kind]  # the last row of this size that starts by the rank
+        while (open_ := high - low > 1).any():
+            middle = (low + high) // 2
+            up = rows[middle, 1] <= rank
+            low, high = np.where(open_ & up, middle, low), np.where(open_ & ~up, middle, high)
+        return pd.Series(rows[low, 3] + (rank - rows[low, 1]) // rows[low, 2])
+
+    look.__annotations__ = {"size": pd.Series, "rank": pd.Series, "return": pd.Series}
+    return F.pandas_udf(look, "int")
+
+
+def shard_documents(docs: DataFrame, shards: int | None = None,
+                    capacity: int | None = None) -> DataFrame:
     """doc_id, size (UTF-8 bytes and 8), text_crc32, shard and slot of each document.
 
     Give the number of ``shards`` (sizes near equal) or the ``capacity`` of each (as few shards
@@ -137,35 +206,19 @@ def shard_documents(docs: DataFrame, shards: int | None = None, capacity: int |
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.unhex(F.md5(F.concat(F.lit("t"), text).cast("binary"))).alias("key"))
     rows = materialise(rows.withColumn("key", F.coalesce("key", F.lit(b"null"))), "sizes")
-    groups = materialise(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    many = shards or max(1, -(-total // capacity))
-    if many * units > 2_000_000:
-        raise ValueError("too many shards for one plan; use fewer units or split the table")
-    items = many * units
-    large = groups.where(F.col("bytes") * items >= total)
-    unit = F.pmod(F.xxhash64("key"), F.lit(items))
-    small = (groups.where(F.col("bytes") * items < total).groupBy(unit.alias("unit"))
-             .agg(F.sum("bytes").alias("bytes")))
-    # at most ``items`` rows each
-    packed = [(bytes(r["key"]), None, r["bytes"]) for r in large.collect()]
-    packed += [(None, r["unit"], r["bytes"]) for r in small.collect()]
-    packed.sort(key=lambda r: (-r[2], r[0] or b"", r[1] or 0))
-    sizes = np.array([r[2] for r in packed], np.int64)
-    where = level(sizes, shards) if shards else best_fit(sizes, capacity)
-    spark = docs.sparkSession
-    of_group = spark.createDataFrame([(p[0], int(s)) for p, s in zip(packed, where) if p[0]],
-                                     "key binary, own int")
-    of_unit = spark.createDataFrame([(p[1], int(s)) for p, s in zip(packed, where) if not p[0]],
-                                    "unit long, dealt int")
-    placed = (rows.withColumn("unit", unit)
-              .join(F.broadcast(of_group), "key", "left").join(F.broadcast(of_unit), "unit", "left")
-              .select("doc_id", "size", "text_crc32", F.coalesce("own", "dealt").alias("shard")))
-    schema = placed.select("*").schema.add("part", "integer").add("rank", "long")
-    placed = materialise(placed.mapInArrow(_slots, schema), "placed")
-    before = (Window.partitionBy("shard").orderBy("part")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    bases = placed.groupBy("part", "shard").agg(F.count("*").alias("n")).select(
-        "part", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return placed.join(bases, ["part", "shard"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("rank") + F.col("base")).alias("slot"))
+    groups, counts = _ranked(rows.groupBy("key").agg(
+        F.sum("size").alias("bytes"), F.count("*").alias("copies")), "bytes")
+    # one row per different size of a group
+    sized = sorted(((r["bytes"], r["n"]) for r in counts.groupBy("bytes").agg(
+        F.sum("n").alias("n")).collect()), reverse=True)
+    sizes, number = [r[0] for r in sized], [r[1] for r in sized]
+    found = level(sizes, number, shards) if shards else plan(sizes, number, capacity)
+    of_group = materialise(groups.select(
+        "key", "copies", _shard_of(found)(F.col("bytes"), F.col("rank")).alias("shard")), "of-group")
+    hot = F.col("copies") * HOT >= rows.count()  # of at most HOT groups
+    known = rows.join(F.broadcast(of_group.where(hot).drop("copies")), "key", "left")
+    other = known.where("shard is null").drop("shard").join(of_group.where(~hot), "key")
+    cols = ("doc_id", "size", "text_crc32", "shard")
+    placed = known.where("shard is not null").select(*cols).union(other.select(*cols))
+    return _ranked(placed, "shard")[0].select(
+        "doc_id", "size", "text_crc32", "shard", F.col("rank").alias("slot"))

@@ -347,6 +347,34 @@ def test_sharding(spark, docs):
     assert best_fit(sizes, 100).max() + 1 == len(room)
 
 
+def test_sharding_packs_every_group(spark):
+    """Best fit decreasing over thousands of small groups, against looking at every shard."""
+    from strata.llm.sharding import shard_documents
+
+    rng = np.random.default_rng(2)
+    texts = [f"{i:04d}" + "x" * int(n) for i, n in enumerate(rng.integers(0, 400, 3000))]
+    texts += texts[:50] * 2 + [None] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = shard_documents(df, capacity=5000).toPandas()
+    size = collections.Counter()
+    for t in texts:
+        size[t] += len(t or "") + 8
+    room = []
+    for s in sorted(size.values(), reverse=True):
+        fit = [(x, i) for i, x in enumerate(room) if x >= s]
+        if fit:
+            room[min(fit)[1]] -= s
+        else:
+            room.append(5000 - s)
+    load = out.groupby("shard")["size"].sum()
+    assert sorted(5000 - load) == sorted(room)
+    assert out.assign(text=[texts[i] or "" for i in out.doc_id]).groupby("text").shard.nunique().max() == 1
+    two = shard_documents(df, shards=2).toPandas().groupby("shard")["size"].sum()
+    assert two.max() - two.min() <= 2 * (two.mean() // 20_000 + 1)  # the bisection's step
+    for _, g in out.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
 def run_all(df, bench, labels):
     import public_tokenizers
 
