@@ -3,8 +3,8 @@
 Two multinomials over hashed n-grams (words, pairs of words, 3 bytes) are counted: one over
 trusted documents (labelled good and not toxic), one over the whole corpus. A text's score is the
 sum of its n-grams' log ratios by the number of its n-grams. Every document is kept or not by one
-threshold on that score, without drawing lots: the one that best separates the labelled documents
-while it keeps nearly all trusted ones.
+threshold on that score, without drawing lots: the one that best separates trusted documents from
+bad ones (labelled bad or toxic) while it keeps nearly all trusted ones.
 """
 
 from __future__ import annotations
@@ -127,23 +127,31 @@ def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                                                ("row", df.schema["row"].dataType)))
 
 
+def _failed():
+    """The base rules: too few words, or too many in repeated windows."""
+    return ((F.col("n_words") < MIN_WORDS)
+            | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT))
+
+
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, added: float = ADDED,
         max_loss: float = MAX_LOSS) -> Model:
     """Count both multinomials over all documents in one pass, and set the threshold from the
-    scores of all labelled documents. The driver gets one row per bucket and per score step.
+    scores of all labelled documents that pass the base rules. The driver gets one row per bucket
+    and per score step.
 
-    A document with several labels is trusted if all of them are good; labels with nulls count
-    as unlabelled. Without trusted documents every ratio is 0 and every document is kept; without
-    bad ones nothing is rejected.
+    A document with several labels is trusted if all of them are good, and bad if one of them is
+    bad or toxic; a null quality or toxic says nothing. Without trusted documents every ratio is 0
+    and every document is kept; without bad ones nothing is rejected.
     """
     prepare(docs.sparkSession)
-    by_doc = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+    by_doc = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
     if by_doc.count() <= BROADCAST_LABELS:
         by_doc = F.broadcast(by_doc)
     labelled = docs.select("doc_id", "text").join(by_doc, "doc_id", "left").select(
         "text", F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
-        .alias("trusted"), (F.col("quality") == 0).alias("bad"))
+        .alias("trusted"),
+        F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).alias("bad"))
     counts = np.zeros((2, buckets))
     for r in labelled.select("text", "trusted").mapInArrow(
             _counts(buckets), "bucket long, corpus long, trusted long").groupBy("bucket").agg(
@@ -153,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, added: float
         return Model(np.zeros(buckets), float("-inf"))
     p = (counts + added) / (counts + added).sum(axis=1, keepdims=True)
     ratio = np.log(p[1] / p[0])
-    known = _scored(labelled.where("trusted or bad"), ratio)
+    known = _scored(labelled.where("trusted or bad"), ratio).where(~_failed())
     steps = known.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         F.count_if(F.col("row.trusted")).alias("good"), F.count_if(F.col("row.bad")).alias("bad"))
     steps = sorted((r["step"], r["good"], r["bad"]) for r in steps.collect())
@@ -174,7 +182,5 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
     fail the base rule of least words; repeated rows are judged alike; an empty table gives no
     rows."""
     prepare(docs.sparkSession)
-    failed = ((F.col("n_words") < MIN_WORDS)
-              | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT))
-    return (_scored(docs, model.ratio).withColumn("base_failed", failed)
+    return (_scored(docs, model.ratio).withColumn("base_failed", _failed())
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= model.threshold)))

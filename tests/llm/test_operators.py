@@ -268,6 +268,25 @@ def test_quality_base_counts(spark, docs):
     assert good.kept.mean() > 0.98 and labels[labels.quality == 0].kept.mean() < 0.1
 
 
+def test_quality_rejects_toxic_documents(spark):
+    """Toxic documents of good quality, and those without a quality, are what it must reject."""
+    from strata.llm.quality_ratio import fit, judge
+
+    rng = np.random.default_rng(4)
+    words, rude = [f"word{i}" for i in range(40)], [f"rude{i}" for i in range(9)]
+    texts = [" ".join(rng.choice(words + rude * 3 if i % 5 == 0 else words, 40, replace=False))
+             for i in range(300)]
+    labels = [(i, (1 if i % 10 else None) if i % 5 == 0 else 1, int(i % 5 == 0))
+              for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for known in (labels, [x for x in labels if x[1] is None or not x[2]]):
+        model = fit(df, spark.createDataFrame(known, "doc_id long, quality int, toxic int"))
+        out = judge(df, model).select("row.doc_id", "kept", "base_failed").toPandas()
+        toxic = out.doc_id % 5 == 0
+        assert not out.base_failed.any()
+        assert out[~toxic].kept.all() and out[toxic].kept.mean() < 0.1
+
+
 def test_secret_spans():
     from strata.llm.secret_scan import ALLOW, BITS, WINDOW, _scan, high_entropy
 
