@@ -3,8 +3,9 @@
 A text is a vector of its byte n-grams (2 and 3 bytes, lower case, everything that is no letter
 taken as a blank) in a fixed number of hash buckets, weighted by TF-IDF and normalised. Document
 frequencies come from every learning document. Each language has several centroids, found by
-spherical k-means over a bounded sample of its learning documents; a text gets the language of
-the centroid with the largest cosine, and is rejected when even that one is far away.
+spherical k-means over a bounded sample of its learning documents; clusters of a few odd documents
+are dropped. A text gets the language of the centroid with the largest cosine, and is rejected
+when that is below the centroid's own limit, a low quantile of its cluster's cosines.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ from strata.llm.kernels import byte_class, flat
 #: Hash buckets, centroids per language, learning documents per language that k-means sees
 #: (expected number; chosen by a hash of the id, all of them if there are fewer).
 BUCKETS, CENTROIDS, SAMPLE = 4096, 4, 300
-#: Rejected: a best cosine under this part of the worst one among the sampled documents; for a
+#: A cluster of less than this part of its language's sample, or of one document, is no centroid.
+SHARE = 0.05
+#: Rejected: a best cosine under this part of the LOWEST quantile of its centroid's cluster; for a
 #: text of fewer than GRAMS different n-grams the limit falls with their number, as its cosine
 #: with any centroid does.
-REJECT, GRAMS = 0.5, 100
+REJECT, LOWEST, GRAMS = 0.5, 0.05, 100
 _ROUNDS = 12  # of k-means
 
 _LETTER = byte_class(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
@@ -65,20 +68,30 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray   # (languages * clusters, buckets), rows of length 1
     langs: list[str]        # the language of each centroid
-    floor: float            # a smaller best cosine is rejected
+    floors: np.ndarray      # a smaller cosine with this centroid is rejected
 
 
-def _kmeans(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from farthest-first seeds; deterministic."""
+def _kmeans(x: np.ndarray, k: int, share: float = SHARE) -> np.ndarray:
+    """Spherical k-means from k-means++ seeds (a fixed generator). Clusters under the least share
+    go one at a time, the smallest first, and their documents to the others."""
+    draw = np.random.default_rng(0)
     seeds = [int(np.argmax(x @ x.mean(axis=0)))]
     while len(seeds) < min(k, len(x)):
-        seeds.append(int(np.argmin((x @ x[seeds].T).max(axis=1))))
+        far = np.maximum(1 - (x @ x[seeds].T).max(axis=1), 0).astype(np.float64)
+        far[seeds] = 0
+        if far.sum() <= 0:
+            break
+        seeds.append(int(draw.choice(len(x), p=far / far.sum())))
     c = x[seeds]
-    for _ in range(_ROUNDS):
-        near = np.argmax(x @ c.T, axis=1)
-        c = _unit(np.stack([x[near == j].sum(axis=0) if (near == j).any() else c[j]
-                            for j in range(len(c))]))
-    return c
+    while True:
+        for _ in range(_ROUNDS):
+            near = np.argmax(x @ c.T, axis=1)
+            c = _unit(np.stack([x[near == j].sum(axis=0) if (near == j).any() else c[j]
+                                for j in range(len(c))]))
+        n = np.bincount(np.argmax(x @ c.T, axis=1), minlength=len(c))
+        if len(c) == 1 or n.min() >= max(2, share * len(x)):
+            return c
+        c = np.delete(c, np.argmin(n), axis=0)
 
 
 def _frequencies(buckets: int):
@@ -130,16 +143,19 @@ def fit(train: DataFrame, buckets: int = BUCKETS, centroids: int = CENTROIDS,
     lang = np.array([r[2] for r in rows], dtype=object)
     x = _unit(np.frombuffer(b"".join(r[3] for r in rows), np.float16)
               .reshape(-1, buckets).astype(np.float32) * idf.astype(np.float32))
-    every, names, floor = [np.zeros((0, buckets), np.float32)], [], 1.0
+    every, names, floors = [np.zeros((0, buckets), np.float32)], [], []
     for name in sorted(set(lang.tolist())):
         own = x[(lang == name) & (np.abs(x).sum(axis=1) > 0)]
         if len(own):
             c = _kmeans(own, centroids)
             every.append(c)
             names += [name] * len(c)
-            floor = min(floor, float((own @ c.T).max(axis=1).min()))
-    return Model(idf.astype(np.float32), np.concatenate(every).astype(np.float32), names,
-                 reject * floor if names else 0.0)
+            cos = own @ c.T
+            near = np.argmax(cos, axis=1)
+            floors += [reject * float(np.quantile(cos[near == j, j], LOWEST))
+                       if (near == j).any() else reject for j in range(len(c))]
+    return Model(idf.astype(np.float32), np.concatenate(every).astype(np.float32),
+                 names, np.array(floors, np.float32))
 
 
 def _predict(model: Model):
@@ -150,15 +166,17 @@ def _predict(model: Model):
             texts = text_of(b)
             best, name, limit = [], [], [np.zeros(0)]
             for x in vectors(texts, buckets):
-                limit.append(model.floor * np.minimum(1, (x > 0).sum(axis=1) / GRAMS))
+                full = np.minimum(1, (x > 0).sum(axis=1) / GRAMS)
                 if len(langs):
                     cos = _unit(x * model.idf) @ model.centroids.T
                     at = np.argmax(cos, axis=1)
                     best.append(np.clip(cos[np.arange(len(at)), at], 0, 1))
                     name += langs[at].tolist()
+                    limit.append(model.floors[at] * full)
                 else:
                     best.append(np.zeros(len(x)))
                     name += ["und"] * len(x)
+                    limit.append(np.full(len(x), np.inf))
             score = np.concatenate([np.zeros(0), *best]).astype(np.float64)
             letters = [t is not None and (t.isalpha() or any(map(str.isalpha, t)))
                        for t in texts.to_pylist()]

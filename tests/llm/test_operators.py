@@ -321,6 +321,38 @@ def test_language_held_out_accuracy(spark, docs):
     assert not out.rejected.any() and out.score.between(0, 1).all()
 
 
+def test_language_rejects_noise_despite_odd_learning_rows(spark):
+    """Noise and foreign text, with and without junk and wrong labels among the learning rows."""
+    import base64
+
+    from strata.llm.language_id import fit, identify
+
+    rng = np.random.default_rng(1)
+
+    def random_words():
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10)))
+                        for _ in range(400))
+
+    def random_base64():
+        return base64.b64encode(rng.bytes(2250)).decode()
+
+    df = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")[["doc_id", "text", "lang"]]
+    noise = [random_base64() for _ in range(10)] + [random_words() for _ in range(10)] + [
+        "Это совсем другой язык, и модель его не знает. " * 20, "这是另一种语言的文本。" * 30]
+    odd = [(random_base64(), "en"), (random_words(), "en")] + [
+        (t, "en") for t in df[df.lang == "de"].text.head(2)]
+    odd = pd.DataFrame([(10**6 + i, t, g) for i, (t, g) in enumerate(odd)], columns=df.columns)
+    asked = pd.concat([df, pd.DataFrame({"doc_id": range(-len(noise), 0), "text": noise})])
+    for train in (df, pd.concat([df, odd])):
+        model = fit(spark.createDataFrame(train))
+        out = identify(spark.createDataFrame(asked[["doc_id", "text"]]), model).select(
+            "row.doc_id", "lang_pred", "rejected").toPandas().set_index("doc_id")
+        assert out.rejected[out.index < 0].all()
+        real = out.loc[df.doc_id]
+        assert real.rejected.mean() < 0.01
+        assert (real.lang_pred.to_numpy() == df.lang.to_numpy()).mean() > 0.99
+
+
 def test_url_rules_and_model(spark):
     from strata.llm.url_model import filter_urls
 
