@@ -1,10 +1,11 @@
 """URL filters: host and path rules, and a character language-model ratio for the rest.
 
 Two variable-order Markov models are counted over the URLs that rules accept and reject: for
-every order up to ORDER, how often a character follows its context. A character's probability
+every order up to ORDER, how often a character follows its context. The whole URL counts, from
+scheme to fragment; host and path are the rules' columns only. A character's probability
 blends all orders, each order's counts with the next shorter one's probability as prior. A URL's
 score is the difference of both log-likelihoods by its length; the limit is calibrated on ruled
-URLs that were not counted. Contexts are hashed into fixed tables, so a model has one size.
+URLs that were not counted yet, which then join the counts. Contexts are hashed into fixed tables, so a model has one size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from strata.llm.kernels import U, flat, mix
 
 #: Longest context, hash buckets of an order, weight of the shorter context's probability.
 ORDER, BUCKETS, PRIOR = 4, 1 << 16, 2.0
-#: One ruled URL in so many (by a hash) calibrates and is not counted; step of the score axis.
+#: One ruled URL in so many (by a hash) calibrates and is counted last; step of the score axis.
 HELD, STEP = 5, 0.005
 _PAD = "\x00" * ORDER
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,20 +124,24 @@ def _with_score(df: DataFrame, model: Model) -> DataFrame:
     return df.mapInArrow(_score(model, names), df.select(*names).schema.add("score", "double"))
 
 
+def _counted(data: DataFrame) -> np.ndarray:
+    """The counts of a model; at most 2 * (2 * ORDER + 2) * BUCKETS numbers reach the driver."""
+    counts = np.zeros((2, 2 * ORDER + 2, BUCKETS), np.float32)
+    t = (data.mapInArrow(_count, "side long, tab long, bucket long, n long")
+         .groupBy("side", "tab", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    counts[tuple(t.column(c).to_numpy() for c in ("side", "tab", "bucket"))] = \
+        t.column("n").to_numpy()
+    return counts
+
+
 def fit(ruled: DataFrame) -> Model:
     """Count over all ruled URLs but the calibrating part, then set the limit where accepted and
     rejected ones separate best. With one side only, nothing is known: limit 0, scores 0."""
     prepare(ruled.sparkSession)
     data = ruled.where("rule is not null").select(
-        F.concat("host", "path").alias("chars"), (F.col("rule_verdict") == "allow").alias("accepted"))
+        F.col("url").alias("chars"), (F.col("rule_verdict") == "allow").alias("accepted"))
     held = F.pmod(F.xxhash64("chars"), F.lit(HELD)) == 0
-    counts = np.zeros((2, 2 * ORDER + 2, BUCKETS), np.float32)
-    # at most 2 * (2 * ORDER + 2) * BUCKETS numbers
-    t = (data.where(~held).mapInArrow(_count, "side long, tab long, bucket long, n long")
-         .groupBy("side", "tab", "bucket").agg(F.sum("n").alias("n")).toArrow())
-    counts[tuple(t.column(c).to_numpy() for c in ("side", "tab", "bucket"))] = \
-        t.column("n").to_numpy()
-    model = Model(counts, 0.0)
+    model = Model(_counted(data.where(~held)), 0.0)
     steps = _with_score(data.where(held), model).groupBy(F.floor(F.col("score") / STEP).alias("s")
         ).agg(F.count_if("accepted").alias("good"), F.count_if(~F.col("accepted")).alias("bad"))
     steps = sorted((r["s"], r["good"], r["bad"]) for r in steps.collect())
@@ -148,18 +153,19 @@ def fit(ruled: DataFrame) -> Model:
             lost, caught = lost + g, caught + b
             if caught / bad - lost / good > best:
                 best, model.limit = caught / bad - lost / good, (s + 1) * STEP
-    return model
+    return Model(model.counts + _counted(data.where(held)), model.limit)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """page_id, host, path, rule, verdict (the rule's, else the model's) and score of each page.
-    A null URL or one without ``://`` has empty host and path and score 0. Repeated pages are
-    judged alike; an empty table gives no rows."""
+    A URL without ``://`` has empty host and path, so no rule fits it, and is judged by its own
+    characters; a null or empty one has score 0. Repeated pages are judged alike; an empty table
+    gives no rows."""
     prepare(pages.sparkSession)
     ruled = apply_rules(pages.select("page_id", "url"), rules)
     model = fit(ruled)
     scored = _with_score(ruled.select("page_id", "host", "path", "rule", "rule_verdict",
-                                      F.concat("host", "path").alias("chars")), model)
+                                      F.col("url").alias("chars")), model)
     own = F.when(F.col("score") >= model.limit, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule",
                          F.coalesce("rule_verdict", own).alias("verdict"), "score")

@@ -372,6 +372,22 @@ def test_url_rules_and_model(spark):
     assert ((ruled.score > 0) == (ruled.verdict == "allow")).mean() > 0.95
 
 
+def test_url_model_reads_the_whole_url(spark):
+    """URLs that differ after ? or # only, or in their scheme, and URLs without a scheme."""
+    from strata.llm.url_model import filter_urls
+
+    rows = [f"https://h{i}.{'good' if i % 2 else 'bad'}.org/p{i % 7}?"
+            f"{'ref=paper' if i % 2 else 'utm=spam'}#{'top' if i % 2 else 'x9'}" for i in range(200)]
+    rows += ["https://a.b/c?ref=paper", "https://a.b/c?utm=spam", "https://a.b/c#top",
+             "https://a.b/c#x9", "ref=paper", "utm=spam", None, ""]
+    rules = [("allow", "good.org/"), ("block", "bad.org/")]
+    out = {r["page_id"]: r for r in filter_urls(
+        spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()}
+    scores = [out[i]["score"] for i in range(200, 208)]
+    assert scores[0] > scores[1] and scores[2] > scores[3] and scores[4] > scores[5]
+    assert scores[0] > 0 > scores[5] and scores[4] > 0 and scores[6:] == [0, 0]
+
+
 def test_sharding(spark, docs):
     from strata.llm.sharding import best_fit, shard_documents
 
