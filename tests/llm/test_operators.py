@@ -312,6 +312,33 @@ def test_secret_spans():
     assert flagged == {i for i in range(29) if entropy((key * 2)[i:i + 20]) >= BITS["alnum"]}
 
 
+def test_secret_limits_allow_list_and_cut_spans():
+    from strata.llm.secret_scan import ALLOW, BITS, WINDOW, _scan, high_entropy
+
+    rng = np.random.default_rng(5)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    letters = upper + upper.lower()
+
+    def draw(chars, n=WINDOW):
+        return "".join(rng.choice(list(chars), n))
+
+    for chars in (letters, letters + digits, letters + digits + "+/"):  # about 1 % are missed
+        assert sum(bool(high_entropy(draw(chars), WINDOW, BITS)) for _ in range(1000)) > 960
+
+    a, b = "aZ3kP9xQ7Lm2Vt8RbY5wNc4D", "Qw8Er5Ty2Ui9Op3As6Df"
+    texts = [f"/sample/{a}", f"{a * 3}xxxx{a * 3}", f"{a}deadbeefdeadbeefdeadbeef{b}Z",
+             f"x{a[:9]}EXAMPLE{a[:5]}", "path/to=example/sample_dummy", f"key={draw(letters, 40)}"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))],
+                                       names=["text", "row"])
+    out = next(iter(_scan(WINDOW, BITS, ALLOW)([batch]))).column("spans").to_pylist()
+    spans = [[(s["kind"], s["start"], s["end"]) for s in x] for x in out]
+    assert any(k == "entropy" and z == len(texts[0]) and e <= 8 for k, e, z in spans[0])
+    assert [(e, z) for _, e, z in spans[1]] == [(0, 52), (96, 148)]
+    assert [k for k, *_ in spans[2]] == ["entropy", "hex", "entropy"]
+    assert spans[2][0][2] <= spans[2][1][1] and spans[2][1][2] <= spans[2][2][1]
+    assert spans[3] == spans[4] == [] and spans[5]
+
+
 def test_language_held_out_accuracy(spark, docs):
     out = queries.REGISTRY["op9_centroid_language_id"](spark, SF).toPandas().set_index("doc_id")
     lang = docs.set_index("doc_id").lang
