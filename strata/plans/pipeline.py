@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ from strata.operators.star import (build_dim_customer, build_dim_date, build_dim
 from strata.schemas import CALENDAR_END, CALENDAR_START, Entity, Namespaces
 from strata.sources import tables
 from strata.sources.jsonl import read_source
-from strata.streaming.file_once import ingest_new_files, next_batch_id
+from strata.streaming.file_once import batch_ids, ingest_new_files, next_batch_id
 
 BATCH_PROP = "strata.bronze_batch"
 #: Silver rows carry the bronze batch that last wrote them: an arrival order, unlike the
@@ -106,19 +106,30 @@ class Lakehouse:
     def bronze(self, entity: str) -> DataFrame:
         return self.spark.read.parquet(self.path("bronze", entity))
 
+    def quarantine(self, entity: str) -> DataFrame:
+        """Bronze rows with NULL keys, with the ``reason``; there once a run found one."""
+        return self.spark.read.parquet(self.path("quarantine", entity))
+
+
+def _keyless(ent: Entity) -> Column:
+    """The NULL key columns of a row, as text; empty where the key is whole."""
+    return F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in ent.keys])
+
 
 def run_bronze(lh: Lakehouse, landing: str) -> Q.QualityReport:
-    """Ingest new landed files of every entity; check the batches of this run for NULL keys.
+    """Ingest new landed files of every entity; check the batches not yet checked for NULL keys.
 
-    A table without a landed folder is skipped (``info``: ``<table>.skipped``). Earlier batches
-    are not read again, so a bad row fails the run that brought it and not every later one.
+    A table without a landed folder is skipped (``info``: ``<table>.skipped``). A table's mark
+    ``_checked`` moves only when the checks of all tables passed, so a failed run's batches, or
+    those of a driver lost before the check, are checked again. Rows with NULL keys fail the run
+    that finds them; it copies them with the reason to ``quarantine``, batch by batch, and they
+    fail no later run (``info``: ``<table>.quarantined``). Silver leaves such rows out.
     """
-    report, frames = Q.QualityReport(), {}
+    spark, report, frames, fresh, tops = lh.spark, Q.QualityReport(), {}, {}, {}
     for name, ent in lh.entities.items():
         sink = lh.path("bronze", name)
-        first = next_batch_id(lh.spark, sink)
         try:
-            ingest_new_files(lh.spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
+            ingest_new_files(spark, f"{landing.rstrip('/')}/{name}", lh.raw_schemas[name],
                              sink, lh.path("_checkpoints", "bronze", name),
                              transform=lambda b: normalize_timestamps(b, count_errors=True),
                              max_files_per_trigger=lh.max_files_per_trigger)
@@ -126,17 +137,35 @@ def run_bronze(lh: Lakehouse, landing: str) -> Q.QualityReport:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             report.info[f"{name}.skipped"] = 1
-            continue
-        if next_batch_id(lh.spark, sink):
-            frames[name] = (lh.bronze(name).filter(F.col(BATCH_COLUMN) >= first), ent.keys)
+        after = next_batch_id(spark, sink)
+        if after:
+            mark = next_batch_id(spark, lh.path("_checked", name)) - 1
+            frames[name] = (lh.bronze(name).filter(F.col(BATCH_COLUMN) > mark), ent.keys)
+            held = [b for b in batch_ids(spark, lh.path("quarantine", name)) if b > mark]
+            fresh[name] = (frames[name][0].filter(~F.col(BATCH_COLUMN).isin(held)), ent.keys)
+            if held:
+                report.info[f"{name}.quarantined"] = lh.quarantine(name).filter(
+                    F.col(BATCH_COLUMN).isin(held)).count()
+            if after - 1 > mark:
+                tops[name] = after - 1
     if not frames:
         return report
-    report.add_results(Q.pk_nulls(frames))
+    if not report.add_results(Q.pk_nulls(fresh)):
+        for name, (df, _) in fresh.items():
+            bad = df.withColumn("reason", _keyless(lh.entities[name])).filter("reason != ''")
+            for r in bad.select(BATCH_COLUMN).distinct().collect():
+                b = r[BATCH_COLUMN]
+                bad.filter(F.col(BATCH_COLUMN) == b).drop(BATCH_COLUMN).write.mode("overwrite") \
+                    .parquet(lh.path("quarantine", name, f"{BATCH_COLUMN}={b}"))
     # timestamp text that did not parse became NULL: count it (one row per table)
     for r in Q._union(df.agg(F.coalesce(F.sum(TS_ERRORS), F.lit(0)).alias("n"))
                       .select(F.lit(n).alias("t"), "n")
                       for n, (df, _) in frames.items()).collect():
         report.info[f"{r['t']}.malformed_timestamps"] = int(r["n"])
+    if not report.failures:
+        for name, top in tops.items():
+            spark.range(1).write.mode("overwrite").parquet(
+                lh.path("_checked", name, f"{BATCH_COLUMN}={top}"))
     return report
 
 
@@ -178,7 +207,8 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
         top = new.agg(F.max(BATCH_COLUMN)).first()[0]
         if top is None:
             continue
-        latest = deduplicate(cast_boolean_columns(new), ent)
+        # rows with NULL keys are in quarantine, or will be when bronze checks their batch
+        latest = deduplicate(cast_boolean_columns(new.filter(_keyless(ent) == "")), ent)
         # a daily batch is small against the table: stream the table past a broadcast
         # of the batch (row count checked first; full-outer join above the bound)
         merged = merge_small_batch(lh.spark.table(target_name), latest, ent.keys,

@@ -54,6 +54,13 @@ def next_batch_id(spark: SparkSession, sink: str) -> int:
     return 0 if top is None else int(top) + 1
 
 
+def batch_ids(spark: SparkSession, sink: str) -> list[int]:
+    """The ids of the batch folders that hold rows."""
+    df = _read_if_there(spark, sink)
+    return [] if df is None else sorted(
+        int(r[0]) for r in df.select("_batch_id").distinct().collect())
+
+
 def _first_id(spark: SparkSession, checkpoint: str, next_id: Callable[[], int]) -> int:
     """What is added to this checkpoint's micro-batch ids, which start at 0 in every fresh one.
 

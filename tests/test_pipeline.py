@@ -165,3 +165,31 @@ def test_run_all_gates_in_order(spark, tmp_root):
     with pytest.raises(RuntimeError, match="product_fk"):
         P.run_all(lh, landing)              # the item's product is unknown: gold gate fails
     assert spark.table(lh.name("silver", "order_items")).count() == 3   # silver committed
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_null_keys_fail_once_and_stay_out(spark, tmp_root, lost):
+    """A row with a NULL key fails the run that finds it, also after a driver that was lost
+    between ingest and check; it is quarantined, and the next run goes on without it."""
+    landing, tag = f"{tmp_root}/landing", f"q{int(lost)}"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+                     ns=P.Namespaces(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}"))
+    batch = _batch1()
+    batch["orders"].append((None, *batch["orders"][0][1:]))
+    _land(spark, landing, batch, "b1")
+    if lost:
+        P.ingest_new_files(spark, f"{landing}/orders", RAW_SCHEMAS["orders"],
+                           lh.path("bronze", "orders"), lh.path("_checkpoints", "bronze", "orders"),
+                           transform=lambda b: P.normalize_timestamps(b, count_errors=True))
+    with pytest.raises(RuntimeError, match="orders.order_id nulls: 1"):
+        P.run_all(lh, landing)
+    assert [r["reason"] for r in lh.quarantine("orders").collect()] == ["order_id"]
+    report = P.run_all(lh, landing)["bronze"]
+    assert report.info["orders.quarantined"] == 1
+    assert report.info["products.malformed_timestamps"] == 1  # of a batch checked again
+    silver = spark.table(lh.name("silver", "orders"))
+    assert sorted(r["order_id"] for r in silver.collect()) == ["o1", "o2"]
+    again = P.run_bronze(lh, landing)
+    again.gate()
+    assert "orders.quarantined" not in again.info
+    assert again.info["products.malformed_timestamps"] == 0
