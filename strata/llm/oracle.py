@@ -39,7 +39,88 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
 FROM lines LEFT JOIN frequent f USING (key) GROUP BY doc_id
 """
 
+#: crc32 of a string, over its UTF-8 bytes: the table of 256 entries, then one step a byte.
+_CRC_TABLE = """crc AS (SELECT list(c ORDER BY b) AS crc_table FROM (
+  SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1
+    THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, b) AS c FROM range(256) t(b)))"""
+
+
+def _crc32(value: str) -> str:
+    """Unsigned crc32 of a string; the query joins the one row of ``crc``."""
+    byte = f"('0x' || substr(hex(encode({value})), 2 * i + 1, 2))::BIGINT"
+    return (f"xor(4294967295::BIGINT, list_reduce(list_transform(range(octet_length(encode({value}"
+            f"))), lambda i: {byte}), lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8), "
+            "4294967295::BIGINT))")
+
+
+def _field(value: str) -> str:
+    return (f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || "
+            f"({value})::VARCHAR, '-')")
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(
+        _field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: All nodes of all sources and of the tree above them, grown upwards in one recursion; then every
+#: leaf climbs through its runs, with its own digest and with the one that it claims.
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_leaf('text')} AS leaf,
+    CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {_leaf(_LOWER.format('text'))} END AS claim
+  FROM documents, crc),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM docs),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM ranked
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM tops WHERE n > 1 GROUP BY level, pos // 16, n),
+steps AS (
+  SELECT tree, level, pos, n, false AS top, digest FROM nodes
+  UNION ALL SELECT '', level, pos, n, true, digest FROM tops),
+runs AS (
+  SELECT tree, top, level, pos // 16 AS run, list(struct_pack(pos, digest) ORDER BY pos) AS members
+  FROM steps WHERE n > 1 GROUP BY ALL),
+sides AS (
+  SELECT s.tree, s.top, s.level, s.pos,
+    coalesce(list_aggregate(list_transform(list_filter(members, lambda m: m.pos < s.pos),
+      lambda m: m.digest), 'string_agg', ''), '') AS l,
+    coalesce(list_aggregate(list_transform(list_filter(members, lambda m: m.pos > s.pos),
+      lambda m: m.digest), 'string_agg', ''), '') AS r
+  FROM steps s JOIN runs u ON u.tree = s.tree AND u.top = s.top AND u.level = s.level
+    AND u.run = s.pos // 16),
+climb AS (
+  SELECT r.pos AS id, r.tree AS home, r.tree, false AS top, 0 AS level, r.pos,
+    coalesce(claim, leaf) AS digest, '' AS proof FROM ranked r
+  UNION ALL
+  SELECT c.id, c.home, CASE WHEN s.pos IS NULL THEN '' ELSE c.tree END,
+    c.top OR s.pos IS NULL, CASE WHEN s.pos IS NULL THEN 0 ELSE c.level + 1 END,
+    CASE WHEN s.pos IS NULL THEN b.pos ELSE c.pos // 16 END,
+    CASE WHEN s.pos IS NULL THEN c.digest ELSE sha256(s.l || c.digest || s.r) END,
+    c.proof || coalesce(s.l || s.r, '')
+  FROM climb c LEFT JOIN sides s ON s.tree = c.tree AND s.top = c.top AND s.level = c.level
+    AND s.pos = c.pos JOIN subroots b ON b.tree = c.home WHERE NOT (c.top AND s.pos IS NULL)),
+ends AS (SELECT home, id, digest, proof FROM climb c WHERE top
+  QUALIFY row_number() OVER (PARTITION BY home, id ORDER BY level DESC) = 1)
+SELECT r.doc_id, r.leaf, b.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256,
+  e.digest AS folded_root, e.digest = t.digest AS verified
+FROM ranked r JOIN ends e ON e.home = r.tree AND e.id = r.pos JOIN subroots b ON b.tree = r.tree,
+  (SELECT digest FROM tops WHERE n = 1) t
+"""
+
 QUERIES: dict[str, str] = {
     "op2_winnowing_decontamination": DECONTAMINATION,
     "op6_cuckoo_line_dedup": LINE_DEDUP,
+    "op12_merkle_manifest": MERKLE,
 }

@@ -116,3 +116,17 @@ def op8_markov_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"),
                        [("block", "net/"), ("allow", "example.net/en/"),
                         ("block", "example.com/de/"), ("allow", "org/fr/")])
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    from strata.llm.merkle import fold, leaf_digest, manifest, siblings
+
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claim = F.when(number % 5 == 0, leaf_digest(small))  # a null doc_id is never tampered with
+    d = manifest(table(spark, sf_dir, "documents"), claim)
+    return d.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(siblings(), 256).alias("proof_sha256"),
+        fold(F.coalesce("claim", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
