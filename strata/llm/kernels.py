@@ -81,10 +81,14 @@ LETTER_DIGIT = byte_class(lambda b: 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A
 
 def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
     """Starts and ends of the maximal runs of a byte class; a run never leaves its text."""
-    n = len(data)
+    return runs_of(inside[data], offsets)
+
+
+def runs_of(w: np.ndarray, offsets: np.ndarray):
+    """Starts and ends of the runs of set bytes."""
+    n = len(w)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    w = inside[data]
     first, last = w.copy(), w.copy()
     first[1:] &= ~w[:-1]
     last[:-1] &= ~w[1:]

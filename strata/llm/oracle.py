@@ -39,6 +39,23 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
 FROM lines LEFT JOIN frequent f USING (key) GROUP BY doc_id
 """
 
+_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+#: The base columns of the licence scan (not what its templates add).
+LICENSE_BASE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+phrases AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {', '.join(map(str, _PHRASES))}) t(p, label)),
+places AS (
+  SELECT doc_id, label, i - 1 AS word FROM (
+    SELECT doc_id, w, p, label, unnest(range(1, len(w) - len(p) + 2)) AS i
+    FROM d, phrases WHERE len(w) >= len(p) AND list_has_all(w, p))
+  WHERE list_slice(w, i, i + len(p) - 1) = p)
+SELECT doc_id, any_value(len(w))::BIGINT AS n_words, count(label)::BIGINT AS n_base,
+  min(word) AS first_word, max(word) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM d LEFT JOIN places USING (doc_id) GROUP BY doc_id
+"""
+
 #: crc32 of a string, over its UTF-8 bytes: the table of 256 entries, then one step a byte.
 _CRC_TABLE = """crc AS (SELECT list(c ORDER BY b) AS crc_table FROM (
   SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1
@@ -119,8 +136,43 @@ FROM ranked r JOIN ends e ON e.home = r.tree AND e.id = r.pos JOIN subroots b ON
   (SELECT digest FROM tops WHERE n = 1) t
 """
 
+#: Near words by what is left of them when one place is taken out, not by automata.
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, {_LOWER.format('run')} AS run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents) GROUP BY ALL HAVING length(run) >= 7),
+hashed AS (SELECT run, k, {_crc32("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc),
+faulty AS (SELECT k, CASE WHEN h % 31 <> 0 THEN run
+  ELSE left(run, h % length(run)) || substr(run, h % length(run) + 2) END AS word FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM faulty WHERE length(word) >= 7
+  GROUP BY word HAVING sum(k) >= 2),
+holes AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word AS u, b.word AS v FROM holes a JOIN holes b USING (i, rest)
+    WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, b.word FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM holes a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT u, count(*) AS n_near, max(n) AS best_n, arg_min(v, struct_pack(m := -n, w := encode(v))) AS best
+  FROM near JOIN words ON word = v GROUP BY u),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN best ON u = word),
+way AS (
+  SELECT word, word AS root, 0 AS step FROM judged
+  UNION ALL SELECT w.word, j.form, step + 1 FROM way w JOIN judged j ON j.word = w.root
+    WHERE j.form IS NOT NULL)
+SELECT j.word, form, arg_max(w.root, w.step) AS root, n, n_near, form_n
+FROM judged j JOIN way w USING (word) GROUP BY ALL
+"""
+
 QUERIES: dict[str, str] = {
     "op2_winnowing_decontamination": DECONTAMINATION,
     "op6_cuckoo_line_dedup": LINE_DEDUP,
     "op12_merkle_manifest": MERKLE,
+    "op13_spelling_variants": SPELLING,
 }

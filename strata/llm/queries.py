@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm.common import table
+from strata.llm.common import prepare, table
 
 REGISTRY = {}
 
@@ -130,3 +130,32 @@ def op12_merkle_manifest(spark, sf_dir):
         "doc_id", "leaf", "subroot", "root", F.sha2(siblings(), 256).alias("proof_sha256"),
         fold(F.coalesce("claim", "leaf")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    from strata.llm.spelling import spelling_variants, vocabulary
+
+    docs = table(spark, sf_dir, "documents")
+    prepare(spark)
+    return spelling_variants(vocabulary(docs, min_chars=7, min_count=2, delete_every=31), ratio=10)
+
+
+@query
+def op11_positional_license_scan(spark, sf_dir):
+    from strata.llm.license_scan import fit, scan
+
+    docs = table(spark, sf_dir, "documents")
+    d = scan(docs, fit(docs), keep_columns=False)
+
+    def joined(labels):
+        return F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
+    return d.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"), F.array_max("places.word").alias("last_word"),
+        joined(F.col("places.label")).alias("base_labels"),
+        joined(F.concat("places.label", "matches.label")).alias("labels"),
+        # a base phrase is there in full
+        F.when(F.size("places") > 0, 1.0).otherwise(
+            F.coalesce(F.array_max("matches.score"), F.lit(0.0))).alias("score"))
