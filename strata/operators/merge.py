@@ -157,10 +157,20 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return 8 + sum(_WIDTH.get(f.dataType.typeName(), 8) for f in schema.fields)
 
 
+def batch_size(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes in memory: fixed widths and the bytes of the texts."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    one = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(
+        F.sum(reduce(lambda a, b: a + b, texts, F.lit(0)).cast("long")), F.lit(0)).alias("b")).first()
+    return one["n"], one["n"] * estimated_row_bytes(df.schema) + one["b"]
+
+
 def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                       update_when: Cond, insert_when: Callable[[_Row], Column],
                       max_batch_rows: int = 1_000_000,
-                      max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+                      max_broadcast_bytes: int = 64 << 20,
+                      checkpointed: tuple[int, int] | None = None) -> DataFrame:
     """Same result as ``merge_frames`` (without pruning) for a batch whose size is
     measured to be at most ``max_batch_rows`` rows and ``max_broadcast_bytes`` (fixed
     widths, plus the bytes of its texts); the table itself is never shuffled.
@@ -168,16 +178,14 @@ def merge_small_batch(target: DataFrame, source: DataFrame, keys: Sequence[str],
     Above the bound it falls back to the full-outer plan; a key that the batch holds
     twice fails the job on either path. The batch is checkpointed to the shared
     checkpoint folder: it is then computed once for its size and the joins that use
-    it, and a lost executor re-reads it instead of replaying its lineage.
+    it, and a lost executor re-reads it instead of replaying its lineage (``checkpointed``: the
+    caller has done so, and this is the ``batch_size``).
     """
-    checkpoint_root(source.sparkSession)
-    source = source.checkpoint(eager=True)
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in source.schema.fields
-             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    size = source.agg(F.count(F.lit(1)).alias("n"), F.coalesce(
-        F.sum(reduce(lambda a, b: a + b, texts, F.lit(0)).cast("long")), F.lit(0)).alias("b")).first()
-    if (size["n"] > max_batch_rows
-            or size["n"] * estimated_row_bytes(source.schema) + size["b"] > max_broadcast_bytes):
+    if checkpointed is None:
+        checkpoint_root(source.sparkSession)
+        source = source.checkpoint(eager=True)
+    rows, size = checkpointed or batch_size(source)
+    if rows > max_batch_rows or size > max_broadcast_bytes:
         return merge_frames(target, source, keys, update_when=update_when,
                             insert_when=insert_when)
     keys = list(keys)

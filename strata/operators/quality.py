@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import Constraint, Entity
+from strata.session import scratch_path
 
 RESULT_COLUMNS = ("table_name", "check", "column", "n")
 
@@ -67,6 +68,14 @@ def key_checks(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.lit(label).alias("column"), F.col("duplicate_keys").cast("long").alias("n"))
 
 
+def duplicate_keys(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys seen more than once, as (table_name, key, n): all keys joined by commas, a NULL one
+    as ``NULL``."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+              .select(F.lit(table).alias("table_name"), F.concat_ws(",", *parts).alias("key"), "n"))
+
+
 def _keyed_checks(table: str, df: DataFrame, keys: Sequence[str], null_columns: Sequence[str],
                   flag: str | None = None) -> DataFrame:
     """Row, NULL, deleted and duplicate-key counts in one read of ``df``.
@@ -127,21 +136,28 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame],
                rules: Sequence[ForeignKey]) -> DataFrame:
     """Fact rows per rule whose key has no dimension row (NULL keys count as orphans).
 
-    One pass over the fact for all rules: its key columns are left-joined to each
-    dimension's key set (with a hit flag), then one aggregate counts the misses per
-    rule. The fact is read and computed once, whatever the number of rules; AQE
-    broadcasts a key set when it is measured small and splits a hot fact key on the
-    left side otherwise. Same counts as the outer-join-plus-IS-NULL form.
+    The fact is read once and reduced to (rule, key, rows) with a partial aggregation before the
+    shuffle: a hot key, or a third of all rows with a NULL one, is one row per map task. What moves
+    is one row per key of each rule, never the fact; the keys are then anti-joined with all
+    dimensions' keys at once, and the rows of those left are added up. Keys are compared as text,
+    which is the same for equal numbers of any integer type.
     """
-    f = fact.select(*dict.fromkeys(r.fact_key for r in rules))
-    for i, r in enumerate(rules):
-        # distinct: a repeated dimension key must not multiply fact rows
-        keys = (dims[r.dim_name].select(F.col(r.dim_key).alias(f"_dk{i}")).distinct()
-                .withColumn(f"_hit{i}", F.lit(True)))
-        f = f.join(keys, F.col(r.fact_key) == F.col(f"_dk{i}"), "left").drop(f"_dk{i}")
-    counts = f.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"_o{i}")
+    def keyed(df: DataFrame, column: str, i: int) -> Column:
+        c = F.col(column)
+        if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            raise TypeError(f"{column}: keys are integers, texts, dates or timestamps")
+        return F.struct(F.lit(i).alias("rule"), c.cast("string").alias("key"))
+    held = fact.select(F.explode(F.array(*[
+        keyed(fact, r.fact_key, i) for i, r in enumerate(rules)])).alias("k"))
+    counts = held.groupBy("k.rule", "k.key").agg(F.count(F.lit(1)).alias("rows"))
+    known = _union(dims[r.dim_name].select(keyed(dims[r.dim_name], r.dim_key, i).alias("k"))
+                   .select("k.rule", "k.key") for i, r in enumerate(rules))
+    lost = counts.join(known, ["rule", "key"], "left_anti").groupBy("rule").agg(
+        F.sum("rows").alias("n"))
+    # every rule has a row, also one without orphans
+    one = lost.agg(*[F.coalesce(F.max(F.when(F.col("rule") == i, F.col("n"))), F.lit(0)).alias(f"_o{i}")
                      for i in range(len(rules))])
-    return counts.select(F.inline(F.array(*[
+    return one.select(F.inline(F.array(*[
         F.struct(F.lit(r.name).alias("rule_name"), F.col(f"_o{i}").alias("orphans"))
         for i, r in enumerate(rules)])))
 
@@ -191,49 +207,34 @@ def freshness(tables: dict[str, DataFrame], as_of: str, max_age_hours: float,
     return _union(out)
 
 
-def _as_text(c: str, dtype: T.DataType) -> Column:
-    """Value as text, one text per distinct value (-0.0 folded into 0.0, as GROUP BY does)."""
-    col = F.col(c)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        col = col + F.lit(0.0)
-    return col.cast("string")
-
-
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, NULLs, exact distinct values, min and max (as text).
 
-    Two passes, both narrow:
-
-    * one aggregate for rows, NULLs, min and max of every column (min/max in each
-      column's own ordering, reported as text);
-    * exact distinct counts from an unpivot to (column index, value as text),
-      aggregated per pair with a partial aggregation before the shuffle, then
-      counted per column. The shuffled rows are two narrow columns, where a
-      multi-``COUNT(DISTINCT)`` aggregate would shuffle every column once per
-      distinct aggregate (an Expand as wide as the table).
+    The frame is written once to the shared scratch folder, so whatever makes it runs once. Then
+    every column is read by itself and reduced by a typed ``groupBy(column)``: distinct values are
+    its groups, NULLs the rows of the NULL group, min and max those of the groups, in the
+    column's own ordering. A partial aggregation before each shuffle leaves one row per value
+    and task, and nothing is cast to text but the two results.
     """
     columns = list(columns or df.columns)
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(columns):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_nul{i}"),
-                 F.min(c).cast("string").alias(f"_min{i}"),
-                 F.max(c).cast("string").alias(f"_max{i}")]
-    stats = df.agg(*aggs).select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(c).alias("column_name"),
-                 F.lit(dtypes[c].simpleString()).alias("data_type"),
-                 F.col("_rows").alias("rows"), F.col(f"_nul{i}").alias("nulls"),
-                 F.col(f"_min{i}").alias("min_value"), F.col(f"_max{i}").alias("max_value"))
-        for i, c in enumerate(columns)])))
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), _as_text(c, dtypes[c]).alias("_v"))
-        for i, c in enumerate(columns)])).alias("_p")).select("_p._i", "_p._v")
-    distinct = (pairs.filter(F.col("_v").isNotNull()).groupBy("_i", "_v").count()
-                .groupBy("_i").agg(F.count(F.lit(1)).alias("distinct_values")))
-    return (stats.join(distinct, "_i", "left")
-            .select("column_name", "data_type", "rows", "nulls",
-                    F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
-                    "min_value", "max_value"))
+    path = scratch_path(df.sparkSession, "profile")
+    df.select(*columns).write.parquet(path)
+    written = df.sparkSession.read.schema(df.select(*columns).schema).parquet(path)
+    out = []
+    for c in columns:
+        kind = df.schema[c].dataType
+        # -0.0 folds into 0.0, as GROUP BY has it
+        value = F.col(c) + F.lit(0.0) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(c)
+        groups = written.select(value.cast(kind).alias("v")).groupBy("v").agg(
+            F.count(F.lit(1)).alias("n"))
+        out.append(groups.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("v").alias("distinct_values"), F.min("v").cast("string").alias("min_value"),
+            F.max("v").cast("string").alias("max_value")).select(
+            F.lit(c).alias("column_name"), F.lit(kind.simpleString()).alias("data_type"),
+            "rows", "nulls", "distinct_values", "min_value", "max_value"))
+    return _union(out)
 
 
 @dataclass

@@ -50,14 +50,39 @@ def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             for name, fn in fixtures.ADAPTERS.items()}
 
 
-def gold_frames(spark: SparkSession, sf_dir: str,
-                calendar: tuple[str, str] = fixtures.FIXTURE_CALENDAR) -> dict[str, DataFrame]:
-    s = silver_frames(spark, sf_dir)
+def two_batch_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver after two batches: every entity as it was first seen (active, a day older), then as
+    it is. Deleted rows are in it with their flag."""
+    out = {}
+    for name, fn in fixtures.ADAPTERS.items():
+        entity, batch = FIXTURE_ENTITIES[name], fn(spark, sf_dir)
+        before = first_load(spark, fixtures.as_first_seen(batch), entity)
+        out[name] = merge_newer_wins(before, deduplicate(batch, entity), entity.keys,
+                                     version=entity.version, delete_flag=entity.delete_flag)
+    return out
+
+
+def gold_of(spark: SparkSession, silver: dict[str, DataFrame],
+            calendar: tuple[str, str] = fixtures.FIXTURE_CALENDAR) -> dict[str, DataFrame]:
     return {
         "dim_date": build_dim_date(spark, *calendar),
-        "dim_customer": build_dim_customer(s["customers"]),
-        "dim_product": build_dim_product(s["products"]),
+        "dim_customer": build_dim_customer(silver["customers"]),
+        "dim_product": build_dim_product(silver["products"]),
         "fact_order_line": build_fact_order_line(
-            s["order_items"], s["orders"], s["products"],
+            silver["order_items"], silver["orders"], silver["products"],
             item_keys=FIXTURE_ENTITIES["order_items"].keys),
     }
+
+
+def gold_frames(spark: SparkSession, sf_dir: str,
+                calendar: tuple[str, str] = fixtures.FIXTURE_CALENDAR) -> dict[str, DataFrame]:
+    return gold_of(spark, silver_frames(spark, sf_dir), calendar)
+
+
+def flawed_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Gold frames over rows that break the rules, not deduplicated, and a short calendar. Only
+    the products are whole rows, once each, for they would multiply the fact."""
+    flawed = fixtures.flawed_frames(spark, sf_dir)
+    products = flawed["products"].filter("product_id IS NOT NULL")
+    return gold_of(spark, {**flawed, "products": first_load(
+        spark, products, FIXTURE_ENTITIES["products"])}, fixtures.SHORT_CALENDAR)

@@ -8,14 +8,18 @@ generated from the Spark code path. Shared pieces are plain CTE text.
 from __future__ import annotations
 
 from strata.schemas import FIXTURE_ENTITIES
-from strata.sources.fixtures import FIXTURE_BATCH_TS, FIXTURE_CALENDAR
+from strata.sources.fixtures import FIXTURE_BATCH_TS, FIXTURE_CALENDAR, SHORT_CALENDAR
 
 TS = f"TIMESTAMP '{FIXTURE_BATCH_TS}'"
 
 
 def msum(x: str) -> str:
-    """Exact money sum over whole cents (same rule as ``strata.functions.money``)."""
-    return f"CAST(SUM(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0"
+    """Sum of the full amounts as decimals; text is how a decimal becomes the nearest double."""
+    return f"CAST(CAST(SUM({dec(x)}) AS VARCHAR) AS DOUBLE)"
+
+
+def dec(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(28, 8))"
 
 
 def date_id(x: str) -> str:
@@ -125,6 +129,39 @@ def with_star(body: str) -> str:
     return f"WITH {BRONZE},\n{SILVER},\n{GOLD}\n{body}"
 
 
+def per_order(keys: str) -> str:
+    """Order lines added up per order first, for the views: another way to the same figures."""
+    return (f"o AS (SELECT order_id, {keys}, SUM({dec('line_total')}) AS r, "
+            f"SUM({dec('gross_margin')}) AS g, SUM(quantity) AS q FROM fact GROUP BY ALL)")
+
+
+def dbl(x: str) -> str:
+    return f"CAST(CAST(SUM({x}) AS VARCHAR) AS DOUBLE)"
+
+
+VIEWS = {
+    "kpi_segment_month_view": (per_order("customer_id, date_id"), f"""
+SELECT year, month, segment, {dbl('r')} AS revenue, {dbl('g')} AS gross_margin,
+       COUNT(DISTINCT order_id) AS orders
+FROM o JOIN (SELECT date_id, year, month FROM dim_date) USING (date_id)
+JOIN (SELECT customer_id, segment FROM dim_customer) USING (customer_id) GROUP BY ALL"""),
+    "kpi_top_products_view": (per_order("product_id"), f"""
+SELECT p.product_id, name, category, subcategory, units_sold, revenue, gross_margin
+FROM dim_product p JOIN (SELECT product_id, CAST(SUM(q) AS BIGINT) AS units_sold, {dbl('r')} AS revenue,
+  {dbl('g')} AS gross_margin FROM o GROUP BY product_id) USING (product_id)"""),
+    "kpi_status_funnel_view": (per_order("order_status"), f"""
+SELECT order_status, COUNT(*) AS orders, {dbl('r')} AS revenue FROM o GROUP BY order_status"""),
+    "kpi_customer_ltv_view": (per_order("customer_id"), f"""
+SELECT c.customer_id, first_name, last_name, segment, total_orders, lifetime_revenue, lifetime_margin
+FROM dim_customer c JOIN (SELECT customer_id, COUNT(*) AS total_orders, {dbl('r')} AS lifetime_revenue,
+  {dbl('g')} AS lifetime_margin FROM o GROUP BY customer_id) USING (customer_id)"""),
+    "kpi_daily_view": (per_order("customer_id, date_id"), f"""
+SELECT full_date, COUNT(*) AS orders, len(list(DISTINCT customer_id)) AS active_customers,
+       {dbl('r')} AS revenue, {dbl('g')} AS gross_margin, CAST(SUM(q) AS BIGINT) AS units
+FROM o JOIN dim_date USING (date_id) GROUP BY full_date"""),
+}
+
+
 K1 = f"""SELECT d.year, d.month, c.segment, {msum('f.line_total')} AS revenue,
        {msum('f.gross_margin')} AS gross_margin, COUNT(DISTINCT f.order_id) AS orders
 FROM fact f JOIN dim_customer c ON f.customer_id = c.customer_id
@@ -155,7 +192,7 @@ GROUP BY d.full_date"""
 
 QUERIES: dict[str, str] = {
     "kpi_segment_month": with_star(K1),
-    "kpi_segment_month_view": with_star(K1),
+    **{n: f"WITH {BRONZE},\n{SILVER},\n{GOLD},\n{cte}\n{body}" for n, (cte, body) in VIEWS.items()},
     "kpi_top_products": with_star(K2),
     "kpi_status_funnel": with_star(K3),
     "kpi_customer_ltv": with_star(K4),
@@ -223,10 +260,13 @@ def _q(name: str) -> str:
 
 
 def pk_nulls_sql() -> str:
-    parts = [f"SELECT {_q(n)} AS table_name, 'nulls' AS \"check\", {_q(k)} AS \"column\", "
-             f"COUNT(*) FILTER (WHERE {k} IS NULL) AS n FROM {BRONZE_CTE[n]}"
-             for n in ENTITY_ORDER for k in FIXTURE_ENTITIES[n].keys]
-    return f"WITH {BRONZE}\n{_u(parts)}"
+    return f"WITH {BRONZE}\n{pk_nulls_body(BRONZE_CTE)}"
+
+
+def pk_nulls_body(cte: dict[str, str]) -> str:
+    return _u([f"SELECT {_q(n)} AS table_name, 'nulls' AS \"check\", {_q(k)} AS \"column\", "
+               f"COUNT(*) FILTER (WHERE {k} IS NULL) AS n FROM {cte[n]}"
+               for n in ENTITY_ORDER for k in FIXTURE_ENTITIES[n].keys])
 
 
 def _dups(table: str, cte: str, keys) -> str:
@@ -327,8 +367,6 @@ FK_SQL = with_star(_u([
     "SELECT 'date_fk', COUNT(*) FROM fact f WHERE NOT EXISTS "
     "(SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)"]))
 
-EVENTS_SPLIT_SQL = "SELECT * FROM events"
-
 QUERIES.update({
     "dim_date": DIM_DATE_SPAN,
     "dedup_latest": f"WITH {B_ITEMS}\n{latest('b_items', 'order_id, line_number', ITEM_ORDER)}",
@@ -390,3 +428,170 @@ FROM prior LEFT JOIN marks ON prior.table_name = marks.table_name""",
     "zorder_layout": with_star("SELECT * FROM fact"),
     "compact": with_star("SELECT * FROM fact"),
 })
+
+
+# --- silver after two batches, and rows that break every rule ---------------------------------
+
+#: Everything was first seen active and then as it is, so the latest rows are silver, deleted or not.
+TWO_BATCHES = SILVER[:SILVER.index("s_items AS")] + """s_items AS (SELECT * FROM d_items),
+s_orders AS (SELECT * FROM d_orders),
+s_products AS (SELECT * FROM d_products),
+s_customers AS (SELECT * FROM d_customers)"""
+
+
+def with_two(body: str) -> str:
+    return f"WITH {BRONZE},\n{TWO_BATCHES},\n{GOLD}\n{body}"
+
+
+FLAWED = """f_customers AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 50 = 0 THEN NULL ELSE customer_id END AS customer_id,
+    CASE WHEN customer_id % 7 = 0 THEN 'same' ELSE last_name END AS last_name,
+    CASE WHEN customer_id % 13 = 0 THEN 'UNKNOWN' ELSE segment END AS segment,
+    CASE WHEN customer_id % 17 = 0 THEN NULL ELSE created_at END AS created_at,
+    CASE WHEN customer_id % 11 = 0 THEN NULL WHEN customer_id % 7 = 0 THEN 'same@example.com'
+         ELSE email END AS email)
+  FROM b_customers),
+f_products AS (
+  SELECT * REPLACE (CASE WHEN product_id % 50 = 0 THEN NULL ELSE product_id END AS product_id,
+    CASE WHEN product_id % 19 = 0 THEN -unit_price ELSE unit_price END AS unit_price,
+    CASE WHEN product_id % 23 = 0 THEN 0.0 ELSE cost_price END AS cost_price,
+    CASE WHEN product_id % 29 = 0 THEN NULL ELSE name END AS name)
+  FROM b_products),
+f_orders AS (
+  SELECT * REPLACE (CASE WHEN order_id % 50 = 0 THEN NULL ELSE order_id END AS order_id,
+    CASE WHEN order_id % 31 = 0 THEN 'lost' ELSE order_status END AS order_status,
+    CASE WHEN order_id % 37 = 0 THEN -total_amount ELSE total_amount END AS total_amount,
+    CASE WHEN order_id % 41 = 0 THEN NULL ELSE customer_id END AS customer_id)
+  FROM b_orders),
+f_items AS (
+  SELECT * REPLACE (CASE WHEN order_id % 43 = 0 THEN -quantity ELSE quantity END AS quantity,
+    CASE WHEN order_id % 47 = 0 THEN 0.0 ELSE line_total END AS line_total,
+    CASE WHEN order_id % 53 = 0 THEN NULL ELSE unit_price END AS unit_price,
+    CASE WHEN order_id % 50 = 0 THEN NULL ELSE line_number END AS line_number)
+  FROM b_items)"""
+FLAWED_CTE = {"customers": "f_customers", "products": "f_products", "orders": "f_orders",
+              "order_items": "f_items"}
+# the gold frames take such rows as silver, but for products: whole and once each
+FLAWED_SILVER = f"""d_products AS ({latest('f_products', 'product_id')}),
+s_items AS (SELECT * FROM f_items), s_orders AS (SELECT * FROM f_orders),
+s_products AS (SELECT * FROM d_products WHERE is_deleted = false AND product_id IS NOT NULL),
+s_customers AS (SELECT * FROM f_customers)"""
+FLAWED_GOLD = GOLD.replace(dim_date_sql(*FIXTURE_CALENDAR), dim_date_sql(*SHORT_CALENDAR))
+
+
+def with_flawed(body: str) -> str:
+    return f"WITH {BRONZE},\n{FLAWED},\n{FLAWED_SILVER},\n{FLAWED_GOLD}\n{body}"
+
+
+def silver_quality_body(cte: dict[str, str]) -> str:
+    sql = silver_quality_sql()
+    return _renamed(sql[sql.index("SELECT * FROM (SELECT 'customers'"):], cte)
+
+
+def constraints_body(cte: dict[str, str]) -> str:
+    sql = constraints_sql()
+    return _renamed(sql[sql.index('SELECT table_name, "check"'):], cte)
+
+
+def _renamed(body: str, cte: dict[str, str]) -> str:
+    for n, name in SILVER_CTE.items():
+        body = body.replace(f"FROM {name}", f"FROM {cte[n]}")
+    return body
+
+
+def gold_quality_body() -> str:
+    sql = gold_quality_sql()
+    return sql[sql.index("SELECT * FROM (SELECT 'dim_date'"):]
+
+
+FK_BODY = FK_SQL[FK_SQL.index("SELECT 'customer_fk'"):]
+
+
+def duplicate_list_sql() -> str:
+    parts = []
+    for n in ENTITY_ORDER:
+        keys = FIXTURE_ENTITIES[n].keys
+        text = " || ',' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in keys)
+        parts.append(f"SELECT {_q(n)} AS table_name, {text} AS key, COUNT(*) AS n FROM "
+                     f"{BRONZE_CTE[n]} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1")
+    return f"WITH {BRONZE}\n{_u(parts)}"
+
+
+QUERIES.update({
+    "dim_customer_two_batches": with_two("SELECT * FROM dim_customer"),
+    "dim_product_two_batches": with_two("SELECT * FROM dim_product"),
+    "fact_order_line_two_batches": with_two("SELECT * FROM fact"),
+    "silver_quality_two_batches": with_two(silver_quality_body(SILVER_CTE)),
+    "pk_nulls_flawed": with_flawed(pk_nulls_body(FLAWED_CTE)),
+    "silver_quality_flawed": with_flawed(silver_quality_body(FLAWED_CTE)),
+    "check_constraints_flawed": with_flawed(constraints_body(FLAWED_CTE)),
+    "gold_quality_flawed": with_flawed(gold_quality_body()),
+    "fk_orphans_flawed": with_flawed(FK_BODY),
+    "metric_sanity_flawed": with_flawed(
+        "SELECT COUNT(*) FILTER (WHERE quantity < 0 OR unit_price < 0 OR line_total < 0) "
+        "AS negative_rows FROM fact"),
+    "gate_failures": with_flawed(
+        f"SELECT table_name || '.' || \"column\" || ' nulls: ' || n AS failure FROM "
+        f"({pk_nulls_body(FLAWED_CTE)}) WHERE n > 0"),
+    "duplicate_key_list": duplicate_list_sql(),
+    "table_sample_rows": with_star("SELECT COUNT(*) AS sampled, COUNT(*) AS held FROM "
+                                   "(SELECT * FROM fact LIMIT 5)"),
+    "create_table_twice": f"WITH {B_ORDERS}\nSELECT * FROM b_orders",
+    "namespace_selected": "SELECT 'spark_catalog' AS catalog, 'strata_selected' AS namespace, "
+                          "COUNT(*) AS rows FROM orders",
+    "overwrite_schema": DIM_DATE_SPAN,
+})
+
+# --- whole runs ---------------------------------------------------------------------------------
+
+_LINES = GOLD[GOLD.index("SELECT i.order_id"):].rsplit(")", 1)[0]
+#: Lines after the second run, and lines of the first run that no line has replaced.
+TWO_RUNS = f"""WITH {BRONZE},
+{SILVER},
+first_items AS (SELECT * FROM (WITH {BATCHES} {FIRST}) WHERE is_deleted = false),
+both_items AS ({QUERIES['stream_upsert']}),
+fact1 AS ({_LINES.replace('s_items', 'first_items')}),
+fact2 AS ({_LINES.replace('s_items', 'both_items')})
+SELECT * FROM fact2 UNION ALL
+SELECT * FROM fact1 WHERE NOT EXISTS (SELECT 1 FROM fact2 WHERE fact2.order_id = fact1.order_id
+  AND fact2.line_number = fact1.line_number)"""
+
+
+def _counts(layer: str, names: dict[str, str], times: int = 1) -> list[str]:
+    return [f"SELECT {_q(layer)} AS layer, {_q(n)} AS table_name, {times} * COUNT(*) AS rows FROM {c}"
+            for n, c in names.items()]
+
+
+_EVENT = "event_id % 50"
+QUERIES.update({
+    "pipeline_two_batches": TWO_RUNS,
+    "pipeline_late_batch": with_star("SELECT * FROM fact"),
+    "pipeline_full_reload": with_star(_u(
+        _counts("bronze", BRONZE_CTE, 2) + _counts("silver", SILVER_CTE) + _counts("gold", GOLD_CTE))),
+    "pipeline_cancel_after_load": with_star(K3),
+    "extract_run": f"""WITH {BRONZE},
+landed AS (
+  SELECT 'orders' AS table_name, CASE WHEN updated_at >= TIMESTAMP '1999-01-01' THEN 'run000002'
+    ELSE 'run000001' END AS batch, COUNT(*) AS rows FROM b_orders GROUP BY ALL
+  UNION ALL SELECT 'products', 'run000001', COUNT(*) FROM b_products)
+SELECT table_name, batch, rows, CASE table_name WHEN 'orders' THEN (SELECT max(updated_at) FROM b_orders)
+  ELSE (SELECT max(updated_at) FROM b_products) END AS high_water_mark FROM landed""",
+    "ingest_malformed_json": f"""
+SELECT CASE WHEN {_EVENT} <> 7 THEN event_id END AS event_id,
+  CASE WHEN {_EVENT} <> 7 THEN user_id END AS user_id,
+  CASE WHEN {_EVENT} <> 7 THEN event_type END AS event_type,
+  CASE WHEN {_EVENT} NOT IN (7, 21) THEN value END AS value,
+  CASE WHEN {_EVENT} = 7 THEN '{{"event_id' END AS _corrupt_record,
+  CASE {_EVENT} WHEN 13 THEN '{{"extra":"e' || event_id || '"}}' WHEN 21 THEN '{{"value":"n/a"}}' END
+    AS _rescued,
+  CASE {_EVENT} WHEN 7 THEN 'malformed line' WHEN 21 THEN 'uncastable: value' END AS _rejected,
+  CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END::INTEGER AS _batch_id
+FROM events""",
+    "pipeline_quarantine": with_star("""
+SELECT 'quarantine: ' || CASE order_id % 50 WHEN 3 THEN 'order_id' WHEN 7 THEN 'malformed line'
+  ELSE 'uncastable: total_amount' END AS what, COUNT(*) AS rows
+FROM b_orders WHERE order_id % 50 IN (3, 7, 21) GROUP BY ALL
+UNION ALL SELECT 'rescued: ' || CASE order_id % 50 WHEN 13 THEN 'unknown extra'
+  ELSE 'uncastable total_amount' END, COUNT(*) FROM b_orders WHERE order_id % 50 IN (13, 21) GROUP BY ALL
+UNION ALL SELECT 'silver', COUNT(*) FROM s_orders WHERE order_id % 50 NOT IN (3, 7, 21)"""),
+})

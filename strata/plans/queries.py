@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_boolean_columns
 from strata.functions.dates import date_id
+from strata.functions.money import money_sum_sql
 from strata.functions.timestamps import normalize_timestamps
 from strata.operators import kpi
 from strata.operators import quality as Q
 from strata.operators.dedup import deduplicate, latest_per_key
-from strata.operators.layout import compact, zorder, zorder_bounds
+from strata.operators.layout import compact_parts, rank_bounds, zorder
 from strata.operators.merge import merge_newer_wins, merge_scd1, merge_small_batch, newer_than
 from strata.operators.star import dim_date_spanning
-from strata.plans.layers import gold_frames, silver_frames
-from strata.plans.pipeline import SnapshotUpsert, kpi_view_sql
-from strata.schemas import FIXTURE_ENTITIES
+from strata.plans import pipeline as P
+from strata.plans.layers import flawed_gold, gold_frames, gold_of, silver_frames, two_batch_silver
+from strata.plans.pipeline import SnapshotUpsert
+from strata.schemas import FIXTURE_ENTITIES, FIXTURE_RAW, FK_RULES, Namespaces
 from strata.session import configure, scratch_path
 from strata.sources import fixtures, incremental, jsonl, tables
 from strata.streaming import file_once
@@ -267,9 +269,8 @@ def q_direct_file(spark, sf_dir):
     _land_events(spark, sf_dir, landing)
     return jsonl.direct_file_query(
         spark, f"{landing}/events",
-        "SELECT event_type, COUNT(*) AS n, "
-        "CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_value "
-        "FROM {src} GROUP BY event_type")
+        f"SELECT event_type, COUNT(*) AS n, {money_sum_sql('value')} AS total_value "
+        "FROM {src} GROUP BY event_type", schema=fixtures.table(spark, sf_dir, "events").schema)
 
 
 @query("append_history")
@@ -321,18 +322,18 @@ def q_stream_once(spark, sf_dir):
 
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
-    """Newer-wins upsert per micro-batch: the fulfilled-lines batch lands and is merged
-    into an empty table, then the open-lines batch."""
+    """Newer-wins upsert per micro-batch of at most so many files: the fulfilled-lines batch lands
+    and is merged into an empty table, then the open-lines batch."""
     landing = scratch_path(spark, "landing")
     ckpt, root = scratch_path(spark, "ckpt"), scratch_path(spark, "silver")
     upsert = SnapshotUpsert(spark, root, ITEMS)
     path = f"{landing}/order_items"
     jsonl.write_batch(fixtures.order_items(spark, sf_dir, FIRST_BATCH), landing, "order_items",
                       "b1")
-    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
+    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert, max_files_per_trigger=1000)
     jsonl.write_batch(fixtures.order_items(spark, sf_dir, SECOND_BATCH), landing, "order_items",
                       "b2")
-    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert)
+    file_once.stream_upsert(spark, path, ITEMS.schema, ckpt, upsert, max_files_per_trigger=1000)
     return upsert.current()
 
 
@@ -370,15 +371,13 @@ def q_gold_quality(spark, sf_dir):
     return Q._union(Q.gold_quality(n, g[n], k) for n, k in GOLD_KEYS.items())
 
 
-FK_RULES = (Q.ForeignKey("customer_id", "dim_customer", "customer_id", "customer_fk"),
-            Q.ForeignKey("product_id", "dim_product", "product_id", "product_fk"),
-            Q.ForeignKey("date_id", "dim_date", "date_id", "date_fk"))
+RULES = [Q.ForeignKey(*r) for r in FK_RULES]
 
 
 @query("fk_orphans")
 def q_fk(spark, sf_dir):
     g = gold_frames(spark, sf_dir)
-    return Q.fk_orphans(g["fact_order_line"], g, FK_RULES)
+    return Q.fk_orphans(g["fact_order_line"], g, RULES)
 
 
 @query("metric_sanity")
@@ -421,12 +420,11 @@ def q_counts(spark, sf_dir):
 def q_zorder(spark, sf_dir):
     """The fact written Z-ordered by (date_id, customer_id) and read back."""
     fact = gold_frames(spark, sf_dir)["fact_order_line"]
-    # bounds from one column of orders and of customers, not from a pass over the fact
+    # boundaries from samples of one column of orders and of customers, not from a pass over the fact
     orders = fixtures.table(spark, sf_dir, "orders")
-    bounds = {**zorder_bounds(orders.select(date_id("o_orderdate").alias("date_id")),
-                              ["date_id"]),
-              **zorder_bounds(fixtures.table(spark, sf_dir, "customer")
-                              .select(F.col("c_custkey").alias("customer_id")), ["customer_id"])}
+    bounds = {**rank_bounds(orders.select(date_id("o_orderdate").alias("date_id")), ["date_id"]),
+              **rank_bounds(fixtures.table(spark, sf_dir, "customer")
+                            .select(F.col("c_custkey").alias("customer_id")), ["customer_id"])}
     path = scratch_path(spark, "fact_z")
     zorder(fact, ["date_id", "customer_id"], bounds=bounds).write.parquet(path)
     return spark.read.parquet(path)
@@ -434,13 +432,16 @@ def q_zorder(spark, sf_dir):
 
 @query("compact")
 def q_compact(spark, sf_dir):
-    """The fact written as many small files, compacted, rewritten and read back."""
+    """The fact written as many small files into hash partitions; those that their bytes don't
+    fill are rewritten, and the table is read back."""
     fact = gold_frames(spark, sf_dir)["fact_order_line"]
-    small = scratch_path(spark, "fact_small")
-    fact.repartition(32).write.parquet(small)
-    out = scratch_path(spark, "fact_compact")
-    compact(spark.read.parquet(small), rows_per_file=10_000).write.parquet(out)
-    return spark.read.parquet(out)
+    root = scratch_path(spark, "tables")
+    name = f"strata_compact_{root.rsplit('-', 1)[-1]}"
+    tables.create_parts(spark, name, fact.schema, root, parts=4)
+    parted = fact.withColumn(tables.PART, tables.part_of(ITEMS.keys, 4))
+    tables.publish_parts(spark, parted.repartition(8), name, root, range(4))
+    compact_parts(spark, name, root)
+    return spark.table(name).drop(tables.PART)
 
 
 @query("table_sample")
@@ -449,17 +450,36 @@ def q_sample(spark, sf_dir):
     return gold_frames(spark, sf_dir)["fact_order_line"].limit(5)
 
 
-@query("kpi_segment_month_view")
-def q_k1_view(spark, sf_dir):
-    """K1 through the SQL view definition, over temp views of the star frames."""
-    g = gold_frames(spark, sf_dir)
-    tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
-    names = {t: f"strata_{t}_{tag}" for t in g}
-    for t, df in g.items():
-        df.createOrReplaceTempView(names[t])
-    sql = kpi_view_sql(names["fact_order_line"], names["dim_customer"], names["dim_product"],
-                       names["dim_date"])["vw_revenue_margin_by_segment_month"]
-    return spark.sql(sql)
+@query("table_sample_rows")
+def q_sample_rows(spark, sf_dir):
+    """A peek at five rows of a published table, each looked up in the table: how many there are,
+    and how many of them the table holds."""
+    root = scratch_path(spark, "tables")
+    name = f"strata_sample_{root.rsplit('-', 1)[-1]}"
+    tables.publish(spark, gold_frames(spark, sf_dir)["fact_order_line"], name, root)
+    peek = spark.table(name).limit(5).checkpoint()
+    held = peek.join(spark.table(name).select(*ITEMS.keys), list(ITEMS.keys), "left_semi")
+    return peek.agg(F.count(F.lit(1)).alias("sampled")).crossJoin(
+        held.agg(F.count(F.lit(1)).alias("held")))
+
+
+def _view(kpi_):
+    def run(spark, sf_dir):
+        g = gold_frames(spark, sf_dir)
+        tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
+        names = {t: f"strata_{t}_{tag}" for t in g}
+        for t, df in g.items():
+            df.createOrReplaceTempView(names[t])
+        return spark.sql(kpi.view_sql(kpi_, names))
+    run.__doc__ = f"{kpi_.view}: the view's statement, over temp views of the star frames."
+    return run
+
+
+for _name, _kpi in (("kpi_segment_month_view", kpi.SEGMENT_MONTH),
+                    ("kpi_top_products_view", kpi.TOP_PRODUCTS),
+                    ("kpi_status_funnel_view", kpi.STATUS_FUNNEL),
+                    ("kpi_customer_ltv_view", kpi.CUSTOMER_LTV), ("kpi_daily_view", kpi.DAILY)):
+    query(_name)(_view(_kpi))
 
 
 @query("events_latest")
@@ -468,3 +488,291 @@ def q_events_latest(spark, sf_dir):
     ties broken by event id."""
     return latest_per_key(fixtures.table(spark, sf_dir, "events"), ["user_id", "event_type"],
                           ["ts", "event_id"])
+
+
+# --- silver after two batches, and rows that break every rule ---------------------------------
+
+@query("dim_customer_two_batches")
+def q_dim_customer_two(spark, sf_dir):
+    """Customers first seen active, then deleted by a later batch: ``is_active`` is false for them."""
+    return gold_of(spark, two_batch_silver(spark, sf_dir))["dim_customer"]
+
+
+@query("dim_product_two_batches")
+def q_dim_product_two(spark, sf_dir):
+    return gold_of(spark, two_batch_silver(spark, sf_dir))["dim_product"]
+
+
+@query("fact_order_line_two_batches")
+def q_fact_two(spark, sf_dir):
+    """The fact over silver tables that hold deleted rows: the active-row filter drops these items
+    and orders, while deleted products still give their cost."""
+    return gold_of(spark, two_batch_silver(spark, sf_dir))["fact_order_line"]
+
+
+@query("silver_quality_two_batches")
+def q_silver_quality_two(spark, sf_dir):
+    s = two_batch_silver(spark, sf_dir)
+    return Q._union(Q.silver_quality(n, s[n], FIXTURE_ENTITIES[n]) for n in ENTITY_ORDER)
+
+
+@query("pk_nulls_flawed")
+def q_pk_nulls_flawed(spark, sf_dir):
+    f = fixtures.flawed_frames(spark, sf_dir)
+    return Q.pk_nulls({n: (f[n], FIXTURE_ENTITIES[n].keys) for n in ENTITY_ORDER})
+
+
+@query("silver_quality_flawed")
+def q_silver_quality_flawed(spark, sf_dir):
+    f = fixtures.flawed_frames(spark, sf_dir)
+    return Q._union(Q.silver_quality(n, f[n], FIXTURE_ENTITIES[n]) for n in ENTITY_ORDER)
+
+
+@query("check_constraints_flawed")
+def q_constraints_flawed(spark, sf_dir):
+    f = fixtures.flawed_frames(spark, sf_dir)
+    return Q._union(Q.constraint_violations(n, f[n], FIXTURE_ENTITIES[n],
+                                            unique=("email",) if n == "customers" else ())
+                    for n in ENTITY_ORDER)
+
+
+@query("duplicate_key_list")
+def q_duplicate_key_list(spark, sf_dir):
+    """The keys that are there more than once, with their number of rows."""
+    b = _bronze(spark, sf_dir)
+    return Q._union(Q.duplicate_keys(n, b[n], FIXTURE_ENTITIES[n].keys) for n in ENTITY_ORDER)
+
+
+@query("gold_quality_flawed")
+def q_gold_quality_flawed(spark, sf_dir):
+    g = flawed_gold(spark, sf_dir)
+    return Q._union(Q.gold_quality(n, g[n], k) for n, k in GOLD_KEYS.items())
+
+
+@query("fk_orphans_flawed")
+def q_fk_flawed(spark, sf_dir):
+    """Orders with NULL customers, products that are gone, a calendar that ends too early."""
+    g = flawed_gold(spark, sf_dir)
+    return Q.fk_orphans(g["fact_order_line"], g, RULES)
+
+
+@query("metric_sanity_flawed")
+def q_metric_flawed(spark, sf_dir):
+    return Q.metric_sanity(flawed_gold(spark, sf_dir)["fact_order_line"])
+
+
+@query("gate_failures")
+def q_gate(spark, sf_dir):
+    """What the gate of the key checks says after all tables were checked, one row per failure."""
+    report = Q.QualityReport()
+    f = fixtures.flawed_frames(spark, sf_dir)
+    report.add_results(Q.pk_nulls({n: (f[n], FIXTURE_ENTITIES[n].keys) for n in ENTITY_ORDER}))
+    try:
+        report.gate()
+        said = []
+    except RuntimeError as e:
+        said = str(e).splitlines()[1:]
+    return spark.createDataFrame([(x,) for x in said], "failure string")
+
+
+# --- DDL, namespaces, overwrite ---------------------------------------------------------------
+
+@query("create_table_twice")
+def q_ddl(spark, sf_dir):
+    """CREATE TABLE IF NOT EXISTS from a schema, rows appended, the same DDL again: they stay."""
+    root = scratch_path(spark, "tables")
+    name = f"strata_ddl_{root.rsplit('-', 1)[-1]}"
+    schema = FIXTURE_ENTITIES["orders"].schema
+    tables.create_table(spark, name, schema, root)
+    tables.append(fixtures.orders(spark, sf_dir), name)
+    tables.create_table(spark, name, schema, root)
+    return spark.table(name)
+
+
+@query("namespace_selected")
+def q_namespace(spark, sf_dir):
+    """Select a namespace, make it if needed, and write to it by an unqualified name."""
+    before = spark.catalog.currentDatabase()
+    root = scratch_path(spark, "tables")
+    name = f"ns_orders_{root.rsplit('-', 1)[-1]}"
+    try:
+        tables.use_namespace(spark, "strata_selected", catalog="spark_catalog")
+        tables.publish(spark, fixtures.orders(spark, sf_dir), name, root)
+        where = spark.sql("SELECT current_catalog() AS catalog, current_schema() AS namespace").first()
+    finally:
+        spark.sql(f"USE {before}")
+    return spark.table(f"strata_selected.{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(where["catalog"]).alias("catalog"), F.lit(where["namespace"]).alias("namespace"), "rows")
+
+
+@query("overwrite_schema")
+def q_overwrite(spark, sf_dir):
+    """A table overwritten by rows of another schema, as the calendar is on every run."""
+    root = scratch_path(spark, "tables")
+    name = f"strata_over_{root.rsplit('-', 1)[-1]}"
+    tables.publish(spark, fixtures.orders(spark, sf_dir).select("order_id", "order_ts"), name, root)
+    tables.publish(spark, q_dim_date(spark, sf_dir), name, root)
+    return spark.table(name)
+
+
+# --- whole runs over landed files --------------------------------------------------------------
+
+def _as_landed(df: DataFrame) -> DataFrame:
+    """Rows as the source sends them: timestamps as text, the flag as 0/1."""
+    return df.select(*[
+        F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss").alias(f.name) if f.dataType.typeName() == "timestamp_ntz"
+        else F.col(f.name).cast("int").alias(f.name) if f.dataType.typeName() == "boolean"
+        else F.col(f.name) for f in df.schema.fields])
+
+
+def _lake(spark) -> tuple[P.Lakehouse, str]:
+    root = scratch_path(spark, "lake")
+    tag = root.rsplit("-", 1)[-1]
+    return P.Lakehouse(spark, root, FIXTURE_ENTITIES, FIXTURE_RAW,
+                       ns=Namespaces(*[f"strata_{x}_{tag}" for x in ("bronze", "silver", "gold")]),
+                       calendar=fixtures.FIXTURE_CALENDAR, item_keys=ITEMS.keys, parts=4,
+                       wall_clock=True), f"{root}/landing"
+
+
+def _land(batches: dict[str, DataFrame], landing: str, batch_id: str) -> None:
+    for name, df in batches.items():
+        jsonl.write_batch(_as_landed(df), landing, name, batch_id)
+
+
+@query("pipeline_two_batches")
+def q_pipeline_two(spark, sf_dir):
+    """Landed files to the gold fact in two runs: fulfilled lines first, then open ones. Lines that
+    the second batch deletes stay in the fact, as an SCD-1 MERGE leaves them."""
+    lh, landing = _lake(spark)
+    e = fixtures.entity_frames(spark, sf_dir)
+    _land({**e, "order_items": fixtures.order_items(spark, sf_dir, FIRST_BATCH)}, landing, "b1")
+    P.run_all(lh, landing, strict=False)
+    _land({"order_items": fixtures.order_items(spark, sf_dir, SECOND_BATCH)}, landing, "b2")
+    P.run_all(lh, landing, strict=False)
+    return lh.table("gold", "fact_order_line")
+
+
+@query("pipeline_late_batch")
+def q_pipeline_late(spark, sf_dir):
+    """Orders that land after their items and after a gold run, with an older extraction time."""
+    lh, landing = _lake(spark)
+    e = fixtures.entity_frames(spark, sf_dir)
+    late = F.col("customer_id") % 3 == 0
+    _land({**e, "orders": e["orders"].filter(~F.coalesce(late, F.lit(False)))}, landing, "b1")
+    P.run_all(lh, landing, strict=False)
+    _land({"orders": e["orders"].filter(F.coalesce(late, F.lit(False)))}, landing, "b0")
+    P.run_all(lh, landing, strict=False)
+    return lh.table("gold", "fact_order_line")
+
+
+@query("pipeline_full_reload")
+def q_pipeline_full(spark, sf_dir):
+    """Two runs, the second one a full reload: history holds every landed row twice, silver and
+    gold are as before."""
+    lh, landing = _lake(spark)
+    _land(fixtures.entity_frames(spark, sf_dir), landing, "b1")
+    P.run_all(lh, landing, strict=False)
+    P.run_all(lh, landing, full=True, strict=False)
+    layers = [("bronze", n, lh.bronze(n)) for n in ENTITY_ORDER] + \
+        [("silver", n, lh.table("silver", n)) for n in ENTITY_ORDER] + \
+        [("gold", n, lh.table("gold", n)) for n in GOLD_KEYS]
+    return Q._union(df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(layer).alias("layer"), F.lit(n).alias("table_name"), "rows") for layer, n, df in layers)
+
+
+@query("pipeline_cancel_after_load")
+def q_pipeline_cancel(spark, sf_dir):
+    """Orders loaded as active and cancelled by a later batch; with pruning, their lines leave the
+    fact. Read through the published status view."""
+    lh, landing = _lake(spark)
+    e = fixtures.entity_frames(spark, sf_dir)
+    _land({**e, "orders": fixtures.as_first_seen(e["orders"])}, landing, "b1")
+    P.run_all(lh, landing, prune_missing=True, strict=False)
+    _land({"orders": e["orders"]}, landing, "b2")
+    P.run_all(lh, landing, prune_missing=True, strict=False)
+    return spark.sql(f"SELECT * FROM {lh.ns.gold}.{kpi.STATUS_FUNNEL.view}")
+
+
+@query("extract_run")
+def q_extract_run(spark, sf_dir):
+    """Two extract runs. Orders are committed at the source after the first run has read it and
+    before it commits its marks: the marks are those of what was written, so the second run
+    finds them. Rows landed per batch, and the marks at last."""
+    landing, state = scratch_path(spark, "landing"), scratch_path(spark, "marks")
+    source = scratch_path(spark, "source")
+    orders = fixtures.orders(spark, sf_dir)
+    early = F.coalesce(F.col("updated_at") < F.lit("1999-01-01").cast("timestamp_ntz"), F.lit(True))
+    stamp = F.lit(fixtures.FIXTURE_BATCH_TS).cast("timestamp_ntz")
+
+    def read():
+        return {"orders": spark.read.parquet(source), "products": fixtures.products(spark, sf_dir)}
+    orders.filter(early).write.parquet(source)
+    written = incremental.write_run(read(), landing, state, extracted_at=stamp)
+    orders.filter(~early).write.mode("append").parquet(source)
+    incremental.commit_run(spark, written, landing, state)
+    marks = incremental.extract_run(read(), landing, state, extracted_at=stamp)
+    rows = Q._union(
+        jsonl.read_source(spark, f"{landing}/{t}", FIXTURE_ENTITIES[t].schema)
+        .withColumn("batch", F.regexp_extract(F.input_file_name(), r"batch=([^/]+)/", 1))
+        .groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(t).alias("table_name"), "batch", "rows") for t in ("orders", "products"))
+    return rows.join(marks, "table_name")
+
+
+BROKEN, WIDER, TEXT_IN_NUMBER = 7, 13, 21  # rests of event_id modulo 50
+
+
+def _odd_lines(events: DataFrame) -> DataFrame:
+    """Events as JSON lines, some of them cut off, with a field more, or with text in a number."""
+    rest = F.col("event_id") % 50
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    return events.select(
+        F.when(rest == BROKEN, F.substring(line, 1, 10))
+        .when(rest == WIDER, F.to_json(F.struct("event_id", "user_id", "event_type", "value", F.concat(
+            F.lit("e"), F.col("event_id").cast("string")).alias("extra"))))
+        .when(rest == TEXT_IN_NUMBER, F.to_json(F.struct(
+            "event_id", "user_id", "event_type", F.lit("n/a").alias("value"))))
+        .otherwise(line).alias("value"), "ts")
+
+
+@query("ingest_malformed_json")
+def q_malformed(spark, sf_dir):
+    """Two batches of lines ingested once: broken ones, an unknown field, text in a number."""
+    landing, sink, ckpt = (scratch_path(spark, x) for x in ("landing", "bronze", "ckpt"))
+    ev = fixtures.table(spark, sf_dir, "events")
+    schema = ev.select("event_id", "user_id", "event_type", "value").schema
+    for where, batch in ((_early(), "b1"), (~_early(), "b2")):
+        _odd_lines(ev.filter(where)).select("value").write.text(f"{landing}/events/batch={batch}")
+        file_once.ingest_new_files(spark, f"{landing}/events", None, sink, ckpt,
+                                   transform=lambda lines: jsonl.parse_lines(lines, schema))
+    return spark.read.parquet(sink)
+
+
+@query("pipeline_quarantine")
+def q_quarantine(spark, sf_dir):
+    """Orders with NULL keys, text in a number, an unknown field and cut-off lines through bronze
+    and silver: rows per reason in quarantine, rows with rescued fields, rows that reached silver."""
+    lh, landing = _lake(spark)
+    e = fixtures.entity_frames(spark, sf_dir)
+    key = F.col("order_id")
+    rest = key % 50
+    o = _as_landed(e["orders"])
+    line = F.to_json(F.struct(*[
+        F.when(rest != 3, key).alias("order_id") if c == "order_id" else
+        F.when(rest == 21, "n/a").otherwise(F.col(c).cast("string")).alias(c) if c == "total_amount"
+        else F.col(c) for c in o.columns], F.when(rest == 13, "x").alias("extra")))
+    # all amounts are text but for the quotes, which a number must not have
+    line = F.when(rest == 21, line).otherwise(
+        F.regexp_replace(line, '"total_amount":"([^"]*)"', '"total_amount":$1'))
+    line = F.when(rest == 7, F.substring(line, 1, 12)).otherwise(line)
+    o.select(line.alias("value")).write.text(f"{landing}/orders/batch=b1")
+    _land({n: e[n] for n in ENTITY_ORDER if n != "orders"}, landing, "b1")
+    P.run_bronze(lh, landing)              # fails its gate: NULL keys
+    P.run_bronze(lh, landing).gate()       # they are in quarantine now
+    P.run_silver(lh)
+    held = lh.quarantine("orders").groupBy(F.concat(F.lit("quarantine: "), "reason").alias("what"))
+    kept = P.rescued(lh).groupBy(F.concat_ws(" ", F.lit("rescued:"), "issue", "field").alias("what"))
+    return (held.agg(F.count(F.lit(1)).alias("rows"))
+            .unionByName(kept.agg(F.sum("rows").alias("rows")))
+            .unionByName(lh.table("silver", "orders").agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit("silver").alias("what"), "rows")))

@@ -20,15 +20,20 @@ LINEAGE_EXTRACTED_AT = "_extracted_at"
 LINEAGE_SOURCE_TABLE = "_source_table"
 
 # Fixed values of the source system (must match it for right results):
-# allowed customer segments, allowed order statuses, the status path of an
-# order, the epoch used when no high-water mark exists yet, and the columns
-# that carry timestamp text in the JSON batches.
+# allowed customer segments, allowed order statuses, the epoch used when no
+# high-water mark exists yet, and the columns that carry timestamp text in the JSON batches.
 SEGMENTS = ("retail", "wholesale", "online")
 ORDER_STATUSES = ("pending", "paid", "shipped", "delivered", "cancelled")
-STATUS_PATH = ("pending", "paid", "shipped", "delivered")
 EPOCH = "1970-01-01T00:00:00"
 TIMESTAMP_TEXT_COLUMNS = ("_extracted_at", "created_at", "updated_at", "order_ts")
 
+# References of the fact (fixed): its column, the dimension, the dimension's key, the rule's name.
+FK_RULES = (
+    ("customer_id", "dim_customer", "customer_id", "customer_fk"),
+    ("product_id", "dim_product", "product_id", "product_fk"),
+    ("date_id", "dim_date", "date_id", "date_fk"),
+)
+
 # Default calendar of the date dimension (inclusive).
 CALENDAR_START = "2020-01-01"
 CALENDAR_END = "2030-12-31"
@@ -205,3 +210,12 @@ FIXTURE_ENTITIES: dict[str, Entity] = {
         constraints=_source_constraints("order_items"),
     ),
 }
+
+
+def landed_schema(schema: T.StructType) -> T.StructType:
+    """A typed schema as its rows land in JSON: timestamps as text, the delete flag as 0/1."""
+    as_json = {T.TimestampNTZType: _STR, T.TimestampType: _STR, T.BooleanType: _LONG}
+    return T.StructType([_s(f.name, as_json.get(type(f.dataType), f.dataType)) for f in schema.fields])
+
+
+FIXTURE_RAW = {n: landed_schema(e.schema) for n, e in FIXTURE_ENTITIES.items()}

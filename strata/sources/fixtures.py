@@ -30,6 +30,9 @@ FIXTURE_BATCH_TS = "2024-06-01 00:00:00"
 # Calendar wide enough for every fixture date (orders span 1995..2001).
 FIXTURE_CALENDAR = ("1990-01-01", "2030-12-31")
 
+# Ends before the last orders: dates outside it have no row.
+SHORT_CALENDAR = ("1990-01-01", "1998-12-31")
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -162,3 +165,42 @@ ADAPTERS = {
 
 def entity_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
+
+
+def as_first_seen(df: DataFrame) -> DataFrame:
+    """The rows as an earlier batch had them: a day older and active."""
+    day = F.expr("INTERVAL 1 DAY")
+    return df.withColumns({"updated_at": F.col("updated_at") - day, "is_deleted": F.lit(False)})
+
+
+def flawed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All rows of the entities, some of them with a fault that a rule must find: by a rest of
+    the key, NULL keys, NULL and repeated required values, values outside their domain."""
+    e = entity_frames(spark, sf_dir)
+
+    def every(key: str, n: int) -> Column:
+        return F.col(key) % n == 0
+
+    def flawed(df: DataFrame, key: str, **faults) -> DataFrame:
+        # the key goes last: the other faults are chosen by it
+        named = sorted(faults.items(), key=lambda x: x[0] == key)
+        for name, (n, value) in named:
+            df = df.withColumn(name, F.when(every(key, n), value).otherwise(F.col(name)))
+        return df
+    null = F.lit(None)
+    return {
+        "customers": flawed(e["customers"], "customer_id", email=(11, null),
+                            segment=(13, F.lit("UNKNOWN")), last_name=(7, F.lit("same")),
+                            created_at=(17, null), customer_id=(50, null)
+                            ).withColumn("email", F.when(F.col("last_name") == "same",
+                                                         F.when(F.col("email").isNotNull(), "same@example.com"))
+                                         .otherwise(F.col("email"))),
+        "products": flawed(e["products"], "product_id", unit_price=(19, -F.col("unit_price")),
+                           cost_price=(23, F.lit(0.0)), name=(29, null), product_id=(50, null)),
+        "orders": flawed(e["orders"], "order_id", order_status=(31, F.lit("lost")),
+                         total_amount=(37, -F.col("total_amount")), customer_id=(41, null),
+                         order_id=(50, null)),
+        "order_items": flawed(e["order_items"], "order_id", quantity=(43, -F.col("quantity")),
+                              line_total=(47, F.lit(0.0)), unit_price=(53, null),
+                              line_number=(50, null)),
+    }

@@ -8,13 +8,17 @@
   (rows committed after the extract are picked up next time); an empty batch
   keeps the old mark.
 
-All three are DataFrame operations; the state is a table with one row per
-source table (``table_name``, ``high_water_mark``), stored next to the landing
-folder, not a driver-side dict.
+* ``extract_run`` — a whole run: batches written, marks read back from what was written, and both
+  committed by one new state entry.
+
+The state is a table with one row per source table (``table_name``, ``high_water_mark``), stored
+next to the landing folder, not a driver-side dict. It is kept as numbered entries
+``<state>/run=<n>``, each written once; the newest complete one counts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import EPOCH, LINEAGE_EXTRACTED_AT, LINEAGE_SOURCE_TABLE
+from strata.sources import jsonl
 
 STATE_SCHEMA = T.StructType([T.StructField("table_name", T.StringType(), False),
                              T.StructField("high_water_mark", T.TimestampNTZType(), True)])
@@ -108,8 +113,10 @@ def advance_watermarks(state: DataFrame, batches: dict[str, DataFrame],
 
 
 def extract_all(sources: dict[str, DataFrame], state: DataFrame, version: str = "updated_at",
-                extracted_at: str | Column | None = None) -> dict[str, DataFrame]:
-    """Extract every registered table since its own mark.
+                extracted_at: str | Column | None = None, full: bool = False,
+                overlap_seconds: int = 0) -> dict[str, DataFrame]:
+    """Extract every registered table since its own mark (``full``: everything; see
+    ``extract_since`` for ``overlap_seconds``).
 
     The state holds one row per registered table (metadata, bounded by the
     registry), so the marks are read once and applied as literal predicates:
@@ -123,6 +130,97 @@ def extract_all(sources: dict[str, DataFrame], state: DataFrame, version: str =
     for name, src in sources.items():
         since = marks.get(name)
         mark = F.lit(since).cast("timestamp_ntz") if since is not None else _ts(EPOCH)
-        batch = src.filter(F.col(version).cast("timestamp_ntz") > mark)
+        if overlap_seconds:
+            mark = mark - F.expr(f"INTERVAL {int(overlap_seconds)} SECONDS")
+        batch = src if full else src.filter(F.col(version).cast("timestamp_ntz") > mark)
         out[name] = stamp_lineage(batch, name, stamp)
     return out
+
+
+# --- one run: batches and marks together -------------------------------------------------------
+
+def _entries(spark: SparkSession, state_root: str) -> DataFrame | None:
+    whole = T.StructType([*STATE_SCHEMA.fields, T.StructField("run", T.IntegerType()),
+                          T.StructField("attempt", T.StringType())])
+    try:
+        return spark.read.schema(whole).parquet(state_root).filter("run IS NOT NULL")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return None
+        raise
+
+
+def latest_state(spark: SparkSession, state_root: str) -> tuple[int, str, DataFrame | None]:
+    """Number, attempt and marks of the newest complete entry; (0, "", None) before the first.
+
+    An entry is one file, so it is there whole or not at all; what a lost driver left behind has
+    no rows. Of two attempts at one number the first by name counts.
+    """
+    entries = _entries(spark, state_root)
+    top = entries.agg(F.min(F.struct((-F.col("run")).alias("n"), "attempt")).alias("e")).first()["e"] \
+        if entries is not None else None
+    if top is None:
+        return 0, "", None
+    path = f"{state_root.rstrip('/')}/run={-top['n']}/attempt={top['attempt']}"
+    return -top["n"], top["attempt"], spark.read.schema(STATE_SCHEMA).parquet(path)
+
+
+def written_marks(spark: SparkSession, landing: str, batches: dict[str, tuple[str, T.StructType]],
+                  version: str = "updated_at") -> DataFrame:
+    """(table_name, batch_max) of batches as they stand in the landing folder: what was committed
+    at the source after a batch was read is not in it, whatever the source says now."""
+    read = {t: jsonl.read_source(spark, jsonl.batch_path(landing, t, batch_id),
+                                 T.StructType([schema[version]]))
+            for t, (batch_id, schema) in batches.items()}
+    return batch_marks(read, version)
+
+
+def write_run(sources: dict[str, DataFrame], landing: str, state_root: str,
+              version: str = "updated_at", extracted_at: str | Column | None = None,
+              full: bool = False, overlap_seconds: int = 0) -> dict[str, tuple[str, T.StructType]]:
+    """First half of a run: extract and write the batches of the next run number. A run that was
+    lost before its marks were committed has left batches of the same number, which are replaced."""
+    spark = next(iter(sources.values())).sparkSession
+    last, _, saved = latest_state(spark, state_root)
+    state = load_watermarks(spark, list(sources), saved)
+    batch_id, out = f"run{last + 1:06d}", {}
+    for name, batch in extract_all(sources, state, version, extracted_at, full,
+                                   overlap_seconds).items():
+        batch.write.mode("overwrite").options(**jsonl.JSON_OPTIONS) \
+            .json(jsonl.batch_path(landing, name, batch_id))
+        out[name] = (batch_id, batch.schema)
+    return out
+
+
+def commit_run(spark: SparkSession, batches: dict[str, tuple[str, T.StructType]], landing: str,
+               state_root: str, version: str = "updated_at") -> DataFrame:
+    """Second half: the marks of the written batches become the state's next entry, which commits
+    the batches. Entries are never overwritten: of two runs that took the same number, the one whose
+    entry doesn't count fails here."""
+    last, _, saved = latest_state(spark, state_root)
+    state = load_watermarks(spark, list(batches), saved)
+    marks = written_marks(spark, landing, batches, version)
+    # an empty batch keeps its mark, and a mark never goes back (overlap, full reload)
+    moved = state.join(marks, "table_name", "left").select(
+        "table_name", F.greatest("high_water_mark", "batch_max").alias("high_water_mark"))
+    others = saved.join(moved, "table_name", "left_anti") if saved is not None else moved.limit(0)
+    mine = uuid.uuid4().hex
+    moved.unionByName(others).coalesce(1).write.mode("errorifexists").parquet(
+        f"{state_root.rstrip('/')}/run={last + 1}/attempt={mine}")
+    number, attempt, now = latest_state(spark, state_root)
+    if (number, attempt) != (last + 1, mine):
+        raise RuntimeError(f"another extract run has committed run {last + 1}")
+    return now
+
+
+def extract_run(sources: dict[str, DataFrame], landing: str, state_root: str,
+                version: str = "updated_at", extracted_at: str | Column | None = None,
+                full: bool = False, overlap_seconds: int = 0) -> DataFrame:
+    """Extract, write and commit one run; returns the new marks.
+
+    ``full`` reloads everything whatever the marks are; ``overlap_seconds`` re-reads that much
+    before them. Tables that this run doesn't name keep their marks.
+    """
+    spark = next(iter(sources.values())).sparkSession
+    batches = write_run(sources, landing, state_root, version, extracted_at, full, overlap_seconds)
+    return commit_run(spark, batches, landing, state_root, version)

@@ -6,11 +6,17 @@ table it reads. Each write therefore goes to a new version folder
 write committed. Readers see either the old or the new version, and the
 previous version stays for them. Writing the snapshot also cuts the lineage for
 the next layer. The folder's name is unique per attempt, so what a crashed write left behind
-never stands in the way of the next one. Properties (the marks of the layers) survive a repoint,
-and new ones are set together with it.
+never stands in the way of the next one. Properties (the marks of the layers) survive a repoint.
+New ones are set after it (in one statement with it where the form allows): data without its mark
+is applied once more, a mark without its data would lose it.
 
-Two forms:
+Three forms:
 
+* partitioned by a hash of the key (``create_parts``, ``publish_parts``): a write holds whole
+  partitions, goes to a folder of its own, and only these partitions of the table are repointed.
+  What a batch does not touch is neither read nor written. Every partition is either old or new;
+  a driver lost between two of them leaves a batch applied in part, with its mark not yet set, so
+  the next run applies it again (the merges are idempotent);
 * plain: one external table, repointed with ``ALTER TABLE ... SET LOCATION``;
 * bucketed by key: each version is its own bucketed, key-sorted table
   ``<name>__v<n>_<attempt>`` and ``<name>`` is a view repointed to it. A join or merge on
@@ -24,7 +30,8 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -55,6 +62,12 @@ def is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name) and _describe(spark, name, "Type") == "VIEW"
 
 
+def row_level(spark: SparkSession, name: str, formats: Sequence[str]) -> bool:
+    """Whether the table is of a format with row-level operations."""
+    return spark.catalog.tableExists(name) and (
+        _describe(spark, name, "Provider") or "").lower() in formats
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     if not spark.catalog.tableExists(name):
         return None
@@ -64,6 +77,8 @@ def table_location(spark: SparkSession, name: str) -> str | None:
 def current_version(spark: SparkSession, name: str) -> int:
     if not spark.catalog.tableExists(name):
         return 0
+    if (own := get_property(spark, name, VERSION)) is not None:
+        return int(own)
     if is_view(spark, name):
         m = re.search(r"__v(\d+)_", _describe(spark, name, "View Text") or "")
     else:
@@ -91,9 +106,10 @@ def _properties(values: dict[str, str]) -> str:
             if values else "")
 
 
-def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
-    kind = "VIEW" if is_view(spark, name) else "TABLE"
-    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ('{key}'='{value}')")
+def set_properties(spark: SparkSession, name: str, values: dict[str, str]) -> None:
+    if values:
+        kind = "VIEW" if is_view(spark, name) else "TABLE"
+        spark.sql(f"ALTER {kind} {name} SET {_properties(values)}")
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str,
@@ -152,13 +168,88 @@ def publish(spark: SparkSession, df: DataFrame, name: str, root: str,
         spark.sql(f"CREATE TABLE {name} ({ddl(df.schema)}) USING parquet LOCATION '{path}' "
                   + _properties(kept))
     else:
-        for k, v in (properties or {}).items():
-            set_property(spark, name, k, v)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
+        set_properties(spark, name, properties or {})
     return n
 
 
+# --- tables partitioned by a hash of their key ---------------------------------------------
+
+#: The partition column, and the properties that keep the number of partitions and the writes.
+PART, PARTS, VERSION = "_part", "strata.parts", "strata.version"
+
+
+def part_of(keys: Sequence[str], parts: int) -> Column:
+    """The partition of a row: the same on every run, for keys of the table's own types."""
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def create_parts(spark: SparkSession, name: str, schema: T.StructType, root: str,
+                 parts: int) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` partitioned into ``parts`` hash partitions, all empty. The
+    number stays the table's own; a partition should hold a few hundred MB."""
+    if spark.catalog.tableExists(name):
+        return
+    if "." in name:
+        ensure_namespace(spark, name.rpartition(".")[0])
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v=0"
+    spark.sql(f"CREATE TABLE {name} ({ddl(schema)}, {PART} INT) USING parquet "
+              f"PARTITIONED BY ({PART}) LOCATION '{path}' "
+              + _properties({PARTS: str(parts), VERSION: "0"}))
+
+
+def partitions(spark: SparkSession, name: str) -> list[int]:
+    """Values of a table's one partition column, from the catalog alone."""
+    if not spark.catalog.tableExists(name):
+        return []
+    found = [r["partition"].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted(int(v) for v in found)
+
+
+def point_partitions(spark: SparkSession, name: str, column: str, paths: dict[int, str]) -> None:
+    """Let partitions be what stands in these folders (one without a folder is empty)."""
+    have = set(partitions(spark, name))
+    new = [f"PARTITION ({column}={v}) LOCATION '{p}'" for v, p in paths.items() if v not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(new))
+    for v, p in paths.items():
+        if v in have:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({column}={v}) SET LOCATION '{p}'")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
+def publish_parts(spark: SparkSession, df: DataFrame, name: str, root: str,
+                  touched: Sequence[int], properties: dict[str, str] | None = None) -> str:
+    """Make ``df`` (with the column ``_part``) what the ``touched`` partitions hold; the others stay
+    as they are. Returns the folder written."""
+    n = current_version(spark, name) + 1
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}-{uuid.uuid4().hex[:8]}"
+    columns = [c for c in spark.table(name).columns if c != PART]
+    df.select(*columns, PART).write.mode("errorifexists").partitionBy(PART).parquet(path)
+    point_partitions(spark, name, PART, {p: f"{path}/{PART}={p}" for p in touched})
+    set_properties(spark, name, {VERSION: str(n), **(properties or {})})
+    return path
+
+
+# --- append-only history, one partition per batch -------------------------------------------
+
+def create_history(spark: SparkSession, name: str, schema: T.StructType, path: str,
+                   column: str) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` over a folder of ``<column>=<n>`` folders. The catalog's
+    partitions are the registry of the batches; folders from before are taken up once, here."""
+    if spark.catalog.tableExists(name):
+        return
+    if "." in name:
+        ensure_namespace(spark, name.rpartition(".")[0])
+    spark.sql(f"CREATE TABLE {name} ({ddl(schema)}, {column} BIGINT) USING parquet "
+              f"PARTITIONED BY ({column}) LOCATION '{path}'")
+    # no rows: makes the folder, if it isn't there
+    spark.createDataFrame([], spark.table(name).schema).write.mode("append").partitionBy(column) \
+        .parquet(path)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def append(df: DataFrame, name: str) -> None:
     """Append-only history (bronze): new files next to the old ones, by column name."""
     cols = df.sparkSession.table(name).columns

@@ -22,13 +22,15 @@ from pyspark.sql import types as T
 from strata.sources.jsonl import JSON_OPTIONS
 
 
-def read_new_files(spark: SparkSession, path: str, schema: T.StructType,
+def read_new_files(spark: SparkSession, path: str, schema: T.StructType | None,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(schema).options(**JSON_OPTIONS)
-              .option("recursiveFileLookup", "true"))
+    """JSON lines by ``schema``, or the lines themselves (``value``) where it is ``None``."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(path)
+    if schema is None:
+        return reader.text(path)
+    return reader.schema(schema).options(**JSON_OPTIONS).json(path)
 
 
 def _run(writer) -> None:
@@ -48,19 +50,13 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def next_batch_id(spark: SparkSession, sink: str) -> int:
-    """The id after the newest batch folder of an ingest sink; 0 for a new sink."""
+    """The id after the newest batch folder of an ingest sink; 0 for a new sink. It reads the sink:
+    give ``ingest_new_files`` a registry's ``next_id`` where history grows."""
     df = _read_if_there(spark, sink)
     top = df.agg(F.max("_batch_id")).first()[0] if df is not None else None
     return 0 if top is None else int(top) + 1
 
 
-def batch_ids(spark: SparkSession, sink: str) -> list[int]:
-    """The ids of the batch folders that hold rows."""
-    df = _read_if_there(spark, sink)
-    return [] if df is None else sorted(
-        int(r[0]) for r in df.select("_batch_id").distinct().collect())
-
-
 def _first_id(spark: SparkSession, checkpoint: str, next_id: Callable[[], int]) -> int:
     """What is added to this checkpoint's micro-batch ids, which start at 0 in every fresh one.
 
@@ -77,24 +73,31 @@ def _first_id(spark: SparkSession, checkpoint: str, next_id: Callable[[], int])
     return kept.first()[0]
 
 
-def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType, sink: str,
+def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType | None, sink: str,
                      checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame] | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None,
+                     next_id: Callable[[], int] | None = None,
+                     on_batch: Callable[[int, str], None] | None = None) -> None:
     """Append every not-yet-seen file under ``path`` to ``sink`` (one folder per batch).
 
     Each micro-batch lands in ``sink/_batch_id=<id>`` with overwrite, so a replay
-    after a failure replaces its own folder. ``transform`` (e.g. timestamp
+    after a failure replaces its own folder. ``transform`` (e.g. parsing lines, timestamp
     normalisation) runs inside the micro-batch. ``max_files_per_trigger`` splits a
     large backlog (an initial load) into bounded micro-batches, each committed on
-    its own.
+    its own. ``next_id`` gives a fresh checkpoint the id to go on with (default: from the
+    sink's folders); ``on_batch(id, folder)`` registers a batch once its folder is
+    written, before the checkpoint commits it, and so has to bear a repeat.
     """
     stream = read_new_files(spark, path, schema, max_files_per_trigger)
-    first = _first_id(spark, checkpoint, lambda: next_batch_id(spark, sink))
+    first = _first_id(spark, checkpoint, next_id or (lambda: next_batch_id(spark, sink)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/_batch_id={first + batch_id}")
+        folder = f"{sink.rstrip('/')}/_batch_id={first + batch_id}"
+        out.write.mode("overwrite").parquet(folder)
+        if on_batch:
+            on_batch(first + batch_id, folder)
 
     _run(stream.writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(write))

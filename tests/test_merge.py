@@ -193,3 +193,88 @@ def test_duplicate_source_key_fails_at_every_size(spark):
         with pytest.raises(Exception, match="more than one row for a key"):
             merge_small_batch(target, source, ["pk"], update_when=lambda t, s: F.lit(True),
                               insert_when=lambda s: F.lit(True), max_batch_rows=bound).collect()
+
+
+def _files(spark, name):
+    return {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+
+
+def test_merge_into_rewrites_only_the_touched_partitions(spark, tmp_root):
+    from strata.operators.upsert import merge_into
+    from strata.sources import tables
+
+    name = "strata_parts_" + tmp_root.rsplit("-", 1)[-1]
+    everything = spark.createDataFrame([(f"k{i}", T1, False, "t") for i in range(400)], SCHEMA)
+
+    def merge(df, **kw):
+        return merge_into(name, df, ["pk"], tmp_root, update_when=newer_than("updated_at"),
+                          insert_when=lambda s: s["is_deleted"] == F.lit(False), **kw)
+    assert merge(everything, parts=8, properties={"strata.mark": "1"}) == list(range(8))
+    before = _files(spark, name)
+    one = spark.createDataFrame([("k7", T2, False, "new")], SCHEMA)
+    touched = merge(one, properties={"strata.mark": "2"})
+    assert len(touched) == 1
+    after = _files(spark, name)
+    part = f"_part={touched[0]}/"
+    assert {f for f in before if part not in f} == {f for f in after if part not in f}
+    assert not {f for f in before if part in f} & after
+    assert spark.table(name).filter("payload = 'new'").count() == 1 and spark.table(name).count() == 400
+    assert tables.get_property(spark, name, "strata.mark") == "2"
+    # the merge reads the touched partition alone
+    plan = spark.table(name).filter(F.col("_part").isin(touched)).inputFiles()
+    assert all(part in f for f in plan)
+    # nothing to do: no partition, but the mark
+    assert merge(one.limit(0), properties={"strata.mark": "3"}) == []
+    assert _files(spark, name) == after and tables.get_property(spark, name, "strata.mark") == "3"
+    # a key twice: fails, and the table is as it was
+    twice = spark.createDataFrame([("k9", T2, False, "a"), ("k9", T2, False, "b")], SCHEMA)
+    with pytest.raises(Exception, match="more than one row"):
+        merge(twice)
+    assert _files(spark, name) == after
+    # stale keys leave, in partitions of their own
+    merge(one.limit(0), stale=spark.createDataFrame([("k1",), ("k2",), ("nope",)], "pk string"))
+    assert spark.table(name).count() == 398
+    assert spark.table(name).filter("pk IN ('k1', 'k2')").isEmpty()
+
+
+def test_merge_into_equals_the_merged_frames(spark, tmp_root):
+    """NULL keys, flags and versions, small and large batches: the partitioned merge is the same."""
+    from strata.operators.upsert import merge_into
+
+    t = spark.createDataFrame([(k, v, d, "t") for k in ("a", "b", "c", "d") for v, d in [(T1, False)]]
+                              + [("n", None, None, "t")], SCHEMA)
+    s = spark.createDataFrame([("a", T2, True, "s"), ("b", T1, False, "s"), ("c", None, False, "s"),
+                               ("n", T2, False, "s"), ("e", T1, False, "s"), ("f", T1, True, "s"),
+                               (None, T1, False, "s"), ("g", T1, None, "s")], SCHEMA)
+    want = rows(merge_newer_wins(t, s, ["pk"]))
+    for i, bound in enumerate((1_000_000, 1)):
+        name = f"strata_same_{i}_" + tmp_root.rsplit("-", 1)[-1]
+        every = {"update_when": lambda a, b: F.lit(True), "insert_when": lambda b: F.lit(True)}
+        merge_into(name, t, ["pk"], tmp_root, parts=3, **every)
+        merge_into(name, s, ["pk"], tmp_root, update_when=newer_than("updated_at"),
+                   insert_when=lambda b: b["is_deleted"] == F.lit(False), max_batch_rows=bound)
+        assert rows(spark.table(name).drop("_part")) == want
+
+
+def test_row_level_formats_merge_by_their_own(spark, monkeypatch):
+    """Where the table's format has row-level operations, its MERGE gets the same conditions."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from strata.operators import upsert
+
+    said = []
+
+    class Writer:
+        def __getattr__(self, name):
+            def call(*args):
+                said.append((name, *map(str, args)))
+                return self
+            return call
+    monkeypatch.setattr(DataFrame, "mergeInto", lambda self, t, on: said.append((t, str(on))) or Writer())
+    monkeypatch.setattr(upsert.tables, "row_level", lambda *a: True)
+    df = spark.createDataFrame([("a", T1, False, "s")], SCHEMA)
+    assert upsert.merge_into("cat.t", df, ["pk"], "/nowhere", update_when=newer_than("updated_at"),
+                             insert_when=lambda s: s["is_deleted"] == F.lit(False)) == []
+    assert [x[0] for x in said] == ["cat.t", "whenMatched", "updateAll", "whenNotMatched", "insertAll",
+                                    "merge"]
+    assert "cat.t.pk" in said[0][1] and "s.updated_at" in said[1][1] and "s.is_deleted" in said[3][1]

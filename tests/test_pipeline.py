@@ -53,7 +53,7 @@ def _land(spark, landing, rows, batch_id):
 def test_two_batches_cancel_after_load(spark, tmp_root, prune, incremental):
     landing = f"{tmp_root}/landing"
     tag = ("p" if prune else "f") + ("i" if incremental else "r")
-    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
                      ns=P.Namespaces(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}"))
     _land(spark, landing, _batch1(), "b1")
     bronze_report = P.run_bronze(lh, landing)
@@ -100,10 +100,9 @@ def test_late_batch_skipped_table_and_full_reload(spark, tmp_root):
     skipped; a fresh checkpoint neither loses nor repeats a batch id; a half-written version
     folder does not stop the next run."""
     import os
-    import shutil
 
     landing = f"{tmp_root}/landing"
-    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
                      ns=P.Namespaces("bronze_l", "silver_l", "gold_l"))
     first = _batch1()
     late = first["order_items"].pop()
@@ -121,7 +120,7 @@ def test_late_batch_skipped_table_and_full_reload(spark, tmp_root):
     P.run_bronze(lh, landing).gate()
     for table, layer in (("order_items", "silver_l"), ("fact_order_line", "gold_l")):
         n = P.tables.current_version(spark, f"{layer}.{table}") + 1
-        half = f"{tmp_root}/lake/tables/{layer}/{table}/v={n}"
+        half = f"{tmp_root}/lake/tables/{layer}/{table}/v={n}-lost/_part=0"
         os.makedirs(half)
         open(f"{half}/part-0.parquet", "w").close()
     P.run_silver(lh)
@@ -129,13 +128,14 @@ def test_late_batch_skipped_table_and_full_reload(spark, tmp_root):
     fact = spark.table(lh.name("gold", "fact_order_line"))
     assert sorted(r["order_item_id"] for r in fact.collect()) == ["i1", "i2"]
 
-    shutil.rmtree(f"{tmp_root}/lake/_checkpoints/bronze/customers")   # full reload
     _land(spark, landing, {"customers": [("c2", "Bo", "Ek", "bo@x", "Oslo", "NO", "retail",
                                           "2024-05-01T00:00:00", "2024-05-01T00:00:00", 0, EX1,
                                           "customers")]}, "b3")
-    P.run_bronze(lh, landing).gate()
+    P.run_bronze(lh, landing, full=True).gate()     # all files again, under the next batch ids
+    P.run_bronze(lh, landing).gate()                # and only once
     ids = [r[0] for r in lh.bronze("customers").select("_batch_id").distinct().collect()]
-    assert sorted(ids) == [0, 1]
+    assert sorted(ids) == [0, 1] and lh.bronze("customers").count() == 3
+    assert P.tables.partitions(spark, lh.name("bronze", "customers")) == [0, 1]
     P.run_silver(lh)
     P.run_gold(lh)
     dim = spark.table(lh.name("gold", "dim_customer"))
@@ -156,15 +156,16 @@ def test_publish_replaces_the_schema_and_keeps_properties(spark, tmp_root):
 
 def test_run_all_gates_in_order(spark, tmp_root):
     landing = f"{tmp_root}/landing"
-    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
                      ns=P.Namespaces("bronze_a", "silver_a", "gold_a"))
     batch = _batch1()
     batch["order_items"].append(("i9", "o2", "missing", 1, 1.0, 1.0, "2024-05-31T10:00:00",
                                  "2024-05-31T10:00:00", 0, EX1, "order_items"))
     _land(spark, landing, batch, "b1")
-    with pytest.raises(RuntimeError, match="product_fk"):
+    with pytest.raises(RuntimeError, match="product_fk: 1"):
         P.run_all(lh, landing)              # the item's product is unknown: gold gate fails
     assert spark.table(lh.name("silver", "order_items")).count() == 3   # silver committed
+    assert P.run_gold(lh, strict=False).failures == ["fk product_fk: 1"]
 
 
 @pytest.mark.parametrize("lost", [False, True])
@@ -172,15 +173,13 @@ def test_null_keys_fail_once_and_stay_out(spark, tmp_root, lost):
     """A row with a NULL key fails the run that finds it, also after a driver that was lost
     between ingest and check; it is quarantined, and the next run goes on without it."""
     landing, tag = f"{tmp_root}/landing", f"q{int(lost)}"
-    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS,
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
                      ns=P.Namespaces(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}"))
     batch = _batch1()
     batch["orders"].append((None, *batch["orders"][0][1:]))
     _land(spark, landing, batch, "b1")
     if lost:
-        P.ingest_new_files(spark, f"{landing}/orders", RAW_SCHEMAS["orders"],
-                           lh.path("bronze", "orders"), lh.path("_checkpoints", "bronze", "orders"),
-                           transform=lambda b: P.normalize_timestamps(b, count_errors=True))
+        P.ingest_entity(lh, landing, "orders")
     with pytest.raises(RuntimeError, match="orders.order_id nulls: 1"):
         P.run_all(lh, landing)
     assert [r["reason"] for r in lh.quarantine("orders").collect()] == ["order_id"]
@@ -193,3 +192,64 @@ def test_null_keys_fail_once_and_stay_out(spark, tmp_root, lost):
     again.gate()
     assert "orders.quarantined" not in again.info
     assert again.info["products.malformed_timestamps"] == 0
+
+
+def test_marks_are_set_after_the_data(spark, tmp_root, monkeypatch):
+    """A driver lost while the fact is repointed leaves the old marks: the next run takes the
+    batch again."""
+    landing = f"{tmp_root}/landing"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
+                     ns=P.Namespaces("bronze_m", "silver_m", "gold_m"))
+    first = _batch1()
+    late = first["order_items"].pop()
+    _land(spark, landing, first, "b1")
+    P.run_all(lh, landing)
+    _land(spark, landing, {"order_items": [late]}, "b2")
+    P.run_bronze(lh, landing).gate()
+    P.run_silver(lh)
+    before = P._gold_marks(lh, lh.name("gold", "fact_order_line"))
+    real = P.tables.point_partitions
+
+    def lost(spark, name, *rest):
+        if name.endswith("fact_order_line"):
+            raise KeyboardInterrupt("lost")
+        real(spark, name, *rest)
+    monkeypatch.setattr(P.tables, "point_partitions", lost)
+    with pytest.raises(KeyboardInterrupt):
+        P.run_gold(lh)
+    monkeypatch.undo()
+    assert P._gold_marks(lh, lh.name("gold", "fact_order_line")) == before
+    assert lh.table("gold", "fact_order_line").count() == 1
+    P.run_gold(lh)
+    assert lh.table("gold", "fact_order_line").count() == 2
+
+
+def test_bad_lines_are_counted_and_quarantined(spark, tmp_root):
+    """A cut-off line fails the run that finds it; text in a number and new fields are counted; all
+    but the new fields go to quarantine, and silver has the rest."""
+    landing = f"{tmp_root}/landing"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=2,
+                     ns=P.Namespaces("bronze_x", "silver_x", "gold_x"))
+    _land(spark, landing, _batch1(), "b1")
+    lines = ['{"order_item_id":"x1","order_id":"o1","product_id":"p1","quantity":"two","is_deleted":0}',
+             '{"order_item_id":"x2","order_id":"o1","product_id":"p1","quantity":2,"colour":"red",'
+             '"unit_price":2.0,"updated_at":"2024-05-31T09:00:00","is_deleted":0}',
+             '{"order_item_id":"x3","order_id', "", "[]"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(
+        f"{landing}/order_items/batch=b2")
+    report = P.run_bronze(lh, landing)
+    assert report.failures == ["order_items.order_item_id nulls: 2"]
+    assert {k: v for k, v in report.info.items() if k.startswith("order_items") and v} == {
+        "order_items.malformed_lines": 2, "order_items.uncastable_rows": 1,
+        "order_items.unknown_fields": 1}
+    held = {(r.reason, r._corrupt_record, r._rescued) for r in lh.quarantine("order_items").collect()}
+    assert held == {("malformed line", lines[2], None), ("malformed line", "[]", None),
+                    ("uncastable: quantity", None, '{"quantity":"two"}')}
+    again = P.run_bronze(lh, landing)
+    again.gate()
+    assert again.info["order_items.quarantined"] == 3
+    P.run_silver(lh)
+    items = {r.order_item_id for r in lh.table("silver", "order_items").collect()}
+    assert items == {"i1", "i2", "x2"}
+    kept = {(r.field, r.issue, r.rows) for r in P.rescued(lh).collect()}
+    assert kept == {("colour", "unknown", 1), ("quantity", "uncastable", 1)}

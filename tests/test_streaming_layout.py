@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from strata.operators.layout import compact, zorder
+from strata.operators.layout import compact_parts, file_sizes, rank_bounds, zorder
 from strata.plans.pipeline import SnapshotUpsert
 from strata.schemas import FIXTURE_ENTITIES
 from strata.sources import fixtures, jsonl
@@ -61,11 +61,50 @@ def test_zorder_splits_a_hot_value(spark):
     assert max(r["count"] for r in parts) < 3000      # the hot run is not one partition
 
 
-def test_compact_only_reduces(spark):
-    df = spark.range(1000).repartition(20)
-    assert compact(df, rows_per_file=300).rdd.getNumPartitions() == 4
-    few = spark.range(0, 1000, 1, 2)
-    assert compact(few, rows_per_file=10).rdd.getNumPartitions() == 2
+def test_zorder_ranks_whole_strings_and_skewed_numbers(spark, tmp_root):
+    """Keys that differ behind a long common prefix, amounts of which most are tiny: by ranks, a
+    filter on either one still skips most files."""
+    rows = [(f"CUST-{(i * 7919) % 5000:07d}", float((i % 100) ** 6), i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "customer string, amount double, v int")
+    zpath = f"{tmp_root}/z"
+    zorder(df, ["customer", "amount"], num_partitions=16).write.parquet(zpath)
+    per_file = (spark.read.parquet(zpath).groupBy(F.input_file_name().alias("f"))
+                .agg(F.min("customer").alias("a"), F.max("customer").alias("b"),
+                     F.min("amount").alias("c"), F.max("amount").alias("d")).collect())
+    assert len(per_file) == 16
+    for key in ("CUST-0000017", "CUST-0002500", "CUST-0004990"):
+        assert sum(r["a"] <= key <= r["b"] for r in per_file) <= 8
+    for amount in (1.0, float(50 ** 6), float(98 ** 6)):
+        assert sum(r["c"] <= amount <= r["d"] for r in per_file) <= 8
+
+
+def test_rank_bounds_are_whole_values(spark):
+    df = spark.createDataFrame([(f"CUST-{i:05d}", None if i % 2 else i * 1.5) for i in range(4000)],
+                               "s string, x double")
+    b = rank_bounds(df, ["s", "x"], bits=3)
+    assert b["s"] == [f"CUST-{i * 500:05d}" for i in range(1, 8)]
+    assert b["x"] == [i * 750.0 for i in range(1, 8)]
+    assert rank_bounds(df.limit(0), ["s"]) == {"s": []}
+    out = zorder(df.limit(0), ["s", "x"])
+    assert out.isEmpty() and out.columns == ["s", "x"]
+
+
+def test_compact_rewrites_only_scattered_partitions(spark, tmp_root):
+    from strata.sources import tables
+
+    name = "strata_compact_probe_" + tmp_root.rsplit("-", 1)[-1]
+    df = spark.range(4000).withColumn("t", F.concat(F.lit("t"), "id"))
+    tables.create_parts(spark, name, df.schema, tmp_root, parts=4)
+    parted = df.withColumn(tables.PART, tables.part_of(["id"], 4))
+    tables.publish_parts(spark, parted.filter(f"{tables.PART} < 2").repartition(10), name, tmp_root, [0, 1])
+    tables.publish_parts(spark, parted.filter(f"{tables.PART} >= 2").coalesce(1), name, tmp_root, [2, 3])
+    assert {r[tables.PART]: r["files"] for r in file_sizes(spark.table(name), tables.PART).collect()} \
+        == {0: 10, 1: 10, 2: 1, 3: 1}
+    assert compact_parts(spark, name, tmp_root) == [0, 1]
+    sizes = file_sizes(spark.table(name), tables.PART).collect()
+    assert all(r["files"] == 1 for r in sizes) and spark.table(name).count() == 4000
+    assert compact_parts(spark, name, tmp_root) == []
+    assert compact_parts(spark, name, tmp_root, target_bytes=1) == []   # a file is whole already
 
 
 def test_bucketed_table_merge_shuffles_only_the_batch(spark, tmp_root):
@@ -122,7 +161,7 @@ def test_zorder_with_given_bounds_keeps_rows(spark):
     df = spark.createDataFrame([(20240101 + i % 28, i % 97, i) for i in range(3000)],
                                "date_id int, customer_id int, v int")
     out = zorder(df, ["date_id", "customer_id"], num_partitions=4,
-                 bounds={"date_id": (20240101.0, 20240110.0)})       # too narrow: clamped
+                 bounds={"date_id": [20240105, 20240110]})       # too narrow: clustered less
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
 
 
