@@ -5,8 +5,10 @@ text is cut at a single blank between two characters that are not white space. S
 there, each distinct part (with its blank) goes through the tokenizer once, and ids are joined.
 Texts with other blanks, or that may hold a special token, are encoded as a whole.
 
-New parts are encoded many at a time: a part of letters is one word, possibly with end
-punctuation, which is a word of its own. The ids of a line of such words fall apart again at the
+New parts are encoded many at a time: a part that the tokenizer's own normalising leaves as letters
+is one word, possibly with end punctuation, which is a word of its own. (Where it makes marks of
+letters, as of a dotted capital I, marks and punctuation may be one word: such parts go through
+whole.) The ids of a line of such words fall apart again at the
 tokens that begin a word (they hold the blank) or end one (by the model's suffix).
 """
 
@@ -40,6 +42,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        normalizer = self.tokenizer.normalizer
+        self.normalize = normalizer.normalize_str if normalizer is not None else None
         self.cached = cached
         self.first: dict[str, bytes | bool] = {}
         self.later: dict[str, bytes | bool] = {}
@@ -51,6 +55,12 @@ class Encoder:
         self.edge[[i for t, i in vocab.items()
                    if (t.endswith(suffix) if suffix else t.startswith(blank))]] = True
 
+    def _letters(self, part: str) -> bool:
+        """Whether the tokenizer sees letters only."""
+        if part.isascii() or self.normalize is None:
+            return part.isalpha()
+        return part.isalpha() and self.normalize(part).isalpha()
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -77,11 +87,11 @@ class Encoder:
         have = self.later
         words, ended, other = [], [], []
         for p in new:
-            if p.isalpha():
+            if self._letters(p):
                 words.append(p)
             elif not p or p[0].isspace() or p[-1].isspace() or "<|" in p:
                 have[p] = False  # not a safe place to cut
-            elif p[-1] in _ENDS and (stem := p.rstrip(_ENDS)).isalpha():
+            elif p[-1] in _ENDS and self._letters(stem := p.rstrip(_ENDS)):
                 ended.append((p, stem, p[len(stem):]))
             else:
                 other.append(p)

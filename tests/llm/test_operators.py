@@ -111,6 +111,29 @@ def test_near_duplicates_of_a_chain_and_a_hot_passage(spark):
     assert dict(zip(out.doc_id, out.component_id)) == brute_components(texts)[1]
 
 
+def test_near_duplicates_in_lists_of_more_than_one_block(spark, monkeypatch):
+    """Components of equal size and many single texts in one list of several blocks; pairs that
+    only the second round finds."""
+    from strata.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "K", 4)
+    rng = np.random.default_rng(8)
+    base, texts = [f"w{i}" for i in range(60)], {}
+    for group in range(12):
+        own = base[:30] + [f"g{group % 6}x{j}" for j in range(30)]
+        for i in range(5):
+            w = list(own)
+            for j in rng.choice(60, 1 + i, replace=False):
+                w[j] = f"e{group}x{i}x{j}"
+            texts[group * 5 + i] = " ".join(w)
+    for i in range(60, 100):
+        texts[i] = " ".join(base[:25] + [f"u{i}x{j}" for j in range(9 + i % 5)])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = near_dedup.near_duplicates(df, k=4).select("row.doc_id", "component_id").toPandas()
+    assert dict(zip(out.doc_id, out.component_id)) == brute_components(texts)[1]
+
+
 def test_components_one_task_and_rounds_agree(spark):
     from strata.llm.components import connected_components
 
@@ -195,6 +218,16 @@ def test_encoder_equals_whole_texts(docs, name):
             for t in texts]
     assert Encoder(path).encode(texts) == want
     assert Encoder(path, cached=50).encode(texts[-40:]) == want[-40:]
+    # letters that normalising turns into a letter and a mark, before punctuation; and by chance
+    rng = np.random.default_rng(5)
+    some = [*"abzAZéİıǅßςΩ", "क़", "क", "שׁ", "ש", "ড়", "e\u0301", "ﬁ", *",.'!?-)(", "1", "²", "\u200d",
+            "中", " ", " ", " ", "\n", "  "]
+    texts = ["in İ,", "x KADİ.", "x क़,", "x שׁ,", "x İ", "İ.", "x İ' y"] + [
+        "".join(rng.choice(some, rng.integers(1, 14))) for _ in range(20_000)]
+    want = [np.array(e.ids, "<u4").tobytes()
+            for e in plain.encode_batch(texts, add_special_tokens=False)]
+    got = Encoder(path).encode(texts)
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
 
 
 def test_token_files_round_trip(spark, docs):
