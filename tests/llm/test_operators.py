@@ -346,6 +346,75 @@ def test_secret_spans():
     assert flagged == {i for i in range(29) if entropy((key * 2)[i:i + 20]) >= BITS["alnum"]}
 
 
+def test_secret_scan_is_linear_and_leaves_names_and_paths():
+    import time
+
+    from strata.llm.secret_scan import ALLOW, BITS, WINDOW, _scan
+
+    def spans(texts):
+        df = pa.RecordBatch.from_arrays([pa.array([{"text": t} for t in texts])], names=["row"])
+        return [[(x["kind"], x["start"], x["end"]) for x in r]
+                for b in _scan(WINDOW, BITS, ALLOW)([df]) for r in b.column("spans").to_pylist()]
+    names = ["ConcurrentModificationException", "getElementsByClassNameOrTagName",
+             "UnsupportedOperationException", "IllegalArgumentException", "addEventListenerOnce",
+             "MethodArgumentNotValidException", "shouldComponentUpdateWithNextProps",
+             "AbstractAnnotationConfigDispatcherServletInitializer", "numberOfRowsInSection",
+             "https/www.example.org/articles/2024/05/how-to-cook", "src/main/java/org/acme/v2/api",
+             "2024-05-01-release-notes-for-the-next-version"]
+    assert spans(names) == [[]] * len(names)
+    import hashlib
+    log = "".join(f"{hashlib.sha1(str(i).encode()).hexdigest()}  é file{i}\n" for i in range(40_000))
+    odd = ["a" + "-" * 400_000 + "+", "x" * 400_000, "xxxxAb1" * 60_000, log]
+    for text in odd:
+        took = []
+        for part in (text[:len(text) // 4], text):
+            t = time.process_time()
+            got = spans([part])
+            took.append(time.process_time() - t)
+        assert took[1] < 4 * 3 * took[0] + 1  # four times as long: not sixteen times
+    assert len(got[0]) == 40_000
+
+
+def test_planted_secrets_in_documents_equal_a_window_scan(spark, docs):
+    """Keys planted into whole documents, against every window's entropy computed by itself."""
+    from strata.llm import secret_scan as S
+
+    rng = np.random.default_rng(2)
+    chars = np.array([*"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])
+    planted = {}
+    for i, t in zip(docs.doc_id[:60], docs.text[:60]):
+        key = "".join(rng.choice(chars, 24 + i % 20))
+        cut = int(rng.integers(0, len(t) + 1))
+        planted[i] = f"{t[:cut]} {key} {t[cut:]}"
+    df = spark.createDataFrame(list(planted.items()), "doc_id long, text string")
+    out = {r.row.doc_id: {(x.start, x.end) for x in r.spans if x.kind == "entropy"}
+           for r in S.scan(df).collect()}
+    hit = 0
+    for i, t in planted.items():
+        flagged = np.zeros(len(t) + 1, bool)
+        base = [(m.start(), m.end()) for rx, least, g in (
+            (S.ASSIGN, S.MIN_VALUE, 2), (S.ACCESS, S.MIN_ACCESS, 0), (S.HEX, S.MIN_HEX, 0))
+            for m in rx.finditer(t) if len(m[g]) >= least]
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
+            if any(re.fullmatch(a, m[0]) for a in S.ALLOW) or re.search(S.PLACEHOLDER, m[0], re.I):
+                continue
+            for a in range(m.start(), m.end() - 19):
+                w = t[a:a + 20]
+                digit, up, low = (sum(map(f, w)) for f in (str.isdigit, str.isupper, str.islower))
+                kind = ("hex" if re.fullmatch("[0-9a-fA-F]+", w) else
+                        "alnum" if w.isalnum() else "base64") if digit and up + low else \
+                    "letters" if not digit and min(up, low) >= 4 and re.search("[A-Z]{2}", w) else None
+                n = collections.Counter(w).values()
+                bits = -sum(c / 20 * np.log2(c / 20) for c in n)
+                if kind and bits >= S.BITS[kind] - 1e-9 and not any(x < a + 20 and a < z for x, z in base):
+                    flagged[a:a + 20] = True
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], flagged]).astype(int)))
+        want = set(zip(edge[::2].tolist(), edge[1::2].tolist()))
+        assert out[i] == {(a, z) for a, z in want if not any(re.fullmatch(p, t[a:z]) for p in S.ALLOW)}
+        hit += bool(out[i])
+    assert hit >= 57
+
+
 def test_secret_limits_allow_list_and_cut_spans():
     from strata.llm.secret_scan import ALLOW, BITS, WINDOW, _scan, high_entropy
 
