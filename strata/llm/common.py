@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import configure, scratch_path
+from strata.session import checkpoint_root, configure, scratch_path
 
 #: Rows and bytes of one Arrow batch that goes to a Python task: bounds its memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
@@ -78,18 +78,58 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     """Write to the shared folder and read back: a lineage cut that outlives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    for written in _WRITTEN:
+        written.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def intermediates():
+    """The folders that ``materialise`` writes in this block, in their order. A caller who has
+    written out what was made of them may ``remove`` them."""
+    written: list[str] = []
+    _WRITTEN.append(written)
+    try:
+        yield written
+    finally:
+        _WRITTEN[:] = [w for w in _WRITTEN if w is not written]
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of the shared scratch area; others are refused."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for f in folders:
+        if not f.startswith(checkpoint_root(spark) + "/strata/llm-"):
+            raise ValueError(f"not an intermediate: {f}")
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def fields(*pairs) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in pairs])
 
 
 # --- files in the shared folder -----------------------------------------------------------
 
+def arrow_uri(uri: str) -> str:
+    """A Hadoop URI by the name that pyarrow knows its store under: s3a and s3n are s3, wasb(s) of a
+    blob endpoint is abfs(s) of the same account; gs, abfs(s), hdfs and viewfs are the same."""
+    scheme, _, rest = uri.partition("://")
+    if scheme in ("s3a", "s3n"):
+        return f"s3://{rest}"
+    if scheme in ("wasb", "wasbs"):
+        host, _, path = rest.partition("/")
+        return f"abfs{scheme[4:]}://{host.replace('.blob.', '.dfs.')}/{path}"
+    return uri
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path) of a URI or a plain path."""
+    uri = arrow_uri(uri)
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if urlparse(uri).scheme == "file":

@@ -654,3 +654,30 @@ def test_pipeline_stages(spark, docs):
     hits = con.execute(oracle.DECONTAMINATION).df()
     assert sorted(clean.doc_id) == sorted(hits[~hits.contaminated].doc_id)
     assert sorted(packed[packed.piece == 0].doc_id) == sorted(clean.doc_id)
+
+
+def test_shared_folder_schemes():
+    from strata.llm.common import arrow_uri, open_fs
+
+    assert arrow_uri("s3a://bucket/ck/x") == arrow_uri("s3n://bucket/ck/x") == "s3://bucket/ck/x"
+    assert arrow_uri("wasbs://c@acc.blob.core.windows.net/ck") == "abfss://c@acc.dfs.core.windows.net/ck"
+    for same in ("gs://b/x", "abfss://c@acc.dfs.core.windows.net/x", "hdfs://n:1/x", "file:///x", "/x"):
+        assert arrow_uri(same) == same
+    assert open_fs("file:///tmp/x")[1] == open_fs("/tmp/x")[1] == "/tmp/x"
+
+
+def test_intermediates_are_removed(spark):
+    import os
+
+    from strata.llm.common import intermediates, materialise, remove
+
+    with intermediates() as written:
+        df = materialise(spark.range(3), "probe")
+        with intermediates() as inner:
+            materialise(df, "probe")
+    materialise(df, "probe")
+    assert len(written) == 2 and len(inner) == 1 and all(map(os.path.isdir, written))
+    remove(spark, inner)
+    assert [os.path.isdir(w) for w in written] == [True, False]
+    with pytest.raises(ValueError):
+        remove(spark, ["/tmp/strata/llm-x"])
