@@ -2,10 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but
 the last return the columns of ``documents``. Each result is written as Parquet to the shared
-folder and read back as the next stage's input, so a lost executor costs one stage at most.
+folder and read back as the next stage's input, so a lost executor costs one stage at most. What
+a stage wrote on its way is removed once its result stands, and a result once the next one does.
 
-Rows with null or repeated ids, null or empty texts and extra columns pass through all stages;
-what each operator does with them stands in its docstring. An empty table gives no rows.
+Rows with null or repeated ids and extra columns pass through all stages; what each operator does
+with them stands in its docstring. Null and empty texts have no language and go in the first
+stage. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialise, table, unpack
+from strata.llm.common import intermediates, materialise, remove, table, unpack
 from strata.llm.decontaminate import decontaminate
 from strata.llm.language_id import fit_documents, identify
 from strata.llm.line_dedup import line_dedup
@@ -69,7 +71,10 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediates() as written:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove(spark, before + written[:-1])
+        before = written[-1:]
     return docs
