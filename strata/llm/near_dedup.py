@@ -33,8 +33,9 @@ SHINGLE, PERCENT, K = 5, 75, 64
 #: A pair stays a candidate while this share of its union sketch (hundredths) is in both. At a
 #: true similarity of 0.75 the chance of less is 2e-8 (binomial tail, k = 64).
 SHARE = 40
-#: Members of a list block in the second round.
-BLOCK = 256
+#: Members of a list block in the second round, and earlier values of a member that are compared
+#: to tell whether a pair has been made already.
+BLOCK, SEEN = 256, 8
 #: Largest table of ids (long) that is broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 250_000
 
@@ -149,33 +150,47 @@ def _leftover_pairs(left: DataFrame, shingles: DataFrame, percent: int) -> DataF
              .agg(F.array_sort(F.collect_list(F.struct("freq", "value"))).alias("vs"))
              .join(left, "cid")
              .withColumn("own", n - F.size("vs")).where(room > 0)
-             .select("cid", "n", "root", "own",
-                     F.posexplode(F.slice("vs", F.lit(1), room.cast("int"))).alias("i", "e"))
-             .select("cid", "n", "root", F.col("e.value").alias("value"),
-                     (F.col("own") + F.col("i") + 1).alias("place")))
+             .withColumn("vs", F.transform(F.slice("vs", F.lit(1), F.greatest(
+                 room, F.lit(0)).cast("int")), lambda e: e["value"]))
+             .select("cid", "n", "root", "own", "vs", F.posexplode("vs").alias("i", "value"))
+             .select("cid", "n", "root", "value", (F.col("own") + F.col("i") + 1).alias("place"),
+                     F.slice("vs", F.greatest(F.col("i") + 1 - SEEN, F.lit(1)),
+                             F.least(F.col("i"), F.lit(SEEN))).alias("seen")))
     early = materialise(early, "early")
-    # members of a list's largest component never meet: they are dealt over blocks, and the
-    # other members visit every block
-    main = (early.groupBy("value", "root").agg(F.count("*").alias("c")).groupBy("value")
-            .agg(F.max_by("root", "c").alias("main"), F.sum("c").alias("members"),
-                 F.count("*").alias("roots")).where("roots > 1")
-            .withColumn("blocks", F.ceil(F.col("members") / BLOCK))
-            .select("value", "main", "blocks"))
-    last = F.col("blocks") - 1
-    mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    minor = F.col("root") != F.col("main")
-    dealt = (early.join(main, "value").withColumn("minor", minor)
-             .withColumn("block", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0).cast("long"), last))
-                                            .otherwise(F.array(mine))))
-             .select("value", "block", "minor", "cid", "n", "root", "place"))
-    small = dealt.where(F.col("place") <= n - F.ceil(n * 2 * t / (100 + t)) + 1).select(
-        "value", "block", *[F.col(c).alias(f"{c}2") for c in ("minor", "cid", "n", "root", "place")])
+    # members of a list's largest component (of two as large: the one with the larger root)
+    # never meet, so they are dealt over blocks, which the other members visit; these meet each
+    # other in blocks of their own number
+    by_root = early.groupBy("value", "root").agg(F.count("*").alias("c"))
+    main = materialise(by_root.groupBy("value").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("members"),
+        F.count("*").alias("roots")).where("roots > 1").select(
+        "value", F.col("m.root").alias("main"), F.ceil(F.col("m.c") / BLOCK).alias("blocks"),
+        F.ceil((F.col("members") - F.col("m.c")) / BLOCK).alias("others")), "main")
+    placed = early.join(main, "value").withColumn("minor", F.col("root") != F.col("main"))
+
+    def lane(name: str, blocks: str, everywhere: bool):
+        own = F.array(F.pmod(F.xxhash64("cid"), F.col(blocks)))
+        at = F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1) if everywhere else own
+        return F.transform(at, lambda x: F.struct(F.lit(name).alias("lane"), x.alias("block")))
+
+    def dealt(of_main, of_minor):
+        lanes = F.when(F.col("minor"), F.flatten(F.array(*of_minor))).otherwise(of_main)
+        return placed.withColumn("at", F.explode(lanes)).select(
+            "value", "at.lane", "at.block", "cid", "n", "root", "place", "seen")
+    longer = dealt(lane("a", "blocks", False),
+                   [lane("b", "blocks", True), lane("c", "others", False)])
+    small = dealt(lane("b", "blocks", False),
+                  [lane("a", "blocks", True), lane("c", "others", True)])
+    small = small.where(F.col("place") <= n - F.ceil(n * 2 * t / (100 + t)) + 1).select(
+        "value", "lane", "block", *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "root", "place", "seen")])
     need = F.col("n") + F.col("n2")
     at_most = 1 + F.least(n - F.col("place"), F.col("n2") - F.col("place2"))
-    return (dealt.join(small, ["value", "block"])
+    # a pair is made at its first common value; where one of the values seen just before is common
+    # too, it has been made already
+    return (longer.join(small, ["value", "lane", "block"])
             .where((F.col("root") != F.col("root2")) & (F.col("n2") <= n)
                    & (F.col("n2") * 100 >= n * t) & (at_most * (100 + t) >= need * t)
-                   & (~(F.col("minor") & F.col("minor2")) | (F.col("block") == 0)))
+                   & ~F.arrays_overlap("seen", "seen2"))
             .select(F.greatest("cid", "cid2").alias("u"), F.least("cid", "cid2").alias("v"))
             .distinct())
 
