@@ -5,7 +5,8 @@ every order up to ORDER, how often a character follows its context. The whole UR
 scheme to fragment; host and path are the rules' columns only. A character's probability
 blends all orders, each order's counts with the next shorter one's probability as prior. A URL's
 score is the difference of both log-likelihoods by its length; the limit is calibrated on ruled
-URLs that were not counted yet, which then join the counts. Contexts are hashed into fixed tables, so a model has one size.
+URLs that were not counted yet, which then join the counts. Contexts are hashed into tables whose size follows the characters of
+all ruled URLs.
 """
 
 from __future__ import annotations
@@ -20,8 +21,11 @@ from pyspark.sql import functions as F
 from strata.llm.common import prepare
 from strata.llm.kernels import U, flat, mix
 
-#: Longest context, hash buckets of an order, weight of the shorter context's probability.
-ORDER, BUCKETS, PRIOR = 4, 1 << 16, 2.0
+#: Longest context, weight of the shorter context's probability.
+ORDER, PRIOR = 4, 2.0
+#: Hash buckets of an order: one for so many bytes of the ruled URLs, at least and at most so many
+#: (a task holds 160 bytes a bucket).
+BUCKET_BYTES, BUCKETS, MOST_BUCKETS = 8, 1 << 16, 1 << 18
 #: One ruled URL in so many (by a hash) calibrates and is counted last; step of the score axis.
 HELD, STEP = 5, 0.005
 _PAD = "\x00" * ORDER
@@ -54,13 +58,13 @@ def apply_rules(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
         "rule_verdict", none if verdict is None else verdict)
 
 
-def _contexts(texts: pa.Array):
+def _contexts(texts: pa.Array, buckets: int):
     """Text of each character, and per order the buckets of its context and of both together."""
     data, offsets = flat(pa.array([_PAD + (t or "") for t in texts.to_pylist()], pa.string()))
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     at = np.arange(len(data))
     at = at[at - offsets[:-1][doc] >= ORDER]
-    m, out = U(BUCKETS - 1), []
+    m, out = U(buckets - 1), []
     context = np.zeros(len(at), U)
     for order in range(ORDER + 1):
         if order:
@@ -70,33 +74,35 @@ def _contexts(texts: pa.Array):
     return doc[at], out
 
 
-def _count(batches):
+def _count(buckets: int):
     """(side, table, bucket, n): table 2 * order counts contexts, 2 * order + 1 what follows."""
-    total = np.zeros((2, 2 * ORDER + 2, BUCKETS), np.int64)
-    for b in batches:
-        side = b.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64)
-        doc, tables = _contexts(b.column("chars"))
-        for order, pair in enumerate(tables):
-            for i, bucket in enumerate(pair):
-                for s in (0, 1):
-                    total[s, 2 * order + i] += np.bincount(bucket[side[doc] == s],
-                                                           minlength=BUCKETS)
-    s, t, k = np.nonzero(total)
-    for i in range(0, max(1, len(s)), 200_000):
-        z = slice(i, i + 200_000)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(s[z]), pa.array(t[z]), pa.array(k[z]), pa.array(total[s, t, k][z])],
-            names=["side", "tab", "bucket", "n"])
+    def run(batches):
+        total = np.zeros((2, 2 * ORDER + 2, buckets), np.int64)
+        for b in batches:
+            side = b.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64)
+            doc, tables = _contexts(b.column("chars"), buckets)
+            for order, pair in enumerate(tables):
+                for i, bucket in enumerate(pair):
+                    for s in (0, 1):
+                        total[s, 2 * order + i] += np.bincount(bucket[side[doc] == s],
+                                                               minlength=buckets)
+        s, t, k = np.nonzero(total)
+        for i in range(0, max(1, len(s)), 200_000):
+            z = slice(i, i + 200_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[z]), pa.array(t[z]), pa.array(k[z]), pa.array(total[s, t, k][z])],
+                names=["side", "tab", "bucket", "n"])
+    return run
 
 
 @dataclass
 class Model:
-    counts: np.ndarray  # (rejected and accepted, 2 * ORDER + 2, BUCKETS)
+    counts: np.ndarray  # (rejected and accepted, 2 * ORDER + 2, buckets)
     limit: float        # smaller scores are blocked
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Log-likelihood ratio per character; 0 without characters or without both models."""
-        doc, tables = _contexts(texts)
+        doc, tables = _contexts(texts, self.counts.shape[2])
         if not (self.counts[0].any() and self.counts[1].any()):
             return np.zeros(len(texts))
         logs = []
@@ -124,10 +130,10 @@ def _with_score(df: DataFrame, model: Model) -> DataFrame:
     return df.mapInArrow(_score(model, names), df.select(*names).schema.add("score", "double"))
 
 
-def _counted(data: DataFrame) -> np.ndarray:
-    """The counts of a model; at most 2 * (2 * ORDER + 2) * BUCKETS numbers reach the driver."""
-    counts = np.zeros((2, 2 * ORDER + 2, BUCKETS), np.float32)
-    t = (data.mapInArrow(_count, "side long, tab long, bucket long, n long")
+def _counted(data: DataFrame, buckets: int) -> np.ndarray:
+    """The counts of a model; at most 2 * (2 * ORDER + 2) * buckets numbers reach the driver."""
+    counts = np.zeros((2, 2 * ORDER + 2, buckets), np.float32)
+    t = (data.mapInArrow(_count(buckets), "side long, tab long, bucket long, n long")
          .groupBy("side", "tab", "bucket").agg(F.sum("n").alias("n")).toArrow())
     counts[tuple(t.column(c).to_numpy() for c in ("side", "tab", "bucket"))] = \
         t.column("n").to_numpy()
@@ -141,7 +147,9 @@ def fit(ruled: DataFrame) -> Model:
     data = ruled.where("rule is not null").select(
         F.col("url").alias("chars"), (F.col("rule_verdict") == "allow").alias("accepted"))
     held = F.pmod(F.xxhash64("chars"), F.lit(HELD)) == 0
-    model = Model(_counted(data.where(~held)), 0.0)
+    size = data.agg(F.sum(F.octet_length("chars"))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(BUCKETS, 1 << (size // BUCKET_BYTES).bit_length()))
+    model = Model(_counted(data.where(~held), buckets), 0.0)
     steps = _with_score(data.where(held), model).groupBy(F.floor(F.col("score") / STEP).alias("s")
         ).agg(F.count_if("accepted").alias("good"), F.count_if(~F.col("accepted")).alias("bad"))
     steps = sorted((r["s"], r["good"], r["bad"]) for r in steps.collect())
@@ -153,7 +161,7 @@ def fit(ruled: DataFrame) -> Model:
             lost, caught = lost + g, caught + b
             if caught / bad - lost / good > best:
                 best, model.limit = caught / bad - lost / good, (s + 1) * STEP
-    return Model(model.counts + _counted(data.where(held)), model.limit)
+    return Model(model.counts + _counted(data.where(held), buckets), model.limit)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
