@@ -4,7 +4,8 @@ Two multinomials over hashed n-grams (words, pairs of words, 3 bytes) are counte
 trusted documents (labelled good and not toxic), one over the whole corpus. A text's score is the
 sum of its n-grams' log ratios by the number of its n-grams. Every document is kept or not by one
 threshold on that score, without drawing lots: the one that best separates trusted documents from
-bad ones (labelled bad or toxic) while it keeps nearly all trusted ones.
+bad ones (labelled bad or toxic) while it keeps nearly all trusted ones. For that, a trusted
+document is scored without its own trusted counts, as one that nobody had labelled.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import types as T
 from strata.llm.common import as_row, fields, prepare, text_of
 from strata.llm.kernels import NON_SPACE, U, Words, byte_class, grams, mix
 
-#: Hash buckets of each multinomial, added count per bucket.
-BUCKETS, ADDED = 1 << 16, 0.5
+#: Hash buckets of each multinomial: one for so many bytes of text, at least and at most so many (a
+#: task holds a table of 24 bytes a bucket). Added count per bucket.
+BUCKET_BYTES, BUCKETS, MOST_BUCKETS, ADDED = 40, 1 << 16, 1 << 20, 0.5
 #: Words of a repeated window; base limits: least words, hundredths of repeated words.
 REPEAT, MIN_WORDS, MAX_REPEAT = 8, 20, 30
 #: Most trusted documents (part of them) the threshold may reject; its step on the score axis.
@@ -97,34 +99,62 @@ def _counts(buckets: int):
     return run
 
 
-def _score(ratio: np.ndarray):
+@dataclass
+class Model:
+    counts: np.ndarray  # (corpus and trusted, buckets)
+    added: float
+    threshold: float    # smaller scores are rejected
+
+    def ratio(self) -> np.ndarray:
+        """log(trusted / corpus) of each bucket."""
+        p = self.counts + self.added
+        p = np.log(p / p.sum(axis=1, keepdims=True))
+        return p[1] - p[0]
+
+    def unseen(self, at: np.ndarray, own: np.ndarray, size: int) -> float:
+        """Sum of the ratios of a trusted document's n-grams (buckets ``at``, each ``own`` times,
+        ``size`` in all), had it not been labelled: it stays a part of the corpus."""
+        corpus, trusted = self.counts.sum(axis=1) + self.added * self.counts.shape[1]
+        log_t = np.log((self.counts[1, at] - own + self.added) / (trusted - size))
+        log_c = np.log((self.counts[0, at] + self.added) / corpus)
+        return float(((log_t - log_c) * own).sum())
+
+    def scores(self, w: Words, ratio: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+        """Mean ratio of each text's n-grams; ``unseen`` texts as if not labelled."""
+        total, n = np.zeros(len(w.counts)), np.zeros(len(w.counts), np.int64)
+        apart: dict[int, list] = {int(d): [] for d in np.flatnonzero(unseen)}
+        for doc, at in features(w, len(ratio)):
+            total += np.bincount(doc, ratio[at], len(n))
+            n += np.bincount(doc, minlength=len(n))
+            for d, held in apart.items():  # texts follow one another
+                held.append(at[np.searchsorted(doc, d):np.searchsorted(doc, d, "right")])
+        for d, held in apart.items():
+            at, own = np.unique(np.concatenate(held), return_counts=True)
+            total[d] = self.unseen(at, own, int(own.sum()))
+        return total / np.maximum(n, 1)
+
+
+def _score(model: Model, unseen: bool):
     def run(batches):
+        ratio = model.ratio()
         for b in batches:
             texts = text_of(b)
             w = Words(texts, NON_SPACE, 2)
-            total, n = np.zeros(len(b)), np.zeros(len(b), np.int64)
-            for doc, at in features(w, len(ratio)):
-                total += np.bincount(doc, ratio[at], len(b))
-                n += np.bincount(doc, minlength=len(b))
+            own = (b.column("row").field("trusted").to_numpy(zero_copy_only=False).astype(bool)
+                   if unseen else np.zeros(len(b), bool))
             base = base_counts(texts, w)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(w.counts, pa.int64())] + [pa.array(v, pa.int64()) for v in base.values()]
-                + [pa.array(total / np.maximum(n, 1)), b.column("row")],
+                + [pa.array(model.scores(w, ratio, own)), b.column("row")],
                 names=["n_words", *base, "score", "row"])
     return run
 
 
-@dataclass
-class Model:
-    ratio: np.ndarray   # log(trusted / corpus) of each bucket
-    threshold: float    # smaller scores are rejected
-
-
-def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+def _scored(docs: DataFrame, model: Model, unseen: bool = False) -> DataFrame:
     df = docs.select(as_row(docs))
     longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return df.mapInArrow(_score(ratio), fields(*[(c, L) for c in longs], ("score", T.DoubleType()),
-                                               ("row", df.schema["row"].dataType)))
+    return df.mapInArrow(_score(model, unseen), fields(
+        *[(c, L) for c in longs], ("score", T.DoubleType()), ("row", df.schema["row"].dataType)))
 
 
 def _failed():
@@ -133,11 +163,12 @@ def _failed():
             | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, added: float = ADDED,
+def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, added: float = ADDED,
         max_loss: float = MAX_LOSS) -> Model:
     """Count both multinomials over all documents in one pass, and set the threshold from the
-    scores of all labelled documents that pass the base rules. The driver gets one row per bucket
-    and per score step.
+    scores of all labelled documents that pass the base rules, trusted ones as unseen. The driver
+    gets one row per bucket and per score step. Without a number of ``buckets`` it follows the bytes
+    of all texts.
 
     A document with several labels is trusted if all of them are good, and bad if one of them is
     bad or toxic; a null quality or toxic says nothing. Without trusted documents every ratio is 0
@@ -152,28 +183,31 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, added: float
         "text", F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
         .alias("trusted"),
         F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).alias("bad"))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = min(MOST_BUCKETS, max(BUCKETS, 1 << (size // BUCKET_BYTES).bit_length()))
     counts = np.zeros((2, buckets))
-    for r in labelled.select("text", "trusted").mapInArrow(
-            _counts(buckets), "bucket long, corpus long, trusted long").groupBy("bucket").agg(
-            F.sum("corpus").alias("c"), F.sum("trusted").alias("t")).collect():
-        counts[:, r["bucket"]] = r["c"], r["t"]
+    t = labelled.select("text", "trusted").mapInArrow(
+        _counts(buckets), "bucket long, corpus long, trusted long").groupBy("bucket").agg(
+        F.sum("corpus").alias("c"), F.sum("trusted").alias("t")).toArrow()
+    counts[:, t.column("bucket").to_numpy()] = t.column("c").to_numpy(), t.column("t").to_numpy()
     if not counts[1].sum():
-        return Model(np.zeros(buckets), float("-inf"))
-    p = (counts + added) / (counts + added).sum(axis=1, keepdims=True)
-    ratio = np.log(p[1] / p[0])
-    known = _scored(labelled.where("trusted or bad"), ratio).where(~_failed())
+        counts[:] = 0  # every ratio is 0
+        return Model(counts, added, float("-inf"))
+    model = Model(counts, added, float("-inf"))
+    known = _scored(labelled.where("trusted or bad"), model, unseen=True).where(~_failed())
     steps = known.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         F.count_if(F.col("row.trusted")).alias("good"), F.count_if(F.col("row.bad")).alias("bad"))
     steps = sorted((r["step"], r["good"], r["bad"]) for r in steps.collect())
     good, bad = sum(s[1] for s in steps), sum(s[2] for s in steps)
-    best, at, lost, caught = 0.0, float("-inf"), 0, 0
+    best, lost, caught = 0.0, 0, 0
     for step, g, b in steps:  # reject below step + 1
         lost, caught = lost + g, caught + b
         if lost > max_loss * good:
             break
         if bad and caught / bad - lost / good > best:
-            best, at = caught / bad - lost / good, (step + 1) * STEP
-    return Model(ratio, at)
+            best, model.threshold = caught / bad - lost / good, (step + 1) * STEP
+    return model
 
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:
@@ -182,5 +216,5 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
     fail the base rule of least words; repeated rows are judged alike; an empty table gives no
     rows."""
     prepare(docs.sparkSession)
-    return (_scored(docs, model.ratio).withColumn("base_failed", _failed())
+    return (_scored(docs, model).withColumn("base_failed", _failed())
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= model.threshold)))

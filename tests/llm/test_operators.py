@@ -681,3 +681,79 @@ def test_intermediates_are_removed(spark):
     assert [os.path.isdir(w) for w in written] == [True, False]
     with pytest.raises(ValueError):
         remove(spark, ["/tmp/strata/llm-x"])
+
+
+def test_quality_threshold_is_that_of_unlabelled_documents(spark, docs):
+    """A trusted document's calibrating score is the one that a model gives it which was fitted
+    without its label; and the table grows with the texts."""
+    from strata.llm import quality_ratio as Q
+
+    df = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels")
+    good = labels.where("quality = 1 and toxic = 0").toPandas().doc_id.tolist()[:2]
+    whole = Q.fit(df, labels)
+    assert whole.counts.shape[1] == Q.BUCKETS
+    for i in good:
+        less = Q.fit(df, labels.where(F.col("doc_id") != i))
+        text = pa.array(docs.text[docs.doc_id == i])
+        w = Q.Words(text, Q.NON_SPACE, 2)
+        seen = whole.scores(w, whole.ratio(), np.array([False]))[0]
+        unseen = whole.scores(w, whole.ratio(), np.array([True]))[0]
+        assert np.isclose(unseen, less.scores(w, less.ratio(), np.array([False]))[0]) and unseen < seen
+    big = Q.fit(df, labels, buckets=1 << 18)
+    assert big.counts.shape[1] == 1 << 18 and big.counts.sum() == whole.counts.sum()
+
+
+def test_quality_keeps_trusted_documents_that_were_not_counted(spark):
+    """Fitted with half of the labels: the other half's trusted documents stay, its bad ones go."""
+    from strata.llm import quality_ratio as Q
+
+    sf = "/root/testdata/sf0.01"
+    df = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = Q.fit(df, labels.where(half))
+    out = Q.judge(df, model).where("not base_failed").select(F.col("row.doc_id").alias("doc_id"), "kept") \
+        .join(labels.where(~half), "doc_id").toPandas()
+    trusted = out[(out.quality == 1) & (out.toxic == 0)]
+    assert len(trusted) > 100 and trusted.kept.mean() >= 0.99
+    assert out[out.quality == 0].kept.mean() <= 0.25
+
+
+def test_url_filter_on_odd_rows(spark):
+    from strata.llm import url_model as M
+
+    rules = [("block", "net/"), ("allow", "example.net/en/")]
+    urls = ([(i, f"https://a{i % 7}.net/x/{i}") for i in range(40)]
+            + [(i, f"http://www.example.net/en/page-{i}") for i in range(40, 80)]
+            + [(80, None), (81, ""), (82, "no scheme"), (None, "https://a1.net/x/1"), (83, "x://"),
+               (84, "https://" + "long/" * 50_000), (85, "https://other.org/en/page-1"),
+               (85, "https://other.org/en/page-1"), (86, "HTTP://EXAMPLE.NET/en/?q#f")])
+    df = spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit("?"))
+    out = M.filter_urls(df, rules).toPandas()
+    assert len(out) == len(urls)
+    by = out.set_index("page_id")
+    assert by.rule[86] == "example.net/en/" and by.host[86] == "example.net" and by.verdict[86] == "allow"
+    assert by.score[80] == by.score[81] == 0 and by.host[82] == by.path[82] == by.host[83] == ""
+    assert by.loc[85].verdict.nunique() == 1 and set(by.verdict) <= {"allow", "block"}
+    assert by.verdict[list(range(40))].eq("block").all() and by.verdict[list(range(40, 80))].eq("allow").all()
+    # every unruled score is the ratio of both models' blended counts, character by character
+    ruled = M.apply_rules(df.select("page_id", "url"), rules)
+    model = M.fit(ruled)
+    some = ["https://other.org/en/page-1", "no scheme"]
+    doc, tables = M._contexts(pa.array(some), model.counts.shape[2])
+    want = np.zeros(2)
+    for k in range(len(doc)):
+        logs = []
+        for side in (0, 1):
+            p = 1 / 256
+            for order, (context, both) in enumerate(tables):
+                p = (model.counts[side, 2 * order + 1][both[k]] + M.PRIOR * p) / (
+                    model.counts[side, 2 * order][context[k]] + M.PRIOR)
+            logs.append(np.log(min(p, 1)))
+        want[doc[k]] += (logs[1] - logs[0]) / len(some[doc[k]])
+    assert np.allclose([by.loc[85].score.iloc[0], by.score[82]], want, atol=1e-5)
+    assert M.filter_urls(df.limit(0), rules).isEmpty()
+    # ties: a score on the limit is allowed
+    tied = M.Model(np.zeros_like(model.counts), 0.0)
+    assert (tied.scores(pa.array(some)) == tied.limit).all()
