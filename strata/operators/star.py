@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from strata.functions.dates import date_id
 from strata.schemas import CALENDAR_END, CALENDAR_START, LINEAGE_EXTRACTED_AT
 
-DIM_DATE_COLUMNS = ("date_id", "full_date", "year", "quarter", "month", "month_name",
-                    "week_of_year", "day_of_month", "day_of_week", "day_name", "is_weekend",
-                    "is_month_end")
-
 
 def calendar_days(start: str, end: str) -> int:
     return (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days + 1

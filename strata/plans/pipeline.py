@@ -393,12 +393,12 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
     dims = {"dim_customer": (build_dim_customer, "customers", "customer_id"),
             "dim_product": (build_dim_product, "products", "product_id")}
 
-    def dimension(table: str) -> None:
+    def dimension(table: str) -> list[int]:
         build, source, key = dims[table]
-        touched = upsert(table, build(changed_since(silver[source], marks[source])), (key,))
-        if relayout:
-            compact_parts(spark, lh.name("gold", table), where, touched)
-    _at_once(dimension, dims)
+        return upsert(table, build(changed_since(silver[source], marks[source])), (key,))
+    for table, rewritten in _at_once(dimension, dims).items():
+        if relayout:  # one after the other: it sets the session's partition size while it writes
+            compact_parts(spark, lh.name("gold", table), where, rewritten)
     keys = lh.item_keys
     delta, touched = fact_delta(silver, marks, keys)
     checkpoint_root(spark)
