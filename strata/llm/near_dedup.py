@@ -35,7 +35,7 @@ SHINGLE, PERCENT, K = 5, 75, 64
 SHARE = 40
 #: Members of a list block in the second round, and earlier values of a member that are compared
 #: to tell whether a pair has been made already.
-BLOCK, SEEN = 256, 8
+BLOCK, SEEN = 256, 16
 #: Largest table of ids (long) that is broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 250_000
 
@@ -188,7 +188,9 @@ def _leftover_pairs(left: DataFrame, shingles: DataFrame, percent: int) -> DataF
     # a pair is made at its first common value; where one of the values seen just before is common
     # too, it has been made already
     return (longer.join(small, ["value", "lane", "block"])
-            .where((F.col("root") != F.col("root2")) & (F.col("n2") <= n)
+            .where((F.col("root") != F.col("root2"))
+                   # of two as large either may be the small one: one of both orders is enough
+                   & ((F.col("n2") < n) | ((F.col("n2") == n) & (F.col("cid2") < F.col("cid"))))
                    & (F.col("n2") * 100 >= n * t) & (at_most * (100 + t) >= need * t)
                    & ~F.arrays_overlap("seen", "seen2"))
             .select(F.greatest("cid", "cid2").alias("u"), F.least("cid", "cid2").alias("v"))
