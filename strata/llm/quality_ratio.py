@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.bucket_table import BLOCK, BucketTable, Reader, Tally, grown, write_table
 from strata.llm.common import as_row, fields, prepare, text_of
 from strata.llm.kernels import NON_SPACE, U, Words, byte_class, grams, mix
 
-#: Hash buckets of each multinomial: one for so many bytes of text, at least and at most so many (a
-#: task holds a table of 24 bytes a bucket). Added count per bucket.
-BUCKET_BYTES, BUCKETS, MOST_BUCKETS, ADDED = 40, 1 << 16, 1 << 20, 0.5
+#: Hash buckets of each multinomial: one for so many bytes of text, at least so many; beyond so many
+#: they grow with the square root of the text. Added count per bucket.
+BUCKET_BYTES, BUCKETS, LINEAR_BUCKETS, ADDED = 40, 1 << 16, 1 << 20, 0.5
 #: Words of a repeated window; base limits: least words, hundredths of repeated words.
 REPEAT, MIN_WORDS, MAX_REPEAT = 8, 20, 30
 #: Most trusted documents (part of them) the threshold may reject; its step on the score axis.
@@ -74,63 +75,71 @@ def features(w: Words, buckets: int):
     pair = grams(w.hash, 2)
     ok = word[:-1] == word[1:]
     yield word[:-1][ok], ((pair[ok] >> U(9)) & m).astype(np.int64)
-    d = w.data.astype(np.uint32)
-    three = (d[:-2] << np.uint32(16)) | (d[1:-1] << np.uint32(8)) | d[2:]
-    three = ((three * np.uint32(2654435761)) >> np.uint32(11)) & np.uint32(buckets - 1)
+    d = w.data.astype(U)
+    three = (d[:-2] << U(16)) | (d[1:-1] << U(8)) | d[2:]
+    three = ((three * U(0x9E3779B97F4A7C15)) >> U(24)) & m
     doc = np.repeat(np.arange(len(w.counts)), np.diff(w.offsets))
     ok = doc[:-2] == doc[2:]
     yield doc[:-2][ok], three[ok].astype(np.int64)
 
 
 def _counts(buckets: int):
-    """(bucket, corpus, trusted): n-grams of a task's documents."""
+    """Blocks of a task's n-grams: of all its documents, and of the trusted ones."""
     def run(batches):
-        total = np.zeros((2, buckets), np.int64)
+        tally = Tally()
         for b in batches:
             w = Words(text_of(b), NON_SPACE, 2)
-            good = b.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+            good = b.column("trusted").to_numpy(zero_copy_only=False).astype(np.int64)
             for doc, at in features(w, buckets):
-                total[0] += np.bincount(at, minlength=buckets)
-                total[1] += np.bincount(at[good[doc]], minlength=buckets)
-        some = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]),
-                                          pa.array(total[1][some])],
-                                         names=["bucket", "corpus", "trusted"])
+                tally.add(at, good[doc])
+            if tally.full():
+                yield from tally.send()
+        yield from tally.send()
     return run
 
 
 @dataclass
 class Model:
-    counts: np.ndarray  # (corpus and trusted, buckets)
+    table: BucketTable  # n-grams of the corpus, and of the trusted documents as marked
     added: float
     threshold: float    # smaller scores are rejected
 
-    def ratio(self) -> np.ndarray:
-        """log(trusted / corpus) of each bucket."""
-        p = self.counts + self.added
-        p = np.log(p / p.sum(axis=1, keepdims=True))
-        return p[1] - p[0]
+    @property
+    def counts(self) -> np.ndarray:
+        """(corpus and trusted, buckets): the whole table at once, to look into small ones."""
+        return self.table.reader().counts(np.arange(self.table.buckets))
 
-    def unseen(self, at: np.ndarray, own: np.ndarray, size: int) -> float:
+    def ratio(self) -> Reader:
+        """Reads log(trusted / corpus) of buckets, but for the sums of both."""
+        return self.table.reader()
+
+    def _sums(self) -> tuple[float, float]:
+        more = self.added * self.table.buckets
+        return self.table.total + more, self.table.marked + more
+
+    def unseen(self, ratio: Reader, at: np.ndarray, own: np.ndarray, size: int) -> float:
         """Sum of the ratios of a trusted document's n-grams (buckets ``at``, each ``own`` times,
         ``size`` in all), had it not been labelled: it stays a part of the corpus."""
-        corpus, trusted = self.counts.sum(axis=1) + self.added * self.counts.shape[1]
-        log_t = np.log((self.counts[1, at] - own + self.added) / (trusted - size))
-        log_c = np.log((self.counts[0, at] + self.added) / corpus)
+        corpus, trusted = self._sums()
+        counts = ratio.counts(at)
+        log_t = np.log((counts[1] - own + self.added) / (trusted - size))
+        log_c = np.log((counts[0] + self.added) / corpus)
         return float(((log_t - log_c) * own).sum())
 
-    def scores(self, w: Words, ratio: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+    def scores(self, w: Words, ratio: Reader, unseen: np.ndarray) -> np.ndarray:
         """Mean ratio of each text's n-grams; ``unseen`` texts as if not labelled."""
         total, n = np.zeros(len(w.counts)), np.zeros(len(w.counts), np.int64)
         apart: dict[int, list] = {int(d): [] for d in np.flatnonzero(unseen)}
         for doc, at in features(w, len(ratio)):
-            total += np.bincount(doc, ratio[at], len(n))
+            total += np.bincount(doc, ratio.ratios(at), len(n))
             n += np.bincount(doc, minlength=len(n))
             for d, held in apart.items():  # texts follow one another
                 held.append(at[np.searchsorted(doc, d):np.searchsorted(doc, d, "right")])
+        corpus, trusted = self._sums()
+        total += n * np.log(corpus / trusted)
         for d, held in apart.items():
             at, own = np.unique(np.concatenate(held), return_counts=True)
-            total[d] = self.unseen(at, own, int(own.sum()))
+            total[d] = self.unseen(ratio, at, own, int(own.sum()))
         return total / np.maximum(n, 1)
 
 
@@ -167,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, added: f
         max_loss: float = MAX_LOSS) -> Model:
     """Count both multinomials over all documents in one pass, and set the threshold from the
     scores of all labelled documents that pass the base rules, trusted ones as unseen. The driver
-    gets one row per bucket and per score step. Without a number of ``buckets`` it follows the bytes
-    of all texts.
+    gets one row per range of buckets and per score step. Without a number of ``buckets`` it follows
+    the bytes of all texts, without a limit.
 
     A document with several labels is trusted if all of them are good, and bad if one of them is
     bad or toxic; a null quality or toxic says nothing. Without trusted documents every ratio is 0
@@ -185,16 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, added: f
         F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).alias("bad"))
     if buckets is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        buckets = min(MOST_BUCKETS, max(BUCKETS, 1 << (size // BUCKET_BYTES).bit_length()))
-    counts = np.zeros((2, buckets))
-    t = labelled.select("text", "trusted").mapInArrow(
-        _counts(buckets), "bucket long, corpus long, trusted long").groupBy("bucket").agg(
-        F.sum("corpus").alias("c"), F.sum("trusted").alias("t")).toArrow()
-    counts[:, t.column("bucket").to_numpy()] = t.column("c").to_numpy(), t.column("t").to_numpy()
-    if not counts[1].sum():
-        counts[:] = 0  # every ratio is 0
-        return Model(counts, added, float("-inf"))
-    model = Model(counts, added, float("-inf"))
+        buckets = grown(size, BUCKET_BYTES, BUCKETS, LINEAR_BUCKETS)
+    counted = write_table(labelled.select("text", "trusted").mapInArrow(_counts(buckets), BLOCK),
+                          buckets, added)
+    if not counted.marked:
+        return Model(BucketTable(buckets), added, float("-inf"))  # every ratio is 0
+    model = Model(counted, added, float("-inf"))
     known = _scored(labelled.where("trusted or bad"), model, unseen=True).where(~_failed())
     steps = known.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         F.count_if(F.col("row.trusted")).alias("good"), F.count_if(F.col("row.bad")).alias("bad"))
