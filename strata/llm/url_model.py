@@ -5,8 +5,8 @@ every order up to ORDER, how often a character follows its context. The whole UR
 scheme to fragment; host and path are the rules' columns only. A character's probability
 blends all orders, each order's counts with the next shorter one's probability as prior. A URL's
 score is the difference of both log-likelihoods by its length; the limit is calibrated on ruled
-URLs that were not counted yet, which then join the counts. Contexts are hashed into tables whose size follows the characters of
-all ruled URLs.
+URLs that were not counted yet, which then join the counts. Contexts are hashed into tables whose
+size follows the characters of all ruled URLs, without a limit.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.bucket_table import grown
 from strata.llm.common import prepare
 from strata.llm.kernels import U, flat, mix
 
 #: Longest context, weight of the shorter context's probability.
 ORDER, PRIOR = 4, 2.0
-#: Hash buckets of an order: one for so many bytes of the ruled URLs, at least and at most so many
-#: (a task holds 160 bytes a bucket).
-BUCKET_BYTES, BUCKETS, MOST_BUCKETS = 8, 1 << 16, 1 << 18
+#: Hash buckets of an order: one for so many bytes of the ruled URLs, at least so many; beyond so
+#: many they grow with the square root of the URLs (a task holds 80 bytes a bucket).
+BUCKET_BYTES, BUCKETS, LINEAR_BUCKETS = 8, 1 << 16, 1 << 18
 #: One ruled URL in so many (by a hash) calibrates and is counted last; step of the score axis.
 HELD, STEP = 5, 0.005
 _PAD = "\x00" * ORDER
@@ -77,20 +78,19 @@ def _contexts(texts: pa.Array, buckets: int):
 def _count(buckets: int):
     """(side, table, bucket, n): table 2 * order counts contexts, 2 * order + 1 what follows."""
     def run(batches):
-        total = np.zeros((2, 2 * ORDER + 2, buckets), np.int64)
+        total = np.zeros((2, 2 * ORDER + 2, buckets), np.uint32)
         for b in batches:
             side = b.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64)
             doc, tables = _contexts(b.column("chars"), buckets)
             for order, pair in enumerate(tables):
                 for i, bucket in enumerate(pair):
                     for s in (0, 1):
-                        total[s, 2 * order + i] += np.bincount(bucket[side[doc] == s],
-                                                               minlength=buckets)
+                        np.add.at(total[s, 2 * order + i], bucket[side[doc] == s], 1)
         s, t, k = np.nonzero(total)
         for i in range(0, max(1, len(s)), 200_000):
             z = slice(i, i + 200_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s[z]), pa.array(t[z]), pa.array(k[z]), pa.array(total[s, t, k][z])],
+                [pa.array(s[z]), pa.array(t[z]), pa.array(k[z]), pa.array(total[s[z], t[z], k[z]].astype(np.int64))],
                 names=["side", "tab", "bucket", "n"])
     return run
 
@@ -148,7 +148,7 @@ def fit(ruled: DataFrame) -> Model:
         F.col("url").alias("chars"), (F.col("rule_verdict") == "allow").alias("accepted"))
     held = F.pmod(F.xxhash64("chars"), F.lit(HELD)) == 0
     size = data.agg(F.sum(F.octet_length("chars"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, max(BUCKETS, 1 << (size // BUCKET_BYTES).bit_length()))
+    buckets = grown(size, BUCKET_BYTES, BUCKETS, LINEAR_BUCKETS)
     model = Model(_counted(data.where(~held), buckets), 0.0)
     steps = _with_score(data.where(held), model).groupBy(F.floor(F.col("score") / STEP).alias("s")
         ).agg(F.count_if("accepted").alias("good"), F.count_if(~F.col("accepted")).alias("bad"))

@@ -757,3 +757,35 @@ def test_url_filter_on_odd_rows(spark):
     # ties: a score on the limit is allowed
     tied = M.Model(np.zeros_like(model.counts), 0.0)
     assert (tied.scores(pa.array(some)) == tied.limit).all()
+
+
+def test_bucket_tables_of_many_ranges(spark, docs):
+    """Counts, ratios and scores of a table in ranges are those of one array; sizes have no limit."""
+    from strata.llm import bucket_table as B
+    from strata.llm import quality_ratio as Q
+
+    df = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels")
+    buckets = 4 * B.RANGE
+    model = Q.fit(df.repartition(3), labels, buckets=buckets)
+    good = set(labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+               .where("q = 1 and t = 0").toPandas().doc_id)
+    w = Q.Words(pa.array(docs.text), Q.NON_SPACE, 2)
+    trusted = docs.doc_id.isin(good).to_numpy()
+    want, total, n = np.zeros((2, buckets)), np.zeros(len(docs)), np.zeros(len(docs))
+    for doc, at in Q.features(w, buckets):
+        want += np.bincount(at, minlength=buckets), np.bincount(at[trusted[doc]], minlength=buckets)
+        n += np.bincount(doc, minlength=len(docs))
+    assert len(model.table.files) == 4 and (model.counts == want).all()
+    assert (model.table.total, model.table.marked) == tuple(want.sum(axis=1))
+    p = np.log((want + Q.ADDED) / (want + Q.ADDED).sum(axis=1, keepdims=True))
+    for doc, at in Q.features(w, buckets):
+        total += np.bincount(doc, (p[1] - p[0])[at], len(docs))
+    out = Q.judge(df, model).select("row.doc_id", "score").toPandas().set_index("doc_id").score
+    assert np.allclose(out.loc[docs.doc_id], total / np.maximum(n, 1), atol=1e-5)
+
+    sizes = [B.grown(10**k, 40, 1 << 16, 1 << 20) for k in range(5, 16)]
+    assert sizes[0] == 1 << 16 and sizes == sorted(sizes)
+    assert all(a < b for a, b in zip(sizes[2:], sizes[3:]))
+    tally = B.Tally()  # nothing met, nothing sent
+    assert list(tally.send()) == []
