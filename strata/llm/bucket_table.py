@@ -143,15 +143,16 @@ class Reader:
     def __len__(self) -> int:
         return self.table.buckets
 
-    def _map(self, part: int, kind: str, dtype, none) -> np.ndarray:
-        """A range's array; buckets that were never counted have ``none``."""
+    def _map(self, part: int, kind: str, dtype) -> np.ndarray:
         if (part, kind) not in self.maps:
-            name = self.table.files.get(part)
-            self.maps[part, kind] = none if name is None else map_file(f"{name}.{kind}", dtype)
+            self.maps[part, kind] = map_file(f"{self.table.files[part]}.{kind}", dtype)
         return self.maps[part, kind]
 
     def _parts(self, at: np.ndarray):
-        """(range, which of ``at`` lie in it)"""
+        """(range, which of ``at`` lie in it); ranges without any count stay out."""
+        return ((p, which) for p, which in self._split(at) if p in self.table.files)
+
+    def _split(self, at: np.ndarray):
         n = -(-self.table.buckets // self.table.size)
         if n == 1:
             yield 0, slice(None)
@@ -165,16 +166,16 @@ class Reader:
                 yield int(part[a]), order[a:z]
 
     def ratios(self, at: np.ndarray) -> np.ndarray:
-        out, none = np.zeros(len(at), np.float32), np.zeros(self.table.size, np.float32)
+        out = np.zeros(len(at), np.float32)
         for part, which in self._parts(at):
-            out[which] = self._map(part, "ratio", np.float32, none)[at[which] % self.table.size]
+            out[which] = self._map(part, "ratio", np.float32)[at[which] % self.table.size]
         return out
 
     def counts(self, at: np.ndarray) -> np.ndarray:
         """(total and marked, one column per bucket asked for)"""
         out = np.zeros((2, len(at)), np.int64)
         for part, which in self._parts(at):
-            have = self._map(part, "counts", np.int64, np.zeros(2 * self.table.size, np.int64))
+            have = self._map(part, "counts", np.int64)
             out[:, which] = have.reshape(2, -1)[:, at[which] % self.table.size]
         return out
 
