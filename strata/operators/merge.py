@@ -111,6 +111,24 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return decided.filter(F.col("_take").isNotNull()).select(*out)
 
 
+def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
+    """Fail on a (non-NULL) key that ``source`` has twice, as the merges do; only keys are moved."""
+    msg = F.lit(f"MERGE source has more than one row for a key in ({', '.join(keys)})")
+    (source.filter(_all([F.col(k).isNotNull() for k in keys])).groupBy(*keys)
+     .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1)
+     .select(F.raise_error(msg)).collect())
+
+
+def insert_frames(schema: T.StructType, source: DataFrame,
+                  insert_when: Callable[[_Row], Column]) -> DataFrame:
+    """``merge_frames`` into a table of this schema without rows: there is nothing to join."""
+    sr, scols = _Row("_s_"), set(source.columns)
+    s = _side(source, "_s_", F.lit(True))
+    return s.filter(_true(insert_when(sr))).select(*[
+        (sr[f.name] if f.name in scols else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+
+
 def newer_than(version: Sequence[str] | str) -> Cond:
     """``s.version > t.version`` (lexicographic for a tuple); NULL -> not newer."""
     cols = [version] if isinstance(version, str) else list(version)

@@ -12,13 +12,15 @@ Where the table's format has row-level operations, the same merge is the format'
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.merge import Cond, batch_size, estimated_row_bytes, merge_small_batch
-from strata.session import checkpoint_root
+from strata.operators.merge import (Cond, batch_size, estimated_row_bytes, insert_frames, merge_small_batch,
+                                    require_unique)
+from strata.session import written
 from strata.sources import tables
 from strata.sources.tables import PART
 
@@ -65,24 +67,36 @@ def merge_into(name: str, source: DataFrame, keys: Sequence[str], root: str, *,
                cluster: Callable[[DataFrame], DataFrame] | None = None,
                properties: dict[str, str] | None = None, part_bytes: int = 256 << 20,
                parts: int | None = None, max_batch_rows: int = 1_000_000,
-               checkpointed: bool = False) -> list[int]:
+               stands: bool = False) -> list[int]:
     """Merge ``source`` into the table ``name``; returns the partitions that were rewritten.
 
     A table that isn't there yet is made with ``source``'s columns. ``stale`` holds keys whose rows
     leave the table, after the merge. ``cluster`` lays out the rewritten rows (same rows; the
     column ``_part`` comes first in its order); by default each partition is files of the advisory
     size. ``properties`` (marks) are set once the data stands, also if nothing was touched. A key
-    that ``source`` holds twice fails the merge before anything changes. ``checkpointed``: the
-    caller has written ``source`` already.
+    that ``source`` holds twice fails the merge before anything changes. ``source`` is written once to
+    the scratch area, for its size and the joins that use it, and removed when the merge is done
+    (``stands``: the caller has written it already). Where the touched partitions have no rows yet,
+    as on a first load, nothing is joined.
     """
     spark, keys = source.sparkSession, list(keys)
-    checkpoint_root(spark)
     if tables.row_level(spark, name, ROW_LEVEL):
         _merge_rows(source, name, keys, update_when, insert_when)
         tables.set_properties(spark, name, properties or {})
         return []
-    if not checkpointed:
-        source = source.checkpoint(eager=True)
+    if not stands:
+        with written(source, "merge-source") as source:
+            return _merge_parts(name, source, keys, root, update_when, insert_when, stale, cluster,
+                                properties, part_bytes, parts, max_batch_rows)
+    return _merge_parts(name, source, keys, root, update_when, insert_when, stale, cluster, properties,
+                        part_bytes, parts, max_batch_rows)
+
+
+def _merge_parts(name: str, source: DataFrame, keys: list[str], root: str, update_when: Cond,
+                 insert_when: Callable, stale: DataFrame | None, cluster: Callable | None,
+                 properties: dict[str, str] | None, part_bytes: int, parts: int | None,
+                 max_batch_rows: int) -> list[int]:
+    spark = source.sparkSession
     size = batch_size(source)
     if not spark.catalog.tableExists(name):
         tables.create_parts(spark, name, source.schema, root,
@@ -91,19 +105,26 @@ def merge_into(name: str, source: DataFrame, keys: Sequence[str], root: str, *,
     table = spark.table(name)
     source = with_part(source, table, keys, n)
     touched = touched_parts(source) if size[0] else []
-    if stale is not None:
-        stale = with_part(stale.select(*keys).distinct(), table, keys, n).checkpoint(eager=True)
-        touched = sorted({*touched, *touched_parts(stale)})
-    if not touched:
-        tables.set_properties(spark, name, properties or {})
-        return []
-    target = table.filter(F.col(PART).isin(touched)).drop(PART)
-    merged = merge_small_batch(target, source.drop(PART), keys, update_when=update_when,
-                               insert_when=insert_when, max_batch_rows=max_batch_rows,
-                               checkpointed=size)
-    if stale is not None:
-        merged = merged.join(stale.select(*keys), keys, "left_anti")
-    merged = merged.withColumn(PART, tables.part_of(keys, n))
-    merged = cluster(merged) if cluster else merged.hint("rebalance", PART)
-    tables.publish_parts(spark, merged, name, root, touched, properties)
+    with ExitStack() as stack:
+        if stale is not None:
+            stale = stack.enter_context(written(
+                with_part(stale.select(*keys).distinct(), table, keys, n), "merge-stale"))
+            touched = sorted({*touched, *touched_parts(stale)})
+        if not touched:
+            tables.set_properties(spark, name, properties or {})
+            return []
+        target = table.filter(F.col(PART).isin(touched)).drop(PART)
+        source = source.drop(PART)
+        if {*touched}.isdisjoint(tables.partitions(spark, name)):
+            require_unique(source, keys)
+            merged = insert_frames(target.schema, source, insert_when)
+        else:
+            merged = merge_small_batch(target, source, keys, update_when=update_when,
+                                       insert_when=insert_when, max_batch_rows=max_batch_rows,
+                                       checkpointed=size)
+        if stale is not None:
+            merged = merged.join(stale.select(*keys), keys, "left_anti")
+        merged = merged.withColumn(PART, tables.part_of(keys, n))
+        merged = cluster(merged) if cluster else merged.hint("rebalance", PART)
+        tables.publish_parts(spark, merged, name, root, touched, properties)
     return touched

@@ -38,7 +38,7 @@ from strata.operators.star import (build_dim_customer, build_dim_date, build_dim
                                    build_fact_order_line)
 from strata.operators.upsert import merge_into, parts_for
 from strata.schemas import CALENDAR_END, CALENDAR_START, FK_RULES, Entity, Namespaces
-from strata.session import checkpoint_root
+from strata.session import written
 from strata.sources import tables
 from strata.sources.jsonl import CORRUPT, REJECTED, RESCUED, parse_lines, read_source, rescued_fields
 from strata.streaming.file_once import ingest_new_files
@@ -401,16 +401,15 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
             compact_parts(spark, lh.name("gold", table), where, rewritten)
     keys = lh.item_keys
     delta, touched = fact_delta(silver, marks, keys)
-    checkpoint_root(spark)
-    delta = delta.checkpoint(eager=True)
-    more = {}
-    if prune_missing and spark.catalog.tableExists(fact_name):
-        more["stale"] = _stale_lines(lh.table("gold", "fact_order_line"), delta, touched, keys)
-    if relayout:
-        by = ["date_id", "customer_id"]
-        bounds = rank_bounds(delta, by)
-        more["cluster"] = lambda df: zorder(df, by, bounds=bounds, within=tables.PART)
-    upsert("fact_order_line", delta, keys, properties=new_marks, checkpointed=True, **more)
+    with written(delta, "fact-delta") as delta:
+        more = {}
+        if prune_missing and spark.catalog.tableExists(fact_name):
+            more["stale"] = _stale_lines(lh.table("gold", "fact_order_line"), delta, touched, keys)
+        if relayout:
+            by = ["date_id", "customer_id"]
+            bounds = rank_bounds(delta, by)
+            more["cluster"] = lambda df: zorder(df, by, bounds=bounds, within=tables.PART)
+        upsert("fact_order_line", delta, keys, properties=new_marks, stands=True, **more)
 
     g = {t: lh.table("gold", t)
          for t in ("dim_date", "dim_customer", "dim_product", "fact_order_line")}

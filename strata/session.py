@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime confs every strata job relies on. UTC pins the meaning of zone-less
 # timestamp text (the source writes UTC without an offset); AQE re-plans joins
@@ -116,3 +117,25 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A path under the shared checkpoint root for written intermediates."""
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{checkpoint_root(spark)}/strata/{leaf}"
+
+
+@contextmanager
+def written(df: DataFrame, name: str):
+    """The rows of ``df``, computed once: written to the shared scratch area as compressed columns and
+    read back, so a lost executor re-reads them. The folder goes when the block ends, so what
+    was made of the rows has to be written by then."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no JVM at hand: the folder stays
+        return
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)

@@ -226,7 +226,8 @@ def publish_parts(spark: SparkSession, df: DataFrame, name: str, root: str,
     n = current_version(spark, name) + 1
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}-{uuid.uuid4().hex[:8]}"
     columns = [c for c in spark.table(name).columns if c != PART]
-    df.select(*columns, PART).write.mode("errorifexists").partitionBy(PART).parquet(path)
+    (df.select(*columns, PART).write.mode("errorifexists").option("compression", "zstd")
+       .partitionBy(PART).parquet(path))
     point_partitions(spark, name, PART, {p: f"{path}/{PART}={p}" for p in touched})
     set_properties(spark, name, {VERSION: str(n), **(properties or {})})
     return path

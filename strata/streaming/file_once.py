@@ -95,7 +95,7 @@ def ingest_new_files(spark: SparkSession, path: str, schema: T.StructType | None
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         folder = f"{sink.rstrip('/')}/_batch_id={first + batch_id}"
-        out.write.mode("overwrite").parquet(folder)
+        out.write.mode("overwrite").option("compression", "zstd").parquet(folder)
         if on_batch:
             on_batch(first + batch_id, folder)
 
