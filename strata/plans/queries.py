@@ -765,7 +765,7 @@ def q_quarantine(spark, sf_dir):
     line = F.when(rest == 21, line).otherwise(
         F.regexp_replace(line, '"total_amount":"([^"]*)"', '"total_amount":$1'))
     line = F.when(rest == 7, F.substring(line, 1, 12)).otherwise(line)
-    o.select(line.alias("value")).write.text(f"{landing}/orders/batch=b1")
+    o.select(line.alias("value")).write.options(**jsonl.WRITE_OPTIONS).text(f"{landing}/orders/batch=b1")
     _land({n: e[n] for n in ENTITY_ORDER if n != "orders"}, landing, "b1")
     P.run_bronze(lh, landing)              # fails its gate: NULL keys
     P.run_bronze(lh, landing).gate()       # they are in quarantine now

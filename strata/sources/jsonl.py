@@ -1,6 +1,6 @@
 """JSON-lines change batches: write one batch, read an entity folder, query files in SQL.
 
-Layout: ``<landing>/<table>/batch=<batch_id>/part-*.json``. A batch id is unique
+Layout: ``<landing>/<table>/batch=<batch_id>/part-*.json.gz``. A batch id is unique
 per extraction (two runs in the same second never overwrite each other), and
 the reader always gets an explicit schema, so no inference pass over all files.
 """
@@ -20,6 +20,11 @@ JSON_OPTIONS = {
 }
 
 
+#: Landed lines are compressed: they repeat every field's name, and stay for as long as the landing
+#: folder does. A compressed file is read by one task, so its rows are bounded.
+WRITE_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+
+
 def batch_path(landing: str, table: str, batch_id: str) -> str:
     return f"{landing.rstrip('/')}/{table}/batch={batch_id}"
 
@@ -27,7 +32,7 @@ def batch_path(landing: str, table: str, batch_id: str) -> str:
 def write_batch(df: DataFrame, landing: str, table: str, batch_id: str) -> str:
     """Write one extracted batch as JSON lines; fails if the batch id exists."""
     path = batch_path(landing, table, batch_id)
-    df.write.mode("errorifexists").options(**JSON_OPTIONS).json(path)
+    df.write.mode("errorifexists").options(**JSON_OPTIONS, **WRITE_OPTIONS).json(path)
     return path
 
 
@@ -72,12 +77,12 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
     ``_rescued`` is a JSON object of such fields with their values as text. Blank lines are no rows.
     Of a field given twice the last value counts; a NULL or absent field is NULL.
+
+    A line that the schema's own parse found nothing wrong with, and whose fields are all the schema's,
+    each given once, has nothing to rescue: only the other lines are parsed once more, field by field.
     """
     whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.filter("trim(value) != ''").select(
-        "value", F.from_json("value", whole, options).alias("r"),
-        F.from_json("value", FIELDS).alias("fields"))
 
     def text(name: str) -> str:
         return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -88,13 +93,22 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     lost = ", ".join(f"IF(fields[{text(f.name)}] IS NOT NULL AND {typed(f.name)} IS NULL, {text(f.name)}, NULL)"
                      for f in schema.fields if not isinstance(f.dataType, T.StringType))
     known = f"array({', '.join(map(text, names))})"
-    found = parsed.selectExpr("*", f"array_compact(CAST(array({lost}) AS ARRAY<STRING>)) AS bad").selectExpr(
-        "*", f"map_filter(fields, (k, v) -> NOT array_contains({known}, k) OR array_contains(bad, k)) AS lost")
+    parsed = lines.filter("trim(value) != ''").select(
+        "value", F.from_json("value", whole, options).alias("r"),
+        F.expr("json_object_keys(value)").alias("given"))
+    # the intersection has each name once: a repeated or an unknown one makes it shorter
+    checked = parsed.selectExpr("value", "r", f"coalesce(r.{CORRUPT} IS NULL AND size(given) = "
+                                f"size(array_intersect(given, {known})), FALSE) AS clean")
+    rest = checked.selectExpr("r", "clean", "IF(clean, NULL, value) AS value")
+    found = rest.withColumn("fields", F.from_json("value", FIELDS)).selectExpr(
+        "*", f"IF(clean, NULL, array_compact(CAST(array({lost}) AS ARRAY<STRING>))) AS bad").selectExpr(
+        "*", f"IF(clean, NULL, map_filter(fields, (k, v) -> NOT array_contains({known}, k) "
+             "OR array_contains(bad, k))) AS lost")
     return found.selectExpr(
         *[f"{typed(n)} AS `{n.replace('`', '``')}`" for n in names],
         f"IF(fields IS NULL, value, NULL) AS {CORRUPT}",
         f"IF(size(lost) > 0, to_json(lost), NULL) AS {RESCUED}",
-        f"CASE WHEN fields IS NULL THEN '{MALFORMED}' WHEN size(bad) > 0 "
+        f"CASE WHEN clean THEN NULL WHEN fields IS NULL THEN '{MALFORMED}' WHEN size(bad) > 0 "
         f"THEN '{UNCASTABLE}' || array_join(bad, ',') END AS {REJECTED}")
 
 
