@@ -40,16 +40,18 @@ def rank_bounds(df: DataFrame, columns: Sequence[str], bits: int = BITS,
     if n > sample_rows:
         rows = rows.sample(sample_rows / n, seed=7)
 
-    def cut(c: str) -> Column:
+    def values(c: str) -> Column:
         value = F.col(c)
         if isinstance(df.schema[c].dataType, T.StringType):
             value = F.substring(value, 1, TEXT)
-        held = F.sort_array(F.collect_list(value))  # NULLs are left out
-        at = F.sequence(F.lit(1), F.lit((1 << bits) - 1))
-        size = F.size(held)
+        return F.sort_array(F.collect_list(value)).alias(c)  # NULLs are left out
+
+    def cut(c: str) -> Column:
+        at, size = F.sequence(F.lit(1), F.lit((1 << bits) - 1)), F.size(c)
         return F.transform(at, lambda i: F.get(
-            held, F.least((i * size / (1 << bits)).cast("int"), size - 1))).alias(c)
-    one = rows.agg(*[cut(c) for c in columns]).first()
+            F.col(c), F.least((i * size / (1 << bits)).cast("int"), size - 1))).alias(c)
+    # sorted first, then cut: inside the cuts the sort would run once for each of them
+    one = rows.agg(*[values(c) for c in columns]).select(*[cut(c) for c in columns]).first()
     return {c: [v for v in one[c] if v is not None] for c in columns}
 
 
