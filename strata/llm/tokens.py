@@ -86,8 +86,9 @@ class Encoder:
     def _learn(self, new: set) -> None:
         have = self.later
         words, ended, other = [], [], []
+        letters = self._letters
         for p in new:
-            if self._letters(p):
+            if p.isalpha() and (p.isascii() or letters(p)):
                 words.append(p)
             elif not p or p[0].isspace() or p[-1].isspace() or "<|" in p:
                 have[p] = False  # not a safe place to cut
@@ -116,28 +117,20 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
         split = [t.split(" ") if t else [] for t in texts]
-        known, new = [], set()
-        for s in split:
-            ids = list(map(self.later.get, s))
-            ids[:1] = [b""]  # the first part is another's work
-            if None in ids:
-                new.update([p for p, v in zip(s, ids) if v is None])
-            known.append(ids)
+        begins = [s.pop(0) if s else None for s in split]  # the first part is another's work
+        parts: set[str] = set().union(*split)
+        new = parts.difference(self.later)
         if len(self.later) + len(new) > self.cached:
-            self.later = {p: v for s, ids in zip(split, known)
-                          for p, v in zip(s[1:], ids[1:]) if v is not None}
+            self.later = {p: self.later[p] for p in parts - new}
         self._learn(new)
         out: list[bytes] = []
-        have = self.later
-        for t, s, ids in zip(texts, split, known):
-            if not s:
+        ids_of = self.later.__getitem__
+        for t, first, s in zip(texts, begins, split):
+            if first is None:
                 out.append(b"")
                 continue
-            if None in ids:
-                ids = [have[p] if v is None else v for p, v in zip(s, ids)]
-            ids[0] = self._begin(s[0])
             try:
-                out.append(b"".join(ids))
+                out.append(b"".join([self._begin(first), *map(ids_of, s)]))
             except TypeError:  # a part that is no safe cut
                 out.append(self.whole([t])[0])
         return out
