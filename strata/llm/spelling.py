@@ -235,16 +235,35 @@ def _run_group(m: int, a: int, b: int, words: list[str], counts: list[int]):
 
 
 def _run_groups(batches):
-    for batch in batches:
-        out = []
-        for m, a, b, members in zip(*(batch.column(c).to_pylist() for c in "mab"),
-                                    batch.column("members").to_pylist()):
-            out += _run_group(m, a, b, [x["word"] for x in members], [x["n"] for x in members])
-        yield pa.RecordBatch.from_arrays(
+    """Rows (key, word, n), those of a key in a row; a batch may end within them."""
+    key, words, counts = "", [], []  # of the last key, as far as it was seen
+
+    def done():
+        return _run_group(*map(int, key.split(" ", 3)[:3]), words, counts) if len(words) > 1 else []
+
+    def made(out):
+        return pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in out], t) for k, t in enumerate(
                 (pa.string(), pa.int64(), pa.int64(), pa.string()))],
             names=["word", "n_near", "best_n", "best"])
 
+    for batch in batches:
+        keys, out = batch.column("key"), []
+        some, n = batch.column("word").to_pylist(), batch.column("n").to_pylist()
+        turns = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), turns]))
+        ends = np.append(starts[1:], len(keys))
+        told = ends - starts > 1  # words alone have no pairs
+        told[:1] = told[-1:] = True
+        for s, e in zip(starts[told].tolist(), ends[told].tolist()):
+            if s or keys[0].as_py() != key:
+                out += done()
+                key, words, counts = keys[s].as_py(), [], []
+            words += some[s:e]
+            counts += n[s:e]
+        yield made(out)
+    yield made(done())
+
 
 # --- groups over Spark --------------------------------------------------------------------
 
@@ -294,10 +313,10 @@ def near_words(words: DataFrame, group_symbols: int = GROUP_SYMBOLS,
             hot = F.broadcast(hot) if number <= BROADCAST else hot
             again = materialise(_dealt(keyed.join(hot, "hash", "left_semi")), "spelling-again")
             keyed = keyed.join(hot, "hash", "left_anti")
-        groups = keyed.groupBy("key").agg(
-            F.first("m").alias("m"), F.first("a").alias("a"), F.first("b").alias("b"),
-            F.collect_list(F.struct("word", "n")).alias("members")).where(F.size("members") > 1)
-        out.append(materialise(groups.select("m", "a", "b", "members").mapInArrow(
+        # sorted rows, and no lists of members: those would be objects on the heap of the executors
+        groups = keyed.select("hash", "key", "word", "n").repartition("hash").sortWithinPartitions(
+            "hash", "key").select("key", "word", "n")
+        out.append(materialise(groups.mapInArrow(
             _run_groups, "word string, n_near long, best_n long, best string"), "spelling-near"))
         rows = again
     all_near = out[0]
