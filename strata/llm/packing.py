@@ -109,7 +109,7 @@ def _cut(path: str, tokens: int, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             row, cols = [], {k: [] for k in ("piece", "start", "length", "rank", "ids", "crc")}
-            for i, ids in enumerate(encoder.encode(text_of(b).to_pylist())):
+            for i, ids in enumerate(encoder.encode(text_of(b))):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * tokens)):
                     some = ids[at:at + 4 * tokens]

@@ -44,7 +44,7 @@ def _write(path: str, end_id: int, folder: str):
                 if first is None and len(b):
                     first = (b.column("doc_id")[0], b.column("order")[0])
                 ids_of.append(b.column("doc_id"))
-                ids = [x + end for x in encoder.encode(b.column("text").to_pylist())]
+                ids = [x + end for x in encoder.encode(b.column("text"))]
                 counts.append(np.array([len(x) // 4 for x in ids], np.int64))
                 total += int(counts[-1].sum())
                 yield np.frombuffer(b"".join(ids), "<u4").astype(kind)
