@@ -34,6 +34,17 @@ def parts_for(rows: int, schema, part_bytes: int = 256 << 20, least: int = 16) -
     return max(least, -(-rows * estimated_row_bytes(schema) // part_bytes))
 
 
+#: A step over many rows runs in passes, each over about so many bytes of them, but in no more than
+#: so many: what a pass shuffles and spills is gone before the next one. A merge's pass reads its own
+#: partitions of the table; one that computes a part of a batch reads all that the batch is made from.
+PASS_BYTES, MERGE_PASSES, SOURCE_PASSES = 64 << 20, 4, 2
+
+
+def passes_for(rows: int, schema, most: int) -> int:
+    """Passes for a step that shuffles so many rows."""
+    return max(1, min(most, rows * estimated_row_bytes(schema) // PASS_BYTES))
+
+
 def touched_parts(df: DataFrame) -> list[int]:
     """The partitions that rows of ``df`` are in: at most as many numbers as the table has parts."""
     return sorted(r[0] for r in df.select(PART).distinct().collect())
@@ -67,7 +78,7 @@ def merge_into(name: str, source: DataFrame, keys: Sequence[str], root: str, *,
                cluster: Callable[[DataFrame], DataFrame] | None = None,
                properties: dict[str, str] | None = None, part_bytes: int = 256 << 20,
                parts: int | None = None, max_batch_rows: int = 1_000_000,
-               stands: bool = False) -> list[int]:
+               stands: bool = False, rows: int = 0) -> list[int]:
     """Merge ``source`` into the table ``name``; returns the partitions that were rewritten.
 
     A table that isn't there yet is made with ``source``'s columns. ``stale`` holds keys whose rows
@@ -76,8 +87,9 @@ def merge_into(name: str, source: DataFrame, keys: Sequence[str], root: str, *,
     size. ``properties`` (marks) are set once the data stands, also if nothing was touched. A key
     that ``source`` holds twice fails the merge before anything changes. ``source`` is written once to
     the scratch area, for its size and the joins that use it, and removed when the merge is done
-    (``stands``: the caller has written it already). Where the touched partitions have no rows yet,
-    as on a first load, nothing is joined.
+    (``stands``: the caller has written it already). ``rows`` is what ``source`` is computed from, if
+    it shuffles them by ``keys``: many are taken in passes. The merge itself takes the touched
+    partitions in passes. Where they have no rows yet, as on a first load, nothing is joined.
     """
     spark, keys = source.sparkSession, list(keys)
     if tables.row_level(spark, name, ROW_LEVEL):
@@ -85,7 +97,8 @@ def merge_into(name: str, source: DataFrame, keys: Sequence[str], root: str, *,
         tables.set_properties(spark, name, properties or {})
         return []
     if not stands:
-        with written(source, "merge-source") as source:
+        with written(source, "merge-source", keys,
+                     passes_for(rows, source.schema, SOURCE_PASSES)) as source:
             return _merge_parts(name, source, keys, root, update_when, insert_when, stale, cluster,
                                 properties, part_bytes, parts, max_batch_rows)
     return _merge_parts(name, source, keys, root, update_when, insert_when, stale, cluster, properties,
@@ -113,18 +126,25 @@ def _merge_parts(name: str, source: DataFrame, keys: list[str], root: str, updat
         if not touched:
             tables.set_properties(spark, name, properties or {})
             return []
-        target = table.filter(F.col(PART).isin(touched)).drop(PART)
-        source = source.drop(PART)
-        if {*touched}.isdisjoint(tables.partitions(spark, name)):
-            require_unique(source, keys)
-            merged = insert_frames(target.schema, source, insert_when)
-        else:
-            merged = merge_small_batch(target, source, keys, update_when=update_when,
-                                       insert_when=insert_when, max_batch_rows=max_batch_rows,
-                                       checkpointed=size)
-        if stale is not None:
-            merged = merged.join(stale.select(*keys), keys, "left_anti")
-        merged = merged.withColumn(PART, tables.part_of(keys, n))
-        merged = cluster(merged) if cluster else merged.hint("rebalance", PART)
-        tables.publish_parts(spark, merged, name, root, touched, properties)
+        first = {*touched}.isdisjoint(tables.partitions(spark, name))
+        held = 0 if first else table.filter(F.col(PART).isin(touched)).count()
+        k = min(len(touched), passes_for(size[0] + held, table.schema, MERGE_PASSES))
+
+        def next_state(parts: list[int]) -> DataFrame:
+            target = table.filter(F.col(PART).isin(parts)).drop(PART)
+            batch = (source if k == 1 else source.filter(F.col(PART).isin(parts))).drop(PART)
+            if first:
+                require_unique(batch, keys)
+                merged = insert_frames(target.schema, batch, insert_when)
+            else:
+                merged = merge_small_batch(target, batch, keys, update_when=update_when,
+                                           insert_when=insert_when, max_batch_rows=max_batch_rows,
+                                           checkpointed=size)
+            if stale is not None:
+                gone = stale if k == 1 else stale.filter(F.col(PART).isin(parts))
+                merged = merged.join(gone.select(*keys), keys, "left_anti")
+            merged = merged.withColumn(PART, tables.part_of(keys, n))
+            return cluster(merged) if cluster else merged.hint("rebalance", PART)
+        tables.publish_parts(spark, (next_state(touched[i::k]) for i in range(k)), name, root, touched,
+                             properties)
     return touched

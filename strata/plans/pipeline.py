@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -36,9 +37,9 @@ from strata.operators.layout import compact_parts, rank_bounds, zorder
 from strata.operators.merge import newer_than
 from strata.operators.star import (build_dim_customer, build_dim_date, build_dim_product,
                                    build_fact_order_line)
-from strata.operators.upsert import merge_into, parts_for
+from strata.operators.upsert import SOURCE_PASSES, merge_into, parts_for, passes_for
 from strata.schemas import CALENDAR_END, CALENDAR_START, FK_RULES, Entity, Namespaces
-from strata.session import written
+from strata.session import freed_shuffles, written
 from strata.sources import tables
 from strata.sources.jsonl import CORRUPT, REJECTED, RESCUED, parse_lines, read_source, rescued_fields
 from strata.streaming.file_once import ingest_new_files
@@ -297,12 +298,13 @@ def run_silver(lh: Lakehouse) -> Q.QualityReport:
                    update_when=newer_than(ent.version),
                    insert_when=lambda s: s[ent.delete_flag] == F.lit(False),
                    parts=lh.parts, part_bytes=lh.part_bytes,
-                   max_batch_rows=lh.broadcast_batch_rows,
+                   max_batch_rows=lh.broadcast_batch_rows, rows=new.count(),
                    properties={BATCH_PROP: str(todo[-1])})
         return Q.silver_quality(n, lh.table("silver", n), ent)
-    checks = [c for c in _at_once(apply, lh.entities).values() if c is not None]
-    if checks:
-        report.add_results(Q._union(checks))
+    with freed_shuffles(spark):
+        checks = [c for c in _at_once(apply, lh.entities).values() if c is not None]
+        if checks:
+            report.add_results(Q._union(checks))
     report.gate()
     return report
 
@@ -318,27 +320,36 @@ def changed_since(df: DataFrame, mark: int | None) -> DataFrame:
     return df if mark is None else df.filter(F.col(BATCH_COLUMN) > mark)
 
 
-def fact_delta(silver: dict[str, DataFrame], marks: Marks,
-               item_keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
-    """Fact lines to (re)compute: those of every order touched since ``marks``.
-
-    An order is touched when its header, one of its items, or the product of one
-    of its items changed. Returns the rebuilt lines of those orders and the set of
-    touched order ids (``None`` on the first run: everything is rebuilt).
-    """
+def touched_orders(silver: dict[str, DataFrame], marks: Marks) -> DataFrame | None:
+    """Ids of the orders touched since ``marks``: their header, one of their items, or the product of
+    one of their items changed. ``None`` on the first run: everything is rebuilt."""
     items, orders, products = silver["order_items"], silver["orders"], silver["products"]
     if all(m is None for m in marks.values()):
-        return build_fact_order_line(items, orders, products, item_keys=item_keys), None
+        return None
     changed_products = changed_since(products, marks["products"]).select("product_id")
-    touched = (changed_since(items, marks["order_items"]).select("order_id")
-               .unionByName(changed_since(orders, marks["orders"]).select("order_id"))
-               .unionByName(items.join(changed_products, "product_id", "left_semi")
-                            .select("order_id"))
-               .distinct())
-    delta = build_fact_order_line(items.join(touched, "order_id", "left_semi"),
-                                  orders.join(touched, "order_id", "left_semi"),
-                                  products, item_keys=item_keys)
-    return delta, touched
+    return (changed_since(items, marks["order_items"]).select("order_id")
+            .unionByName(changed_since(orders, marks["orders"]).select("order_id"))
+            .unionByName(items.join(changed_products, "product_id", "left_semi")
+                         .select("order_id"))
+            .distinct())
+
+
+def fact_delta(silver: dict[str, DataFrame], touched: DataFrame | None,
+               item_keys: tuple[str, ...]) -> DataFrame:
+    """Fact lines to (re)compute: those of every touched order."""
+    items, orders, products = silver["order_items"], silver["orders"], silver["products"]
+    if touched is not None:
+        items = items.join(touched, "order_id", "left_semi")
+        orders = orders.join(touched, "order_id", "left_semi")
+    return build_fact_order_line(items, orders, products, item_keys=item_keys)
+
+
+def _delta_passes(silver: dict[str, DataFrame], touched: DataFrame | None, delta: DataFrame) -> int:
+    """Passes in which the delta is computed, as if all orders had equally many lines."""
+    lines = silver["order_items"].count()
+    if touched is not None:
+        lines = lines * touched.count() // max(1, silver["orders"].count())
+    return passes_for(lines, delta.schema, SOURCE_PASSES)
 
 
 def _gold_marks(lh: Lakehouse, fact: str) -> Marks:
@@ -373,6 +384,12 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
     The fact's marks, by which the next run knows what is new, are set after its data stands: a
     driver lost in between repeats the merge.
     """
+    with freed_shuffles(lh.spark):
+        return _run_gold(lh, prune_missing, incremental, relayout, strict)
+
+
+def _run_gold(lh: Lakehouse, prune_missing: bool, incremental: bool, relayout: bool,
+              strict: bool) -> Q.QualityReport:
     spark, report = lh.spark, Q.QualityReport()
     tables.ensure_namespace(spark, lh.ns.gold)
     silver = {n: lh.table("silver", n) for n in lh.entities}
@@ -400,8 +417,13 @@ def run_gold(lh: Lakehouse, prune_missing: bool = False, incremental: bool = Tru
         if relayout:  # one after the other: it sets the session's partition size while it writes
             compact_parts(spark, lh.name("gold", table), where, rewritten)
     keys = lh.item_keys
-    delta, touched = fact_delta(silver, marks, keys)
-    with written(delta, "fact-delta") as delta:
+    with ExitStack() as stack:
+        touched = touched_orders(silver, marks)
+        if touched is not None:
+            touched = stack.enter_context(written(touched, "touched-orders"))
+        delta = fact_delta(silver, touched, keys)
+        delta = stack.enter_context(written(delta, "fact-delta", ["order_id"],
+                                            _delta_passes(silver, touched, delta)))
         more = {}
         if prune_missing and spark.catalog.tableExists(fact_name):
             more["stale"] = _stale_lines(lh.table("gold", "fact_order_line"), delta, touched, keys)

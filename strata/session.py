@@ -9,9 +9,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime confs every strata job relies on. UTC pins the meaning of zone-less
 # timestamp text (the source writes UTC without an offset); AQE re-plans joins
@@ -120,13 +122,38 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
 
 
 @contextmanager
-def written(df: DataFrame, name: str):
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files go when the query that wrote them ends, not when the driver collects garbage. A
+    frame that is run twice makes its stages twice, so this is for steps that run each once. Spark
+    before 4.1 doesn't know the setting and keeps the files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def in_passes(df: DataFrame, by: Sequence[str], passes: int) -> list[DataFrame]:
+    """``df`` in disjoint pieces by a hash of the columns ``by``. Where these are the keys that ``df``
+    is grouped or joined by, the condition reaches the scans, and a piece shuffles its own rows only."""
+    if passes <= 1:
+        return [df]
+    piece = F.pmod(F.xxhash64(*by), F.lit(passes))
+    return [df.filter(piece == F.lit(i)) for i in range(passes)]
+
+
+@contextmanager
+def written(df: DataFrame, name: str, by: Sequence[str] = (), passes: int = 1):
     """The rows of ``df``, computed once: written to the shared scratch area as compressed columns and
-    read back, so a lost executor re-reads them. The folder goes when the block ends, so what
-    was made of the rows has to be written by then."""
+    read back, so a lost executor re-reads them. With ``passes`` it is written piece by piece (see
+    ``in_passes``). The folder goes when the block ends, so what was made of the rows has to be
+    written by then."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        for piece in in_passes(df, by, passes):
+            piece.write.mode("append").option("compression", "zstd").parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         _delete(spark, path)

@@ -22,7 +22,7 @@ JSON_OPTIONS = {
 
 #: Landed lines are compressed: they repeat every field's name, and stay for as long as the landing
 #: folder does. A compressed file is read by one task, so its rows are bounded.
-WRITE_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+WRITE_OPTIONS = {"compression": "gzip", "zlib.compress.level": "FIVE", "maxRecordsPerFile": "500000"}
 
 
 def batch_path(landing: str, table: str, batch_id: str) -> str:

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,15 +219,17 @@ def point_partitions(spark: SparkSession, name: str, column: str, paths: dict[in
     spark.sql(f"REFRESH TABLE {name}")
 
 
-def publish_parts(spark: SparkSession, df: DataFrame, name: str, root: str,
+def publish_parts(spark: SparkSession, df: DataFrame | Iterable[DataFrame], name: str, root: str,
                   touched: Sequence[int], properties: dict[str, str] | None = None) -> str:
     """Make ``df`` (with the column ``_part``) what the ``touched`` partitions hold; the others stay
-    as they are. Returns the folder written."""
+    as they are. Of several frames all are written, one after the other, before the table changes.
+    Returns the folder written."""
     n = current_version(spark, name) + 1
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v={n}-{uuid.uuid4().hex[:8]}"
     columns = [c for c in spark.table(name).columns if c != PART]
-    (df.select(*columns, PART).write.mode("errorifexists").option("compression", "zstd")
-       .partitionBy(PART).parquet(path))
+    for rows in [df] if isinstance(df, DataFrame) else df:
+        (rows.select(*columns, PART).write.mode("append").option("compression", "zstd")
+             .partitionBy(PART).parquet(path))
     point_partitions(spark, name, PART, {p: f"{path}/{PART}={p}" for p in touched})
     set_properties(spark, name, {VERSION: str(n), **(properties or {})})
     return path

@@ -142,6 +142,31 @@ def test_late_batch_skipped_table_and_full_reload(spark, tmp_root):
     assert sorted(r["customer_id"] for r in dim.collect()) == ["c1", "c2"]
 
 
+def test_cancel_after_load_in_passes(spark, tmp_root, monkeypatch):
+    """Silver and gold in as many passes as there may be: the same rows, and neither shuffle files nor
+    intermediates are left."""
+    from strata.operators import upsert
+    from strata.session import checkpoint_root
+    from tests.test_scale import _files, _left, _shuffles
+
+    monkeypatch.setattr(upsert, "PASS_BYTES", 1)
+    landing = f"{tmp_root}/landing"
+    lh = P.Lakehouse(spark, f"{tmp_root}/lake", SOURCE_ENTITIES, RAW_SCHEMAS, parts=4,
+                     ns=P.Namespaces("bronze_w", "silver_w", "gold_w"))
+    for batch, expected in ((_batch1(), ["i1", "i2"]), (_batch2(), ["i2"])):
+        _land(spark, landing, batch, f"b{len(expected)}")
+        P.run_bronze(lh, landing).gate()
+        files = _files(checkpoint_root(spark)) - _files(tmp_root)
+        shuffles = _shuffles(spark)
+        P.run_silver(lh)
+        P.run_gold(lh, prune_missing=True)
+        assert not _left(spark, shuffles)
+        assert _files(checkpoint_root(spark)) - _files(tmp_root) == files
+        fact = spark.table(lh.name("gold", "fact_order_line"))
+        assert sorted(r["order_item_id"] for r in fact.collect()) == expected
+    assert lh.table("silver", "orders").filter("is_deleted").count() == 1
+
+
 def test_publish_replaces_the_schema_and_keeps_properties(spark, tmp_root):
     t = P.tables
     for name, by in (("evolve_plain", ()), ("evolve_bucketed", ("id",))):
